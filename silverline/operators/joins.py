@@ -1,0 +1,28 @@
+"""Join helpers: broadcast only behind a size check."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows above which a lookup side is joined with a shuffle instead of broadcast.
+DEFAULT_BROADCAST_ROWS = 1_000_000
+
+
+def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    Reads at most ``max_rows + 1`` rows, so the check stays cheap even when
+    the answer is no.
+    """
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` when its row count is proven small, else ``df`` as is.
+
+    Without the hint the planner (and AQE, from runtime sizes) picks the join;
+    a lookup that outgrew the bound falls back to a shuffle join instead of
+    filling executor memory.
+    """
+    return F.broadcast(df) if row_count_at_most(df, max_rows) else df

@@ -213,3 +213,214 @@ SELECT event_id,
   strftime(ts, '%H') AS hour
 FROM events
 """
+
+ORACLE["cleanse_text"] = """
+SELECT
+  NULLIF(lower(trim(CASE WHEN c_acctbal < 0 THEN ' YouTube_API ' ELSE ' Kaggle ' END)), '') AS source,
+  NULLIF(upper(trim('  ' || lower(c_mktsegment) || ' ')), '') AS region,
+  NULLIF(trim(' ' || CAST(c_custkey AS VARCHAR) || ' '), '') AS video_id,
+  NULLIF(trim(CASE WHEN c_acctbal < 0 THEN '   ' ELSE ' ' || c_name || '  ' END), '') AS title,
+  NULLIF(trim(CASE WHEN c_acctbal > 9000 THEN '' ELSE c_mktsegment END), '') AS channel_title,
+  trim(chr(9) || c_name || ' ') AS description
+FROM customer
+"""
+
+_BOOL = """CASE WHEN lower({x}) IN ('true', '1', 'yes', 'y') THEN 'true'
+  WHEN lower({x}) IN ('false', '0', 'no', 'n') THEN 'false' END"""
+
+ORACLE["to_bool"] = f"""
+WITH t AS (
+  SELECT doc_id, quality,
+    CASE WHEN toxic = 1 AND quality = 1 THEN 'maybe' WHEN toxic = 1 THEN 'Y'
+         WHEN quality = 1 THEN 'YES' ELSE '0' END AS raw_text
+  FROM labels)
+SELECT doc_id, raw_text, {_BOOL.format(x='raw_text')} AS flag,
+  {_BOOL.format(x='CAST(quality AS VARCHAR)')} AS quality_flag
+FROM t
+"""
+
+ORACLE["safe_integer"] = """
+WITH t AS (
+  SELECT o_orderkey,
+    CASE WHEN o_orderpriority = '1-URGENT' THEN '-' || printf('%.2f', o_totalprice)
+         WHEN o_orderstatus = 'F' THEN printf('%.2f', o_totalprice)
+         WHEN o_orderstatus = 'O' THEN ' ' || CAST(o_custkey AS VARCHAR) || ' '
+         ELSE CAST(o_orderkey AS VARCHAR) || 'x' END AS raw_text
+  FROM orders)
+SELECT o_orderkey, raw_text,
+  CAST(TRY_CAST(regexp_replace(raw_text, '\\.[0-9]*\\s*$', '') AS BIGINT) AS DOUBLE) AS as_long
+FROM t
+"""
+
+ORACLE["ydm_date"] = """
+WITH t AS (
+  SELECT o_orderkey,
+    CASE WHEN o_orderstatus = 'P' THEN strftime(o_orderdate, '%y.%m')
+         ELSE strftime(o_orderdate, '%y.%d.%m') END AS raw_text
+  FROM orders),
+p AS (
+  SELECT o_orderkey, raw_text, string_split(raw_text, '.') AS parts FROM t),
+s AS (
+  SELECT o_orderkey, raw_text, parts,
+    concat_ws('-', '20' || parts[1], parts[3], parts[2]) AS joined FROM p),
+d AS (
+  SELECT o_orderkey, raw_text,
+    strftime(TRY_CAST(CASE WHEN len(parts) = 2 THEN joined || '-01' ELSE joined END AS DATE),
+             '%Y-%m-%d') AS parsed
+  FROM s)
+SELECT o_orderkey, raw_text, parsed,
+  CASE WHEN regexp_matches(raw_text, '^\\d{2}\\.\\d{2}\\.\\d{2}$') THEN parsed END AS strict_parsed
+FROM d
+"""
+
+ORACLE["align_sources"] = """
+SELECT 'kaggle' AS source, upper(event_type) AS region, CAST(user_id AS VARCHAR) AS video_id,
+  strftime(CAST(ts AS DATE), '%Y-%m-%d') AS trending_date,
+  CAST(round(value * 100) AS BIGINT) AS view_count, CAST(20 AS INTEGER) AS null_columns
+FROM events
+UNION ALL
+SELECT 'youtube_api', upper(substr(o_orderpriority, 3, 2)), CAST(o_custkey AS VARCHAR),
+  strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d'),
+  CAST(trunc(o_totalprice) AS BIGINT), CAST(20 AS INTEGER)
+FROM orders
+"""
+
+ORACLE["keep_last"] = """
+SELECT conv_id, role, turn, text FROM (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, role ORDER BY turn DESC) AS rn
+  FROM conversations) WHERE rn = 1
+"""
+
+ORACLE["region_filter"] = """
+SELECT c_custkey, c_mktsegment FROM customer
+WHERE upper(c_mktsegment) IN ('BUILDING', 'MACHINERY', 'HOUSEHOLD')
+"""
+
+ORACLE["manifest_counts"] = """
+SELECT 'documents' AS dataset, source, lang, count(*) AS record_count
+FROM documents GROUP BY source, lang
+"""
+
+ORACLE["payload_items"] = """
+WITH pages AS (
+  SELECT o.o_orderkey, upper(substr(o.o_orderpriority, 3, 2)) AS region,
+    floor((l.l_linenumber - 1) / 50) AS page, count(l.l_orderkey) AS n
+  FROM orders o LEFT JOIN lineitem l ON o.o_orderkey = l.l_orderkey
+  GROUP BY o.o_orderkey, region, page)
+SELECT 'trending_videos' AS dataset, region, 'youtube_data_api_v3' AS source,
+  '20240101T000000Z_00000000' AS run_id, count(*) AS payloads, CAST(sum(n) AS BIGINT) AS items
+FROM pages GROUP BY region
+"""
+
+ORACLE["run_report"] = """
+WITH a AS (
+  SELECT strftime(ts, '%Y%m%d') AS run_id, event_type AS region,
+    CASE WHEN value < 50 THEN 'trending_videos' ELSE 'video_categories' END AS dataset,
+    value > 200 AS failed
+  FROM events),
+r AS (
+  SELECT run_id, region,
+    max(CASE WHEN dataset = 'trending_videos' AND failed THEN 1 ELSE 0 END) AS vf,
+    max(CASE WHEN dataset = 'trending_videos' THEN 1 ELSE 0 END) AS va,
+    max(CASE WHEN dataset = 'video_categories' AND failed THEN 1 ELSE 0 END) AS cf,
+    max(CASE WHEN dataset = 'video_categories' THEN 1 ELSE 0 END) AS ca
+  FROM a GROUP BY run_id, region)
+SELECT run_id, upper(region) AS region,
+  CASE WHEN va = 0 THEN 'not_attempted' WHEN vf = 1 THEN 'failed' ELSE 'ok' END AS videos_status,
+  CASE WHEN vf = 1 THEN 'skipped' WHEN cf = 1 THEN 'failed' WHEN ca = 1 THEN 'ok'
+       ELSE 'not_fetched' END AS categories_status,
+  CAST(max(CASE WHEN vf = 1 OR cf = 1 THEN 207 ELSE 200 END) OVER (PARTITION BY run_id) AS INTEGER)
+    AS status_code
+FROM r
+"""
+
+CATEGORY_FILE_PATH = """'raw_reference_data/region='
+  || substr(translate(regexp_replace(p_brand, '[^0-9]', '', 'g'), '0123456789', 'abcdefghij'), 1, 2)
+  || '/' || replace(p_brand, '#', '_') || '_'
+  || CAST(CAST(floor(p_partkey / 50) AS BIGINT) AS VARCHAR) || '_category_id.json'"""
+
+ORACLE["category_file_status"] = f"""
+WITH f AS (SELECT {CATEGORY_FILE_PATH} AS bronze_file FROM part)
+SELECT bronze_file,
+  CASE WHEN regexp_extract(bronze_file, 'region=([a-z]{{2}})', 1) = '' THEN 'missing_region'
+       ELSE 'ok' END AS status,
+  CAST(count(*) AS INTEGER) AS item_count
+FROM f GROUP BY bronze_file
+"""
+
+ORACLE["flatten_categories"] = f"""
+WITH f AS (SELECT {CATEGORY_FILE_PATH} AS path, * FROM part),
+r AS (
+  SELECT *, regexp_extract(path, 'region=([a-z]{{2}})', 1) AS region,
+    row_number() OVER (PARTITION BY path, p_size ORDER BY p_partkey DESC) AS rn
+  FROM f)
+SELECT regexp_replace(string_split(path, '/')[-1], '\\.[A-Za-z0-9]+$', '') AS bronze_file,
+  region, CAST(p_size AS BIGINT) AS category_id, p_name AS category_title,
+  p_type AS channel_id, CASE WHEN p_size > 25 THEN 'true' ELSE 'false' END AS assignable
+FROM r WHERE rn = 1 AND region <> ''
+"""
+
+SILVER_EVENTS = f"""
+WITH clean AS ({CLEANSED_EVENTS}),
+valid AS (SELECT * FROM clean WHERE NOT {INVALID}),
+ranked AS (
+  SELECT *, row_number() OVER (
+    PARTITION BY source, region, video_id, trending_date
+    ORDER BY published_at DESC NULLS LAST, event_id DESC) AS rn
+  FROM valid)
+SELECT * FROM ranked WHERE rn = 1
+"""
+
+ORACLE["trending_analytics"] = f"""
+WITH s AS ({SILVER_EVENTS})
+SELECT source, region, strftime(trending_date, '%Y-%m-%d') AS trending_date,
+  count(*) AS videos, count(DISTINCT channel_title) AS channels,
+  CAST(sum(view_count) AS BIGINT) AS total_views, avg(view_count) AS avg_views,
+  CASE WHEN sum(view_count) <> 0
+       THEN CAST(sum(like_count) AS DOUBLE) / CAST(sum(view_count) AS DOUBLE) END AS like_ratio
+FROM s GROUP BY source, region, trending_date
+"""
+
+ORACLE["channel_analytics"] = f"""
+WITH s AS ({SILVER_EVENTS}),
+c AS (
+  SELECT region, channel_title, count(DISTINCT video_id) AS videos,
+    count(DISTINCT trending_date) AS days_trending,
+    CAST(sum(view_count) AS BIGINT) AS total_views
+  FROM s GROUP BY region, channel_title)
+SELECT *, dense_rank() OVER (PARTITION BY region ORDER BY total_views DESC) AS view_rank FROM c
+"""
+
+ORACLE["category_analytics"] = f"""
+WITH s AS ({SILVER_EVENTS}),
+pc AS (
+  SELECT region, CAST(category_id AS BIGINT) AS category_id, count(*) AS videos,
+    CAST(sum(view_count) AS BIGINT) AS total_views
+  FROM s GROUP BY region, category_id)
+SELECT pc.region, pc.category_id, n.n_name AS category_title, pc.videos, pc.total_views,
+  CAST(pc.total_views AS DOUBLE) / CAST(sum(pc.total_views) OVER (PARTITION BY pc.region) AS DOUBLE)
+    AS view_share
+FROM pc LEFT JOIN nation n ON pc.category_id = n.n_nationkey
+"""
+
+ORACLE["compare_sources"] = f"""
+WITH s AS ({SILVER_EVENTS}),
+a AS (SELECT region, video_id, trending_date, max(view_count) AS v FROM s
+      GROUP BY region, video_id, trending_date),
+b AS (SELECT upper(event_type) AS region, CAST(user_id AS VARCHAR) AS video_id,
+        CAST(ts AS DATE) AS trending_date, max(CAST(round(value * 100) AS BIGINT)) AS v
+      FROM events GROUP BY 1, 2, 3)
+SELECT coalesce(a.region, b.region) AS region, coalesce(a.video_id, b.video_id) AS video_id,
+  strftime(coalesce(a.trending_date, b.trending_date), '%Y-%m-%d') AS trending_date,
+  CAST(a.v AS DOUBLE) AS silver_views, CAST(b.v AS DOUBLE) AS raw_views,
+  CASE WHEN a.region IS NOT NULL AND b.region IS NOT NULL THEN 'both'
+       WHEN a.region IS NOT NULL THEN 'silver_only' ELSE 'raw_only' END AS presence
+FROM a FULL OUTER JOIN b
+  ON a.region = b.region AND a.video_id = b.video_id AND a.trending_date = b.trending_date
+"""
+
+ORACLE["quality_by_partition"] = f"""
+WITH clean AS ({CLEANSED_EVENTS}),
+m AS (SELECT source, region, {METRIC_AGGS} FROM clean GROUP BY source, region)
+SELECT *, {RATIO} AS invalid_critical_row_ratio FROM m
+"""

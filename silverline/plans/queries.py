@@ -28,7 +28,19 @@ from silverline.functions.columns import (
     hour_partition,
     json_text_field,
 )
+from silverline.operators.categories import file_status, silver_categories
 from silverline.operators.cleanse import cleanse_videos
+from silverline.operators.gold import (
+    category_analytics,
+    channel_analytics,
+    combine_sources,
+    compare_sources,
+    quality_report,
+    trending_analytics,
+)
+from silverline.operators.ingest import payload_manifest, run_report, select_regions
+from silverline.operators.project import pad_to_contract
+from silverline.sinks.silver import manifest
 from silverline.operators.dedup import dedup_videos, keep_last, video_order
 from silverline.operators.project import explode_items_outer, project_api_videos
 from silverline.operators.quality import (
@@ -42,8 +54,10 @@ from silverline.operators.quality import (
     quality_metrics,
 )
 from silverline.plans.standins import (
+    events_as_api_rows,
     events_as_videos,
     orders_as_api_payloads,
+    parts_as_category_files,
 )
 from silverline.sources.tables import table
 
@@ -241,6 +255,262 @@ def json_field(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def cleanse_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CLN1-CLN3 on customers shaped as padded video rows."""
+    customer = table(spark, sf_dir, "customer")
+    raw = customer.select(
+        F.when(F.col("c_acctbal") < 0, F.lit(" YouTube_API ")).otherwise(F.lit(" Kaggle ")).alias(
+            "source"
+        ),
+        F.concat(F.lit("  "), F.lower("c_mktsegment"), F.lit(" ")).alias("region"),
+        F.concat(F.lit(" "), F.col("c_custkey").cast("string"), F.lit(" ")).alias("video_id"),
+        F.when(F.col("c_acctbal") < 0, F.lit("   "))
+        .otherwise(F.concat(F.lit(" "), F.col("c_name"), F.lit("  ")))
+        .alias("title"),
+        F.when(F.col("c_acctbal") > 9000, F.lit("")).otherwise(F.col("c_mktsegment")).alias(
+            "channel_title"
+        ),
+        F.concat(F.lit("\t"), F.col("c_name"), F.lit(" ")).alias("description"),
+    )
+    return cleanse_videos(raw, checked_at_column=None)
+
+
+def to_bool_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FN3/FLT6: free text and numbers to a three-valued flag."""
+    labels = table(spark, sf_dir, "labels")
+    raw = (
+        F.when((F.col("toxic") == 1) & (F.col("quality") == 1), F.lit("maybe"))
+        .when(F.col("toxic") == 1, F.lit("Y"))
+        .when(F.col("quality") == 1, F.lit("YES"))
+        .otherwise(F.lit("0"))
+    )
+    return labels.select(
+        "doc_id",
+        raw.alias("raw_text"),
+        _bool_text(to_bool(raw)).alias("flag"),
+        _bool_text(to_bool("quality")).alias("quality_flag"),
+    )
+
+
+def safe_integer_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D1: text to bigint dropping the decimal part; junk gives NULL."""
+    orders = table(spark, sf_dir, "orders")
+    raw = (
+        F.when(F.col("o_orderpriority") == "1-URGENT", F.concat(F.lit("-"), F.format_string("%.2f", "o_totalprice")))
+        .when(F.col("o_orderstatus") == "F", F.format_string("%.2f", "o_totalprice"))
+        .when(F.col("o_orderstatus") == "O", F.concat(F.lit(" "), F.col("o_custkey").cast("string"), F.lit(" ")))
+        .otherwise(F.concat(F.col("o_orderkey").cast("string"), F.lit("x")))
+    )
+    return orders.select(
+        "o_orderkey",
+        raw.alias("raw_text"),
+        safe_long(raw).cast("double").alias("as_long"),
+    )
+
+
+def ydm_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FN4: ``yy.dd.mm`` text parsed back; short forms parse leniently (D3)."""
+    orders = table(spark, sf_dir, "orders")
+    raw = F.when(F.col("o_orderstatus") == "P", F.date_format("o_orderdate", "yy.MM")).otherwise(
+        F.date_format("o_orderdate", "yy.dd.MM")
+    )
+    return orders.select(
+        "o_orderkey",
+        raw.alias("raw_text"),
+        _day(ydm_to_date(raw)).alias("parsed"),
+        _day(ydm_to_date(raw, strict=True)).alias("strict_parsed"),
+    )
+
+
+def align_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRJ1-2/GLD4: two sources padded to one contract and unioned."""
+    events = table(spark, sf_dir, "events")
+    orders = table(spark, sf_dir, "orders")
+    a = pad_to_contract(
+        events.select(
+            F.lit("kaggle").alias("source"),
+            F.upper("event_type").alias("region"),
+            F.col("user_id").cast("string").alias("video_id"),
+            F.to_date("ts").alias("trending_date"),
+            F.round(F.col("value") * 100).cast("bigint").alias("view_count"),
+        )
+    )
+    b = pad_to_contract(
+        orders.select(
+            F.lit("youtube_api").alias("source"),
+            F.upper(F.col("o_orderpriority").substr(3, 2)).alias("region"),
+            F.col("o_custkey").cast("string").alias("video_id"),
+            F.to_date("o_orderdate").alias("trending_date"),
+            F.col("o_totalprice").cast("bigint").alias("view_count"),
+        )
+    )
+    both = combine_sources(a, b)
+    nulls = F.size(F.filter(F.array(*[F.col(c).isNull() for c in both.columns]), lambda x: x))
+    return both.select(
+        "source",
+        "region",
+        "video_id",
+        _day("trending_date").alias("trending_date"),
+        "view_count",
+        nulls.alias("null_columns"),
+    )
+
+
+def keep_last_turn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DED2: last turn per (conversation, role), whole texts kept."""
+    conv = table(spark, sf_dir, "conversations")
+    return keep_last(conv, ["conv_id", "role"], "turn").select("conv_id", "role", "turn", "text")
+
+
+REGION_LIST_TEXT = " building, Machinery ,,household "
+
+
+def region_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ING3/FN17: keep rows whose code is in a parsed comma list."""
+    customer = table(spark, sf_dir, "customer")
+    codes = region_code_list(F.lit(REGION_LIST_TEXT))
+    return customer.filter(F.array_contains(codes, F.upper("c_mktsegment"))).select(
+        "c_custkey", "c_mktsegment"
+    )
+
+
+def manifest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK4/AGG8: record counts per written unit (documents by source, lang)."""
+    docs = table(spark, sf_dir, "documents")
+    return manifest(docs, ["source", "lang"], "documents").select(
+        "dataset", "source", "lang", "record_count"
+    )
+
+
+def payload_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ING5/AGG7: item count per payload from the raw JSON text."""
+    import datetime as _dt
+
+    docs = orders_as_api_payloads(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"))
+    payloads = docs.select(
+        F.lit("trending_videos").alias("dataset"),
+        F.regexp_extract("_source_file", "region=([^/]+)", 1).alias("region"),
+        F.to_json(F.struct("items")).alias("payload"),
+        "o_orderkey",
+    )
+    run_ts = _dt.datetime(2024, 1, 1, tzinfo=_dt.UTC)
+    return payload_manifest(payloads, run_ts, "20240101T000000Z_00000000").select(
+        "dataset", "region", "source", "item_count", F.col("run_id")
+    ).groupBy("dataset", "region", "source", "run_id").agg(
+        F.count(F.lit(1)).alias("payloads"), F.sum("item_count").alias("items")
+    )
+
+
+def run_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ING6: per run (day) and region: outcomes, 207 if anything failed."""
+    events = table(spark, sf_dir, "events")
+    attempts = events.select(
+        F.date_format("ts", "yyyyMMdd").alias("run_id"),
+        F.col("event_type").alias("region"),
+        F.when(F.col("value") < 50, F.lit("trending_videos"))
+        .otherwise(F.lit("video_categories"))
+        .alias("dataset"),
+        (F.col("value") > 200).alias("failed"),
+    )
+    return run_report(attempts).select(
+        "run_id", "region", "videos_status", "categories_status", "status_code"
+    )
+
+
+def category_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """QG7-QG10: per-file status of the part-based category files."""
+    files = parts_as_category_files(table(spark, sf_dir, "part")).withColumn(
+        "source", F.lit("kaggle")
+    )
+    return file_status(files).select("bronze_file", "status", "item_count")
+
+
+def flatten_category_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRJ3/GEN2/DED2: good files to rows, last item per id per file."""
+    files = parts_as_category_files(table(spark, sf_dir, "part")).withColumn(
+        "source", F.lit("kaggle")
+    )
+    ok = file_status(files).filter(F.col("status") == "ok")
+    return silver_categories(ok).select(
+        "bronze_file",
+        "region",
+        "category_id",
+        "category_title",
+        "channel_id",
+        _bool_text("assignable").alias("assignable"),
+    )
+
+
+def silver_event_videos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Valid, deduplicated events stand-in (the Silver input of the Gold queries)."""
+    return dedup_videos(keep_valid(cleansed_events(spark, sf_dir)))
+
+
+def trending_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GLD1 (ours)."""
+    out = trending_analytics(silver_event_videos(spark, sf_dir))
+    return out.select(
+        "source",
+        "region",
+        _day("trending_date").alias("trending_date"),
+        "videos",
+        "channels",
+        "total_views",
+        "avg_views",
+        "like_ratio",
+    )
+
+
+def channel_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GLD2 (ours): dense rank of channels by views within each region."""
+    return channel_analytics(silver_event_videos(spark, sf_dir)).select(
+        "region", "channel_title", "videos", "days_trending", "total_views", "view_rank"
+    )
+
+
+def category_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GLD3 (ours): views per category, nation names as the category lookup."""
+    nation = table(spark, sf_dir, "nation")
+    lookup = nation.select(
+        F.col("n_nationkey").cast("bigint").alias("category_id"),
+        F.col("n_name").alias("category_title"),
+    )
+    out = category_analytics(
+        silver_event_videos(spark, sf_dir),
+        lookup,
+        group_keys=("region", "category_id"),
+        join_keys=("category_id",),
+    )
+    return out.select(
+        "region",
+        "category_id",
+        "category_title",
+        "videos",
+        "total_views",
+        "view_share",
+    )
+
+
+def compare_two_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GLD4 (ours): Silver events against the raw-events source, full outer."""
+    silver = silver_event_videos(spark, sf_dir)
+    raw = events_as_api_rows(table(spark, sf_dir, "events"))
+    out = compare_sources(silver, raw, left_name="silver", right_name="raw")
+    return out.select(
+        "region",
+        "video_id",
+        _day("trending_date").alias("trending_date"),
+        F.col("silver_views").cast("double").alias("silver_views"),
+        F.col("raw_views").cast("double").alias("raw_views"),
+        "presence",
+    )
+
+
+def quality_by_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GLD6 (ours): AGG1-4 per (source, region)."""
+    return quality_report(cleansed_events(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "silver_videos": silver_videos,
     "dedup_latest_per_day": dedup_latest_per_day,
@@ -254,4 +524,21 @@ QUERIES: dict[str, Query] = {
     "path_extract": path_extract,
     "split_tags": split_tag_text,
     "json_field": json_field,
+    "cleanse_text": cleanse_text,
+    "to_bool": to_bool_text,
+    "safe_integer": safe_integer_text,
+    "ydm_date": ydm_date,
+    "align_sources": align_sources,
+    "keep_last": keep_last_turn,
+    "region_filter": region_filter,
+    "manifest_counts": manifest_counts,
+    "payload_items": payload_items,
+    "run_report": run_status,
+    "category_file_status": category_files,
+    "flatten_categories": flatten_category_items,
+    "trending_analytics": trending_by_day,
+    "channel_analytics": channel_ranking,
+    "category_analytics": category_views,
+    "compare_sources": compare_two_sources,
+    "quality_by_partition": quality_by_partition,
 }
