@@ -1,0 +1,202 @@
+"""Synthetic Bronze trees (no CSV ships with the reference, so these are ours)."""
+
+from __future__ import annotations
+
+import csv
+import io
+import json
+from pathlib import Path
+
+CSV_HEADER = [
+    "video_id",
+    "trending_date",
+    "title",
+    "channel_title",
+    "category_id",
+    "publish_time",
+    "tags",
+    "views",
+    "likes",
+    "dislikes",
+    "comment_count",
+    "thumbnail_link",
+    "comments_disabled",
+    "ratings_disabled",
+    "video_error_or_removed",
+    "description",
+]
+
+
+def csv_text(rows: list[dict], header: list[str] = CSV_HEADER) -> str:
+    buf = io.StringIO()
+    w = csv.writer(buf, quoting=csv.QUOTE_MINIMAL, lineterminator="\n")
+    w.writerow(header)
+    for r in rows:
+        w.writerow(["" if r.get(c) is None else r.get(c) for c in header])
+    return buf.getvalue()
+
+
+def base_row(i: int, region: str = "us") -> dict:
+    day = 14 + (i % 3)
+    return {
+        "video_id": f"{region}v{i:03d}",
+        "trending_date": f"17.{day:02d}.11",
+        "title": f"Title {i}",
+        "channel_title": f"Channel {i % 7}",
+        "category_id": str(10 + i % 5),
+        "publish_time": f"2017-11-{day - 1:02d}T1{i % 10}:00:00.000Z",
+        "tags": f"tag{i}|other",
+        "views": str(1000 + i),
+        "likes": str(10 + i),
+        "dislikes": str(i % 4),
+        "comment_count": str(i),
+        "thumbnail_link": f"https://i.example/{i}.jpg",
+        "comments_disabled": "False",
+        "ratings_disabled": "False",
+        "video_error_or_removed": "False",
+        "description": f"Description {i}",
+    }
+
+
+EDGE_ROWS = [
+    # embedded newline, doubled quote, spaces around text, decimal views
+    {
+        **base_row(900),
+        "video_id": "edge_text",
+        "title": '  Say "hi"\nsecond line  ',
+        "channel_title": "\t Tabbed \t",
+        "views": "12.5",
+        "tags": 'a|"b"',
+        "comments_disabled": "True",
+        "ratings_disabled": "0",
+        "video_error_or_removed": "YES",
+    },
+    # short date (lenient), padded number, [none] tags, unknown flag
+    {
+        **base_row(901),
+        "video_id": "edge_short_date",
+        "trending_date": "17.11",
+        "views": " 7 ",
+        "tags": "[none]",
+        "comments_disabled": "maybe",
+        "ratings_disabled": None,
+    },
+    # blank channel title becomes NULL (not critical)
+    {**base_row(902), "video_id": "edge_blank_channel", "channel_title": "   "},
+    # junk counts become NULL (not critical)
+    {**base_row(903), "video_id": "edge_junk_counts", "views": "x", "likes": "1e3", "dislikes": ""},
+    # invalid: month 13 -> NULL trending_date
+    {**base_row(904), "video_id": "edge_month13", "trending_date": "17.01.13"},
+    # invalid: category not a number
+    {**base_row(905), "video_id": "edge_bad_category", "category_id": "abc"},
+]
+
+
+def write_csv_bronze(root: Path, regions=("us", "gb"), n: int = 60, edges: bool = True) -> None:
+    for region in regions:
+        rows = [base_row(i, region) for i in range(n)]
+        # an exact copy and a same-key row with a later publish time
+        rows.append(dict(rows[0]))
+        later = dict(rows[1])
+        later["publish_time"] = "2017-11-20T00:00:00.000Z"
+        later["title"] = "Later copy"
+        rows.append(later)
+        if edges and region == "us":
+            rows.extend(EDGE_ROWS)
+        d = root / "youtube/raw" / f"region={region}"
+        d.mkdir(parents=True, exist_ok=True)
+        (d / f"{region.upper()}videos.csv").write_text(csv_text(rows), encoding="utf-8")
+
+
+def api_item(i: int, region: str, title: str | None = None, published: str | None = None) -> dict:
+    item = {
+        "kind": "youtube#video",
+        "id": f"{region}api{i:03d}",
+        "snippet": {
+            "publishedAt": published or f"2024-01-01T0{i % 10}:00:00Z",
+            "channelId": f"UC{i % 5}",
+            "channelTitle": f" API channel {i % 5} ",
+            "title": title or f"API title {i}",
+            "description": "d",
+            "categoryId": str(20 + i % 3),
+            "thumbnails": {"default": {"url": f"https://i.example/api/{i}.jpg"}},
+        },
+        "statistics": {
+            "viewCount": str(5000 + i),
+            "likeCount": str(50 + i),
+            "favoriteCount": "0",
+            "commentCount": str(i),
+        },
+        "contentDetails": {
+            "duration": "PT3M",
+            "definition": "hd",
+            "caption": "false",
+            "licensedContent": True,
+        },
+    }
+    if i % 2 == 0:
+        item["snippet"]["tags"] = ["x", "y"]
+    return item
+
+
+def write_api_drop(
+    root: Path, region: str, date: str, hour: str, run_id: str, items: list[dict] | None, raw: str | None = None
+) -> Path:
+    d = root / "youtube/api_raw/videos" / f"region={region}" / f"date={date}" / f"hour={hour}"
+    d.mkdir(parents=True, exist_ok=True)
+    path = d / f"{run_id}.json"
+    if raw is not None:
+        path.write_text(raw, encoding="utf-8")
+    else:
+        doc = {"kind": "youtube#videoListResponse"}
+        if items is not None:
+            doc["items"] = items
+        path.write_text(json.dumps(doc, indent=2), encoding="utf-8")
+    return path
+
+
+def category_doc(items: list[dict] | object) -> str:
+    return json.dumps({"kind": "youtube#videoCategoryListResponse", "etag": "e", "items": items}, indent=2)
+
+
+def cat_item(cid: str, title: str | None, assignable: bool = True, snippet: bool = True) -> dict:
+    item = {"kind": "youtube#videoCategory", "etag": "x", "id": cid}
+    if snippet:
+        item["snippet"] = {"channelId": "UCBR8-60-B28hp2BmDPdntcQ", "title": title, "assignable": assignable}
+    return item
+
+
+def write_category_files(root: Path) -> dict[str, str]:
+    """Good and bad category files; returns file name -> expected status."""
+    ref = root / "youtube/raw_reference_data"
+    api = root / "youtube/api_raw/categories"
+    files = {
+        ref / "region=us/US_category_id.json": (
+            category_doc([cat_item("1", "Film"), cat_item("2", "Autos"), cat_item("1", "Film again")]),
+            "ok",
+        ),
+        ref / "region=gb/GB_category_id.json": (
+            category_doc([cat_item("10", "Music"), cat_item("15", None, snippet=False)]),
+            "ok",
+        ),
+        ref / "region=ca/CA_category_id.json": (
+            category_doc([cat_item("1", "Film"), cat_item("abc", "Bad")]),
+            "invalid_category_id",
+        ),
+        ref / "region=de/DE_category_id.json": (category_doc({"a": 1}), "items_not_list"),
+        ref / "region=fr/FR_category_id.json": (category_doc([]), "no_rows"),
+        ref / "region=US/XX_category_id.json": (category_doc([cat_item("1", "Film")]), "missing_region"),
+        ref / "noregion/YY_category_id.json": (category_doc([cat_item("1", "Film")]), "missing_region"),
+        ref / "region=jp/JP_category_id.json": ("{not json", "invalid_json"),
+        api / "region=us/date=2024-01-02/category_id_20240102T000000Z_aaaa.json": (
+            category_doc([cat_item("1", "Film & Animation"), cat_item("29", "Nonprofits")]),
+            "ok",
+        ),
+        ref / "region=us/notes.txt": ("skip me", None),
+    }
+    out = {}
+    for path, (text, status) in files.items():
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text(text, encoding="utf-8")
+        out[path.name] = status
+    return out
