@@ -63,4 +63,6 @@ def dense_rank_within(
         value,
         (F.col("_before") + F.col("_idx") - F.col("_first") + 1).alias(rank_column),
     )
-    return df.join(ranked_values, df[group].eqNullSafe(ranked_values[group]) & df[value].eqNullSafe(ranked_values[value]), "inner").drop(ranked_values[group]).drop(ranked_values[value])
+    ranked_values = ranked_values.withColumnsRenamed({group: "_g", value: "_v"})
+    cond = F.col(group).eqNullSafe(F.col("_g")) & F.col(value).eqNullSafe(F.col("_v"))
+    return df.join(ranked_values, cond, "inner").select(*df.columns, rank_column)
