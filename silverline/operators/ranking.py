@@ -14,7 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from silverline.operators.joins import bounded_broadcast
+from silverline.session import materialize
+
 
 _ROW_BITS = 33  # monotonically_increasing_id: partition index << 33 | row index
 
@@ -40,6 +41,11 @@ def dense_rank_within(
         .withColumn("_idx", F.col("_mid").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)))
         .drop("_mid")
     )
+    # The numbered values feed two branches (per-partition counts and the
+    # ranks). Range bounds come from sampling, so two independent runs of the
+    # range shuffle could disagree; materialising once makes both branches
+    # read the same numbering, whatever the plan reuses.
+    ordered = materialize(ordered)
     # Rank of a value = values of its group in earlier partitions + its place
     # among its group's rows in its own partition.
     per_part = ordered.groupBy(group, "_part").agg(
@@ -56,9 +62,9 @@ def dense_rank_within(
             F.lit(0),
         ),
     ).drop("_n")
-    ranked_values = ordered.join(
-        bounded_broadcast(offsets, max_rows=n + 100_000), [group, "_part"], "inner"
-    ).select(
+    # offsets has at most partitions + groups - 1 rows; no hint and no count
+    # action here: AQE turns this into a broadcast from the runtime size.
+    ranked_values = ordered.join(offsets, [group, "_part"], "inner").select(
         group,
         value,
         (F.col("_before") + F.col("_idx") - F.col("_first") + 1).alias(rank_column),

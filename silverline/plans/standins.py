@@ -10,9 +10,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from silverline.contracts import (
-    API_PAYLOAD_SCHEMA,
+    API_ITEM_SCHEMA,
     CATEGORY_PAYLOAD_SCHEMA,
     MAX_RESULTS_LIMITS,
     PROJECTED_VIDEO_COLUMNS,
@@ -99,16 +100,17 @@ PAGE_SIZE = MAX_RESULTS_LIMITS[1]
 
 
 def orders_as_api_payloads(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
-    """``orders`` with their line items nested as API JSON documents.
+    """``orders`` with their line items nested as API responses.
 
-    One row per (order, page of at most 50 line items) as JSON text, parsed
-    back with the API schema, so the real projection reads it. An order with
-    no line items becomes a document without ``items``.
+    One row per (order, page of at most 50 line items) holding ``items`` typed
+    exactly as the API schema reads them, so the real projection runs on it.
+    An order with no line items is a response without ``items``.
     """
     items = lineitem.select(
         F.col("l_orderkey"),
         F.floor((F.col("l_linenumber") - 1) / PAGE_SIZE).alias("page"),
         F.struct(
+            F.col("l_linenumber").alias("_pos"),
             F.concat_ws(
                 "-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")
             ).alias("id"),
@@ -122,6 +124,7 @@ def orders_as_api_payloads(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
                 F.col("l_returnflag").alias("description"),
                 F.col("l_linenumber").cast("string").alias("categoryId"),
                 F.array(F.col("l_returnflag"), F.col("l_linestatus")).alias("tags"),
+                F.lit(None).alias("thumbnails"),
             ).alias("snippet"),
             F.struct(
                 F.format_string("%.2f", F.col("l_quantity")).alias("viewCount"),
@@ -141,21 +144,15 @@ def orders_as_api_payloads(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
                 .alias("caption"),
                 F.lit("true").alias("licensedContent"),
             ).alias("contentDetails"),
-            F.col("l_linenumber").alias("_pos"),
         ).alias("item"),
     )
     pages = items.groupBy("l_orderkey", "page").agg(
         F.array_sort(F.collect_list("item"), lambda a, b: a["_pos"] - b["_pos"]).alias("items")
     )
-    docs = orders.join(pages, orders.o_orderkey == pages.l_orderkey, "left").select(
+    item_type = T.ArrayType(API_ITEM_SCHEMA)
+    return orders.join(pages, orders.o_orderkey == pages.l_orderkey, "left").select(
         F.col("o_orderkey"),
         F.coalesce(F.col("page"), F.lit(0)).alias("page"),
-        F.to_json(
-            F.struct(
-                F.lit("youtube#videoListResponse").alias("kind"),
-                F.transform("items", lambda x: x.dropFields("_pos")).alias("items"),
-            )
-        ).alias("payload"),
         F.concat(
             F.lit("api_raw/videos/region="),
             F.lower(F.col("o_orderpriority").substr(3, 2)),
@@ -165,9 +162,7 @@ def orders_as_api_payloads(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
             F.col("o_orderkey").cast("string"),
             F.lit(".json"),
         ).alias("_source_file"),
-    )
-    return docs.withColumn("doc", F.from_json("payload", API_PAYLOAD_SCHEMA)).select(
-        "o_orderkey", "page", "_source_file", F.col("doc.items").alias("items")
+        F.transform("items", lambda x: x.dropFields("_pos")).cast(item_type).alias("items"),
     )
 
 

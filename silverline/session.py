@@ -11,7 +11,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the library expects. ANSI stays on: every cast that may see bad text
 # is a try_* form, so a bad value gives NULL for that row instead of failing
@@ -90,3 +90,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Reliable, eager checkpoint into the shared checkpoint folder.
+
+    Used where one intermediate result feeds two branches that must see the
+    same rows (or where recomputing it would re-read a large input). It cuts
+    the lineage, so a lost executor does not force recomputation from Bronze.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
