@@ -89,7 +89,7 @@ CSV_SELECTED_ONLY_COLUMNS = [
 ]
 API_REQUIRED_COLUMNS = ["items"]
 CATEGORY_KEYS = ["source", "region", "category_id"]
-SILVER_PARTITION_COLUMNS = ["source", "region"]
+SILVER_PARTITION_COLUMNS = ("source", "region")
 # ---------------------------------------------------------------------------
 
 # The Silver video contract, in order (25 columns from the projections, then

@@ -28,3 +28,15 @@ def test_bounded_broadcast_checks_rows(spark):
     assert not row_count_at_most(small, 9)
     plan = small.join(bounded_broadcast(spark.range(5), 5), "id")._jdf.queryExecution().executedPlan().toString()
     assert "Broadcast" in plan
+
+
+def test_register_silver_table(spark, tmp_path):
+    from silverline.operators.gold import register_table
+
+    path = str(tmp_path / "t")
+    spark.createDataFrame([("kaggle", "US", 1), ("kaggle", "GB", 2)], "source string, region string, v int").write.partitionBy(
+        "source", "region"
+    ).parquet(path)
+    register_table(spark, "silver_t_test", path)
+    assert spark.sql("SELECT sum(v) AS s FROM silver_t_test WHERE region = 'GB'").first().s == 2
+    spark.sql("DROP TABLE silver_t_test")
