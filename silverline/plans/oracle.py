@@ -19,11 +19,11 @@ SELECT
   'channel-' || CAST(CAST(floor(user_id / 10) AS BIGINT) AS VARCHAR) AS channel_title,
   CASE WHEN value < 2 THEN '' ELSE '  title ' || event_type || ' ' END AS title,
   props AS description,
-  TRY_CAST(regexp_replace(json_extract_string(props, '$.k'), '\\.[0-9]*\\s*$', '') AS INTEGER)
+  TRY_CAST(regexp_replace(json_extract_string(props, '$.k'), '([0-9])\\.[0-9]*\\s*$', '\\1') AS INTEGER)
     AS category_id,
   event_type || '|' || CAST(user_id AS VARCHAR) AS tags,
   CAST(round(value * 100) AS BIGINT) AS view_count,
-  TRY_CAST(regexp_replace(json_extract_string(props, '$.k'), '\\.[0-9]*\\s*$', '') AS BIGINT)
+  TRY_CAST(regexp_replace(json_extract_string(props, '$.k'), '([0-9])\\.[0-9]*\\s*$', '\\1') AS BIGINT)
     AS like_count,
   CASE WHEN event_type <> 'purchase' THEN CAST(user_id AS BIGINT) END AS dislike_count,
   CAST(event_id AS BIGINT) AS comment_count,
@@ -174,7 +174,7 @@ SELECT
   'part ' || CAST(l.l_partkey AS VARCHAR) AS title,
   CAST(l.l_linenumber AS DOUBLE) AS category_id,
   CASE WHEN l.l_orderkey IS NULL THEN '' ELSE l.l_returnflag || '|' || l.l_linestatus END AS tags,
-  CAST(TRY_CAST(regexp_replace(printf('%.2f', l.l_quantity), '\\.[0-9]*\\s*$', '') AS BIGINT) AS DOUBLE)
+  CAST(TRY_CAST(regexp_replace(printf('%.2f', l.l_quantity), '([0-9])\\.[0-9]*\\s*$', '\\1') AS BIGINT) AS DOUBLE)
     AS view_count,
   CAST(l.l_partkey AS DOUBLE) AS like_count,
   CAST(l.l_suppkey AS DOUBLE) AS favorite_count,
@@ -208,7 +208,7 @@ FROM documents
 
 ORACLE["json_field"] = """
 SELECT event_id,
-  TRY_CAST(regexp_replace(json_extract_string(props, '$.k'), '\\.[0-9]*\\s*$', '') AS BIGINT) AS k,
+  TRY_CAST(regexp_replace(json_extract_string(props, '$.k'), '([0-9])\\.[0-9]*\\s*$', '\\1') AS BIGINT) AS k,
   strftime(ts, '%Y-%m-%d') AS day,
   strftime(ts, '%H') AS hour
 FROM events
@@ -248,7 +248,7 @@ WITH t AS (
          ELSE CAST(o_orderkey AS VARCHAR) || 'x' END AS raw_text
   FROM orders)
 SELECT o_orderkey, raw_text,
-  CAST(TRY_CAST(regexp_replace(raw_text, '\\.[0-9]*\\s*$', '') AS BIGINT) AS DOUBLE) AS as_long
+  CAST(TRY_CAST(regexp_replace(raw_text, '([0-9])\\.[0-9]*\\s*$', '\\1') AS BIGINT) AS DOUBLE) AS as_long
 FROM t
 """
 
@@ -424,3 +424,29 @@ WITH clean AS ({CLEANSED_EVENTS}),
 m AS (SELECT source, region, {METRIC_AGGS} FROM clean GROUP BY source, region)
 SELECT *, {RATIO} AS invalid_critical_row_ratio FROM m
 """
+
+ORACLE["category_rollup"] = """
+WITH c AS (
+  SELECT c_nationkey, count(*) AS customers,
+    count(*) FILTER (WHERE c_acctbal IS NOT NULL AND c_acctbal < 0) AS negative_balances
+  FROM customer GROUP BY c_nationkey)
+SELECT r.r_name AS region_name, n.n_name AS nation_name, c.customers, c.negative_balances
+FROM c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
+"""
+
+ORACLE["current_categories"] = f"""
+WITH f AS (SELECT {CATEGORY_FILE_PATH} AS path, * FROM part),
+r AS (
+  SELECT *, regexp_extract(path, 'region=([a-z]{{2}})', 1) AS region,
+    row_number() OVER (PARTITION BY path, p_size ORDER BY p_partkey DESC) AS rn
+  FROM f),
+s AS (
+  SELECT regexp_replace(string_split(path, '/')[-1], '\\.[A-Za-z0-9]+$', '') AS bronze_file,
+    region, CAST(p_size AS BIGINT) AS category_id, p_name AS category_title, p_type AS channel_id
+  FROM r WHERE rn = 1 AND region <> ''),
+c AS (
+  SELECT *, row_number() OVER (PARTITION BY region, category_id ORDER BY bronze_file DESC) AS rn
+  FROM s)
+SELECT region, category_id, category_title, channel_id FROM c WHERE rn = 1
+"""

@@ -32,6 +32,8 @@ from silverline.operators.categories import file_status, silver_categories
 from silverline.operators.cleanse import cleanse_videos
 from silverline.operators.gold import (
     category_analytics,
+    current_categories,
+    lookup_rollup,
     channel_analytics,
     combine_sources,
     compare_sources,
@@ -491,6 +493,39 @@ def category_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def category_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GLD3 shape (ours): customers per nation and region via lookup joins."""
+    customer = table(spark, sf_dir, "customer")
+    nation = table(spark, sf_dir, "nation")
+    region = table(spark, sf_dir, "region")
+    out = lookup_rollup(
+        customer,
+        "c_nationkey",
+        [
+            F.count(F.lit(1)).alias("customers"),
+            F.count_if(negative_metric(["c_acctbal"])).alias("negative_balances"),
+        ],
+        [(nation, "c_nationkey", "n_nationkey"), (region, "n_regionkey", "r_regionkey")],
+    )
+    return out.select(
+        F.col("r_name").alias("region_name"),
+        F.col("n_name").alias("nation_name"),
+        "customers",
+        "negative_balances",
+    )
+
+
+def current_category_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D9 current view: latest row per (source, region, category_id) across files."""
+    files = parts_as_category_files(table(spark, sf_dir, "part")).withColumn(
+        "source", F.lit("kaggle")
+    )
+    rows = silver_categories(file_status(files).filter(F.col("status") == "ok"))
+    return current_categories(rows).select(
+        "region", "category_id", "category_title", "channel_id"
+    )
+
+
 def compare_two_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """GLD4 (ours): Silver events against the raw-events source, full outer."""
     silver = silver_event_videos(spark, sf_dir)
@@ -540,5 +575,7 @@ QUERIES: dict[str, Query] = {
     "channel_analytics": channel_ranking,
     "category_analytics": category_views,
     "compare_sources": compare_two_sources,
+    "category_rollup": category_rollup,
+    "current_categories": current_category_rows,
     "quality_by_partition": quality_by_partition,
 }

@@ -1,0 +1,103 @@
+"""Property tests: column functions against plain-Python models."""
+
+import datetime as dt
+import re
+
+from hypothesis import HealthCheck, example, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from silverline.functions import columns as C
+
+LONG_MIN, LONG_MAX = -(2**63), 2**63 - 1
+SETTINGS = settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+
+
+def spark_values(spark, values, fn):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
+    return [r[0] for r in df.orderBy("i").select(fn(F.col("v"))).collect()]
+
+
+def model_long(s):
+    """A non-ANSI text->bigint cast: optional sign, digits, optional fraction
+    (dropped), surrounding whitespace ignored; anything else is NULL. The one
+    intended difference: no digits before the point gives NULL (not 0)."""
+    if s is None:
+        return None
+    m = re.fullmatch(r"[+-]?(\d+)(\.\d*)?", s.strip(" \t\n\r"))
+    if not m:
+        return None
+    v = int(s.strip(" \t\n\r").split(".")[0])
+    return v if LONG_MIN <= v <= LONG_MAX else None
+
+
+numeric_text = st.one_of(
+    st.none(),
+    st.text(alphabet=" \t-+.0123456789ex", max_size=8),
+    st.integers(min_value=-(2**64), max_value=2**64).map(str),
+    st.builds(lambda a, b: f"{a}.{b}", st.integers(-999, 999), st.integers(0, 999)),
+)
+
+
+@SETTINGS
+@given(st.lists(numeric_text, min_size=1, max_size=40))
+@example(["5 .5", "-.5", ".5", "+4.2 ", "\t9\n", "1.2.3"])
+def test_safe_long_matches_model(spark, values):
+    assert spark_values(spark, values, C.safe_long) == [model_long(v) for v in values]
+
+
+def model_bool(s):
+    if s is None:
+        return None
+    low = s.lower()
+    if low in ("true", "1", "yes", "y"):
+        return True
+    if low in ("false", "0", "no", "n"):
+        return False
+    return None
+
+
+bool_text = st.one_of(
+    st.none(),
+    st.sampled_from(["true", "TRUE", "1", "yes", "Y", "y", "false", "0", "No", "n", "maybe", " yes", ""]),
+    st.text(alphabet="tryuefalsno01YN ", max_size=5),
+)
+
+
+@SETTINGS
+@given(st.lists(bool_text, min_size=1, max_size=40))
+def test_to_bool_matches_model(spark, values):
+    assert spark_values(spark, values, C.to_bool) == [model_bool(v) for v in values]
+
+
+def model_ydm(s):
+    parts = s.split(".")
+    try:
+        year = int("20" + parts[0])
+        if len(parts) >= 3:
+            return dt.date(year, int(parts[2]), int(parts[1]))
+        if len(parts) == 2:
+            return dt.date(year, int(parts[1]), 1)
+        return dt.date(year, 1, 1)
+    except ValueError:
+        return None
+
+
+two_digits = st.integers(0, 99).map(lambda n: f"{n:02d}")
+ydm_text = st.lists(two_digits, min_size=1, max_size=3).map(".".join)
+
+
+@SETTINGS
+@given(st.lists(ydm_text, min_size=1, max_size=40))
+def test_ydm_matches_model(spark, values):
+    assert spark_values(spark, values, C.ydm_to_date) == [model_ydm(v) for v in values]
+
+
+tag_text = st.one_of(st.none(), st.text(alphabet='ab|" ', max_size=8))
+
+
+@SETTINGS
+@given(st.lists(tag_text, min_size=1, max_size=40))
+def test_split_tags_matches_python_split(spark, values):
+    got = spark_values(spark, values, C.split_tags)
+    assert got == [(v or "").split("|") for v in values]
