@@ -104,55 +104,57 @@ def orders_as_api_payloads(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
 
     One row per (order, page of at most 50 line items) holding ``items`` typed
     exactly as the API schema reads them, so the real projection runs on it.
-    An order with no line items is a response without ``items``.
+    An order with no line items is a response with an empty ``items`` list.
+
+    The flat rows are joined first and grouped after: the grouping keys
+    include the join key, so the group-by reuses the join's partitioning and
+    the nested arrays are never shuffled.
     """
-    items = lineitem.select(
-        F.col("l_orderkey"),
-        F.floor((F.col("l_linenumber") - 1) / PAGE_SIZE).alias("page"),
+    l = lineitem
+    thumbnails_type = API_ITEM_SCHEMA["snippet"].dataType["thumbnails"].dataType
+    item = F.struct(
+        F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias(
+            "id"
+        ),
         F.struct(
-            F.col("l_linenumber").alias("_pos"),
-            F.concat_ws(
-                "-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")
-            ).alias("id"),
-            F.struct(
-                F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("publishedAt"),
-                F.col("l_suppkey").cast("string").alias("channelId"),
-                F.concat(F.lit("supplier "), F.col("l_suppkey").cast("string")).alias(
-                    "channelTitle"
-                ),
-                F.concat(F.lit("part "), F.col("l_partkey").cast("string")).alias("title"),
-                F.col("l_returnflag").alias("description"),
-                F.col("l_linenumber").cast("string").alias("categoryId"),
-                F.array(F.col("l_returnflag"), F.col("l_linestatus")).alias("tags"),
-                F.lit(None).alias("thumbnails"),
-            ).alias("snippet"),
-            F.struct(
-                F.format_string("%.2f", F.col("l_quantity")).alias("viewCount"),
-                F.col("l_partkey").cast("string").alias("likeCount"),
-                F.col("l_suppkey").cast("string").alias("favoriteCount"),
-                F.col("l_linenumber").cast("string").alias("commentCount"),
-            ).alias("statistics"),
-            F.struct(
-                F.concat(F.lit("PT"), F.col("l_linenumber").cast("string"), F.lit("M")).alias(
-                    "duration"
-                ),
-                F.when(F.col("l_linestatus") == "O", F.lit("hd")).otherwise(F.lit("sd")).alias(
-                    "definition"
-                ),
-                F.when(F.col("l_returnflag") == "R", F.lit("true"))
-                .otherwise(F.lit("false"))
-                .alias("caption"),
-                F.lit("true").alias("licensedContent"),
-            ).alias("contentDetails"),
-        ).alias("item"),
+            F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("publishedAt"),
+            F.col("l_suppkey").cast("string").alias("channelId"),
+            F.concat(F.lit("supplier "), F.col("l_suppkey").cast("string")).alias("channelTitle"),
+            F.concat(F.lit("part "), F.col("l_partkey").cast("string")).alias("title"),
+            F.col("l_returnflag").alias("description"),
+            F.col("l_linenumber").cast("string").alias("categoryId"),
+            F.array(F.col("l_returnflag"), F.col("l_linestatus")).alias("tags"),
+            F.lit(None).cast(thumbnails_type).alias("thumbnails"),
+        ).alias("snippet"),
+        F.struct(
+            F.format_string("%.2f", F.col("l_quantity")).alias("viewCount"),
+            F.col("l_partkey").cast("string").alias("likeCount"),
+            F.col("l_suppkey").cast("string").alias("favoriteCount"),
+            F.col("l_linenumber").cast("string").alias("commentCount"),
+        ).alias("statistics"),
+        F.struct(
+            F.concat(F.lit("PT"), F.col("l_linenumber").cast("string"), F.lit("M")).alias("duration"),
+            F.when(F.col("l_linestatus") == "O", F.lit("hd")).otherwise(F.lit("sd")).alias("definition"),
+            F.when(F.col("l_returnflag") == "R", F.lit("true")).otherwise(F.lit("false")).alias("caption"),
+            F.lit("true").alias("licensedContent"),
+        ).alias("contentDetails"),
+    )
+    flat = orders.join(l, orders.o_orderkey == l.l_orderkey, "left").select(
+        F.col("o_orderkey"),
+        F.coalesce(F.floor((F.col("l_linenumber") - 1) / PAGE_SIZE), F.lit(0)).alias("page"),
+        F.col("o_orderpriority"),
+        F.col("o_orderdate"),
+        F.when(F.col("l_orderkey").isNotNull(), item).alias("item"),
     )
-    pages = items.groupBy("l_orderkey", "page").agg(
-        F.array_sort(F.collect_list("item"), lambda a, b: a["_pos"] - b["_pos"]).alias("items")
+    # collect_list skips the NULL item of an order without lines -> []. Item
+    # order inside a response does not matter to any consumer (the explode
+    # gives a set of rows, the manifest counts), so it is not sorted.
+    pages = flat.groupBy("o_orderkey", "page", "o_orderpriority", "o_orderdate").agg(
+        F.collect_list("item").alias("items")
     )
-    item_type = T.ArrayType(API_ITEM_SCHEMA)
-    return orders.join(pages, orders.o_orderkey == pages.l_orderkey, "left").select(
+    return pages.select(
         F.col("o_orderkey"),
-        F.coalesce(F.col("page"), F.lit(0)).alias("page"),
+        F.col("page"),
         F.concat(
             F.lit("api_raw/videos/region="),
             F.lower(F.col("o_orderpriority").substr(3, 2)),
@@ -162,7 +164,7 @@ def orders_as_api_payloads(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
             F.col("o_orderkey").cast("string"),
             F.lit(".json"),
         ).alias("_source_file"),
-        F.transform("items", lambda x: x.dropFields("_pos")).cast(item_type).alias("items"),
+        F.col("items"),
     )
 
 

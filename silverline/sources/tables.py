@@ -9,9 +9,34 @@ TABLES = (
     "embeddings pages benchmark labels conversations"
 ).split()
 
+# Below this many bytes a table is read as is; spreading it costs more than
+# the single task it saves.
+SPREAD_MIN_BYTES = 1 << 20
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+
+def spread_narrow_scan(df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
+    """Round-robin a scan that cannot use the cluster.
+
+    A table stored as fewer files than the cluster has cores (each test table
+    is one file with one row group) is read by that many tasks at most, and
+    everything before the first shuffle runs on them. Such a scan, when it is
+    not tiny, is redistributed evenly over ``defaultParallelism`` partitions.
+    A table of many files (any table at scale) is returned untouched, so no
+    shuffle is added there.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if len(df.inputFiles()) >= cores:
+        return df
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())  # noqa: SLF001
+    if size < min_bytes:
+        return df
+    return df.repartition(cores)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
     """A test table as a Parquet scan; projections and filters push into it."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread_narrow_scan(df) if spread else df
