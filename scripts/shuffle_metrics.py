@@ -15,40 +15,11 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
+from silverline.plans.diagnostics import shuffle_writes  # noqa: E402
 from silverline.plans.queries import silver_videos  # noqa: E402
 from silverline.session import build_session  # noqa: E402
 
 
-def _metric(node, key):
-    opt = node.metrics().get(key)
-    return int(opt.get().value()) if opt.isDefined() else None
-
-
-def shuffle_stats(plan) -> list[dict]:
-    out = []
-    stack = [plan]
-    while stack:
-        node = stack.pop()
-        name = node.nodeName()
-        if name == "AdaptiveSparkPlan":
-            stack.append(node.executedPlan())
-            continue
-        if name in ("ShuffleQueryStage", "ResultQueryStage", "TableCacheQueryStage"):
-            stack.append(node.plan())
-            continue
-        if name == "Exchange":
-            out.append(
-                {
-                    "records": _metric(node, "shuffleRecordsWritten"),
-                    "bytes": _metric(node, "shuffleBytesWritten"),
-                }
-            )
-        children = node.children()
-        for i in range(children.size()):
-            stack.append(children.apply(i))
-    return out
-
-
 def main(argv: list[str]) -> None:
     sf_dir = argv[0] if argv else "/root/testdata/sf0.1"
     spark = build_session()
@@ -57,7 +28,7 @@ def main(argv: list[str]) -> None:
         spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", threshold)
         df = silver_videos(spark, sf_dir)
         df.collect()  # measurement only: the result is ~1e5 rows at sf0.1
-        result[label] = shuffle_stats(df._jdf.queryExecution().executedPlan())
+        result[label] = shuffle_writes(df)
     print(json.dumps({"sf_dir": sf_dir, "dedup_shuffle": result}))
     spark.stop()
 
