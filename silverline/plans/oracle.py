@@ -168,7 +168,8 @@ SELECT
   CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) AS video_id,
   lower(substr(o.o_orderpriority, 3, 2)) AS region,
   strftime(o.o_orderdate, '%Y-%m-%d') AS trending_date,
-  strftime(date_trunc('second', l.l_shipdate), {TS_TEXT}) AS published_at,
+  strftime(l.l_shipdate + to_milliseconds(l.l_partkey * 100000 + l.l_suppkey), {TS_TEXT})
+    AS published_at,
   CAST(l.l_suppkey AS VARCHAR) AS channel_id,
   'supplier ' || CAST(l.l_suppkey AS VARCHAR) AS channel_title,
   'part ' || CAST(l.l_partkey AS VARCHAR) AS title,
@@ -302,14 +303,16 @@ FROM documents GROUP BY source, lang
 """
 
 ORACLE["payload_items"] = """
-WITH pages AS (
+WITH o AS (
   SELECT o.o_orderkey, upper(substr(o.o_orderpriority, 3, 2)) AS region,
-    floor((l.l_linenumber - 1) / 50) AS page, count(l.l_orderkey) AS n
+    count(l.l_orderkey) AS n
   FROM orders o LEFT JOIN lineitem l ON o.o_orderkey = l.l_orderkey
-  GROUP BY o.o_orderkey, region, page)
+  GROUP BY o.o_orderkey, region)
 SELECT 'trending_videos' AS dataset, region, 'youtube_data_api_v3' AS source,
-  '20240101T000000Z_00000000' AS run_id, count(*) AS payloads, CAST(sum(n) AS BIGINT) AS items
-FROM pages GROUP BY region
+  '20240101T000000Z_00000000' AS run_id,
+  CAST(sum(CASE WHEN n = 0 THEN 1 ELSE CAST(ceil(n / 50) AS BIGINT) END) AS BIGINT) AS payloads,
+  CAST(sum(n) AS BIGINT) AS items
+FROM o GROUP BY region
 """
 
 ORACLE["run_report"] = """
@@ -450,3 +453,73 @@ c AS (
   FROM s)
 SELECT region, category_id, category_title, channel_id FROM c WHERE rn = 1
 """
+
+ORACLE["csv_bronze_videos"] = f"""
+WITH raw AS (
+  SELECT 'kaggle' AS source, upper(event_type) AS region,
+    CASE WHEN value < 1 THEN NULL ELSE CAST(user_id AS VARCHAR) END AS video_id,
+    CAST(ts AS DATE) AS trending_date,
+    CASE WHEN value >= 300 THEN NULL ELSE ts END AS published_at,
+    CASE WHEN value < 2 THEN NULL ELSE 'title ' || event_type END AS title,
+    'channel-' || CAST(CAST(floor(user_id / 10) AS BIGINT) AS VARCHAR) AS channel_title,
+    TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS category_id,
+    event_type || '|' || CAST(user_id AS VARCHAR) AS tags,
+    CAST(round(value * 100) AS BIGINT) AS view_count,
+    TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS like_count,
+    CASE WHEN event_type <> 'purchase' THEN CAST(user_id AS DOUBLE) END AS dislike_count,
+    CAST(event_id AS BIGINT) AS comment_count,
+    CASE WHEN value > 100 THEN 'true' ELSE 'false' END AS comments_disabled,
+    CASE WHEN value > 50 THEN 'true' ELSE 'false' END AS ratings_disabled,
+    CASE WHEN value > 200 THEN NULL WHEN value > 20 THEN 'true' ELSE 'false' END
+      AS video_error_or_removed,
+    props AS description,
+    'https://i.example/' || CAST(event_id AS VARCHAR) AS thumbnail_url
+  FROM events),
+valid AS (
+  SELECT * FROM raw WHERE video_id IS NOT NULL AND category_id IS NOT NULL
+    AND trending_date IS NOT NULL AND published_at IS NOT NULL),
+ranked AS (
+  SELECT *, row_number() OVER (
+    PARTITION BY source, region, video_id, trending_date ORDER BY published_at DESC) AS rn
+  FROM valid)
+SELECT source, region, video_id, strftime(trending_date, '%Y-%m-%d') AS trending_date,
+  strftime(published_at, {TS_TEXT}) AS published_at, title, channel_title, category_id, tags,
+  view_count, like_count, dislike_count, comment_count, comments_disabled, ratings_disabled,
+  video_error_or_removed, description, thumbnail_url
+FROM ranked WHERE rn = 1
+"""
+
+ORACLE["api_bronze_videos"] = f"""
+WITH raw AS (
+  SELECT 'youtube_api' AS source, upper(substr(o.o_orderpriority, 3, 2)) AS region,
+    CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) AS video_id,
+    CAST(strftime(o.o_orderdate, '%Y-%m') || '-01' AS DATE) AS trending_date,
+    l.l_shipdate + to_milliseconds(l.l_partkey * 100000 + l.l_suppkey) AS published_at,
+    CAST(l.l_suppkey AS VARCHAR) AS channel_id,
+    'supplier ' || CAST(l.l_suppkey AS VARCHAR) AS channel_title,
+    'part ' || CAST(l.l_partkey AS VARCHAR) AS title,
+    CAST(l.l_linenumber AS INTEGER) AS category_id,
+    l.l_returnflag || '|' || l.l_linestatus AS tags,
+    TRY_CAST(regexp_replace(printf('%.2f', l.l_quantity), '([0-9])\\.[0-9]*\\s*$', '\\1') AS BIGINT)
+      AS view_count,
+    CAST(l.l_partkey AS BIGINT) AS like_count,
+    CAST(l.l_suppkey AS BIGINT) AS favorite_count,
+    CAST(l.l_linenumber AS BIGINT) AS comment_count,
+    'PT' || CAST(l.l_linenumber AS VARCHAR) || 'M' AS duration,
+    CASE WHEN l.l_linestatus = 'O' THEN 'hd' ELSE 'sd' END AS definition,
+    CASE WHEN l.l_returnflag = 'R' THEN 'true' ELSE 'false' END AS caption,
+    'true' AS licensed_content
+  FROM orders o LEFT JOIN lineitem l ON o.o_orderkey = l.l_orderkey),
+valid AS (
+  SELECT * FROM raw WHERE video_id IS NOT NULL AND category_id IS NOT NULL
+    AND trending_date IS NOT NULL AND published_at IS NOT NULL),
+ranked AS (
+  SELECT *, row_number() OVER (
+    PARTITION BY source, region, video_id, trending_date ORDER BY published_at DESC) AS rn
+  FROM valid)
+SELECT source, region, video_id, strftime(trending_date, '%Y-%m-%d') AS trending_date,
+  strftime(published_at, {TS_TEXT}) AS published_at, channel_id, channel_title, title,
+  category_id, tags, view_count, like_count, favorite_count, comment_count, duration,
+  definition, caption, licensed_content
+FROM ranked WHERE rn = 1
+"""

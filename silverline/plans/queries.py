@@ -41,7 +41,7 @@ from silverline.operators.gold import (
     trending_analytics,
 )
 from silverline.operators.ingest import payload_manifest, run_report, select_regions
-from silverline.operators.project import pad_to_contract
+from silverline.operators.project import pad_to_contract, project_csv_videos
 from silverline.sinks.silver import manifest
 from silverline.operators.dedup import dedup_videos, keep_last, video_order
 from silverline.operators.project import explode_items_outer, project_api_videos
@@ -60,7 +60,12 @@ from silverline.plans.standins import (
     events_as_videos,
     orders_as_api_payloads,
     parts_as_category_files,
+    write_events_as_csv_bronze,
+    write_orders_as_api_bronze,
 )
+from silverline.plans.videos import gate_source, silver_rows
+from silverline.session import scratch_path
+from silverline.sources.bronze import read_api_videos, read_csv_videos
 from silverline.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -526,6 +531,67 @@ def current_category_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def csv_bronze_videos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC1/PRJ1 on real files: events written as Bronze CSV, read back through
+    the CSV reader, projected, cleansed, gated and deduplicated."""
+    root = scratch_path(spark, "bronze-csv")
+    path = write_events_as_csv_bronze(table(spark, sf_dir, "events"), root)
+    clean = cleanse_videos(project_csv_videos(read_csv_videos(spark, path)))
+    enforce_gate(collect_quality_metrics(clean, "kaggle_videos"))
+    out = silver_rows(clean)
+    return out.select(
+        "source",
+        "region",
+        "video_id",
+        _day("trending_date").alias("trending_date"),
+        _ts("published_at").alias("published_at"),
+        "title",
+        "channel_title",
+        "category_id",
+        F.concat_ws("|", "tags").alias("tags"),
+        "view_count",
+        "like_count",
+        F.col("dislike_count").cast("double").alias("dislike_count"),
+        "comment_count",
+        _bool_text("comments_disabled").alias("comments_disabled"),
+        _bool_text("ratings_disabled").alias("ratings_disabled"),
+        _bool_text("video_error_or_removed").alias("video_error_or_removed"),
+        "description",
+        "thumbnail_url",
+    )
+
+
+def api_bronze_videos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC2/GEN1/PRJ2 on real files: orders written as API JSON, read back
+    through the API reader, exploded, gated and deduplicated."""
+    root = scratch_path(spark, "bronze-api")
+    path = write_orders_as_api_bronze(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"), root)
+    raw = read_api_videos(spark, path, multi_line=False)
+    clean = cleanse_videos(project_api_videos(explode_items_outer(raw)))
+    gate_source(clean, "youtube_api_videos", 0.05)
+    out = silver_rows(clean)
+    return out.select(
+        "source",
+        "region",
+        "video_id",
+        _day("trending_date").alias("trending_date"),
+        _ts("published_at").alias("published_at"),
+        "channel_id",
+        "channel_title",
+        "title",
+        "category_id",
+        F.concat_ws("|", "tags").alias("tags"),
+        "view_count",
+        "like_count",
+        "favorite_count",
+        "comment_count",
+        "duration",
+        "definition",
+        _bool_text("caption").alias("caption"),
+        _bool_text("licensed_content").alias("licensed_content"),
+    )
+
+
 def compare_two_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """GLD4 (ours): Silver events against the raw-events source, full outer."""
     silver = silver_event_videos(spark, sf_dir)
@@ -575,6 +641,8 @@ QUERIES: dict[str, Query] = {
     "channel_analytics": channel_ranking,
     "category_analytics": category_views,
     "compare_sources": compare_two_sources,
+    "csv_bronze_videos": csv_bronze_videos,
+    "api_bronze_videos": api_bronze_videos,
     "category_rollup": category_rollup,
     "current_categories": current_category_rows,
     "quality_by_partition": quality_by_partition,

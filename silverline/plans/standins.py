@@ -102,13 +102,16 @@ PAGE_SIZE = MAX_RESULTS_LIMITS[1]
 def orders_as_api_payloads(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     """``orders`` with their line items nested as API responses.
 
-    One row per (order, page of at most 50 line items) holding ``items`` typed
-    exactly as the API schema reads them, so the real projection runs on it.
-    An order with no line items is a response with an empty ``items`` list.
+    Rows hold ``items`` typed exactly as the API schema reads them, so the
+    real projection runs on them. An order with no line items is a response
+    with an empty ``items`` list.
 
-    The flat rows are joined first and grouped after: the grouping keys
-    include the join key, so the group-by reuses the join's partitioning and
-    the nested arrays are never shuffled.
+    A response carries at most ``PAGE_SIZE`` items on average: an order with
+    n line items is split into ceil(n / 50) pages by a hash of the item, so a
+    huge order becomes many bounded arrays instead of one (line numbers are
+    not unique per order in the test data, so they cannot be the page key).
+    Publish times are the ship date plus a millisecond offset from the part
+    and supplier keys, which makes the dedup order total.
     """
     l = lineitem
     thumbnails_type = API_ITEM_SCHEMA["snippet"].dataType["thumbnails"].dataType
@@ -117,7 +120,12 @@ def orders_as_api_payloads(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
             "id"
         ),
         F.struct(
-            F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("publishedAt"),
+            F.date_format(
+                F.timestamp_add(
+                    "MILLISECOND", F.col("l_partkey") * 100000 + F.col("l_suppkey"), F.col("l_shipdate")
+                ),
+                "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'",
+            ).alias("publishedAt"),
             F.col("l_suppkey").cast("string").alias("channelId"),
             F.concat(F.lit("supplier "), F.col("l_suppkey").cast("string")).alias("channelTitle"),
             F.concat(F.lit("part "), F.col("l_partkey").cast("string")).alias("title"),
@@ -139,9 +147,13 @@ def orders_as_api_payloads(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
             F.lit("true").alias("licensedContent"),
         ).alias("contentDetails"),
     )
-    flat = orders.join(l, orders.o_orderkey == l.l_orderkey, "left").select(
+    sizes = l.groupBy(F.col("l_orderkey").alias("_ok")).agg(F.count(F.lit(1)).alias("_n"))
+    pages_of = F.ceil(F.col("_n") / F.lit(PAGE_SIZE))
+    item_hash = F.xxhash64("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
+    paged = l.join(sizes, l.l_orderkey == sizes._ok).withColumn("_page", F.pmod(item_hash, pages_of))
+    flat = orders.join(paged, orders.o_orderkey == paged.l_orderkey, "left").select(
         F.col("o_orderkey"),
-        F.coalesce(F.floor((F.col("l_linenumber") - 1) / PAGE_SIZE), F.lit(0)).alias("page"),
+        F.coalesce(F.col("_page"), F.lit(0)).alias("page"),
         F.col("o_orderpriority"),
         F.col("o_orderdate"),
         F.when(F.col("l_orderkey").isNotNull(), item).alias("item"),
@@ -216,3 +228,63 @@ def parts_as_category_files(part: DataFrame) -> DataFrame:
             )
         ).alias("value"),
     ).withColumn("payload", F.from_json("value", CATEGORY_PAYLOAD_SCHEMA))
+
+
+# Bronze files written from the test tables ---------------------------------
+def write_events_as_csv_bronze(events: DataFrame, root: str) -> str:
+    """``events`` written as trending CSV files under ``region=<event_type>/``.
+
+    Text exactly as the CSV contract has it: ``yy.dd.mm`` dates, ISO publish
+    times, pipe-separated tags, counts and flags as text, JSON text (quotes,
+    commas) in the description. Returns the CSV root.
+    """
+    value = F.col("value")
+    k = json_text_field("props", "$.k")
+    csv = events.select(
+        F.col("event_type").alias("region"),
+        F.when(value < 1, F.lit("  ")).otherwise(F.col("user_id").cast("string")).alias("video_id"),
+        F.date_format("ts", "yy.dd.MM").alias("trending_date"),
+        F.when(value < 2, F.lit("")).otherwise(F.concat(F.lit("title "), F.col("event_type"))).alias("title"),
+        F.concat(F.lit("channel-"), F.floor(F.col("user_id") / 10).cast("string")).alias("channel_title"),
+        k.alias("category_id"),
+        F.when(value >= 300, F.lit(None))
+        .otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+        .alias("publish_time"),
+        F.concat_ws("|", F.col("event_type"), F.col("user_id").cast("string")).alias("tags"),
+        F.round(value * 100).cast("bigint").cast("string").alias("views"),
+        k.alias("likes"),
+        F.when(F.col("event_type") != "purchase", F.col("user_id").cast("string")).alias("dislikes"),
+        F.col("event_id").cast("string").alias("comment_count"),
+        F.concat(F.lit("https://i.example/"), F.col("event_id").cast("string")).alias("thumbnail_link"),
+        F.when(value > 100, F.lit("True")).otherwise(F.lit("False")).alias("comments_disabled"),
+        F.when(value > 50, F.lit("1")).otherwise(F.lit("0")).alias("ratings_disabled"),
+        F.when(value > 200, F.lit("maybe"))
+        .when(value > 20, F.lit("yes"))
+        .otherwise(F.lit("NO"))
+        .alias("video_error_or_removed"),
+        F.col("props").alias("description"),
+    )
+    path = f"{root}/youtube/raw"
+    (
+        csv.write.mode("overwrite")
+        .partitionBy("region")
+        .option("header", "true")
+        .option("quote", '"')
+        .option("escape", '"')
+        .csv(path)
+    )
+    return path
+
+
+def write_orders_as_api_bronze(orders: DataFrame, lineitem: DataFrame, root: str) -> str:
+    """API responses as JSON Lines under ``region=/date=<yyyy-MM>/hour=00/``."""
+    docs = orders_as_api_payloads(orders, lineitem).select(
+        F.lit("youtube#videoListResponse").alias("kind"),
+        F.col("items"),
+        F.regexp_extract("_source_file", "region=([^/]+)", 1).alias("region"),
+        F.substring(F.regexp_extract("_source_file", "date=([0-9-]+)", 1), 1, 7).alias("date"),
+        F.lit("00").alias("hour"),
+    )
+    path = f"{root}/youtube/api_raw/videos"
+    docs.write.mode("overwrite").partitionBy("region", "date", "hour").json(path)
+    return path
