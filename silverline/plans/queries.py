@@ -40,7 +40,7 @@ from silverline.operators.gold import (
     quality_report,
     trending_analytics,
 )
-from silverline.operators.ingest import payload_manifest, run_report, select_regions
+from silverline.operators.ingest import payload_manifest, run_report
 from silverline.operators.project import pad_to_contract, project_csv_videos
 from silverline.sinks.silver import manifest
 from silverline.operators.dedup import dedup_videos, keep_last, video_order

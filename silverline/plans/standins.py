@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from silverline.contracts import (
     API_ITEM_SCHEMA,
