@@ -493,7 +493,7 @@ ORACLE["api_bronze_videos"] = f"""
 WITH raw AS (
   SELECT 'youtube_api' AS source, upper(substr(o.o_orderpriority, 3, 2)) AS region,
     CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) AS video_id,
-    CAST(strftime(o.o_orderdate, '%Y-%m') || '-01' AS DATE) AS trending_date,
+    CAST(strftime(o.o_orderdate, '%Y') || '-01-01' AS DATE) AS trending_date,
     l.l_shipdate + to_milliseconds(l.l_partkey * 100000 + l.l_suppkey) AS published_at,
     CAST(l.l_suppkey AS VARCHAR) AS channel_id,
     'supplier ' || CAST(l.l_suppkey AS VARCHAR) AS channel_title,

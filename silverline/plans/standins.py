@@ -276,12 +276,17 @@ def write_events_as_csv_bronze(events: DataFrame, root: str) -> str:
 
 
 def write_orders_as_api_bronze(orders: DataFrame, lineitem: DataFrame, root: str) -> str:
-    """API responses as JSON Lines under ``region=/date=<yyyy-MM>/hour=00/``."""
+    """API responses as JSON Lines under ``region=/date=<yyyy>/hour=00/``.
+
+    The ``date=`` folder holds the order year (read back as January 1 of it),
+    which keeps the folder count, and so the number of small files each
+    writer task leaves, to regions x years.
+    """
     docs = orders_as_api_payloads(orders, lineitem).select(
         F.lit("youtube#videoListResponse").alias("kind"),
         F.col("items"),
         F.regexp_extract("_source_file", "region=([^/]+)", 1).alias("region"),
-        F.substring(F.regexp_extract("_source_file", "date=([0-9-]+)", 1), 1, 7).alias("date"),
+        F.substring(F.regexp_extract("_source_file", "date=([0-9-]+)", 1), 1, 4).alias("date"),
         F.lit("00").alias("hour"),
     )
     path = f"{root}/youtube/api_raw/videos"
