@@ -92,9 +92,9 @@ def events_as_api_rows(events: DataFrame) -> DataFrame:
     )
 
 
-# Payload chunking: an API page carries at most MAX_RESULTS items, so a
-# payload is one order's line items in chunks of 50 line numbers. The chunk
-# key is bounded by construction, whatever the size of one order.
+# An API response carries at most MAX_RESULTS items, so nested stand-ins
+# (payloads, category files) are cut into pages of about that many items; no
+# single array grows with the data.
 PAGE_SIZE = MAX_RESULTS_LIMITS[1]
 
 
@@ -105,7 +105,7 @@ def orders_as_api_payloads(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     real projection runs on them. An order with no line items is a response
     with an empty ``items`` list.
 
-    A response carries at most ``PAGE_SIZE`` items on average: an order with
+    A response carries ``PAGE_SIZE`` items on average: an order with
     n line items is split into ceil(n / 50) pages by a hash of the item, so a
     huge order becomes many bounded arrays instead of one (line numbers are
     not unique per order in the test data, so they cannot be the page key).
