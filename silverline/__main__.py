@@ -1,6 +1,7 @@
 """Command line: ``python -m silverline <job> --bronze ROOT --silver ROOT ...``.
 
-Jobs: ``videos``, ``categories``, ``stream-videos``, ``stream-categories``.
+Jobs: ``videos``, ``categories``, ``stream-videos``, ``stream-categories``,
+``gold`` (``--gold ROOT``, optional ``--regions US,GB``).
 Upper-case option names (``--SOURCE``, ``--MAX_INVALID_ROW_RATIO``,
 ``--BRONZE_BUCKET`` ...) are accepted too, so an existing job invocation
 carries over. The session comes from ``spark-submit`` (cluster settings,
@@ -32,7 +33,7 @@ def _root(value: str) -> str:
 
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="silverline")
-    p.add_argument("job", choices=["videos", "categories", "stream-videos", "stream-categories"])
+    p.add_argument("job", choices=["videos", "categories", "stream-videos", "stream-categories", "gold"])
     p.add_argument("--bronze", "--BRONZE_BUCKET", dest="bronze", required=True, type=_root)
     p.add_argument("--silver", "--SILVER_BUCKET", dest="silver", required=True, type=_root)
     p.add_argument("--source", "--SOURCE", dest="source", default="all")
@@ -53,6 +54,8 @@ def parser() -> argparse.ArgumentParser:
         "--categories-output-prefix", "--CATEGORIES_OUTPUT_PREFIX", dest="cat_out_prefix",
         default=CATEGORIES_OUTPUT_PREFIX,
     )
+    p.add_argument("--gold", dest="gold", type=_root, help="Gold root (gold job)")
+    p.add_argument("--regions", dest="regions", default="", help="comma list for the gold job")
     p.add_argument("--strict-dates", action="store_true")
     p.add_argument("--normalize-tags", action="store_true")
     p.add_argument("--partition-by-day", action="store_true", help="Silver videos also by trending_date")
@@ -68,7 +71,15 @@ def main(argv: list[str] | None = None) -> int:
     from silverline.plans.videos import VideoJobConfig, run_videos
     from silverline.streaming.incremental import stream_api_videos, stream_categories
 
-    if args.job in ("videos", "stream-videos"):
+    if args.job == "gold":
+        from silverline.functions.columns import parse_region_codes
+        from silverline.plans.gold import GoldJobConfig, run_gold
+
+        if not args.gold:
+            raise SystemExit("the gold job needs --gold")
+        regions = parse_region_codes(args.regions) if args.regions.strip() else None
+        result = run_gold(spark, GoldJobConfig(args.silver, args.gold, regions=regions))
+    elif args.job in ("videos", "stream-videos"):
         cfg = VideoJobConfig(
             args.bronze,
             args.silver,

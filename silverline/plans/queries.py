@@ -16,35 +16,38 @@ from pyspark.sql import functions as F
 from silverline.contracts import MISSING_CONTEXT_COLUMNS
 from silverline.functions.columns import (
     date_from_path,
+    date_partition,
     decoded_key,
     file_name,
+    hour_partition,
+    json_text_field,
     partition_value,
     region_code_list,
     safe_long,
     split_tags,
     to_bool,
     ydm_to_date,
-    date_partition,
-    hour_partition,
-    json_text_field,
 )
 from silverline.operators.categories import file_status, silver_categories
 from silverline.operators.cleanse import cleanse_videos
+from silverline.operators.dedup import dedup_videos, keep_last, video_order
 from silverline.operators.gold import (
     category_analytics,
-    current_categories,
-    lookup_rollup,
     channel_analytics,
     combine_sources,
     compare_sources,
+    current_categories,
+    lookup_rollup,
     quality_report,
     trending_analytics,
 )
 from silverline.operators.ingest import payload_manifest, run_report
-from silverline.operators.project import pad_to_contract, project_csv_videos
-from silverline.sinks.silver import manifest
-from silverline.operators.dedup import dedup_videos, keep_last, video_order
-from silverline.operators.project import explode_items_outer, project_api_videos
+from silverline.operators.project import (
+    explode_items_outer,
+    pad_to_contract,
+    project_api_videos,
+    project_csv_videos,
+)
 from silverline.operators.quality import (
     collect_quality_metrics,
     critical_invalid,
@@ -65,6 +68,7 @@ from silverline.plans.standins import (
 )
 from silverline.plans.videos import gate_source, silver_rows
 from silverline.session import materialize, scratch_path
+from silverline.sinks.silver import manifest
 from silverline.sources.bronze import read_api_videos, read_csv_videos
 from silverline.sources.tables import table
 
