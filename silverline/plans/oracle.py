@@ -523,3 +523,16 @@ SELECT source, region, video_id, strftime(trending_date, '%Y-%m-%d') AS trending
   definition, caption, licensed_content
 FROM ranked WHERE rn = 1
 """
+
+ORACLE["landed_payloads"] = """
+WITH o AS (
+  SELECT o.o_orderkey, upper(substr(o.o_orderpriority, 3, 2)) AS region,
+    count(l.l_orderkey) AS n
+  FROM orders o LEFT JOIN lineitem l ON o.o_orderkey = l.l_orderkey
+  GROUP BY o.o_orderkey, region)
+SELECT region,
+  CAST(sum(CASE WHEN n = 0 THEN 1 ELSE CAST(ceil(n / 50) AS BIGINT) END) AS BIGINT) AS payloads,
+  CAST(sum(n) AS BIGINT) AS items,
+  '2024-01-02' AS landed_date
+FROM o GROUP BY region
+"""

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverline.contracts import MISSING_CONTEXT_COLUMNS
+from silverline.contracts import API_VIDEOS_PREFIX, MISSING_CONTEXT_COLUMNS
 from silverline.functions.columns import (
     date_from_path,
     date_partition,
@@ -23,6 +23,7 @@ from silverline.functions.columns import (
     json_text_field,
     partition_value,
     region_code_list,
+    region_from_path,
     safe_long,
     split_tags,
     to_bool,
@@ -41,7 +42,7 @@ from silverline.operators.gold import (
     quality_report,
     trending_analytics,
 )
-from silverline.operators.ingest import payload_manifest, run_report
+from silverline.operators.ingest import land_payloads, payload_manifest, run_report
 from silverline.operators.project import (
     explode_items_outer,
     pad_to_contract,
@@ -598,6 +599,27 @@ def api_bronze_videos(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def landed_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ING1/SRC2: payloads landed in the Bronze layout, read back and counted."""
+    import datetime as _dt
+
+    docs = orders_as_api_payloads(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"))
+    payloads = docs.select(
+        F.regexp_extract("_source_file", "region=([^/]+)", 1).alias("region"),
+        F.lit("trending_videos").alias("dataset"),
+        F.to_json(F.struct(F.lit("youtube#videoListResponse").alias("kind"), "items")).alias("payload"),
+    )
+    root = scratch_path(spark, "landing")
+    run_ts = _dt.datetime(2024, 1, 2, 3, 4, 5, tzinfo=_dt.UTC)
+    land_payloads(payloads, root, run_ts, "20240102T030405Z_00000000")
+    raw = read_api_videos(spark, f"{root}/{API_VIDEOS_PREFIX}", multi_line=False)
+    return raw.groupBy(F.upper(region_from_path("_source_file")).alias("region")).agg(
+        F.count(F.lit(1)).alias("payloads"),
+        F.sum(F.size("items")).alias("items"),
+        F.min(date_from_path("_source_file").cast("string")).alias("landed_date"),
+    )
+
+
 def compare_two_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """GLD4 (ours): Silver events against the raw-events source, full outer."""
     silver = silver_event_videos(spark, sf_dir)
@@ -649,6 +671,7 @@ QUERIES: dict[str, Query] = {
     "compare_sources": compare_two_sources,
     "csv_bronze_videos": csv_bronze_videos,
     "api_bronze_videos": api_bronze_videos,
+    "landed_payloads": landed_payloads,
     "category_rollup": category_rollup,
     "current_categories": current_category_rows,
     "quality_by_partition": quality_by_partition,
