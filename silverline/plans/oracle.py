@@ -536,3 +536,25 @@ SELECT region,
   '2024-01-02' AS landed_date
 FROM o GROUP BY region
 """
+
+ORACLE["stream_landed_videos"] = f"""
+WITH raw AS (
+  SELECT 'youtube_api' AS source, upper(substr(o.o_orderpriority, 3, 2)) AS region,
+    CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) AS video_id,
+    CASE WHEN o.o_orderdate < TIMESTAMP '1998-01-01' THEN DATE '2024-01-02'
+         ELSE DATE '2024-01-03' END AS trending_date,
+    l.l_shipdate + to_milliseconds(l.l_partkey * 100000 + l.l_suppkey) AS published_at,
+    'part ' || CAST(l.l_partkey AS VARCHAR) AS title,
+    CAST(l.l_linenumber AS INTEGER) AS category_id,
+    TRY_CAST(regexp_replace(printf('%.2f', l.l_quantity), '([0-9])\\.[0-9]*\\s*$', '\\1') AS BIGINT)
+      AS view_count,
+    CAST(l.l_linenumber AS BIGINT) AS comment_count
+  FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey),
+ranked AS (
+  SELECT *, row_number() OVER (
+    PARTITION BY source, region, video_id, trending_date ORDER BY published_at DESC) AS rn
+  FROM raw)
+SELECT source, region, video_id, strftime(trending_date, '%Y-%m-%d') AS trending_date,
+  strftime(published_at, {TS_TEXT}) AS published_at, title, category_id, view_count, comment_count
+FROM ranked WHERE rn = 1
+"""

@@ -620,6 +620,43 @@ def landed_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stream_landed_videos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR2 on driver data: payloads land in two drops (orders before 1998 on
+    one run date, the rest on the next); an availableNow stream runs after
+    each drop and merges into Silver. The result is Silver after both runs."""
+    import datetime as _dt
+
+    from silverline.plans.videos import VideoJobConfig
+    from silverline.streaming.incremental import stream_api_videos
+
+    orders = table(spark, sf_dir, "orders")
+    lineitem = table(spark, sf_dir, "lineitem")
+    bronze, silver = scratch_path(spark, "stream-bronze"), scratch_path(spark, "stream-silver")
+    cfg = VideoJobConfig(bronze, silver, source="youtube_api", write_report=False)
+    early = F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")
+    for day, part in ((2, orders.filter(early)), (3, orders.filter(~early))):
+        docs = orders_as_api_payloads(part, lineitem)
+        payloads = docs.select(
+            F.regexp_extract("_source_file", "region=([^/]+)", 1).alias("region"),
+            F.lit("trending_videos").alias("dataset"),
+            F.to_json(F.struct(F.lit("youtube#videoListResponse").alias("kind"), "items")).alias("payload"),
+        )
+        run_ts = _dt.datetime(2024, 1, day, 3, 0, 0, tzinfo=_dt.UTC)
+        land_payloads(payloads, bronze, run_ts, f"2024010{day}T030000Z_0000000{day}")
+        stream_api_videos(spark, cfg, multi_line=False)
+    return spark.read.parquet(cfg.silver_path).select(
+        "source",
+        "region",
+        "video_id",
+        _day("trending_date").alias("trending_date"),
+        _ts("published_at").alias("published_at"),
+        "title",
+        "category_id",
+        "view_count",
+        "comment_count",
+    )
+
+
 def compare_two_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """GLD4 (ours): Silver events against the raw-events source, full outer."""
     silver = silver_event_videos(spark, sf_dir)
@@ -672,6 +709,7 @@ QUERIES: dict[str, Query] = {
     "csv_bronze_videos": csv_bronze_videos,
     "api_bronze_videos": api_bronze_videos,
     "landed_payloads": landed_payloads,
+    "stream_landed_videos": stream_landed_videos,
     "category_rollup": category_rollup,
     "current_categories": current_category_rows,
     "quality_by_partition": quality_by_partition,
