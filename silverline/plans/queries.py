@@ -611,7 +611,7 @@ def landed_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     root = scratch_path(spark, "landing")
     run_ts = _dt.datetime(2024, 1, 2, 3, 4, 5, tzinfo=_dt.UTC)
-    land_payloads(payloads, root, run_ts, "20240102T030405Z_00000000")
+    land_payloads(payloads, root, run_ts, "20240102T030405Z_00000000", compression="gzip")
     raw = read_api_videos(spark, f"{root}/{API_VIDEOS_PREFIX}", multi_line=False)
     return raw.groupBy(F.upper(region_from_path("_source_file")).alias("region")).agg(
         F.count(F.lit(1)).alias("payloads"),
@@ -642,7 +642,9 @@ def stream_landed_videos(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.to_json(F.struct(F.lit("youtube#videoListResponse").alias("kind"), "items")).alias("payload"),
         )
         run_ts = _dt.datetime(2024, 1, day, 3, 0, 0, tzinfo=_dt.UTC)
-        land_payloads(payloads, bronze, run_ts, f"2024010{day}T030000Z_0000000{day}")
+        land_payloads(
+            payloads, bronze, run_ts, f"2024010{day}T030000Z_0000000{day}", compression="gzip"
+        )
         stream_api_videos(spark, cfg, multi_line=False)
     return spark.read.parquet(cfg.silver_path).select(
         "source",

@@ -230,7 +230,7 @@ def parts_as_category_files(part: DataFrame) -> DataFrame:
 
 
 # Bronze files written from the test tables ---------------------------------
-def write_events_as_csv_bronze(events: DataFrame, root: str) -> str:
+def write_events_as_csv_bronze(events: DataFrame, root: str, compression: str = "gzip") -> str:
     """``events`` written as trending CSV files under ``region=<event_type>/``.
 
     Text exactly as the CSV contract has it: ``yy.dd.mm`` dates, ISO publish
@@ -270,12 +270,15 @@ def write_events_as_csv_bronze(events: DataFrame, root: str) -> str:
         .option("header", "true")
         .option("quote", '"')
         .option("escape", '"')
+        .option("compression", compression)
         .csv(path)
     )
     return path
 
 
-def write_orders_as_api_bronze(orders: DataFrame, lineitem: DataFrame, root: str) -> str:
+def write_orders_as_api_bronze(
+    orders: DataFrame, lineitem: DataFrame, root: str, compression: str = "gzip"
+) -> str:
     """API responses as JSON Lines under ``region=/date=<yyyy>/hour=00/``.
 
     The ``date=`` folder holds the order year (read back as January 1 of it),
@@ -290,5 +293,7 @@ def write_orders_as_api_bronze(orders: DataFrame, lineitem: DataFrame, root: str
         F.lit("00").alias("hour"),
     )
     path = f"{root}/youtube/api_raw/videos"
-    docs.write.mode("overwrite").partitionBy("region", "date", "hour").json(path)
+    docs.write.mode("overwrite").partitionBy("region", "date", "hour").option(
+        "compression", compression
+    ).json(path)
     return path
