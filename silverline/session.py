@@ -41,6 +41,8 @@ def build_session(
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("SILVERLINE_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Reliable checkpoints of DataFrames that are gone are removed again.
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in {**DEFAULT_CONF, **(extra or {})}.items():
         builder = builder.config(key, value)
