@@ -611,7 +611,7 @@ def landed_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     root = scratch_path(spark, "landing")
     run_ts = _dt.datetime(2024, 1, 2, 3, 4, 5, tzinfo=_dt.UTC)
-    land_payloads(payloads, root, run_ts, "20240102T030405Z_00000000", compression="gzip")
+    land_payloads(payloads, root, run_ts, "20240102T030405Z_00000000", compression="lz4")
     raw = read_api_videos(spark, f"{root}/{API_VIDEOS_PREFIX}", multi_line=False)
     return raw.groupBy(F.upper(region_from_path("_source_file")).alias("region")).agg(
         F.count(F.lit(1)).alias("payloads"),
@@ -632,7 +632,15 @@ def stream_landed_videos(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     lineitem = table(spark, sf_dir, "lineitem")
     bronze, silver = scratch_path(spark, "stream-bronze"), scratch_path(spark, "stream-silver")
-    cfg = VideoJobConfig(bronze, silver, source="youtube_api", write_report=False)
+    # Day-partitioned Silver: the second drop (a new day) rewrites only its
+    # own partitions and reads no existing Silver.
+    cfg = VideoJobConfig(
+        bronze,
+        silver,
+        source="youtube_api",
+        write_report=False,
+        partition_by=("source", "region", "trending_date"),
+    )
     early = F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")
     for day, part in ((2, orders.filter(early)), (3, orders.filter(~early))):
         docs = orders_as_api_payloads(part, lineitem)
@@ -643,7 +651,7 @@ def stream_landed_videos(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         run_ts = _dt.datetime(2024, 1, day, 3, 0, 0, tzinfo=_dt.UTC)
         land_payloads(
-            payloads, bronze, run_ts, f"2024010{day}T030000Z_0000000{day}", compression="gzip"
+            payloads, bronze, run_ts, f"2024010{day}T030000Z_0000000{day}", compression="lz4"
         )
         stream_api_videos(spark, cfg, multi_line=False)
     return spark.read.parquet(cfg.silver_path).select(

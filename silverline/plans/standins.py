@@ -230,7 +230,7 @@ def parts_as_category_files(part: DataFrame) -> DataFrame:
 
 
 # Bronze files written from the test tables ---------------------------------
-def write_events_as_csv_bronze(events: DataFrame, root: str, compression: str = "gzip") -> str:
+def write_events_as_csv_bronze(events: DataFrame, root: str, compression: str = "lz4") -> str:
     """``events`` written as trending CSV files under ``region=<event_type>/``.
 
     Text exactly as the CSV contract has it: ``yy.dd.mm`` dates, ISO publish
@@ -277,7 +277,7 @@ def write_events_as_csv_bronze(events: DataFrame, root: str, compression: str =
 
 
 def write_orders_as_api_bronze(
-    orders: DataFrame, lineitem: DataFrame, root: str, compression: str = "gzip"
+    orders: DataFrame, lineitem: DataFrame, root: str, compression: str = "lz4"
 ) -> str:
     """API responses as JSON Lines under ``region=/date=<yyyy>/hour=00/``.
 
