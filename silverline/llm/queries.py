@@ -8,16 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 from silverline.llm.bpe import op6_bpe
 from silverline.llm.fingerprints import op10_fingerprints
+from silverline.llm.jaccard_join import op8_ngram_jaccard
 from silverline.llm.license_scan import op7_license_scan
 from silverline.llm.pii import op3_pii_spans
 from silverline.llm.quality_rules import op5_quality_rules
 from silverline.llm.source_mix import op9_source_mix
+from silverline.llm.suffix_dedup import op2_suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_pii_spans": op3_pii_spans,
     "op5_quality_rules": op5_quality_rules,
     "op6_bpe": op6_bpe,
     "op7_license_scan": op7_license_scan,
+    "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_source_mix": op9_source_mix,
     "op10_fingerprints": op10_fingerprints,
 }
