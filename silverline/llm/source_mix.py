@@ -126,8 +126,8 @@ def mix(
 ) -> DataFrame:
     """Each document with its size, its source's size and target, and the words taken.
 
-    ``first`` and ``shard_*`` describe the selection, for :func:`materialise`;
-    ``keep`` names further columns of ``docs`` to return.
+    ``first``, ``passes``, ``extra``, ``whole`` and ``phase`` describe the selection;
+    ``keep`` names columns of ``docs`` to return as ``_keep_<name>``.
     """
     keep = keep or []
     sized = docs.select(
@@ -198,8 +198,7 @@ def mix(
     )
     return laid.select(
         "doc_id", "size", "source_size", "target", taken.alias("taken"),
-        "first", "passes", "extra", "whole", "phase",
-        *[F.col(f"_keep_{c}").alias(c) for c in keep if c not in ("doc_id", "size", "source_size", "target")],
+        "first", "passes", "extra", "whole", "phase", *[f"_keep_{c}" for c in keep],
     )
 
 
@@ -221,6 +220,38 @@ def _selected(x: Column, block_words: int) -> Column:
     )
 
 
+def materialise(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS) -> DataFrame:
+    """The mix as rows with the columns of ``docs``.
+
+    A document gets a whole copy for every full pass, and one more row that holds
+    its words in selected blocks, with the white space after each, if there are any.
+    ``n_chars``, where it exists, is that of the row's text.
+    """
+    rows = mix(docs, block_words, shard_words, keep=list(dict.fromkeys(docs.columns)))
+    part = F.col("taken") - F.col("passes") * F.col("size")
+    # Each word with the white space around it that no other word has.
+    text = F.col("_keep_text")
+    words = F.regexp_extract_all(text, F.lit(rf"(?:^[\x20\x09-\x0D]*)?{WORD}[\x20\x09-\x0D]*"), F.lit(0))
+    def is_chosen(i: Column) -> Column:
+        block = F.floor((F.col("first") + i) / block_words)
+        return (block < F.col("whole")) & (_selected_blocks(block + 1) > _selected_blocks(block))
+
+    chosen = F.filter(words, lambda w, i: is_chosen(i))
+    partial = F.when((part > 0) & (part < F.col("size")), F.array_join(chosen, ""))
+    texts = F.concat(
+        F.array_repeat(text, F.col("passes").cast("int")),
+        F.when(part == F.col("size"), F.array(text)).when(partial.isNotNull(), F.array(partial)).otherwise(
+            F.expr("cast(array() as array<string>)")
+        ),
+    )
+    rows = rows.where("taken > 0").select(
+        *[F.col(f"_keep_{c}").alias(c) for c in docs.columns if c != "text"], F.explode(texts).alias("text")
+    )
+    if "n_chars" in docs.columns:
+        rows = rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return rows.select(*docs.columns)
+
+
 def op9_source_mix(spark, sf_dir: str) -> DataFrame:
     from silverline.llm.common import read
 
