@@ -59,6 +59,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--strict-dates", action="store_true")
     p.add_argument("--normalize-tags", action="store_true")
     p.add_argument("--partition-by-day", action="store_true", help="Silver videos also by trending_date")
+    p.add_argument("--write-quarantine", action="store_true", help="also write the rows that the gate's rules reject")
+    p.add_argument("--catalog", default="", help="database in which the Silver tables are registered")
     p.add_argument("--single-line-csv", action="store_true", help="CSV fields never span lines (splittable)")
     return p
 
@@ -67,17 +69,17 @@ def main(argv: list[str] | None = None) -> int:
     args, _unknown = parser().parse_known_args(argv)  # e.g. --JOB_NAME from the scheduler
     spark = SparkSession.builder.getOrCreate()
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    from silverline.operators.gold import register_table
     from silverline.plans.categories import CategoryJobConfig, run_categories
     from silverline.plans.videos import VideoJobConfig, run_videos
     from silverline.streaming.incremental import stream_api_videos, stream_categories
 
     if args.job == "gold":
-        from silverline.functions.columns import parse_region_codes
         from silverline.plans.gold import GoldJobConfig, run_gold
 
         if not args.gold:
             raise SystemExit("the gold job needs --gold")
-        regions = parse_region_codes(args.regions) if args.regions.strip() else None
+        regions = [code.strip() for code in args.regions.split(",") if code.strip()] or None
         result = run_gold(spark, GoldJobConfig(args.silver, args.gold, regions=regions))
     elif args.job in ("videos", "stream-videos"):
         cfg = VideoJobConfig(
@@ -91,9 +93,12 @@ def main(argv: list[str] | None = None) -> int:
             strict_dates=args.strict_dates,
             normalize_tags=args.normalize_tags,
             multi_line=not args.single_line_csv,
+            write_quarantine=args.write_quarantine,
             partition_by=("source", "region", "trending_date") if args.partition_by_day else ("source", "region"),
         )
         result = run_videos(spark, cfg) if args.job == "videos" else stream_api_videos(spark, cfg)
+        if args.catalog:
+            register_table(spark, f"{args.catalog}.silver_videos", cfg.silver_path)
     else:
         cfg = CategoryJobConfig(
             args.bronze,
@@ -103,6 +108,8 @@ def main(argv: list[str] | None = None) -> int:
             output_prefix=args.cat_out_prefix.rstrip("/") + "/",
         )
         result = run_categories(spark, cfg) if args.job == "categories" else stream_categories(spark, cfg)
+        if args.catalog:
+            register_table(spark, f"{args.catalog}.silver_categories", cfg.output_path)
     print(json.dumps(result, default=str))
     return 0
 

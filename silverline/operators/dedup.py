@@ -58,6 +58,22 @@ def video_order(
     return order
 
 
+def merge_order(df: DataFrame, source_file_column: str = "_source_file") -> list[Column]:
+    """DED1 order over rows of several runs: equal to one batch over all their files.
+
+    In a batch all rows share one ingestion time, so after published_at the Bronze
+    key decides. Across runs the ingestion time tells only when a file was
+    read, not which drop is newer, so it must not come before the key.
+    """
+    key = F.regexp_extract(F.col(source_file_column), r"(region=.*)$", 1)
+    hashed = [c for c in df.columns if not c.startswith("silver_") and c != source_file_column]
+    return [
+        F.col("published_at").desc_nulls_last(),
+        key.desc_nulls_last(),
+        F.xxhash64(*hashed).desc(),
+    ]
+
+
 def dedup_videos(
     df: DataFrame,
     keys: Sequence[str] = DEDUP_KEYS,

@@ -202,7 +202,7 @@ FROM pages
 ORACLE["split_tags"] = """
 SELECT doc_id,
   CAST(len(string_split(coalesce(text, ''), '|')) AS INTEGER) AS n_tags,
-  array_to_string(string_split(coalesce(text, ''), '|')[1:2], '|') AS first_two,
+  array_to_string(list_transform(string_split(coalesce(text, ''), '|'), lambda x: md5(x)), ',') AS tag_digests,
   CAST(length(string_split(coalesce(text, ''), '|')[-1]) AS INTEGER) AS last_tag_chars
 FROM documents
 """
@@ -493,7 +493,7 @@ ORACLE["api_bronze_videos"] = f"""
 WITH raw AS (
   SELECT 'youtube_api' AS source, upper(substr(o.o_orderpriority, 3, 2)) AS region,
     CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) AS video_id,
-    CAST(strftime(o.o_orderdate, '%Y') || '-01-01' AS DATE) AS trending_date,
+    CAST(last_day(o.o_orderdate) AS DATE) AS trending_date,
     l.l_shipdate + to_milliseconds(l.l_partkey * 100000 + l.l_suppkey) AS published_at,
     CAST(l.l_suppkey AS VARCHAR) AS channel_id,
     'supplier ' || CAST(l.l_suppkey AS VARCHAR) AS channel_title,
@@ -525,34 +525,71 @@ FROM ranked WHERE rn = 1
 """
 
 ORACLE["landed_payloads"] = """
-WITH o AS (
-  SELECT o.o_orderkey, upper(substr(o.o_orderpriority, 3, 2)) AS region,
-    count(l.l_orderkey) AS n
-  FROM orders o LEFT JOIN lineitem l ON o.o_orderkey = l.l_orderkey
-  GROUP BY o.o_orderkey, region)
-SELECT region,
-  CAST(sum(CASE WHEN n = 0 THEN 1 ELSE CAST(ceil(n / 50) AS BIGINT) END) AS BIGINT) AS payloads,
-  CAST(sum(n) AS BIGINT) AS items,
+SELECT upper(substr(o.o_orderpriority, 3, 2)) AS region, 'trending_videos' AS dataset,
+  count(DISTINCT CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR)) AS silver_rows,
   '2024-01-02' AS landed_date
-FROM o GROUP BY region
+FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey GROUP BY ALL
+UNION ALL
+SELECT region, 'video_categories', CAST(sum(n) AS BIGINT), '2024-01-02' FROM (
+  SELECT 'm' || substr(translate(regexp_replace(p_brand, '[^0-9]', '', 'g'), '0123456789', 'abcdefghij'), 1, 1) AS region,
+    p_brand, p_partkey // 50, count(DISTINCT p_size) AS n
+  FROM part GROUP BY ALL)
+GROUP BY region
+"""
+
+ORACLE["category_job"] = """
+WITH f AS (
+  SELECT 'Brand_11_' || CAST(p_partkey // 50 AS VARCHAR) || '_category_id' AS file,
+    (p_partkey // 50) % 8 AS k, count(*) AS n, count(DISTINCT p_size) AS ids
+  FROM part GROUP BY ALL),
+g AS (
+  SELECT file, CASE k WHEN 1 THEN 'invalid_json' WHEN 2 THEN 'items_not_list' WHEN 3 THEN 'invalid_category_id'
+      WHEN 4 THEN 'no_rows' WHEN 5 THEN 'missing_region' WHEN 6 THEN 'items_not_list' ELSE 'ok' END AS status,
+    CAST(CASE WHEN k IN (1, 2, 4, 6) THEN 0 WHEN k = 3 THEN 1 ELSE n END AS BIGINT) AS item_count,
+    k IN (0, 7) AS good, ids
+  FROM f)
+SELECT file, status, item_count, CASE WHEN good THEN 'kaggle' END AS source,
+  CASE WHEN good THEN 'us' END AS region, CASE WHEN good THEN CAST(ids AS DOUBLE) END AS record_count,
+  TRUE AS counts_agree
+FROM g
+"""
+
+ORACLE["video_job_record"] = """
+WITH e AS (
+  SELECT event_type, user_id, ts, value, value < 1 AS no_id, value >= 300 AS no_time,
+    TRY_CAST(regexp_replace(json_extract_string(props, '$.k'), '([0-9])\\.[0-9]*\\s*$', '\\1') AS INTEGER) IS NULL
+      AS no_category
+  FROM events),
+v AS (SELECT DISTINCT event_type, user_id, CAST(ts AS DATE) FROM e WHERE NOT (no_id OR no_time OR no_category)),
+c AS (
+  SELECT count(*) AS input_rows, count(*) FILTER (no_id OR no_time OR no_category) AS invalid,
+    count(*) FILTER (no_id) AS no_id, count(*) FILTER (no_time) AS no_time FROM e)
+SELECT 'kaggle_videos' AS dataset, input_rows, invalid AS invalid_rows_removed,
+  input_rows - invalid - (SELECT count(*) FROM v) AS duplicate_rows_removed,
+  (SELECT count(*) FROM v) AS output_rows, invalid / input_rows AS invalid_critical_row_ratio,
+  CAST(0 AS BIGINT) AS invalid_numeric_rows, invalid AS rejected_rows, no_id AS rejected_video_id,
+  no_time AS rejected_published_at
+FROM c
 """
 
 ORACLE["stream_landed_videos"] = f"""
-WITH raw AS (
+WITH lines AS (
   SELECT 'youtube_api' AS source, upper(substr(o.o_orderpriority, 3, 2)) AS region,
     CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) AS video_id,
-    CASE WHEN o.o_orderdate < TIMESTAMP '1998-01-01' THEN DATE '2024-01-02'
-         ELSE DATE '2024-01-03' END AS trending_date,
+    DATE '2024-01-02' AS trending_date,
     l.l_shipdate + to_milliseconds(l.l_partkey * 100000 + l.l_suppkey) AS published_at,
-    'part ' || CAST(l.l_partkey AS VARCHAR) AS title,
-    CAST(l.l_linenumber AS INTEGER) AS category_id,
+    CAST(l.l_partkey AS VARCHAR) AS part, CAST(l.l_linenumber AS INTEGER) AS category_id,
     TRY_CAST(regexp_replace(printf('%.2f', l.l_quantity), '([0-9])\\.[0-9]*\\s*$', '\\1') AS BIGINT)
       AS view_count,
     CAST(l.l_linenumber AS BIGINT) AS comment_count
   FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey),
+raw AS (
+  SELECT *, 9 AS hour, 'part ' || part AS title FROM lines
+  UNION ALL SELECT *, 3, 'late ' || part FROM lines WHERE category_id = 1
+  UNION ALL SELECT *, 15, 'update ' || part FROM lines WHERE category_id = 2),
 ranked AS (
   SELECT *, row_number() OVER (
-    PARTITION BY source, region, video_id, trending_date ORDER BY published_at DESC) AS rn
+    PARTITION BY source, region, video_id, trending_date ORDER BY published_at DESC, hour DESC) AS rn
   FROM raw)
 SELECT source, region, video_id, strftime(trending_date, '%Y-%m-%d') AS trending_date,
   strftime(published_at, {TS_TEXT}) AS published_at, title, category_id, view_count, comment_count

@@ -98,7 +98,7 @@ def events_as_api_rows(events: DataFrame) -> DataFrame:
 PAGE_SIZE = MAX_RESULTS_LIMITS[1]
 
 
-def orders_as_api_payloads(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+def orders_as_api_payloads(orders: DataFrame, lineitem: DataFrame, title: str = "part ") -> DataFrame:
     """``orders`` with their line items nested as API responses.
 
     Rows hold ``items`` typed exactly as the API schema reads them, so the
@@ -127,7 +127,7 @@ def orders_as_api_payloads(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
             ).alias("publishedAt"),
             F.col("l_suppkey").cast("string").alias("channelId"),
             F.concat(F.lit("supplier "), F.col("l_suppkey").cast("string")).alias("channelTitle"),
-            F.concat(F.lit("part "), F.col("l_partkey").cast("string")).alias("title"),
+            F.concat(F.lit(title), F.col("l_partkey").cast("string")).alias("title"),
             F.col("l_returnflag").alias("description"),
             F.col("l_linenumber").cast("string").alias("categoryId"),
             F.array(F.col("l_returnflag"), F.col("l_linestatus")).alias("tags"),
@@ -146,22 +146,28 @@ def orders_as_api_payloads(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
             F.lit("true").alias("licensedContent"),
         ).alias("contentDetails"),
     )
-    sizes = l.groupBy(F.col("l_orderkey").alias("_ok")).agg(F.count(F.lit(1)).alias("_n"))
+    # Only orders over one page need their count; that list is short, and its
+    # join keeps lineitem on the left, so a hot order can be split.
+    large = (
+        l.groupBy(F.col("l_orderkey").alias("_ok"))
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .where(F.col("_n") > PAGE_SIZE)
+    )
     pages_of = F.ceil(F.col("_n") / F.lit(PAGE_SIZE))
     item_hash = F.xxhash64("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
-    paged = l.join(sizes, l.l_orderkey == sizes._ok).withColumn("_page", F.pmod(item_hash, pages_of))
-    flat = orders.join(paged, orders.o_orderkey == paged.l_orderkey, "left").select(
-        F.col("o_orderkey"),
-        F.coalesce(F.col("_page"), F.lit(0)).alias("page"),
-        F.col("o_orderpriority"),
-        F.col("o_orderdate"),
-        F.when(F.col("l_orderkey").isNotNull(), item).alias("item"),
+    paged = l.join(large, l.l_orderkey == large._ok, "left").withColumn(
+        "page", F.coalesce(F.pmod(item_hash, pages_of), F.lit(0)).cast("bigint")
     )
-    # collect_list skips the NULL item of an order without lines -> []. Item
-    # order inside a response does not matter to any consumer (the explode
-    # gives a set of rows, the manifest counts), so it is not sorted.
-    pages = flat.groupBy("o_orderkey", "page", "o_orderpriority", "o_orderdate").agg(
-        F.collect_list("item").alias("items")
+    # Lines meet per (order, page), so a hot order is dealt over its pages. Item
+    # order inside a response does not matter to any consumer.
+    filled = paged.groupBy("l_orderkey", "page").agg(F.collect_list(item).alias("items"))
+    empty = F.array().cast(f"array<{filled.schema['items'].dataType.elementType.simpleString()}>")
+    pages = orders.join(filled, orders.o_orderkey == filled.l_orderkey, "left").select(
+        "o_orderkey",
+        F.coalesce("page", F.lit(0)).alias("page"),
+        "o_orderpriority",
+        "o_orderdate",
+        F.coalesce("items", empty).alias("items"),
     )
     return pages.select(
         F.col("o_orderkey"),
@@ -279,21 +285,21 @@ def write_events_as_csv_bronze(events: DataFrame, root: str, compression: str =
 def write_orders_as_api_bronze(
     orders: DataFrame, lineitem: DataFrame, root: str, compression: str = "lz4"
 ) -> str:
-    """API responses as JSON Lines under ``region=/date=<yyyy>/hour=00/``.
+    """API responses as JSON Lines under ``region=/date=/hour=00/``.
 
-    The ``date=`` folder holds the order year (read back as January 1 of it),
-    which keeps the folder count, and so the number of small files each
-    writer task leaves, to regions x years.
+    The folder's date is that of the run that fetched the response; runs are at the
+    end of each order's month. Rows are dealt by folder first, so a folder is
+    one file where it is small.
     """
     docs = orders_as_api_payloads(orders, lineitem).select(
         F.lit("youtube#videoListResponse").alias("kind"),
         F.col("items"),
         F.regexp_extract("_source_file", "region=([^/]+)", 1).alias("region"),
-        F.substring(F.regexp_extract("_source_file", "date=([0-9-]+)", 1), 1, 4).alias("date"),
+        F.last_day(F.to_date(F.regexp_extract("_source_file", "date=([0-9-]+)", 1))).cast("string").alias("date"),
         F.lit("00").alias("hour"),
     )
     path = f"{root}/youtube/api_raw/videos"
-    docs.write.mode("overwrite").partitionBy("region", "date", "hour").option(
+    docs.hint("rebalance", "region", "date").write.mode("overwrite").partitionBy("region", "date", "hour").option(
         "compression", compression
     ).json(path)
     return path

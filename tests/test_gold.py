@@ -3,7 +3,6 @@ import random
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from silverline.operators.joins import bounded_broadcast, row_count_at_most
 from silverline.operators.ranking import dense_rank_within
 
 
@@ -22,13 +21,6 @@ def test_dense_rank_matches_window_with_a_hot_group(spark):
     assert sorted(got.collect()) == sorted(want.collect())
 
 
-def test_bounded_broadcast_checks_rows(spark):
-    small = spark.range(10)
-    assert row_count_at_most(small, 10)
-    assert not row_count_at_most(small, 9)
-    plan = small.join(bounded_broadcast(spark.range(5), 5), "id")._jdf.queryExecution().executedPlan().toString()
-    assert "Broadcast" in plan
-
 
 def test_register_silver_table(spark, tmp_path):
     from silverline.operators.gold import register_table

@@ -5,6 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from silverline.plans.queries import QUERIES
 from tests.conftest import SF_SMOKE
 
 
@@ -36,7 +37,7 @@ def test_flagship_dedups_with_one_shuffle_and_a_partial_limit(static_plans):
     assert tree.index("Exchange") < tree.rindex("WindowGroupLimit")
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_in_any_plan(static_plans, name):
     plan = static_plans(name)
     assert not re.search(r"(BatchEvalPython|ArrowEvalPython|MapInPandas|FlatMapGroupsInPandas)", plan)
