@@ -12,6 +12,9 @@ of each (its prefix). Candidates must do so under every one of ``ORDERS`` orders
 - Equal sets are one class from the start. The classes are joined on the tokens
   of the first order; tokens of a single class drop out in a count. Sizes and token
   positions bound the overlap that a pair can still have.
+- A histogram of 128 cells over each set's hashes bounds the overlap from above; pairs that
+  the bound rejects go without their texts being read. The sets of the other classes
+  are made again from one text of each.
 - The other orders' prefixes must overlap too; only then are sets intersected.
 
 No group's pairs are all made. First every class meets only the most central
@@ -49,6 +52,7 @@ ORDERS = 3
 RARE = 2.0**-18
 TABLE_BITS = 22
 LEVELS = 16
+CELLS = 128
 # Odd multipliers of the orders' hashes.
 MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
 
@@ -128,6 +132,11 @@ class Shingler:
         return out
 
 
+def histogram(tokens: np.ndarray) -> bytes:
+    """Tokens by hash cell, a byte each; 255 stands for that or more."""
+    return np.minimum(np.bincount(tokens >> np.uint64(57), minlength=CELLS), 255).astype(np.uint8).tobytes()
+
+
 def set_key(tokens: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(tokens.tobytes()) - (1 << 63)
 
@@ -137,10 +146,10 @@ def _signed(a: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, levels: bytes, words: int, percent: int, whole: bool) -> DataFrame:
-    """Per row: doc_id, key, n, common, prefix; with ``whole`` also the set and the other prefixes."""
+    """Per row: doc_id, key, n, common, cells, prefix; with ``whole`` also the set and the other prefixes."""
     table = docs.sparkSession.sparkContext.broadcast(levels)
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {id_type}, key long, n int, common float, prefix array<long>"
+    schema = f"doc_id {id_type}, key long, n int, common float, cells binary, prefix array<long>"
     if whole:
         schema += ", tokens array<long>, others array<array<long>>"
 
@@ -154,9 +163,10 @@ def sketches(docs: DataFrame, levels: bytes, words: int, percent: int, whole: bo
                     tokens, level = shingler.shingles(text)
                     first, *others = shingler.prefixes(tokens, level)
                     common = float(level.mean()) if len(level) else 0.0
-                    row = [None if pd.isna(doc_id) else doc_id, set_key(tokens), len(tokens), common, _signed(first)]
+                    known = None if pd.isna(doc_id) else doc_id
+                    row = [known, set_key(tokens), len(tokens), common, histogram(tokens), _signed(first)]
                     rows.append([*row, _signed(tokens), [_signed(o) for o in others]] if whole else row)
-                names = ["doc_id", "key", "n", "common", "prefix", "tokens", "others"]
+                names = ["doc_id", "key", "n", "common", "cells", "prefix", "tokens", "others"]
                 yield pd.DataFrame(rows, columns=names[: len(rows[0])] if rows else None)
 
     return docs.select("doc_id", "text").mapInPandas(run, schema)
@@ -172,8 +182,39 @@ def _overlap_allows(n: Column, i: Column, m: Column, j: Column, percent: int) ->
     return ((100 + percent) * (n - i) >= need) & ((100 + percent) * (m - j) >= need)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes that link."""
+def _bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose histograms leave room for the overlap a link needs."""
+
+    def side(name: str) -> DataFrame:
+        return classes.select(
+            F.col("key").alias(name), F.col("n").alias(f"n_{name}"), F.col("cells").alias(f"c_{name}")
+        )
+
+    def run(frames):
+        for pdf in frames:
+            a, b = (np.frombuffer(b"".join(pdf[c]), np.uint8).reshape(-1, CELLS) for c in ("c_a", "c_b"))
+            low = np.minimum(a, b)
+            most = low.sum(axis=1, dtype=np.int64)
+            # A full cell bounds nothing.
+            open_ = (low == 255).any(axis=1)
+            n = (pdf["n_a"] + pdf["n_b"]).to_numpy(np.int64)
+            yield pdf.loc[open_ | ((100 + percent) * most >= percent * n), ["a", "b"]]
+
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    return both.mapInPandas(run, "a long, b long")
+
+
+def _verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, levels: bytes, words: int, percent: int):
+    """The pairs (a, b) of classes that link, by their whole sets."""
+    ends = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
+    # One text of each class; a class of null ids only has a null rep.
+    wanted = classes.join(ends, "key").select("rep", F.col("key").alias("wanted"))
+    texts = docs.select("doc_id", "text").join(
+        wanted.select("rep").distinct(), F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi"
+    )
+    sets = sketches(texts, levels, words, percent, whole=True)
+    sets = sets.join(wanted, (F.col("key") == F.col("wanted")) & F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi")
+
     def side(name: str) -> DataFrame:
         return sets.select(
             F.col("key").alias(name), F.col("tokens").alias(f"t_{name}"), F.col("others").alias(f"o_{name}")
@@ -184,7 +225,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         both = both.where(F.arrays_overlap(F.get("o_a", F.lit(k)), F.get("o_b", F.lit(k))))
     shared = F.size(F.array_intersect("t_a", "t_b"))
     union = F.size("t_a") + F.size("t_b") - shared
-    return both.where(100 * shared >= percent * union).select("a", "b")
+    return both.where(100 * shared >= percent * union).select("a", "b").distinct()
 
 
 def join(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
@@ -201,26 +242,31 @@ def join(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
     classes = stored(
         rows.where("n > 0").groupBy("key").agg(
             F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("common").alias("common"),
-            F.first("prefix").alias("prefix"),
+            F.first("prefix").alias("prefix"), F.first("cells").alias("cells"),
         ),
         "classes",
     )
-    index = classes.select("key", "n", F.posexplode("prefix").alias("pos", "token"))
-    often = index.groupBy("token").agg(F.count(F.lit(1)).alias("classes")).where("classes > 1")
-    hits = stored(index.join(often, "token").select("token", "key", "n", "pos"), "hits")
-    in_hits = hits.select("key").distinct()
+    # One long for size and position keeps the widest shuffle narrow.
+    index = classes.select("key", "n", F.posexplode("prefix").alias("pos", "token")).select(
+        "token", "key", (F.shiftleft(F.col("n").cast("bigint"), 32) + F.col("pos")).alias("size_pos")
+    )
+    often = index.select("token").groupBy("token").agg(F.count(F.lit(1)).alias("classes")).where("classes > 1")
+    hits = stored(
+        index.join(often.select("token"), "token", "left_semi").select(
+            "token", "key", F.shiftright("size_pos", 32).cast("int").alias("n"),
+            F.col("size_pos").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("pos"),
+        ),
+        "hits",
+    )
     central = (
         hits.join(classes.select("key", "common"), "key")
         .groupBy("token")
         .agg(F.max(F.struct("common", "key", "n", "pos")).alias("c"))
-        .select("token", F.col("c")["key"].alias("hub"), F.col("c")["n"].alias("hub_n"), F.col("c")["pos"].alias("hub_pos"))
+        .select(
+            "token", F.col("c")["key"].alias("hub"), F.col("c")["n"].alias("hub_n"), F.col("c")["pos"].alias("hub_pos")
+        )
     )
     central = stored(central, "central")
-    # One text for each class that shares a token. A class of null ids has a null rep.
-    wanted = classes.join(in_hits, "key", "left_semi").select("rep").distinct()
-    texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi")
-    sets = sketches(texts, levels, words, percent, whole=True).join(in_hits, "key", "left_semi")
-    sets = stored(sets.dropDuplicates(["key"]).select("key", "tokens", "others"), "sets")
 
     near = hits.join(central, "token").where(
         (F.col("key") != F.col("hub"))
@@ -228,7 +274,8 @@ def join(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
         & _overlap_allows(F.col("n"), F.col("pos"), F.col("hub_n"), F.col("hub_pos"), percent)
     )
     first = near.select(F.least("key", "hub").alias("a"), F.greatest("key", "hub").alias("b")).distinct()
-    links = stored(_verified(first, sets, percent), "links-1")
+    first = stored(_bounded(first, classes, percent), "pairs-1")
+    links = stored(_verified(docs, first, classes, levels, words, percent), "links-1")
     roots = components(links)
 
     placed = stored(
@@ -251,7 +298,8 @@ def join(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
     )
     second = met.select(F.least("key", "x_key").alias("a"), F.greatest("key", "x_key").alias("b")).distinct()
     second = second.join(first, ["a", "b"], "left_anti")
-    links = stored(links.unionByName(_verified(second, sets, percent)), "links")
+    second = stored(_bounded(second, classes, percent), "pairs-2")
+    links = stored(links.unionByName(_verified(docs, second, classes, levels, words, percent)), "links")
     roots = components(links)
 
     labelled = classes.join(roots, F.col("key") == F.col("node"), "left").select(
