@@ -242,17 +242,22 @@ def join(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
     classes = stored(
         rows.where("n > 0").groupBy("key").agg(
             F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("common").alias("common"),
-            F.first("prefix").alias("prefix"), F.first("cells").alias("cells"),
+            F.first("cells").alias("cells"),
         ),
         "classes",
     )
-    # One long for size and position keeps the widest shuffle narrow.
-    index = classes.select("key", "n", F.posexplode("prefix").alias("pos", "token")).select(
+    # One long for size and position keeps the widest shuffle narrow. Copies of a
+    # class stay in until the few tokens are left that two classes share.
+    index = rows.select("key", "n", F.posexplode("prefix").alias("pos", "token")).select(
         "token", "key", (F.shiftleft(F.col("n").cast("bigint"), 32) + F.col("pos")).alias("size_pos")
     )
-    often = index.select("token").groupBy("token").agg(F.count(F.lit(1)).alias("classes")).where("classes > 1")
+    often = (
+        index.groupBy("token")
+        .agg(F.min("key").alias("least"), F.max("key").alias("most"))
+        .where("least <> most")
+    )
     hits = stored(
-        index.join(often.select("token"), "token", "left_semi").select(
+        index.join(often.select("token"), "token", "left_semi").dropDuplicates(["token", "key"]).select(
             "token", "key", F.shiftright("size_pos", 32).cast("int").alias("n"),
             F.col("size_pos").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("pos"),
         ),
