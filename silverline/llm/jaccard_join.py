@@ -12,8 +12,8 @@ of each (its prefix). Candidates must do so under every one of ``ORDERS`` orders
 - Equal sets are one class from the start. The classes are joined on the tokens
   of the first order; tokens of a single class drop out in a count. Sizes and token
   positions bound the overlap that a pair can still have.
-- A histogram of 128 cells over each set's hashes bounds the overlap from above; pairs that
-  the bound rejects go without their texts being read. The sets of the other classes
+- A histogram of 64 cells over each set's hashes bounds the overlap from above, as a
+  condition of the joins that make pairs; pairs that it rejects are never made. The sets of the other classes
   are made again from one text of each.
 - The other orders' prefixes must overlap too; only then are sets intersected.
 
@@ -52,7 +52,8 @@ ORDERS = 3
 RARE = 2.0**-18
 TABLE_BITS = 22
 LEVELS = 16
-CELLS = 128
+CELLS = 64
+PACKED = [f"h{i}" for i in range(CELLS // 8)]  # eight cells to a long
 # Odd multipliers of the orders' hashes.
 MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
 
@@ -132,9 +133,10 @@ class Shingler:
         return out
 
 
-def histogram(tokens: np.ndarray) -> bytes:
-    """Tokens by hash cell, a byte each; 255 stands for that or more."""
-    return np.minimum(np.bincount(tokens >> np.uint64(57), minlength=CELLS), 255).astype(np.uint8).tobytes()
+def histogram(tokens: np.ndarray) -> list[int]:
+    """Tokens by hash cell, a byte each, eight to a long; 255 stands for that or more."""
+    cells = np.minimum(np.bincount(tokens >> np.uint64(58), minlength=CELLS), 255).astype(np.uint8)
+    return cells.view(np.int64).tolist()
 
 
 def set_key(tokens: np.ndarray) -> int:
@@ -146,10 +148,10 @@ def _signed(a: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, levels: bytes, words: int, percent: int, whole: bool) -> DataFrame:
-    """Per row: doc_id, key, n, common, cells, prefix; with ``whole`` also the set and the other prefixes."""
+    """Per row: doc_id, key, n, histogram, prefix; with ``whole`` also the set and the other prefixes."""
     table = docs.sparkSession.sparkContext.broadcast(levels)
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {id_type}, key long, n int, common float, cells binary, prefix array<long>"
+    schema = f"doc_id {id_type}, key long, n int, " + ", ".join(f"{h} long" for h in PACKED) + ", prefix array<long>"
     if whole:
         schema += ", tokens array<long>, others array<array<long>>"
 
@@ -162,11 +164,10 @@ def sketches(docs: DataFrame, levels: bytes, words: int, percent: int, whole: bo
                 for doc_id, text in zip(part["doc_id"], part["text"], strict=True):
                     tokens, level = shingler.shingles(text)
                     first, *others = shingler.prefixes(tokens, level)
-                    common = float(level.mean()) if len(level) else 0.0
                     known = None if pd.isna(doc_id) else doc_id
-                    row = [known, set_key(tokens), len(tokens), common, histogram(tokens), _signed(first)]
+                    row = [known, set_key(tokens), len(tokens), *histogram(tokens), _signed(first)]
                     rows.append([*row, _signed(tokens), [_signed(o) for o in others]] if whole else row)
-                names = ["doc_id", "key", "n", "common", "cells", "prefix", "tokens", "others"]
+                names = ["doc_id", "key", "n", *PACKED, "prefix", "tokens", "others"]
                 yield pd.DataFrame(rows, columns=names[: len(rows[0])] if rows else None)
 
     return docs.select("doc_id", "text").mapInPandas(run, schema)
@@ -182,26 +183,18 @@ def _overlap_allows(n: Column, i: Column, m: Column, j: Column, percent: int) ->
     return ((100 + percent) * (n - i) >= need) & ((100 + percent) * (m - j) >= need)
 
 
-def _bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose histograms leave room for the overlap a link needs."""
+def _cells_allow(n: Column, m: Column, mine: str, other: str, percent: int) -> Column:
+    """Whether the histograms leave room for the overlap a link needs; a full cell bounds nothing."""
 
-    def side(name: str) -> DataFrame:
-        return classes.select(
-            F.col("key").alias(name), F.col("n").alias(f"n_{name}"), F.col("cells").alias(f"c_{name}")
-        )
+    def cell(name: str, k: int) -> Column:
+        return F.shiftrightunsigned(F.col(name), 8 * k).bitwiseAND(F.lit(255))
 
-    def run(frames):
-        for pdf in frames:
-            a, b = (np.frombuffer(b"".join(pdf[c]), np.uint8).reshape(-1, CELLS) for c in ("c_a", "c_b"))
-            low = np.minimum(a, b)
-            most = low.sum(axis=1, dtype=np.int64)
-            # A full cell bounds nothing.
-            open_ = (low == 255).any(axis=1)
-            n = (pdf["n_a"] + pdf["n_b"]).to_numpy(np.int64)
-            yield pdf.loc[open_ | ((100 + percent) * most >= percent * n), ["a", "b"]]
-
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
-    return both.mapInPandas(run, "a long, b long")
+    most = F.lit(0).cast("bigint")
+    for h in PACKED:
+        for k in range(8):
+            low = F.least(cell(mine + h, k), cell(other + h, k))
+            most = most + F.when(low == 255, F.lit(1 << 40)).otherwise(low)
+    return (100 + percent) * most >= percent * (n + m)
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, levels: bytes, words: int, percent: int):
@@ -241,8 +234,8 @@ def join(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
     rows = stored(sketches(docs, levels, words, percent, whole=False), "rows")
     classes = stored(
         rows.where("n > 0").groupBy("key").agg(
-            F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("common").alias("common"),
-            F.first("cells").alias("cells"),
+            F.min("doc_id").alias("rep"), F.first("n").alias("n"),
+            *[F.first(h).alias(h) for h in PACKED],
         ),
         "classes",
     )
@@ -263,47 +256,51 @@ def join(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
         ),
         "hits",
     )
+    # The most central class of a token is the one with the largest share of
+    # tokens that others have too: of copies, the one with the fewest changes.
+    shared = hits.groupBy("key").agg(F.count(F.lit(1)).alias("in_hits"))
+    profiles = classes.join(shared, "key").select("key", (F.col("in_hits") / F.col("n")).alias("common"), *PACKED)
+    profiled = stored(hits.join(profiles, "key"), "profiled")
     central = (
-        hits.join(classes.select("key", "common"), "key")
-        .groupBy("token")
-        .agg(F.max(F.struct("common", "key", "n", "pos")).alias("c"))
-        .select(
-            "token", F.col("c")["key"].alias("hub"), F.col("c")["n"].alias("hub_n"), F.col("c")["pos"].alias("hub_pos")
-        )
+        profiled.groupBy("token")
+        .agg(F.max(F.struct("common", "key", "n", "pos", *PACKED)).alias("c"))
+        .select("token", *[F.col("c")[x].alias(f"hub_{x}") for x in ("key", "n", "pos", *PACKED)])
     )
     central = stored(central, "central")
 
-    near = hits.join(central, "token").where(
-        (F.col("key") != F.col("hub"))
+    near = profiled.join(central, "token").where(
+        (F.col("key") != F.col("hub_key"))
         & _sizes_allow(F.col("n"), F.col("hub_n"), percent)
         & _overlap_allows(F.col("n"), F.col("pos"), F.col("hub_n"), F.col("hub_pos"), percent)
+        & _cells_allow(F.col("n"), F.col("hub_n"), "", "hub_", percent)
     )
-    first = near.select(F.least("key", "hub").alias("a"), F.greatest("key", "hub").alias("b")).distinct()
-    first = stored(_bounded(first, classes, percent), "pairs-1")
+    first = near.select(F.least("key", "hub_key").alias("a"), F.greatest("key", "hub_key").alias("b")).distinct()
+    first = stored(first, "pairs-1")
     links = stored(_verified(docs, first, classes, levels, words, percent), "links-1")
     roots = components(links)
 
     placed = stored(
-        hits.join(roots, F.col("key") == F.col("node"), "left").select(
-            "token", "key", "n", "pos", F.coalesce("root", "key").alias("root")
+        profiled.join(roots, F.col("key") == F.col("node"), "left").select(
+            "token", "key", "n", "pos", *PACKED, F.coalesce("root", "key").alias("root")
         ),
         "placed",
     )
-    hubs = central.join(roots, F.col("hub") == F.col("node"), "left").select(
-        "token", F.coalesce("root", "hub").alias("hub_root")
+    hubs = central.join(roots, F.col("hub_key") == F.col("node"), "left").select(
+        "token", F.coalesce("root", "hub_key").alias("hub_root")
     )
     outside = placed.join(hubs, "token").where("root <> hub_root").select(
-        "token", "hub_root", *[F.col(c).alias(f"x_{c}") for c in ("key", "n", "pos", "root")]
+        "token", "hub_root", *[F.col(c).alias(f"x_{c}") for c in ("key", "n", "pos", "root", *PACKED)]
     )
     met = placed.join(outside, "token").where(
         (F.col("root") != F.col("x_root"))
         & ((F.col("key") < F.col("x_key")) | (F.col("root") == F.col("hub_root")))
         & _sizes_allow(F.col("n"), F.col("x_n"), percent)
         & _overlap_allows(F.col("n"), F.col("pos"), F.col("x_n"), F.col("x_pos"), percent)
+        & _cells_allow(F.col("n"), F.col("x_n"), "", "x_", percent)
     )
     second = met.select(F.least("key", "x_key").alias("a"), F.greatest("key", "x_key").alias("b")).distinct()
     second = second.join(first, ["a", "b"], "left_anti")
-    second = stored(_bounded(second, classes, percent), "pairs-2")
+    second = stored(second, "pairs-2")
     links = stored(links.unionByName(_verified(docs, second, classes, levels, words, percent)), "links")
     roots = components(links)
 
