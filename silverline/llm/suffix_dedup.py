@@ -11,10 +11,11 @@ in any document; strings do not cross documents and are judged on the input.
    and greatest hash of a context). A single place is no repeat; equal contexts
    are repeated as a whole. Both need only partial aggregates, so copies of one
    document or passage, however many, meet in no task.
-3. Where contexts differ, the windows around an anchor are halved by offset: those of
-   one half share a longer gram (125 bytes, then 162, ...). Halves are counted in the
-   same way. Groups of more than ``MAX_GROUP`` places are halved again, at the latest
-   until a half is a single window, which a count decides.
+3. Where contexts differ, equal contexts of a gram are repeated as a whole too, and one of
+   them goes on to be met by the others. The windows around its anchor are halved by
+   offset: those of one half share a longer gram (125 bytes, then 162, ...). Halves are
+   counted in the same way. Groups of more than ``MAX_GROUP`` different contexts
+   are halved again, at the latest until a half is a single window, which a count decides.
 4. The other groups' contexts go to an enhanced suffix array: suffixes and
    common prefix lengths by prefix doubling, on the alphabet (group, offset to the
    anchor, byte), as only strings at one offset to the anchor are different
@@ -150,10 +151,12 @@ def halves(contexts: DataFrame, ranges: DataFrame, length: int, gram: int) -> Da
     """The halves (lo, hi) of each place's range, with the hash of what all their windows share
     (key) and of all that they reach (ctx). Halves without a whole window are left out."""
 
+    names = ["row", "pos", "at", "data", "lo", "hi", "done"]
+
     def run(frames):
         for pdf in frames:
             out = []
-            for row, pos, at, data, lo, hi in pdf[["row", "pos", "at", "data", "lo", "hi"]].itertuples(index=False):
+            for row, pos, at, data, lo, hi, done in pdf[names].itertuples(index=False):
                 middle = (lo + hi) // 2
                 for a, b in ((lo, middle), (middle + 1, hi)) if lo < hi else ((lo, hi),):
                     # Windows start ``a`` to ``b`` bytes before the anchor, as far as the text goes.
@@ -163,11 +166,11 @@ def halves(contexts: DataFrame, ranges: DataFrame, length: int, gram: int) -> Da
                     reach = data[at - b_in : at - a_in + length]
                     shared = data[at - min(a, at) : at - b + length] if at >= a else b""
                     key = _hash(shared + bytes([a, b]))
-                    out.append((row, pos, a, b, key, _hash(reach + bytes([b_in, a_in])), a_in, b_in))
-            yield pd.DataFrame(out, columns=["row", "pos", "lo", "hi", "key", "ctx", "first", "last"])
+                    out.append((row, pos, a, b, key, _hash(reach + bytes([b_in, a_in])), a_in, b_in, done))
+            yield pd.DataFrame(out, columns=["row", "pos", "lo", "hi", "key", "ctx", "first", "last", "done"])
 
     return contexts.join(ranges, ["row", "pos"]).mapInPandas(
-        run, "row long, pos int, lo int, hi int, key long, ctx long, first int, last int"
+        run, "row long, pos int, lo int, hi int, key long, ctx long, first int, last int, done boolean"
     )
 
 
@@ -264,37 +267,36 @@ def covered(keys: list[int], data: list[bytes], offsets: list[int], length: int)
     return spans
 
 
-def repeats(contexts: DataFrame, rows: DataFrame, length: int) -> DataFrame:
-    """Spans (row, start, end) of the places in ``rows`` (row, pos, key, ctx, first, last)."""
-    # Equal contexts of a key go once, with a mark that there are several.
-    once = rows.groupBy("key", "ctx").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("row", "pos", "first", "last")).alias("x")
-    )
-    once = once.select("key", "ctx", "n", "x.*").join(contexts, ["row", "pos"])
-    once = once.select(
+def repeats(contexts: DataFrame, nodes: DataFrame, length: int) -> DataFrame:
+    """Spans (row, start, end) of the open places among ``nodes``, by suffix arrays.
+
+    ``nodes`` are different contexts (key, ctx, row, pos, first, last, open) of small groups.
+    """
+    once = nodes.join(contexts, ["row", "pos"]).select(
         "key",
-        "ctx",
-        "n",
+        "row",
+        "pos",
+        "open",
         "last",
         F.expr(f"substring(data, at - last + 1, last - first + {length})").alias("data"),
     )
     # All contexts of a key in one partition, key after key; groups are small by now.
-    once = once.repartition("key").sortWithinPartitions("key", "ctx")
+    once = once.repartition("key").sortWithinPartitions("key")
 
     def solve(batch: list[tuple]) -> pd.DataFrame:
-        keys, ctxs, counts, lasts, data = zip(*batch, strict=True)
-        spans = covered(list(keys), list(data), [-x for x in lasts], length)
+        keys, rows, places, opens, lasts, data = zip(*batch, strict=True)
+        found = covered(list(keys), list(data), [-x for x in lasts], length)
         out = []
-        for key, ctx, n, last, d, found in zip(keys, ctxs, counts, lasts, data, spans, strict=True):
-            merged = [(0, len(d))] if n > 1 else merge(found)
-            out += [(key, ctx, a - last, b - last) for a, b in merged]
-        return pd.DataFrame(out, columns=["key", "ctx", "a", "b"])
+        for row, pos, is_open, last, spans in zip(rows, places, opens, lasts, found, strict=True):
+            if is_open:
+                out += [(row, pos + a - last, pos + b - last) for a, b in merge(spans)]
+        return pd.DataFrame(out, columns=["row", "start", "end"])
 
     def run(frames):
         batch: list[tuple] = []
         size, last_key = 0, None
         for pdf in frames:
-            for record in pdf[["key", "ctx", "n", "last", "data"]].itertuples(index=False):
+            for record in pdf[["key", "row", "pos", "open", "last", "data"]].itertuples(index=False):
                 if size > CHUNK and record.key != last_key:
                     yield solve(batch)
                     batch, size = [], 0
@@ -303,10 +305,7 @@ def repeats(contexts: DataFrame, rows: DataFrame, length: int) -> DataFrame:
         if batch:
             yield solve(batch)
 
-    found = once.mapInPandas(run, "key long, ctx long, a int, b int")
-    return rows.join(found, ["key", "ctx"]).select(
-        "row", (F.col("pos") + F.col("a")).alias("start"), (F.col("pos") + F.col("b")).alias("end")
-    )
+    return once.mapInPandas(run, "row long, start int, end int")
 
 
 def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -320,6 +319,33 @@ def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def _nodes(rows: DataFrame) -> DataFrame:
+    """The different contexts of each key: how many places, and one of them (x).
+
+    ``open``: a single place whose windows are not yet known to be repeated.
+    """
+    return rows.groupBy("key", "ctx").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min(F.struct("row", "pos", "lo", "hi", "first", "last", "done")).alias("x"),
+    ).select("key", "ctx", "n", "x.*").withColumn("open", (F.col("n") == 1) & ~F.col("done"))
+
+
+def _equal_places(rows: DataFrame, nodes: DataFrame, length: int) -> DataFrame:
+    """Spans of the places whose context another place of their key has too."""
+    several = nodes.where("n > 1").select("key", "ctx")
+    return rows.where(~F.col("done")).join(several, ["key", "ctx"], "left_semi").select(
+        "row", (F.col("pos") - F.col("last")).alias("start"), (F.col("pos") - F.col("first") + length).alias("end")
+    )
+
+
+def _undecided(nodes: DataFrame) -> DataFrame:
+    """The nodes of keys that have an open one and another to compare it with, with the key's size."""
+    sizes = nodes.groupBy("key").agg(
+        F.count(F.lit(1)).alias("contexts"), F.count_if("open").alias("opens")
+    )
+    return nodes.join(sizes.where("contexts > 1 AND opens > 0").select("key", "contexts"), "key")
+
+
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, max_group: int = MAX_GROUP) -> DataFrame:
     """(row, start, end), overlapping, of all repeated bytes of ``docs`` (row, t); ends may pass the text's."""
     spark = docs.sparkSession
@@ -329,41 +355,31 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, max_
         df.write.parquet(f"{folder}/{name}")
         return spark.read.parquet(f"{folder}/{name}")
 
-    places = stored(anchor_rows(docs, length, gram), "anchors")
-    index = places.select("row", F.inline(F.arrays_zip("pos", "gram", "ctx")))
-    counts = index.groupBy("gram").agg(
-        F.count(F.lit(1)).alias("n"), F.min("ctx").alias("lo_ctx"), F.max("ctx").alias("hi_ctx")
-    )
-    counts = counts.where("n > 1").select("gram", (F.col("lo_ctx") == F.col("hi_ctx")).alias("equal"))
-    hits = stored(index.join(counts, "gram").select("row", "pos", "equal"), "hits")
+    # The anchors are made twice rather than stored: they cost less than their room.
+    index = anchor_rows(docs, length, gram).select("row", F.inline(F.arrays_zip("pos", "gram", "ctx")))
+    often = index.select("gram").groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     reach = length - gram
-    spans = [
-        hits.where("equal").select(
-            "row", (F.col("pos") - reach).alias("start"), (F.col("pos") + length).alias("end")
-        )
-    ]
-    contexts = stored(contexts_at(docs, hits.where(~F.col("equal")), length, gram), "contexts")
-    ranges = contexts.select("row", "pos", F.lit(0).alias("lo"), F.lit(reach).alias("hi"))
+    rows = index.join(often.select("gram"), "gram", "left_semi").select(
+        "row", "pos", F.col("gram").alias("key"), "ctx",
+        F.lit(0).alias("lo"), F.lit(reach).alias("hi"), F.lit(0).alias("first"), F.lit(reach).alias("last"),
+        F.lit(False).alias("done"),
+    )
+    rows = stored(rows, "places")
+    nodes = stored(_nodes(rows), "nodes-0")
+    spans = [_equal_places(rows, nodes, length)]
+    left = stored(_undecided(nodes), "undecided-0")
+    contexts = stored(contexts_at(docs, left.select("row", "pos"), length, gram), "contexts")
     level = 0
     while True:
         level += 1
+        ranges = left.select("row", "pos", "lo", "hi", (~F.col("open")).alias("done"))
         rows = stored(halves(contexts, ranges, length, gram), f"halves-{level}")
-        counts = rows.groupBy("key").agg(
-            F.count(F.lit(1)).alias("n"), F.min("ctx").alias("lo_ctx"), F.max("ctx").alias("hi_ctx")
-        )
-        counts = counts.where("n > 1").select(
-            "key", "n", (F.col("lo_ctx") == F.col("hi_ctx")).alias("equal")
-        )
-        rows = stored(rows.join(counts, "key"), f"counted-{level}")
-        spans.append(
-            rows.where("equal").select(
-                "row", (F.col("pos") - F.col("last")).alias("start"), (F.col("pos") - F.col("first") + length).alias("end")
-            )
-        )
-        small = rows.where(~F.col("equal") & (F.col("n") <= max_group))
-        spans.append(repeats(contexts, small, length))
-        ranges = rows.where(~F.col("equal") & (F.col("n") > max_group)).select("row", "pos", "lo", "hi")
-        if ranges.isEmpty():
+        nodes = stored(_nodes(rows), f"nodes-{level}")
+        spans.append(_equal_places(rows, nodes, length))
+        left = stored(_undecided(nodes), f"undecided-{level}")
+        spans.append(repeats(contexts, left.where(F.col("contexts") <= max_group), length))
+        left = left.where(F.col("contexts") > max_group)
+        if left.isEmpty():
             break
     out = spans[0]
     for s in spans[1:]:
