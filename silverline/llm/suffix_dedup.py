@@ -189,14 +189,16 @@ def suffix_array(codes: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]
         second = np.zeros(n, dtype=np.int64)
         second[: n - step] = rank[step:]
         pair = rank * (n + 2) + second
-        order = np.argsort(pair, kind="stable")
+        order = np.argsort(pair)
         new = np.empty(n, dtype=np.int64)
         sorted_ = pair[order]
         new[order] = np.cumsum(np.concatenate([[1], sorted_[1:] != sorted_[:-1]]))
         rank = new
         ranks.append(rank)
         step *= 2
-    order = np.argsort(rank, kind="stable")
+        if int(rank.max()) == n:  # all suffixes differ by now
+            break
+    order = np.argsort(rank)
     lcp = np.zeros(n, dtype=np.int64)
     a, b = order[:-1].copy(), order[1:].copy()
     for level in range(len(ranks) - 1, -1, -1):
