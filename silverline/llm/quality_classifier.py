@@ -56,7 +56,7 @@ class Buckets(dict):
 def index_vectors() -> np.ndarray:
     """Sparse ternary vectors of the buckets; the last row, for no token, is zero."""
     rng = np.random.default_rng(SEED)
-    out = np.zeros((BUCKETS + 1, DIMENSIONS), dtype=np.int32)
+    out = np.zeros((BUCKETS + 1, DIMENSIONS), dtype=np.int8)
     places = rng.random((BUCKETS, DIMENSIONS)).argsort(axis=1)[:, :NONZERO]
     np.put_along_axis(out[:BUCKETS], places, rng.choice([-1, 1], (BUCKETS, NONZERO)), axis=1)
     return out
@@ -69,14 +69,14 @@ def token_ids(text, buckets: Buckets) -> np.ndarray:
 
 def add_contexts(ids: np.ndarray, index: np.ndarray, sums: np.ndarray, counts: np.ndarray) -> None:
     """Add the contexts of a run of tokens; BUCKETS stands between documents."""
-    context = np.zeros((len(ids), DIMENSIONS), dtype=np.int32)
+    context = np.zeros((len(ids), DIMENSIONS), dtype=np.int8)  # at most 2 * WINDOW
     for k in range(1, WINDOW + 1):
         context[k:] += index[ids[:-k]]
         context[:-k] += index[ids[k:]]
     order = np.argsort(ids, kind="stable")
     sorted_ids = ids[order]
     starts = np.flatnonzero(np.concatenate([[True], sorted_ids[1:] != sorted_ids[:-1]]))
-    sums[sorted_ids[starts]] += np.add.reduceat(context[order], starts, axis=0)
+    sums[sorted_ids[starts]] += np.add.reduceat(context[order], starts, axis=0, dtype=np.int32)
     counts += np.bincount(ids, minlength=BUCKETS + 1)
 
 
