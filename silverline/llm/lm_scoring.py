@@ -5,14 +5,16 @@ and of the background (all documents), score each document's tokens; the score
 is the mean over tokens of the background's loss less the target's, in nats. The models
 match: one vocabulary, one order, one smoothing.
 
-- Words are counted over all documents; the ``VOCABULARY`` most frequent, ties by
-  hash, are the vocabulary and all other words are one unknown token. Words are known by 64-bit hashes.
-- Unigrams and bigrams of vocabulary ids are counted over all documents of
-  each side, as sums by key that Spark shuffles; what is counted grows with the
-  corpus.
-- The models keep the ``BIGRAMS`` most frequent bigrams of the background, ties by
-  key, so that the tables that tasks need have a size known beforehand; the others
-  back off to the unigram, in both models. P(w | v) = L * c(v, w) / c(v) + (1 - L) * P(w), with add-``ALPHA`` unigrams.
+- Every word is in the vocabulary and every bigram in the models, whatever the corpus; words
+  are known by 64-bit hashes, bigrams by a 64-bit mix of the two.
+- P(w | v) = L * c(v, w) / c(v) + (1 - L) * P(w), with add-``ALPHA`` unigrams over as
+  many slots as there are words, and at least ``VOCABULARY``, and two more.
+- A token's loss is -log((1 - L) * P(w)) less the gain log(1 + c(v, w) * r) of its bigram,
+  with r = L / (c(v) * (1 - L) * P(w)).
+- Tasks hold the counts of the ``WORDS`` most frequent words and of ``BIGRAMS`` frequent
+  bigrams, so these tables have a size known beforehand. Which these are decides only the cost: every
+  other bigram goes as a row (document, bigram, n) to where its rows are counted,
+  every other word's counts are joined there, and gains are summed by document.
 
 Defined results: null and empty texts have no tokens, and losses and score 0; without
 trusted labels the target is empty and its model uniform; a document with several
@@ -22,23 +24,30 @@ they stand, and score alike.
 
 from __future__ import annotations
 
-from collections import Counter
+import uuid
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from silverline.llm.common import read
+from silverline.session import checkpoint_root
 
 VOCABULARY = 1 << 14
+WORDS = 1 << 20
 BIGRAMS = 1 << 20
 LAMBDA = 0.7
 ALPHA = 0.1
 CHUNK = 1 << 20
-UNKNOWN, START = VOCABULARY, VOCABULARY + 1
-SHIFT = 20  # a bigram's key is its first id << SHIFT | its second id
+BLOCK = 1 << 17
+SHIFT = 20  # numbers of WORDS words have so many bits
+START = 0  # stands for the word before a text's first
+MIX = np.uint64(0x9E3779B97F4A7C15)
+UNTRUSTED, TRUSTED, HEAD = 0, 1, 2  # kinds of the rows that scoring emits
 
 
 def words(text) -> list[bytes]:
@@ -49,55 +58,64 @@ def word_hash(w: bytes) -> int:
     return xxhash.xxh3_64_intdigest(w) - (1 << 63)
 
 
-def vocabulary(docs: DataFrame, size: int = VOCABULARY) -> list[int]:
-    """Hashes of the most frequent words, most frequent first."""
+class Hashes(dict):
+    """Hash of each word, remembered up to a bound."""
 
-    def run(frames):
-        counts: Counter[bytes] = Counter()
+    def __missing__(self, w: bytes) -> int:
+        if len(self) > 300_000:
+            self.clear()
+        h = self[w] = word_hash(w)
+        return h
 
-        def out():
-            yield pd.DataFrame(
-                {"h": np.array([word_hash(w) for w in counts], dtype=np.int64), "n": list(counts.values())}
-            )
-            counts.clear()
+    def of(self, text) -> np.ndarray:
+        ws = words(text)
+        return np.fromiter(map(self.__getitem__, ws), dtype=np.int64, count=len(ws))
 
-        for pdf in frames:
-            for text in pdf["text"]:
-                counts.update(words(text))
-                if len(counts) > 1_000_000:  # memory bound; the sums below join the parts
-                    yield from out()
-        yield from out()
 
-    counted = docs.select("text").mapInPandas(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    return [r["h"] for r in counted.orderBy(F.desc("n"), "h").limit(size).collect()]
+def before(ids: np.ndarray) -> np.ndarray:
+    return np.concatenate([[START], ids[:-1]]) if len(ids) else ids
 
 
-class Ids(dict):
-    """Vocabulary id of each word, remembered up to a bound."""
+def bigram_keys(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    mixed = first.view(np.uint64) * MIX
+    mixed ^= mixed >> np.uint64(29)
+    return ((mixed ^ second.view(np.uint64)) * MIX).view(np.int64)
 
-    def __init__(self, hashes: list[int]):
-        super().__init__()
-        self.known = {h: i for i, h in enumerate(hashes)}
 
-    def __missing__(self, w: bytes) -> int:
-        if len(self) > 300_000:
-            self.clear()
-        i = self.known.get(word_hash(w), UNKNOWN)
-        self[w] = i
-        return i
+def _blocks(frames, size: int):
+    """Runs of rows as (rows, documents' numbers, first words, second words, trusted by token)."""
+    hashes = Hashes()
+    held, tokens = [], 0
 
-    def of(self, text) -> np.ndarray:
-        ws = words(text)
-        return np.fromiter(map(self.__getitem__, ws), dtype=np.int64, count=len(ws))
+    def out():
+        ids = [x for _, x in held]
+        lengths = [len(x) for x in ids]
+        trusted = np.array([r["trusted"] is True or r["trusted"] == True for r, _ in held], dtype=bool)  # noqa: E712
+        place = np.repeat(np.arange(len(held)), lengths)
+        first = np.concatenate([before(x) for x in ids]).astype(np.int64)
+        return [r for r, _ in held], place, first, np.concatenate(ids), trusted
+
+    for pdf in frames:
+        for r in pdf.to_dict("records"):
+            ids = hashes.of(r.pop("text"))
+            held.append((r, ids))
+            tokens += len(ids)
+            if tokens > size or len(held) >= size:
+                yield out()
+                held, tokens = [], 0
+    if held:
+        yield out()
 
 
-def bigram_keys(ids: np.ndarray) -> np.ndarray:
-    before = np.concatenate([[START], ids[:-1]]) if len(ids) else ids
-    return before << SHIFT | ids
+def _sums(values: np.ndarray, trusted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct values, how often each stands, and how often in trusted documents."""
+    distinct, place = np.unique(values, return_inverse=True)
+    n = np.bincount(place, minlength=len(distinct))
+    return distinct, n, np.bincount(place, weights=trusted, minlength=len(distinct)).astype(np.int64)
 
 
-def ngram_counts(docs: DataFrame, labels: DataFrame, hashes: list[int]) -> DataFrame:
-    """(key, background, target): counts of every bigram key over all documents."""
+def marked(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(rid, doc_id, text, trusted): the rows of ``docs``, each with a number of its own."""
     trusted = (
         labels.where(F.col("doc_id").isNotNull())
         .groupBy("doc_id")
@@ -105,101 +123,233 @@ def ngram_counts(docs: DataFrame, labels: DataFrame, hashes: list[int]) -> DataF
         .where((F.col("q") == 1) & (F.coalesce(F.col("t"), F.lit(0)) == 0))
         .select("doc_id", F.lit(True).alias("trusted"))
     )
-    texts = docs.select("doc_id", "text").join(trusted, "doc_id", "left").select("text", "trusted")
-    shared = docs.sparkSession.sparkContext.broadcast(hashes)
+    rows = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "text")
+    return rows.join(trusted, "doc_id", "left").select("rid", "doc_id", "text", "trusted")
+
+
+def word_counts(rows: DataFrame) -> DataFrame:
+    """Per word h: its counts (background ub, target ut) and as first of a bigram (hb, ht).
+
+    Rows with ``bigram`` are of bigrams that stand twice or more in some chunk, with a
+    lower bound of their background count.
+    """
 
     def run(frames):
-        ids = Ids(shared.value)
-        run_: list[np.ndarray] = []
-        flags: list[np.ndarray] = []
-        size = 0
-
-        def out():
-            keys, place = np.unique(np.concatenate(run_), return_inverse=True)
-            good = np.bincount(place, weights=np.concatenate(flags), minlength=len(keys)).astype(np.int64)
-            n = np.bincount(place, minlength=len(keys))
-            return pd.DataFrame({"key": keys, "background": n, "target": good})
-
-        for pdf in frames:
-            for text, trusted_ in zip(pdf["text"], pdf["trusted"], strict=True):
-                keys = bigram_keys(ids.of(text))
-                run_.append(keys)
-                flags.append(np.full(len(keys), float(trusted_ is True or trusted_ == True)))  # noqa: E712
-                size += len(keys)
-                if size > CHUNK:
-                    yield out()
-                    run_, flags, size = [], [], 0
-        if size:
-            yield out()
-
-    counts = texts.mapInPandas(run, "key long, background long, target long")
-    return counts.groupBy("key").agg(F.sum("background").alias("background"), F.sum("target").alias("target"))
-
-
-class Models:
-    """Target and background tables, in one vocabulary."""
-
-    def __init__(self, keys: np.ndarray, bigrams: np.ndarray, unigrams: np.ndarray, histories: np.ndarray):
-        order = np.argsort(keys)
-        self.keys, self.bigrams = keys[order], bigrams[order]  # (n, 2): background, target
-        self.unigrams, self.histories = unigrams, histories  # (ids, 2)
-        total = unigrams.sum(axis=0)
-        self.p1 = (unigrams + ALPHA) / (total + ALPHA * len(unigrams))
-
-    def losses(self, ids: np.ndarray) -> np.ndarray:
-        """(tokens, 2) losses under background and target."""
-        keys = bigram_keys(ids)
-        seen = self.histories[keys >> SHIFT]
-        both = np.zeros((len(ids), 2))
-        if len(self.keys):
-            at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-            hit = self.keys[at] == keys
-            both[hit] = self.bigrams[at[hit]]
-        return -np.log(LAMBDA * both / np.maximum(seen, 1) + (1 - LAMBDA) * self.p1[ids])
-
-
-def fit(docs: DataFrame, labels: DataFrame, bigrams: int = BIGRAMS) -> tuple[list[int], Models]:
-    hashes = vocabulary(docs)
-    # Read three times below.
-    counts = ngram_counts(docs, labels, hashes).checkpoint(eager=True)
-
-    def sums(id_: str) -> np.ndarray:
-        out = np.zeros((VOCABULARY + 2, 2))
-        rows = counts.groupBy(F.expr(id_).alias("i")).agg(F.sum("background").alias("b"), F.sum("target").alias("t"))
-        for r in rows.collect():  # a row for each id
-            out[r["i"]] = r["b"], r["t"]
-        return out
-
-    unigrams = sums(f"key & {(1 << SHIFT) - 1}")
-    histories = sums(f"key >> {SHIFT}")
-    kept = counts.orderBy(F.desc("background"), "key").limit(bigrams).toArrow().to_pandas()
-    table = Models(
-        kept["key"].to_numpy(np.int64), kept[["background", "target"]].to_numpy(np.float32), unigrams, histories
+        for _, place, first, second, trusted in _blocks(frames, CHUNK):
+            if not len(second):
+                continue
+            by_token = trusted[place]
+            u, ub, ut = _sums(second, by_token)
+            h, hb, ht = _sums(first, by_token)
+            keys, n = np.unique(bigram_keys(first, second), return_counts=True)
+            keys, n = keys[n > 1], n[n > 1]
+            for bigram, part in ((False, (u, ub, ut, 0, 0)), (False, (h, 0, 0, hb, ht)), (True, (keys, n, 0, 0, 0))):
+                if len(part[0]):
+                    yield pd.DataFrame({"bigram": bigram, **dict(zip(["h", "ub", "ut", "hb", "ht"], part, strict=True))})
+
+    counted = rows.select("text", "trusted").mapInPandas(
+        run, "bigram boolean, h long, ub long, ut long, hb long, ht long"
     )
-    return hashes, table
+    return counted.groupBy("bigram", "h").agg(*[F.sum(c).alias(c) for c in ("ub", "ut", "hb", "ht")])
 
 
-def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, background_loss, target_loss and score of every document."""
-    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels))
-    id_type = docs.schema["doc_id"].dataType.simpleString()
+def frequent_counts(rows: DataFrame, keys: np.ndarray) -> np.ndarray:
+    """(keys, 2): background and target counts over all documents of the sorted bigram keys."""
+    shared = rows.sparkSession.sparkContext.broadcast(keys)
 
     def run(frames):
-        hashes, models = shared.value
-        ids = Ids(hashes)
-        for pdf in frames:
-            rows = []
-            for text in pdf["text"]:
-                found = ids.of(text)
-                b, t = models.losses(found).mean(axis=0) if len(found) else (0.0, 0.0)
-                rows.append((len(found), b, t, b - t))
-            out = pd.DataFrame(rows, columns=["n_tokens", "background_loss", "target_loss", "score"])
-            out.insert(0, "doc_id", pdf["doc_id"].to_numpy())
-            yield out
-
-    return docs.select("doc_id", "text").mapInPandas(
-        run, f"doc_id {id_type}, n_tokens long, background_loss double, target_loss double, score double"
+        known = shared.value
+        sums = np.zeros((len(known), 2), dtype=np.int64)
+        for _, place, first, second, trusted in _blocks(frames, BLOCK):
+            found, n, good = _sums(bigram_keys(first, second), trusted[place])
+            at, hit = _find(known, found)
+            sums[at[hit]] += np.stack([n[hit], good[hit]], axis=1)
+        seen = np.flatnonzero(sums[:, 0])
+        yield pd.DataFrame({"i": seen, "b": sums[seen, 0], "t": sums[seen, 1]})
+
+    out = np.zeros((len(keys), 2), dtype=np.int64)
+    if len(keys):
+        counted = rows.select("text", "trusted").mapInPandas(run, "i long, b long, t long")
+        got = counted.groupBy("i").agg(F.sum("b").alias("b"), F.sum("t").alias("t")).toArrow().to_pandas()
+        out[got["i"]] = got[["b", "t"]]
+    return out
+
+
+def _find(known: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of ``values`` in sorted ``known``, and which are there."""
+    if not len(known):
+        return np.zeros(len(values), np.int64), np.zeros(len(values), bool)
+    at = np.minimum(np.searchsorted(known, values), len(known) - 1)
+    return at, known[at] == values
+
+
+class Tables:
+    """What every task holds: counts of frequent words and bigrams, and the corpus totals."""
+
+    def __init__(self, frequent: pd.DataFrame, keys: np.ndarray, bigrams: np.ndarray, total: np.ndarray, slots: int):
+        # Words are numbered by frequency, which keeps the keys of their bigrams small.
+        hashes = frequent["h"].to_numpy(np.int64)
+        self.number = np.argsort(hashes)
+        self.words = hashes[self.number]
+        unigrams = frequent[["ub", "ut"]].to_numpy(np.float64)
+        # Of a word that the tables lack, both factors are 1 and wait for the join.
+        self.p1 = np.concatenate([(1 - LAMBDA) * (unigrams + ALPHA) / (total + ALPHA * slots), [[1, 1]]])
+        histories = frequent[["hb", "ht"]].to_numpy(np.float64)
+        self.share = np.concatenate([LAMBDA / np.maximum(histories, 1), [[1, 1]]])
+        self.keys, self.bigrams = keys, bigrams
+
+    def word(self, hashes: np.ndarray) -> np.ndarray:
+        """Numbers of words; of those not held, the one after the last."""
+        distinct, place = np.unique(hashes, return_inverse=True)
+        at, hit = _find(self.words, distinct)
+        number = np.full(len(distinct), len(self.words))
+        number[hit] = self.number[at[hit]]
+        return number[place]
+
+
+def _emitted(rows: DataFrame, shared) -> DataFrame:
+    """A HEAD row for each of ``rows``, with the losses less the gains that the tables hold; a row for each other bigram of it.
+
+    The key of a bigram of two words in the tables is of their numbers, and of others a hash. Of
+    those others ``more`` has the known factors of r (b and t) and the words that the tables lack (v and w).
+    """
+    id_field = rows.schema["doc_id"].dataType
+    id_type = to_arrow_type(id_field)
+    more_type = pa.struct(
+        [("b", pa.float64()), ("t", pa.float64()), ("v", pa.int64()), ("w", pa.int64()), ("doc_id", id_type)]
+    )
+
+    def batch(rid, key, n, kind, more) -> pa.RecordBatch:
+        if more is None:
+            more = pa.nulls(len(rid), more_type)
+        else:
+            more = [x if isinstance(x, pa.Array) else pa.array(x, f.type) for x, f in zip(more, more_type, strict=True)]
+            more = pa.StructArray.from_arrays(more, fields=list(more_type))
+        arrays = [pa.array(rid), pa.array(key), pa.array(n, pa.int64()), pa.array(kind, pa.int32()), more]
+        return pa.RecordBatch.from_arrays(arrays, names=["rid", "key", "n", "kind", "more"])
+
+    def run(batches):
+        held = shared.value
+        lacks = len(held.words)
+        frames = (x.to_pandas(integer_object_nulls=True) for x in batches)
+        for docs, place, first, second, trusted in _blocks(frames, BLOCK):
+            rid = np.array([r["rid"] for r in docs], dtype=np.int64)
+            v, w = held.word(first), held.word(second)
+            keys = bigram_keys(first, second)
+            distinct, code = np.unique(keys, return_inverse=True)
+            at, hit = _find(held.keys, distinct)
+            known = (v < lacks) & (w < lacks)
+            here = hit[code] & known
+            # A word not held adds -log(1) here, and its loss where its counts are joined.
+            losses = -np.log(held.p1[w])
+            found = here.nonzero()[0]
+            if len(found):
+                r = held.share[v[found]] / held.p1[w[found]]
+                losses[found] -= np.log1p(held.bigrams[at[code[found]]] * r)
+            sums = [np.bincount(place, weights=losses[:, k], minlength=len(docs)) for k in (0, 1)]
+            lengths = np.bincount(place, minlength=len(docs))
+            none = pa.nulls(len(docs), pa.int64())
+            ids = pa.array([r_["doc_id"] for r_ in docs], id_type)
+            # Rows of documents are dealt by a mix of their numbers; counts leave them out.
+            yield batch(rid, bigram_keys(rid, rid), lengths, np.full(len(docs), HEAD), [*sums, none, none, ids])
+            for whole in (True, False):
+                rest = (~here & (known == whole)).nonzero()[0]
+                if not len(rest):
+                    continue
+                # One row for each document and bigram.
+                _, one, n = np.unique(
+                    place[rest] * np.int64(len(distinct)) + code[rest], return_index=True, return_counts=True
+                )
+                one = rest[one]
+                more = None
+                if not whole:
+                    r = held.share[v[one]] / held.p1[w[one]]
+                    lack = [pa.array(x[one], mask=i[one] < lacks) for x, i in ((first, v), (second, w))]
+                    more = [r[:, 0], r[:, 1], *lack, pa.nulls(len(one), id_type)]
+                key = v[one] << SHIFT | w[one] if whole else keys[one]
+                yield batch(rid[place[one]], key, n, trusted[place[one]].astype(np.int32), more)
+
+    more = f"struct<b:double,t:double,v:bigint,w:bigint,doc_id:{id_field.simpleString()}>"
+    return rows.mapInArrow(run, f"rid long, key long, n long, kind int, more {more}")
+
+
+def _gains(counted: DataFrame, shared) -> DataFrame:
+    """(rid, b, t): what rows of bigrams of two words in the tables take off their documents' losses."""
+
+    def run(batches):
+        held = shared.value
+        for x in batches:
+            rid, key, n, cb, ct = (x.column(c).to_numpy() for c in ("rid", "key", "n", "cb", "ct"))
+            r = held.share[key >> SHIFT] / held.p1[key & ((1 << SHIFT) - 1)]
+            gains = [-n * np.log1p(c * r[:, k]) for k, c in enumerate((cb, ct))]
+            yield pa.RecordBatch.from_arrays([pa.array(rid), *map(pa.array, gains)], names=["rid", "b", "t"])
+
+    return counted.select("rid", "key", "n", "cb", "ct").mapInArrow(run, "rid long, b double, t double")
+
+
+def _joined(rows: DataFrame, counts: DataFrame, side: str, values: dict[str, Column]) -> DataFrame:
+    """``rows`` with ``values``, computed from the counts of the word in ``side``; null where it is null."""
+    counts = counts.select(F.col("h").alias("_h"), *[c.alias(name) for name, c in values.items()])
+    # Rows without such a word are dealt by their numbers, not all to the place of nulls.
+    rows = rows.withColumn("_k", F.coalesce(F.col(side), F.xxhash64("rid", "key")))
+    return rows.join(counts, (F.col("_k") == F.col("_h")) & F.col(side).isNotNull(), "left").drop("_k", "_h")
+
+
+def score(docs: DataFrame, labels: DataFrame, frequent: int = WORDS, bigrams: int = BIGRAMS) -> DataFrame:
+    """doc_id, n_tokens, background_loss, target_loss and score of every document."""
+    spark = docs.sparkSession
+    path = f"{checkpoint_root(spark)}/lm-{uuid.uuid4().hex}"
+    rows = marked(docs, labels)
+    word_counts(rows).write.partitionBy("bigram").parquet(path)
+    counted = spark.read.schema("h long, ub long, ut long, hb long, ht long, bigram boolean").parquet(path)
+    counts = counted.where(~F.col("bigram"))
+    sums = counts.agg(F.count_if(F.col("ub") > 0), F.sum("ub"), F.sum("ut")).first()
+    total = [float(x or 0) for x in sums[1:]]
+    slots = max(VOCABULARY, sums[0]) + 2
+
+    top = counts.orderBy(F.desc(F.greatest("ub", "hb")), "h").limit(frequent).drop("bigram").toArrow().to_pandas()
+    often = counted.where("bigram").orderBy(F.desc("ub"), "h").limit(bigrams).select("h").toArrow().to_pandas()
+    keys = np.sort(often["h"].to_numpy(np.int64))
+    tables = Tables(top, keys, frequent_counts(rows, keys), np.array(total), slots)
+
+    shared = spark.sparkContext.broadcast(tables)
+    by_key = Window.partitionBy("key")
+    gathered = _emitted(rows, shared).select(
+        "*",
+        F.sum(F.when(F.col("kind") != HEAD, F.col("n"))).over(by_key).alias("cb"),
+        F.sum(F.when(F.col("kind") == TRUSTED, F.col("n")).otherwise(F.lit(0))).over(by_key).alias("ct"),
+    )
+
+    # The three parts read one shuffle, so all ask for the same columns.
+    heads = gathered.where((F.col("kind") == HEAD) & F.col("more").isNotNull())
+    whole = gathered.where((F.col("kind") != HEAD) & F.col("more").isNull())
+    # Few rows have a word that the tables lack.
+    lacking = gathered.where((F.col("kind") != HEAD) & F.col("more").isNotNull())
+    lacking = lacking.select("rid", "key", "n", "cb", "ct", "more.b", "more.t", "more.v", "more.w")
+    one = F.lit(1.0)
+    share = [F.lit(LAMBDA) / F.greatest(F.col(h), F.lit(1)) for h in ("hb", "ht")]
+    p1 = [(1 - LAMBDA) * (F.col(u) + ALPHA) / F.lit(n + ALPHA * slots) for u, n in zip(("ub", "ut"), total, strict=True)]
+    lacking = _joined(lacking, counts, "v", {"share_b": share[0], "share_t": share[1]})
+    lacking = _joined(lacking, counts, "w", {"p1_b": p1[0], "p1_t": p1[1]})
+
+    def loss(side: str) -> Column:
+        p = F.coalesce(f"p1_{side}", one)
+        r = F.col(side) * F.coalesce(f"share_{side}", one) / p
+        return (-F.col("n") * (F.log(p) + F.log1p(F.col(f"c{side}") * r))).alias(side)
+
+    no_id, no_tokens = F.lit(None).cast(docs.schema["doc_id"].dataType).alias("doc_id"), F.lit(0).cast("long").alias("n")
+    losses = (
+        heads.select("rid", "more.doc_id", "n", "more.b", "more.t")
+        .unionByName(lacking.select("rid", no_id, no_tokens, loss("b"), loss("t")))
+        .unionByName(_gains(whole, shared).select("rid", no_id, no_tokens, "b", "t"))
+        .groupBy("rid")
+        .agg(F.max("doc_id").alias("doc_id"), F.sum("n").alias("n_tokens"), F.sum("b").alias("b"), F.sum("t").alias("t"))
     )
+    mean = [F.col(x) / F.greatest(F.col("n_tokens"), F.lit(1)) for x in ("b", "t")]
+    return losses.select(
+        "doc_id", "n_tokens", mean[0].alias("background_loss"), mean[1].alias("target_loss"),
+        (mean[0] - mean[1]).alias("score"),
+    )
 
 
 def op4_lm_scoring(spark, sf_dir: str) -> DataFrame:

@@ -118,3 +118,16 @@ def test_license_lines_of_the_table(spark):
     lines = docs.select("doc_id", F.explode(F.split("text", "\n")).alias("x")).where("x ilike '%licensed under%' or x ilike '%released under%'")
     got = C.op7_license_scan(spark, SF)
     assert got.count() == lines.count() > 0
+
+
+def test_losses_do_not_depend_on_what_tasks_hold(spark):
+    """Bigrams and words outside the tables of the tasks count as all others do."""
+    docs = documents(spark)
+    names = ["n_tokens", "background_loss", "target_loss", "score"]
+
+    def losses(*held):
+        got = L.score(docs, labels(spark), *held).collect()
+        return sorted([(str(r["doc_id"]), *[round(r[c], 9) for c in names]) for r in got])
+
+    everything = losses()
+    assert losses(0, 0) == losses(20, 10) == losses(1000, 0) == everything
