@@ -4,17 +4,18 @@ A text is split into sentences; a sentence is normalised (lower case, comment
 marks and punctuation to single spaces) and looked up among the known licence
 sentences, whose identifiers are short strings. A licence rule is an ordered list
 of identifiers; it matches where its identifiers stand in that order, each with
-at most ``max_gap`` other sentences between neighbours. Everything is built-in
+at most ``max_gap`` other sentences, known or not, between neighbours. Of matches with one
+last sentence, the one that starts last is reported. Everything is built-in
 array work on one row, so nothing is shuffled; the catalogues are small fixed
 values and can be replaced by the caller's own.
 
 Texts wrapped at a margin have line breaks within sentences, and headings or
 tables have sentences that only a line break ends. So rules of several sentences are matched
 in the text cut at sentence ends, and rules of one sentence, the mentions, in the
-text cut at every line break as well.
+text cut at every line break as well; a mention that both cuttings have is one.
 
 Result per match: doc_id, licence, rule, the numbers of its first and last sentence
-in that cutting, and ``complete`` (false for a mention). Mentions of a licence
+in that cutting (of a mention, cut at every line break if that has it), and ``complete`` (false for a mention). Mentions of a licence
 are not reported where a complete rule of that licence matches.
 
 Defined results: null and empty texts have no match; repeated rows are scanned
@@ -94,11 +95,11 @@ def sentences(text: Column, end: str) -> Column:
     )
 
 
-def _identified(text: Column, catalogue: dict[str, str], end: str) -> Column:
-    """Array of (n, id): the known sentences and their numbers, in order."""
+def _identified(parts: Column, catalogue: dict[str, str]) -> Column:
+    """Array of (n, id): the known ones of the sentences ``parts`` and their numbers, in order."""
     known = F.create_map(*[F.lit(x) for kv in sorted(catalogue.items()) for x in kv])
     return F.filter(
-        F.transform(sentences(text, end), lambda s, n: F.struct(n.alias("n"), F.try_element_at(known, s).alias("id"))),
+        F.transform(parts, lambda s, n: F.struct(n.alias("n"), F.try_element_at(known, s).alias("id"))),
         lambda x: x["id"].isNotNull(),
     )
 
@@ -107,30 +108,38 @@ def _matches(ids: Column, rule: tuple, max_gap: int) -> Column:
     """Array of (first, last, rule, licence, complete) for one rule."""
     name, licence, complete, wanted = rule
 
-    def starts_here(at: Column, i: Column) -> Column:
-        ok = F.lit(True)
-        for k, want in enumerate(wanted):
-            ok = ok & F.coalesce(F.get(at, i + k)["id"] == want, F.lit(False))
-            if k:
-                gap = F.get(at, i + k)["n"] - F.get(at, i + k - 1)["n"] - 1
-                ok = ok & F.coalesce(gap <= max_gap, F.lit(False))
-        return ok
-
-    return F.filter(
-        F.transform(
-            ids,
-            lambda x, i: F.when(
-                starts_here(ids, i),
-                F.struct(
-                    x["n"].alias("first"),
-                    F.get(ids, i + len(wanted) - 1)["n"].alias("last"),
-                    F.lit(name).alias("rule"),
-                    F.lit(licence).alias("licence"),
-                    F.lit(complete).alias("complete"),
-                ),
-            ),
+    def ends(at: Column, want: list[str]) -> Column:
+        """From places ``at``, those where all of ``want`` have been found in order."""
+        if not want:
+            return at
+        following = F.filter(
+            ids, lambda y: (y["id"] == want[0]) & F.exists(at, lambda p: (y["n"] > p) & (y["n"] - p - 1 <= max_gap))
+        )
+        return let(F.transform(following, lambda y: y["n"]), lambda found: ends(found, want[1:]))
+
+    starts = F.transform(
+        F.filter(ids, lambda x: x["id"] == wanted[0]),
+        lambda x: F.struct(
+            x["n"].alias("first"),
+            F.array_min(ends(F.array(x["n"]), wanted[1:])).alias("last"),
+            F.lit(name).alias("rule"),
+            F.lit(licence).alias("licence"),
+            F.lit(complete).alias("complete"),
         ),
-        lambda m: m.isNotNull(),
+    )
+    # A later start never ends earlier, so equal ends stand side by side.
+    return let(
+        F.filter(starts, lambda m: m["last"].isNotNull()),
+        lambda found: F.filter(
+            found, lambda m, i: F.coalesce(F.get(found, i + 1)["last"] != m["last"], F.lit(True))
+        ),
+    )
+
+
+def _letters(parts: Column, n: Column) -> Column:
+    """How many letters and digits the first ``n`` sentences hold: the same place in any cutting."""
+    return F.aggregate(
+        F.slice(parts, 1, n), F.lit(0), lambda total, s: total + F.length(F.replace(s, F.lit(" "), F.lit("")))
     )
 
 
@@ -146,21 +155,43 @@ def scan(
     if hint is not None:
         rows = rows.where(F.col("t").rlike(hint))
 
-    def matches(end: str, mine: list[tuple]) -> Column:
+    def matches(parts: Column, mine: list[tuple]) -> Column:
         none = F.expr(
             "cast(array() as array<struct<first:int,last:int,rule:string,licence:string,complete:boolean>>)"
         )
         return let(
-            _identified(F.col("t"), catalogue, end),
+            _identified(parts, catalogue),
             lambda ids: F.concat(none, *[_matches(ids, r, max_gap) for r in mine]),
         )
 
+    def placed(parts: Column) -> Column:
+        """The matches (m) of the one-sentence rules, and where they start (a) and end (b) in the text."""
+        return F.transform(
+            matches(parts, [r for r in rules if len(r[3]) == 1]),
+            lambda m: F.struct(
+                m.alias("m"), _letters(parts, m["first"]).alias("a"), _letters(parts, m["last"] + 1).alias("b")
+            ),
+        )
+
+    def merged(by_line: Column, by_mark: Column) -> Column:
+        def there(x: Column) -> Column:
+            return F.exists(
+                by_line, lambda y: (y["m"]["rule"] == x["m"]["rule"]) & (y["a"] < x["b"]) & (x["a"] < y["b"])
+            )
+
+        return F.transform(F.concat(by_line, F.filter(by_mark, lambda x: ~there(x))), lambda x: x["m"])
+
     def with_mentions(long: Column, short: Column) -> Column:
         return F.concat(long, F.filter(short, lambda m: ~F.exists(long, lambda o: o["licence"] == m["licence"])))
 
-    long = matches(WRAPPED_END, [r for r in rules if len(r[3]) > 1])
-    short = matches(LINE_END, [r for r in rules if len(r[3]) == 1])
-    found = let(long, lambda x: let(short, lambda y: with_mentions(x, y)))
+    def all_of(by_mark: Column, by_line: Column) -> Column:
+        long = matches(by_mark, [r for r in rules if len(r[3]) > 1])
+        short = let(placed(by_line), lambda x: let(placed(by_mark), lambda y: merged(x, y)))
+        return let(long, lambda x: let(short, lambda y: with_mentions(x, y)))
+
+    found = let(
+        sentences(F.col("t"), WRAPPED_END), lambda x: let(sentences(F.col("t"), LINE_END), lambda y: all_of(x, y))
+    )
     rows = rows.select("doc_id", F.explode(found).alias("m"))
     return rows.select(
         "doc_id", *[F.col("m")[c].alias(c) for c in ("licence", "rule", "first", "last", "complete")]

@@ -131,3 +131,33 @@ def test_losses_do_not_depend_on_what_tasks_hold(spark):
 
     everything = losses()
     assert losses(0, 0) == losses(20, 10) == losses(1000, 0) == everything
+
+
+def test_license_mentions_over_line_ends_and_other_sentences_between(spark):
+    wrapped = "Notes. This work is licensed under the GNU General\nPublic License version 3. More."
+    grant = next(k for k, v in C.SENTENCES.items() if v == "gpl3-grant")
+    warranty = next(k for k, v in C.SENTENCES.items() if v == "gpl-no-warranty")
+    mention = "Released under the MIT License."
+    texts = [
+        wrapped,
+        wrapped + "\n" + wrapped + "\nThis work is licensed under the GNU General Public License version 3.",
+        f"{grant}. {mention} {warranty}.",
+        f"{grant}. {grant}. {warranty}. {warranty}.",
+        f"{grant}. One. Two. {mention} {warranty}.",
+        f"Intro. {mention} Outro.",
+        'Licensed under the Apache License, Version 2.0\n(the "License");',
+    ]
+    docs = documents(spark, [(i, t, None, None, None) for i, t in enumerate(texts)])
+    got = sorted((r["doc_id"], r["rule"], r["first"], r["last"]) for r in C.scan(docs).collect())
+    assert got == [
+        (0, "gpl3-mention", 1, 1),
+        (1, "gpl3-mention", 1, 1),
+        (1, "gpl3-mention", 4, 4),
+        (1, "gpl3-mention", 8, 8),
+        (2, "gpl3-header", 0, 2),
+        (2, "mit-mention", 1, 1),
+        (3, "gpl3-header", 1, 2),
+        (4, "mit-mention", 3, 3),
+        (5, "mit-mention", 1, 1),
+        (6, "apache-mention", 0, 0),
+    ]
