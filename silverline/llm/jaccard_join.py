@@ -147,13 +147,20 @@ def _signed(a: np.ndarray) -> np.ndarray:
     return a.view(np.int64)
 
 
-def sketches(docs: DataFrame, levels: bytes, words: int, percent: int, whole: bool) -> DataFrame:
-    """Per row: doc_id, key, n, histogram, prefix; with ``whole`` also the set and the other prefixes."""
+def sketches(
+    docs: DataFrame, levels: bytes, words: int, percent: int, whole: bool, mark: str | None = None
+) -> DataFrame:
+    """Per row: doc_id, key, n, histogram, prefix; with ``whole`` also the set and the other prefixes.
+
+    ``mark``, a column of longs, goes along.
+    """
     table = docs.sparkSession.sparkContext.broadcast(levels)
     id_type = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {id_type}, key long, n int, " + ", ".join(f"{h} long" for h in PACKED) + ", prefix array<long>"
     if whole:
         schema += ", tokens array<long>, others array<array<long>>"
+    if mark:
+        schema += f", {mark} long"
 
     def run(frames):
         shingler = Shingler(table.value, words, percent)
@@ -168,9 +175,12 @@ def sketches(docs: DataFrame, levels: bytes, words: int, percent: int, whole: bo
                     row = [known, set_key(tokens), len(tokens), *histogram(tokens), _signed(first)]
                     rows.append([*row, _signed(tokens), [_signed(o) for o in others]] if whole else row)
                 names = ["doc_id", "key", "n", *PACKED, "prefix", "tokens", "others"]
-                yield pd.DataFrame(rows, columns=names[: len(rows[0])] if rows else None)
+                out = pd.DataFrame(rows, columns=names[: len(rows[0])] if rows else None)
+                if mark:
+                    out[mark] = part[mark].to_numpy()
+                yield out
 
-    return docs.select("doc_id", "text").mapInPandas(run, schema)
+    return docs.select("doc_id", "text", *[mark] * bool(mark)).mapInPandas(run, schema)
 
 
 def _sizes_allow(n: Column, m: Column, percent: int) -> Column:
@@ -221,8 +231,9 @@ def _verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, levels: byt
     return both.where(100 * shared >= percent * union).select("a", "b").distinct()
 
 
-def join(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_shingles, component_id and class ``key``."""
+def join(docs: DataFrame, words: int = 3, percent: int = 90, mark: str | None = None) -> DataFrame:
+    """Per row of ``docs``: doc_id, n_shingles, component_id, class ``key``, the component's
+    least key ``root`` and, if there is one, the column ``mark``."""
     spark = docs.sparkSession
     folder = f"{checkpoint_root(spark)}/jaccard-{uuid.uuid4().hex}"
 
@@ -231,7 +242,7 @@ def join(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
         return spark.read.parquet(f"{folder}/{name}")
 
     levels = word_levels(docs)
-    rows = stored(sketches(docs, levels, words, percent, whole=False), "rows")
+    rows = stored(sketches(docs, levels, words, percent, whole=False, mark=mark), "rows")
     classes = stored(
         rows.where("n > 0").groupBy("key").agg(
             F.min("doc_id").alias("rep"), F.first("n").alias("n"),
@@ -308,12 +319,14 @@ def join(docs: DataFrame, words: int = 3, percent: int = 90) -> DataFrame:
         "key", "rep", F.coalesce("root", "key").alias("root")
     )
     least = labelled.groupBy("root").agg(F.min("rep").alias("component_id"))
-    by_class = labelled.join(least, "root").select("key", "component_id")
+    by_class = labelled.join(least, "root").select("key", "component_id", "root")
     return rows.join(by_class, "key", "left").select(
         "doc_id",
         F.col("n").cast("bigint").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
         "key",
+        "root",
+        *[mark] * bool(mark),
     )
 
 
@@ -322,12 +335,28 @@ def op8_ngram_jaccard(spark, sf_dir: str) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` without the documents whose component has a smaller doc_id.
+    """One row of each component of ``docs``, and every row without words.
 
-    Rows with a null doc_id stay where no row of their component has one. Of
-    rows that repeat a kept doc_id within a component all but the one with the smallest text go.
+    The row that stays has the component's least doc_id, a null one only where no
+    row has another; of several such rows one by hash of all columns, of equal rows one.
     """
-    joined = join(docs, words, percent)
-    gone = joined.where(F.col("component_id").isNotNull() & (F.col("doc_id").isNull() | (F.col("doc_id") != F.col("component_id"))))
-    gone = gone.select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(F.col("_gone")), "left_anti")
+    mark = "_row_mark"
+    # Hashes pass over nulls, so it is hashed too which columns are null.
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    marked = docs.withColumn(mark, F.xxhash64(*columns, *[c.isNull() for c in columns]))
+    path = f"{checkpoint_root(docs.sparkSession)}/keep-{uuid.uuid4().hex}"
+    linked = join(marked, words, percent, mark).where("n_shingles > 0")
+    linked.groupBy("root", "doc_id", mark).agg(F.count(F.lit(1)).alias("copies")).write.parquet(path)
+    kinds = docs.sparkSession.read.parquet(path)
+    best = kinds.groupBy("root").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", mark)).alias("best")
+    )
+    stays = best.select(F.col("best")[mark].alias(mark), F.lit(True).alias("stays"))
+    judged = kinds.join(stays, mark, "left").select(mark, "copies", F.col("stays").isNotNull().alias("stays"))
+    once = marked.join(judged.where(~F.col("stays") | (F.col("copies") > 1)).select(mark), mark, "left_anti")
+    again = judged.where(F.col("stays") & (F.col("copies") > 1)).select(mark)
+    if again.isEmpty():
+        return once.select(docs.columns)
+    # Equal rows are one before they are shuffled.
+    copies = marked.join(again, mark, "left_semi").dropDuplicates()
+    return once.unionByName(copies).select(docs.columns)
