@@ -131,9 +131,9 @@ def anchor_rows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Data
 
 def contexts_at(docs: DataFrame, places: DataFrame, length: int, gram: int) -> DataFrame:
     """(row, pos, at, data): the context of every listed place, from the texts."""
-    lists = places.groupBy("row").agg(F.collect_list("pos").alias("places"))  # of one document
-    # Rows that repeat have one text; one of them is enough.
-    joined = docs.join(lists, "row").select("row", "t", "places")
+    lists = places.distinct().groupBy("row").agg(F.collect_list("pos").alias("places"))  # of one text
+    # Rows that repeat have one text; one of them is enough, and they are one before they are shuffled.
+    joined = docs.select("row", "t").dropDuplicates(["row"]).join(lists, "row").select("row", "t", "places")
 
     def run(frames):
         for pdf in frames:
@@ -395,12 +395,18 @@ def identified(docs: DataFrame) -> DataFrame:
     )
 
 
+def spans_by_row(rows: DataFrame, length: int = LENGTH) -> DataFrame:
+    """(row, spans) of ``repeated_spans``, the spans as an array."""
+    # Rows that repeat give the same spans; those are one before they are gathered.
+    return repeated_spans(rows, length).distinct().groupBy("row").agg(
+        F.collect_list(F.struct("start", "end")).alias("spans")  # of one text
+    )
+
+
 def cut(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """doc_id, text without its repeated bytes as ``kept`` (binary), n_bytes, n_removed, n_spans."""
     rows = identified(docs)
-    spans = repeated_spans(rows, length).groupBy("row").agg(
-        F.collect_list(F.struct("start", "end")).alias("spans")  # of one document
-    )
+    spans = spans_by_row(rows, length)
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(frames):

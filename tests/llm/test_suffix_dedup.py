@@ -76,3 +76,14 @@ def test_anchors_of_equal_windows_are_equal():
 
 def test_empty_table(spark):
     assert S.cut(documents(spark, [])).count() == 0
+
+
+def test_spans_of_repeated_rows_are_gathered_once(spark):
+    row = hard_rows()[1]
+
+    def gathered(copies):
+        rows = S.identified(documents(spark, [row] * copies))
+        (got,) = S.spans_by_row(rows).collect()
+        return sorted(map(tuple, got["spans"]))
+
+    assert gathered(2) == gathered(30)
