@@ -7,9 +7,8 @@ target (labelled good and not toxic) and of the raw corpus (all documents), give
 each bucket a weight log(p_target / p_raw); the mean weight of a document's
 n-grams is its score and the fixed ``threshold`` decides on every document.
 
-The raw counts cover all documents. The target's are those of at most
-``max_target`` labelled documents, the ones with the smallest hashes, so that
-their ids (8 bytes each) may be broadcast and no text is shuffled. The weights, ``buckets``
+The raw counts cover all documents, and the target's all trusted ones. Trusted ids are
+joined by shuffle at every size. The weights, ``buckets``
 doubles, go into the plan as one array literal.
 
 Base rules, per text: word_chars, n_symbols, n_dup_lines, n_repeat_words;
@@ -32,7 +31,6 @@ from pyspark.sql import functions as F
 from silverline.llm.common import WORD, let, read, text_or_empty
 
 BUCKETS = 1 << 14
-MAX_TARGET = 20_000
 THRESHOLD = -0.15
 TOKEN = r"[\p{L}\p{N}]+|[^\p{L}\p{N}\s]+"
 WINDOW = 5
@@ -56,9 +54,7 @@ def _buckets(pair: Column, buckets: int) -> tuple[Column, Column]:
     return F.xxhash64(pair["0"]).bitwiseAND(mask), F.xxhash64(pair["0"], pair["1"]).bitwiseAND(mask)
 
 
-def bucket_weights(
-    docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, max_target: int = MAX_TARGET
-) -> list[float]:
+def bucket_weights(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS) -> list[float]:
     """log(p_target / p_raw) of each bucket, with add-one smoothing."""
     trusted = (
         labels.where(F.col("doc_id").isNotNull())
@@ -66,10 +62,8 @@ def bucket_weights(
         .agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
         .where((F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0))
         .select("doc_id", F.lit(1).alias("trusted"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(max_target)
     )
-    texts = docs.select("doc_id", "text").join(F.broadcast(trusted), "doc_id", "left")
+    texts = docs.select("doc_id", "text").join(trusted.hint("merge"), "doc_id", "left")
     pairs = texts.select("trusted", F.explode(_token_pairs(text_or_empty())).alias("pair"))
     one, two = _buckets(F.col("pair"), buckets)
     counts = (

@@ -68,3 +68,11 @@ def test_filter_keeps_columns_and_empty_inputs(spark):
     assert Q.quality_rules(documents(spark, []), labels(spark)).count() == 0
     rows = Q.quality_rules(docs, labels(spark, [])).collect()
     assert all(r["llr"] == 0 for r in rows)
+
+
+def test_every_trusted_document_counts(spark):
+    """However many labels there are: those of other documents change nothing."""
+    docs = documents(spark)
+    few = spark.createDataFrame([(i, 1, 0) for i in range(40)], "doc_id long, quality int, toxic int")
+    many = few.unionByName(spark.range(1000, 61_000).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic"))
+    assert Q.bucket_weights(docs, many) == Q.bucket_weights(docs, few)
