@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +30,21 @@ def text_or_empty(c: str = "text") -> Column:
     return F.coalesce(F.col(c), F.lit(""))
 
 
-def null_key(c: str) -> list[Column]:
-    """Two columns that tell a null from every value, for joins and grouping."""
-    return [F.col(c).isNull(), F.coalesce(F.col(c), F.lit(0))]
+def union_all(frames: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    fs, hpath = _file_system(spark, path)
+    return fs.exists(hpath)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Drop a staged folder whose last reader is done."""
+    fs, hpath = _file_system(spark, path)
+    fs.delete(hpath, True)
+
+
+def _file_system(spark: SparkSession, path: str):
+    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
+    return hpath.getFileSystem(spark._jsc.hadoopConfiguration()), hpath  # noqa: SLF001

@@ -83,3 +83,46 @@ SELECT doc_id, size, source_size, target,
   CAST(passes * size + {_sel("a + size")} - {_sel("a")} AS BIGINT) AS taken
 FROM laid
 """
+
+# Failing sets as bit masks: bit i is the i-th filter of ABCDE.
+ORACLE["op11_filter_audit"] = """
+WITH RECURSIVE docs AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents),
+worded AS (
+  SELECT *, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS words,
+    min(doc_id) OVER (PARTITION BY text) AS first_id FROM docs),
+masked AS (
+  SELECT doc_id, part,
+    (len(words) < 200)::INT + 2 * (100 * len(list_distinct(words)) < 50 * len(words))::INT
+    + 4 * (100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text))::INT
+    + 8 * regexp_matches(text, '[#$%&*|]')::INT + 16 * coalesce(doc_id > first_id, FALSE)::INT AS mask
+  FROM worded),
+marks AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+grouped AS (
+  SELECT part, mask, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+  FROM masked LEFT JOIN marks USING (doc_id) GROUP BY part, mask),
+letters AS (SELECT unnest(range(5)) AS i),
+orders AS (
+  SELECT '' AS filter_order, 0 AS used, 0 AS len
+  UNION ALL
+  SELECT filter_order || chr(CAST(65 + i AS INT)), used + (1 << i), len + 1
+  FROM orders, letters WHERE (used >> i) & 1 = 0 AND len < 5),
+places AS (
+  SELECT o.filter_order, CAST(s.step AS INT) AS step, ascii(o.filter_order[s.step]) - 65 AS f,
+    list_sum(list_transform(range(1, s.step), lambda j: 1 << (ascii(o.filter_order[j]) - 65)))  AS before
+  FROM (SELECT * FROM orders WHERE len = 5) o, (SELECT unnest(range(1, 6)) AS step) s),
+counted AS (
+  SELECT g.part, p.filter_order, p.step, p.f,
+    sum(n) FILTER (mask & (coalesce(before, 0) | (1 << f)) = 0) AS kept,
+    sum(n) FILTER (mask & coalesce(before, 0) = 0 AND (mask >> f) & 1 = 1) AS removed,
+    sum(n) FILTER (mask & coalesce(before, 0) <> 0 AND (mask >> f) & 1 = 1) AS redundant,
+    sum(n) FILTER (mask = 1 << f) AS unique_fails,
+    sum(good) FILTER (mask & coalesce(before, 0) = 0 AND (mask >> f) & 1 = 1) AS good_lost,
+    sum(toxic) FILTER (mask & coalesce(before, 0) = 0 AND (mask >> f) & 1 = 1) AS toxic_lost
+  FROM grouped g, places p GROUP BY ALL)
+SELECT part, filter_order, step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+  coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+  coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+  coalesce(sum(removed) OVER (PARTITION BY part, f), 0)::BIGINT AS shapley
+FROM counted
+"""

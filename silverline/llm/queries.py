@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from silverline.llm.bpe import op6_bpe
+from silverline.llm.filter_audit import op11_filter_audit
 from silverline.llm.fingerprints import op10_fingerprints
 from silverline.llm.jaccard_join import op8_ngram_jaccard
 from silverline.llm.license_scan import op7_license_scan
@@ -28,4 +29,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_source_mix": op9_source_mix,
     "op10_fingerprints": op10_fingerprints,
+    "op11_filter_audit": op11_filter_audit,
 }
