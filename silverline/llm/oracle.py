@@ -126,3 +126,27 @@ SELECT part, filter_order, step, coalesce(kept, 0)::BIGINT AS kept, coalesce(rem
   coalesce(sum(removed) OVER (PARTITION BY part, f), 0)::BIGINT AS shapley
 FROM counted
 """
+
+ORACLE["op12_ranked_search"] = """
+WITH cut AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms FROM documents),
+docs AS (SELECT row, doc_id, terms, CAST(len(terms) AS BIGINT) AS n FROM cut WHERE len(terms) > 0),
+total AS (SELECT count(*) AS nn, sum(n)::BIGINT AS l FROM docs),
+tfs AS (SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(terms) AS term FROM docs) GROUP BY row, term),
+asked AS (
+  SELECT item_id, term, count(*) AS q FROM (SELECT item_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM benchmark) GROUP BY item_id, term),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * nn + 2)::DOUBLE / (2 * df + 1))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM tfs GROUP BY term), total),
+scored AS (
+  SELECT a.item_id, d.row, any_value(d.doc_id) AS doc_id,
+    sum(a.q * w.w * ((1000000000 * t.tf) // (1000 * t.tf + 8 * (25 + ((75 * d.n * total.nn) // total.l)))))::BIGINT AS score
+  FROM asked a JOIN weights w USING (term) JOIN tfs t USING (term) JOIN docs d USING (row), total GROUP BY a.item_id, d.row)
+SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+WHERE rank <= 10
+"""

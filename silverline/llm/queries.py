@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from silverline.llm.best_fit_packing import op13_best_fit_packing
 from silverline.llm.bpe import op6_bpe
 from silverline.llm.filter_audit import op11_filter_audit
 from silverline.llm.fingerprints import op10_fingerprints
@@ -15,6 +16,7 @@ from silverline.llm.lm_scoring import op4_lm_scoring
 from silverline.llm.pii import op3_pii_spans
 from silverline.llm.quality_classifier import op1_quality_classifier
 from silverline.llm.quality_rules import op5_quality_rules
+from silverline.llm.ranked_search import op12_ranked_search
 from silverline.llm.source_mix import op9_source_mix
 from silverline.llm.suffix_dedup import op2_suffix_dedup
 
@@ -30,4 +32,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_source_mix": op9_source_mix,
     "op10_fingerprints": op10_fingerprints,
     "op11_filter_audit": op11_filter_audit,
+    "op12_ranked_search": op12_ranked_search,
+    "op13_best_fit_packing": op13_best_fit_packing,
 }
