@@ -27,8 +27,8 @@ Conditions stay true as pieces leave, so all copies that can be fixed are fixed
 passes go on until nothing changes. The remainder is packed best-fit by descending length, whole
 groups of sequences with the same free room at a time.
 
-Chunks between ASCII white space are encoded one by one and remembered per task, which gives the ids
-that encoding the whole text gives, for tokenizers that never join across white space (tested).
+Chunks between ASCII white space are encoded by themselves and remembered per task, which gives the
+ids that encoding the whole text gives, for tokenizers that never join across white space (tested).
 
 Edges: a null or empty text is the end id alone (one piece of length 1); ``doc_id`` passes
 through untouched (nulls, repeated ids and rows are documents of their own); an empty table gives no rows;
@@ -38,6 +38,8 @@ further columns are not read.
 from __future__ import annotations
 
 import os
+import re
+import unicodedata
 import zlib
 from bisect import bisect_left, insort
 
@@ -50,16 +52,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from silverline.llm.common import read
+from silverline.llm.common import read, slices
 from silverline.session import scratch_path
 
 CAPACITY = 4096
 END = 1
-REMEMBERED = 1 << 19  # chunks that a task remembers before it starts anew
+REMEMBERED = 1 << 18  # chunks, and parts of them, that a task remembers before it starts anew
+TOGETHER = 500  # words encoded at a time
+RUNS = re.compile("[a-z]+|[^a-z]+")
 
 
 class Chunks:
-    """Token ids of texts, chunk by chunk."""
+    """Token ids of texts, chunk by chunk.
+
+    A chunk without apostrophes is cut further where letters meet other signs, if the tokenizer
+    does so too; a word with another case or sign beside it is then known. Words are encoded many at
+    a time: a token that ends in the vocabulary's suffix ends its word.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -68,25 +77,68 @@ class Chunks:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        suffix = self.tokenizer.model.end_of_word_suffix
+        vocabulary = self.tokenizer.get_vocab()
+        self.word_end = np.zeros(max(vocabulary.values()) + 1, bool)
+        if suffix:
+            self.word_end[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
+        self.cut = bool(suffix) and self._cuts_at_signs()
+        self.parts: dict[str, bytes] = {}
         self._clear()
 
+    def _cuts_at_signs(self) -> bool:
+        """Whether the tokenizer folds case and keeps letters apart from other signs."""
+        signs = [chr(c) for c in range(33, 127) if not chr(c).isalpha() and chr(c) != "'"]
+        pairs = [("aB" + x + "Cd", "ab " + x + " cd") for x in signs]
+        return all(
+            a.ids == b.ids
+            for a, b in zip(*(self.tokenizer.encode_batch(list(t), add_special_tokens=False) for t in zip(*pairs)), strict=True)
+        )
+
     def _clear(self) -> None:
         self.known: dict[str, int] = {}
         self.pool, self.starts, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
+    def _parts(self, chunk: str) -> list[str]:
+        """The chunk in pieces that the tokenizer never joins."""
+        if not self.cut or "'" in chunk or "<" in chunk:
+            return [chunk]
+        if chunk.isascii():
+            return RUNS.findall(chunk.lower())
+        word = chunk.rstrip(".,;:!?")
+        # A letter whose folded form ends in a mark would go with the sign.
+        folded = unicodedata.normalize("NFC", word[-1:]).lower() if word != chunk else ""
+        return [word, chunk[len(word) :]] if folded[-1:].isalpha() else [chunk]
+
+    def _learn_parts(self, parts: set[str]) -> None:
+        words = [p for p in parts if self.cut and p.isalpha()]
+        others = list(parts.difference(words))
+        for lo in range(0, len(words), TOGETHER):
+            some = words[lo : lo + TOGETHER]
+            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+            raw, ends = ids.tobytes(), (4 * (np.flatnonzero(self.word_end[ids]) + 1)).tolist()
+            if len(ends) == len(some):  # every one is one word to the tokenizer too
+                self.parts.update((w, raw[a:z]) for w, a, z in zip(some, [0, *ends[:-1]], ends, strict=True))
+            else:
+                others += some
+        for part, e in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False), strict=True):
+            self.parts[part] = np.array(e.ids, "<u4").tobytes()
+
     def _learn(self, chunks: list[str]) -> np.ndarray:
         """The slot of each of these distinct chunks."""
         if len(self.known) > REMEMBERED:
             self._clear()
+        if len(self.parts) > REMEMBERED:
+            self.parts = {}
         new = [c for c in chunks if c not in self.known]
-        if new:
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-            sizes = np.array([len(i) for i in ids], np.int64)
-            starts = len(self.pool) + np.cumsum(sizes) - sizes
-            self.pool = np.concatenate([self.pool, np.array([x for i in ids for x in i], np.uint32)])
-            self.starts, self.sizes = np.concatenate([self.starts, starts]), np.concatenate([self.sizes, sizes])
-            for c in new:
-                self.known[c] = len(self.known)
+        cut = [self._parts(c) for c in new]
+        self._learn_parts({p for parts in cut for p in parts if p not in self.parts})
+        ids = [b"".join([self.parts[p] for p in parts]) for parts in cut]
+        sizes = np.array([len(i) // 4 for i in ids], np.int64)
+        starts = len(self.pool) + np.cumsum(sizes) - sizes
+        self.pool = np.concatenate([self.pool, np.frombuffer(b"".join(ids), "<u4")])
+        self.starts, self.sizes = np.concatenate([self.starts, starts]), np.concatenate([self.sizes, sizes])
+        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
         return np.array([self.known[c] for c in chunks], np.int64)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -111,7 +163,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> Da
     def run(batches):
         chunks, seen = Chunks(tokenizer_path), np.zeros(capacity + 1, np.int64)
         task = TaskContext.get().partitionId()
-        for batch in batches:
+        for batch in slices(batches, 1):
             ids, lengths = chunks.encode(batch.column(1))
             n = -(-lengths // capacity)
             doc = np.repeat(np.arange(len(lengths)), n)

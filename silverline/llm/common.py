@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +33,19 @@ def text_or_empty(c: str = "text") -> Column:
     return F.coalesce(F.col(c), F.lit(""))
 
 
+def slices(batches: Iterable[pa.RecordBatch], text: int, rows: int = 1000, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Arrow batches cut to at most ``rows`` rows and, but for a single longer text in
+    column ``text``, ``size`` bytes of text: what Python objects are made of at a time."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        lo = 0
+        while lo < len(batch):
+            before = ends[lo - 1] if lo else 0
+            hi = min(max(int(np.searchsorted(ends, before + size, side="right")), lo + 1), lo + rows, len(batch))
+            yield batch.slice(lo, hi - lo)
+            lo = hi
+
+
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 

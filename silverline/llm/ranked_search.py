@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from silverline.llm.common import read, remove_folder
+from silverline.llm.common import read, remove_folder, slices
 from silverline.session import scratch_path
 
 TOP = 10
@@ -95,7 +95,7 @@ def item_terms(items: DataFrame) -> DataFrame:
     kind = items.schema["item_id"].dataType
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, 1):
             counts = [Counter(terms(t)) for t in _bytes(batch.column(1))]
             at = pa.array(np.repeat(np.arange(len(counts)), [len(c) for c in counts]))
             yield pa.RecordBatch.from_arrays(
@@ -119,7 +119,7 @@ def count_terms(docs: DataFrame, vocabulary: dict[bytes, int]) -> DataFrame:
 
     def run(batches):
         place = known.value
-        for batch in batches:
+        for batch in slices(batches, 1):
             lengths, found = [], []
             for text in _bytes(batch.column(1)):
                 words = terms(text)

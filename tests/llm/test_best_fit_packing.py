@@ -28,6 +28,9 @@ def test_chunks_give_the_ids_of_whole_texts(whole):
     rng = random.Random(3)
     signs = list("abcXYZ'stre.,!0189-_<|>  \n\t\r\x0b\x0c\x1c\x85  ́ÉΣσİﬁ中😀‍﻿")
     texts = ["".join(rng.choices(signs, k=rng.randint(0, 60))) for _ in range(1500)]
+    # Words with signs after them, as the shorter ways take them.
+    words = ["Éa", "İ", "\u0958", "h\u0331", "ñandú", "Ünï", "ΣΑΣ", "abc", "AbC", "ß", "中文", "x1", "x", "ŉ", "ǰ"]
+    texts += [" ".join(rng.choice(words) + rng.choice(["", ".", ",", "...", "!?", ";x"]) for _ in range(20)) for _ in range(500)]
     texts += [None, "", "it's THEY'LL <|endoftext|> a<|startoftext|>b <|ENDOFTEXT|>", "e ́ x", "word " * 9000]
     chunks = packing.Chunks(PATH)
     ids, lengths = chunks.encode(pa.array(texts, pa.string()))
