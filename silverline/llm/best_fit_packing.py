@@ -27,7 +27,7 @@ Conditions stay true as pieces leave, so all copies that can be fixed are fixed
 passes go on until nothing changes. The remainder is packed best-fit by descending length, whole
 groups of sequences with the same free room at a time.
 
-Chunks between ASCII white space are encoded by themselves and remembered per task, which gives the
+Chunks between ASCII white space are encoded by themselves and remembered per worker, which gives the
 ids that encoding the whole text gives, for tokenizers that never join across white space (tested).
 
 Edges: a null or empty text is the end id alone (one piece of length 1); ``doc_id`` passes
@@ -42,6 +42,7 @@ import re
 import unicodedata
 import zlib
 from bisect import bisect_left, insort
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -57,7 +58,8 @@ from silverline.session import scratch_path
 
 CAPACITY = 4096
 END = 1
-REMEMBERED = 1 << 18  # chunks, and parts of them, that a task remembers before it starts anew
+REMEMBERED = 1 << 18  # chunks that a worker remembers before it starts anew
+REMEMBERED_PARTS = 1 << 19  # and parts of them
 TOGETHER = 500  # words encoded at a time
 RUNS = re.compile("[a-z]+|[^a-z]+")
 
@@ -128,7 +130,7 @@ class Chunks:
         """The slot of each of these distinct chunks."""
         if len(self.known) > REMEMBERED:
             self._clear()
-        if len(self.parts) > REMEMBERED:
+        if len(self.parts) > REMEMBERED_PARTS:
             self.parts = {}
         new = [c for c in chunks if c not in self.known]
         cut = [self._parts(c) for c in new]
@@ -157,11 +159,17 @@ class Chunks:
         return out, lengths
 
 
+@lru_cache(1)
+def _chunks(path: str) -> Chunks:
+    """One per worker process, which runs many tasks."""
+    return Chunks(path)
+
+
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 of every piece; its task and its number there."""
 
     def run(batches):
-        chunks, seen = Chunks(tokenizer_path), np.zeros(capacity + 1, np.int64)
+        chunks, seen = _chunks(tokenizer_path), np.zeros(capacity + 1, np.int64)
         task = TaskContext.get().partitionId()
         for batch in slices(batches, 1):
             ids, lengths = chunks.encode(batch.column(1))

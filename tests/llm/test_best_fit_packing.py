@@ -41,6 +41,7 @@ def test_chunks_give_the_ids_of_whole_texts(whole):
 
 def test_forgetting_chunks_changes_nothing(whole, monkeypatch):
     monkeypatch.setattr(packing, "REMEMBERED", 3)
+    monkeypatch.setattr(packing, "REMEMBERED_PARTS", 3)
     chunks = packing.Chunks(PATH)
     for t in ("one two three four five", "five six one", "seven seven"):
         assert chunks.encode(pa.array([t]))[0].tolist() == whole(t)
