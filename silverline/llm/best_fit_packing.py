@@ -68,8 +68,9 @@ class Chunks:
     """Token ids of texts, chunk by chunk.
 
     A chunk without apostrophes is cut further where letters meet other signs, if the tokenizer
-    does so too; a word with another case or sign beside it is then known. Words are encoded many at
-    a time: a token that ends in the vocabulary's suffix ends its word.
+    does so too; a word with another case or sign beside it is then known. Words of small ASCII letters
+    go straight to the tokenizer's model, as nothing before it changes them. Other words are encoded
+    many at a time: a token that ends in the vocabulary's suffix ends its word.
     """
 
     def __init__(self, path: str):
@@ -89,7 +90,11 @@ class Chunks:
         self._clear()
 
     def _cuts_at_signs(self) -> bool:
-        """Whether the tokenizer folds case and keeps letters apart from other signs."""
+        """Whether the tokenizer folds case, keeps letters apart from other signs and hands words to its model as they are."""
+        for word in ("abcdefghijklm", "nopqrstuvwxyz"):
+            ids = [t.id for t in self.tokenizer.model.tokenize(word)]
+            if ids != self.tokenizer.encode(word, add_special_tokens=False).ids:
+                return False
         signs = [chr(c) for c in range(33, 127) if not chr(c).isalpha() and chr(c) != "'"]
         pairs = [("aB" + x + "Cd", "ab " + x + " cd") for x in signs]
         return all(
@@ -113,6 +118,11 @@ class Chunks:
         return [word, chunk[len(word) :]] if folded[-1:].isalpha() else [chunk]
 
     def _learn_parts(self, parts: set[str]) -> None:
+        if self.cut:
+            model, plain = self.tokenizer.model, [p for p in parts if p.isascii() and p.isalpha()]
+            for word in plain:
+                self.parts[word] = np.array([t.id for t in model.tokenize(word)], "<u4").tobytes()
+            parts = parts.difference(plain)
         words = [p for p in parts if self.cut and p.isalpha()]
         others = list(parts.difference(words))
         for lo in range(0, len(words), TOGETHER):
@@ -132,7 +142,8 @@ class Chunks:
             self._clear()
         if len(self.parts) > REMEMBERED_PARTS:
             self.parts = {}
-        new = [c for c in chunks if c not in self.known]
+        slots = list(map(self.known.get, chunks))
+        new = [c for c, slot in zip(chunks, slots, strict=True) if slot is None]
         cut = [self._parts(c) for c in new]
         self._learn_parts({p for parts in cut for p in parts if p not in self.parts})
         ids = [b"".join([self.parts[p] for p in parts]) for parts in cut]
@@ -140,8 +151,10 @@ class Chunks:
         starts = len(self.pool) + np.cumsum(sizes) - sizes
         self.pool = np.concatenate([self.pool, np.frombuffer(b"".join(ids), "<u4")])
         self.starts, self.sizes = np.concatenate([self.starts, starts]), np.concatenate([self.sizes, sizes])
+        following = iter(range(len(self.known), len(self.known) + len(new)))
+        slots = [next(following) if slot is None else slot for slot in slots]
         self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
-        return np.array([self.known[c] for c in chunks], np.int64)
+        return np.array(slots, np.int64)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of all texts, the end id after each, and the length of each."""
