@@ -59,6 +59,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--strict-dates", action="store_true")
     p.add_argument("--normalize-tags", action="store_true")
     p.add_argument("--partition-by-day", action="store_true", help="Silver videos also by trending_date")
+    p.add_argument("--single-line-api", action="store_true", help="API files are JSON Lines and may be split")
+    p.add_argument("--write-drift", action="store_true", help="also report and keep API fields beyond the contract")
     p.add_argument("--write-quarantine", action="store_true", help="also write the rows that the gate's rules reject")
     p.add_argument("--catalog", default="", help="database in which the Silver tables are registered")
     p.add_argument("--single-line-csv", action="store_true", help="CSV fields never span lines (splittable)")
@@ -94,6 +96,8 @@ def main(argv: list[str] | None = None) -> int:
             normalize_tags=args.normalize_tags,
             multi_line=not args.single_line_csv,
             write_quarantine=args.write_quarantine,
+            api_multi_line=not args.single_line_api,
+            write_drift=args.write_drift,
             partition_by=("source", "region", "trending_date") if args.partition_by_day else ("source", "region"),
         )
         result = run_videos(spark, cfg) if args.job == "videos" else stream_api_videos(spark, cfg)

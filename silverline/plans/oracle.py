@@ -595,3 +595,85 @@ SELECT source, region, video_id, strftime(trending_date, '%Y-%m-%d') AS trending
   strftime(published_at, {TS_TEXT}) AS published_at, title, category_id, view_count, comment_count
 FROM ranked WHERE rn = 1
 """
+
+_LINES = """
+  SELECT 'youtube_api' AS source, upper(substr(o.o_orderpriority, 3, 2)) AS region,
+    CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) AS video_id,
+    DATE '2024-01-02' AS trending_date,
+    l.l_shipdate + to_milliseconds(l.l_partkey * 100000 + l.l_suppkey) AS published_at,
+    CAST(l.l_partkey AS VARCHAR) AS part, CAST(l.l_linenumber AS INTEGER) AS category_id,
+    TRY_CAST(regexp_replace(printf('%.2f', l.l_quantity), '([0-9])\\.[0-9]*\\s*$', '\\1') AS BIGINT) AS view_count
+  FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey"""
+
+ORACLE["stream_latest_videos"] = f"""
+WITH lines AS ({_LINES}),
+raw AS (
+  SELECT *, 9 AS hour, 'part ' || part AS title FROM lines
+  UNION ALL SELECT *, 3, 'late ' || part FROM lines WHERE category_id = 1
+  UNION ALL SELECT *, 15, 'update ' || part FROM lines WHERE category_id = 2),
+ranked AS (
+  SELECT *, count(DISTINCT hour) OVER (PARTITION BY source, region, video_id, trending_date) AS changes,
+    row_number() OVER (
+      PARTITION BY source, region, video_id, trending_date ORDER BY published_at DESC, hour DESC) AS rn
+  FROM raw)
+SELECT source, region, video_id, strftime(trending_date, '%Y-%m-%d') AS trending_date,
+  strftime(published_at, {TS_TEXT}) AS published_at, title, category_id, view_count, changes,
+  CAST(0 AS BIGINT) AS idle_changes
+FROM ranked WHERE rn = 1
+"""
+
+ORACLE["stream_recovered_videos"] = f"""
+WITH lines AS ({_LINES}),
+raw AS (
+  SELECT *, 9 AS hour, 'part ' || part AS title FROM lines
+  UNION ALL SELECT *, 15, 'update ' || part FROM lines WHERE category_id = 2),
+ranked AS (
+  SELECT *, row_number() OVER (
+    PARTITION BY source, region, video_id, trending_date ORDER BY published_at DESC, hour DESC) AS rn
+  FROM raw)
+SELECT region, video_id, strftime(published_at, {TS_TEXT}) AS published_at, title, view_count
+FROM ranked WHERE rn = 1
+"""
+
+_DRIFT = """
+  SELECT upper(substr(o.o_orderpriority, 3, 2)) AS region,
+    CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) AS video_id,
+    CASE o.o_orderstatus WHEN 'F' THEN '2024-01-02' WHEN 'O' THEN '2024-01-03' ELSE '2024-01-04' END AS trending_date,
+    unnest([
+      CASE WHEN l.l_returnflag = 'R' THEN {'path': 'statistics.likeCount', 'status': 'retyped', 'seen_type': 'BIGINT',
+        'json': CAST(l.l_partkey AS VARCHAR)} END,
+      CASE WHEN l.l_linenumber = 2 THEN {'path': 'snippet.tags', 'status': 'retyped', 'seen_type': 'STRING',
+        'json': '"plain"'} END,
+      CASE WHEN l.l_linenumber = 3 THEN {'path': 'statistics.shareCount', 'status': 'unknown', 'seen_type': 'BIGINT',
+        'json': CAST(l.l_suppkey AS VARCHAR)} END,
+      CASE WHEN l.l_linenumber = 4 THEN {'path': 'status', 'status': 'unknown', 'seen_type': 'OBJECT<privacyStatus: STRING>',
+        'json': '{"privacyStatus":"public"}'} END]) AS d
+  FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey"""
+
+ORACLE["api_drift"] = f"""
+SELECT trending_date, d.path AS path, d.status AS status, d.seen_type AS seen_type, count(*) AS items
+FROM ({_DRIFT}) WHERE d IS NOT NULL GROUP BY ALL
+"""
+
+ORACLE["api_rescued"] = f"""
+SELECT region, video_id, trending_date, d.path AS path, d.json AS json FROM ({_DRIFT}) WHERE d IS NOT NULL
+"""
+
+ORACLE["stream_categories"] = """
+WITH reference AS (
+  SELECT 'kaggle' AS source, 'us' AS region, 'Brand_11_' || CAST(p_partkey // 50 AS VARCHAR) || '_category_id' AS file,
+    (p_partkey // 50) % 4 AS k, p_size FROM part),
+kept AS (
+  SELECT source, region, file, p_size FROM reference WHERE k <> 0 OR p_size > 25),
+landed AS (
+  SELECT 'youtube_api' AS source, lower(substr(r_name, 1, 2)) AS region, 'landed' AS file, n_nationkey AS id
+  FROM nation JOIN region ON n_regionkey = r_regionkey),
+all_rows AS (
+  SELECT DISTINCT source, region, file, p_size AS id FROM kept
+  UNION ALL SELECT source, region, file, id FROM landed),
+seen AS (
+  SELECT count(DISTINCT file) FILTER (k < 3) AS files, count(DISTINCT file) FILTER (k = 2) AS failed FROM reference)
+SELECT source, region, file, count(*) AS silver_rows, CAST(sum(id) AS BIGINT) AS id_sum,
+  any_value(files) AS reference_files_seen, any_value(failed) AS failed_then, CAST(0 AS BIGINT) AS idle_files
+FROM all_rows, seen GROUP BY source, region, file
+"""

@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverline.contracts import MISSING_CONTEXT_COLUMNS
+from silverline.contracts import DEDUP_KEYS, MISSING_CONTEXT_COLUMNS
 from silverline.functions.columns import (
     date_from_path,
     date_partition,
@@ -65,16 +65,19 @@ from silverline.plans.standins import (
     events_as_videos,
     orders_as_api_payloads,
     parts_as_category_files,
+    write_category_drop,
     write_events_as_csv_bronze,
     write_orders_as_api_bronze,
+    write_orders_as_drifting_api_bronze,
 )
 from silverline.plans.categories import CategoryJobConfig, run_categories
 from silverline.plans.videos import VideoJobConfig, gate_source, run_videos, silver_rows
 from silverline.session import materialize, scratch_path
-from silverline.sinks.silver import manifest
+from silverline.sinks.silver import manifest, write_partitioned
 from silverline.sources.bronze import read_api_videos, read_csv_videos
 from silverline.sources.tables import table
-from silverline.streaming.incremental import stream_api_videos
+from silverline.streaming.incremental import stream_api_videos, stream_categories
+from silverline.streaming.latest import compact_changes, changes_path, latest_videos, read_changes, stream_latest_videos
 
 Query = Callable[[SparkSession, str], DataFrame]
 TS_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -747,6 +750,168 @@ def stream_landed_videos(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR2 in a state store: the drops of ``stream_landed_videos`` as changed keys, then a run with none.
+
+    ``changes`` counts how often a key was written: once per drop that has it, whatever
+    else lies in its region. The current rows are read after compaction.
+    """
+    orders, lineitem = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
+    bronze, silver = scratch_path(spark, "latest-bronze"), scratch_path(spark, "latest-silver")
+    cfg = VideoJobConfig(bronze, silver, source="youtube_api", write_report=False)
+
+    def drop(payloads: DataFrame, hour: int) -> None:
+        land_payloads(payloads, bronze, _run_ts(2, hour), f"20240102T{hour:02d}0000Z_00000000", compression="lz4")
+        stream_latest_videos(spark, cfg)
+
+    def some(line: int, title: str) -> DataFrame:
+        lines = lineitem.filter(F.col("l_linenumber") == line)
+        having = orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left_semi")
+        return _video_payloads(having, lines, title)
+
+    drop(_video_payloads(orders, lineitem), 9)
+    drop(some(1, "late "), 3)
+    drop(some(2, "update "), 15)
+    idle = sum(r["changed_keys"] for r in stream_latest_videos(spark, cfg))  # no new files
+    changes = materialize(
+        read_changes(spark, changes_path(cfg)).groupBy(*DEDUP_KEYS).agg(F.count(F.lit(1)).alias("changes"))
+    )
+    compact_changes(spark, cfg)
+    return latest_videos(spark, cfg).join(changes, DEDUP_KEYS).select(
+        "source",
+        "region",
+        "video_id",
+        _day("trending_date").alias("trending_date"),
+        _ts("published_at").alias("published_at"),
+        "title",
+        "category_id",
+        "view_count",
+        "changes",
+        F.lit(idle).cast("bigint").alias("idle_changes"),
+    )
+
+
+def stream_recovered_videos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D10: a merge that ends inside its write, after a region lost its files, then the next run.
+
+    The first drop is every order, the second the second lines anew. The write of the second is
+    cut off; the replay must give what one batch over both drops gives.
+    """
+    orders, lineitem = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
+    bronze, silver = scratch_path(spark, "recovered-bronze"), scratch_path(spark, "recovered-silver")
+    cfg = VideoJobConfig(bronze, silver, source="youtube_api", write_report=False)
+
+    class CutOff(RuntimeError):
+        pass
+
+    def cut_off(staged: DataFrame, path: str, partition_by: tuple[str, ...]) -> None:
+        """Every touched region is without its files; the new ones never come."""
+        write_partitioned(staged.filter("FALSE"), path, partition_by)
+        hpath = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/source=youtube_api")  # noqa: SLF001
+        hpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hpath, True)  # noqa: SLF001
+        raise CutOff("the executor and the driver are gone")
+
+    def land(payloads: DataFrame, hour: int) -> None:
+        land_payloads(payloads, bronze, _run_ts(2, hour), f"20240102T{hour:02d}0000Z_00000000", compression="lz4")
+
+    land(_video_payloads(orders, lineitem), 9)
+    stream_api_videos(spark, cfg)
+    lines = lineitem.filter(F.col("l_linenumber") == 2)
+    land(_video_payloads(orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left_semi"), lines, "update "), 15)
+    try:
+        stream_api_videos(spark, cfg, writer=cut_off)
+    except Exception as exc:  # noqa: BLE001 - the stream wraps it
+        if "CutOff" not in str(exc):
+            raise
+    stream_api_videos(spark, cfg)
+    return spark.read.parquet(cfg.silver_path).select(
+        "region", "video_id", _ts("published_at").alias("published_at"), "title", "view_count"
+    )
+
+
+def _drifting_job(spark: SparkSession, sf_dir: str) -> VideoJobConfig:
+    bronze, silver = scratch_path(spark, "drift-bronze"), scratch_path(spark, "drift-silver")
+    write_orders_as_drifting_api_bronze(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"), bronze)
+    cfg = VideoJobConfig(bronze, silver, source="youtube_api", write_report=False, write_drift=True)
+    run_videos(spark, cfg)
+    return cfg
+
+
+def api_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC2/D6: fields beyond the contract, per day, reported by the job that reads them."""
+    cfg = _drifting_job(spark, sf_dir)
+    return spark.read.parquet(cfg.drift_path).select(
+        _day("trending_date").alias("trending_date"), "path", "status", "seen_type", "items"
+    )
+
+
+def api_rescued(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC2/D6: the values of those fields, by the key of their Silver row."""
+    cfg = _drifting_job(spark, sf_dir)
+    in_silver = spark.read.parquet(cfg.silver_path).select("region", "video_id", "trending_date")
+    return spark.read.parquet(cfg.rescued_path).select(
+        "region", "video_id", "trending_date", F.explode("rescued").alias("path", "json")
+    ).join(in_silver, ["region", "video_id", "trending_date"], "left_semi").select(
+        "region", "video_id", _day("trending_date").alias("trending_date"), "path", "json"
+    )
+
+
+def stream_category_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR1: two sources, two drops with defects, a replaced, a repaired and a broken file, then nothing new.
+
+    Reference files come from all parts as of one brand, 50 keys a file; API files are the nations of
+    each region. The last columns count the files of the second and third run.
+    """
+    bronze, silver = scratch_path(spark, "str1-bronze"), scratch_path(spark, "str1-silver")
+    cfg = CategoryJobConfig(bronze, silver)
+    reference, api = cfg.input_paths()
+    part = table(spark, sf_dir, "part")
+    good = materialize(
+        parts_as_category_files(part.withColumn("p_brand", F.lit("Brand#11"))).select(
+            F.lit("us").alias("region"), F.regexp_extract("bronze_file", r"/([^/]+)\.json$", 1).alias("file"), "value"
+        )
+    )
+    number = F.regexp_extract("file", r"_(\d+)_category_id", 1).cast("int") % 4
+    broken = F.lit("{not json")
+    write_category_drop(good.withColumn("value", F.when(number == 1, broken).otherwise(F.col("value"))), reference, "drop1")
+    nations = table(spark, sf_dir, "nation").join(
+        table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
+    )
+    item = F.struct(
+        F.col("n_nationkey").cast("string").alias("id"),
+        F.struct(F.col("n_name").alias("title"), F.lit(True).alias("assignable")).alias("snippet"),
+    )
+    payloads = nations.groupBy(F.lower(F.substring("r_name", 1, 2)).alias("region")).agg(
+        F.lit("video_categories").alias("dataset"), F.to_json(F.struct(F.collect_list(item).alias("items"))).alias("payload")
+    )
+    land_payloads(payloads, bronze, _run_ts(2, 3), "20240102T030000Z_00000000")
+    seen = [stream_categories(spark, CategoryJobConfig(bronze, silver, extensions=(".json", ".txt")), raise_on_error=False)]
+    # Files 0 come anew with fewer items, files 1 repaired, files 2 broken: those keep their rows.
+    doc = F.parse_json("value")
+    fewer = F.filter(F.variant_get(doc, "$.items", "array<variant>"), lambda x: F.variant_get(x, "$.snippet.assignable", "boolean"))
+    second = good.filter(number < 3).withColumn(
+        "value",
+        F.when(number == 0, F.to_json(F.struct(F.transform(fewer, lambda x: x).alias("items"))))
+        .when(number == 1, F.col("value"))
+        .otherwise(broken),
+    )
+    write_category_drop(second, reference, "drop2")
+    again = CategoryJobConfig(bronze, silver, extensions=(".json", ".txt"))
+    seen += [stream_categories(spark, again, raise_on_error=False) for _ in range(2)]
+    counted = spark.read.parquet(cfg.output_path)
+    name = F.when(F.col("source") == "kaggle", F.col("bronze_file")).otherwise(F.lit("landed")).alias("file")
+    rows = counted.groupBy("source", "region", name).agg(
+        F.count(F.lit(1)).alias("silver_rows"), F.sum("category_id").alias("id_sum")
+    )
+    return rows.withColumns(
+        {
+            "reference_files_seen": F.lit(seen[1]["files"]).cast("bigint"),
+            "failed_then": F.lit(seen[1]["failed"]).cast("bigint"),
+            "idle_files": F.lit(seen[2]["files"]).cast("bigint"),
+        }
+    )
+
+
 def compare_two_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """GLD4 (ours): Silver events against the raw-events source, full outer."""
     silver = silver_event_videos(spark, sf_dir)
@@ -802,6 +967,11 @@ QUERIES: dict[str, Query] = {
     "category_job": category_job,
     "video_job_record": video_job_record,
     "stream_landed_videos": stream_landed_videos,
+    "stream_recovered_videos": stream_recovered_videos,
+    "stream_latest_videos": stream_latest,
+    "stream_categories": stream_category_files,
+    "api_drift": api_drift,
+    "api_rescued": api_rescued,
     "category_rollup": category_rollup,
     "current_categories": current_category_rows,
     "quality_by_partition": quality_by_partition,

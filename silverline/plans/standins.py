@@ -19,6 +19,7 @@ from silverline.contracts import (
     VIDEO_TYPES,
 )
 from silverline.functions.columns import json_text_field, safe_int, safe_long
+from silverline.sources.bronze import RECORD_SEPARATOR
 
 SOURCE_FILE = "_source_file"
 
@@ -303,3 +304,58 @@ def write_orders_as_api_bronze(
         "compression", compression
     ).json(path)
     return path
+
+
+def write_orders_as_drifting_api_bronze(orders: DataFrame, lineitem: DataFrame, root: str) -> str:
+    """API responses with fields beyond the contract, in one daily drop per order status.
+
+    ``likeCount`` is a number on returned lines, ``tags`` a plain string on second
+    lines; third lines have a ``shareCount``, fourth ones a ``status`` object.
+    """
+    docs = orders_as_api_payloads(orders, lineitem).join(orders.select("o_orderkey", "o_orderstatus"), "o_orderkey")
+
+    def text(x):
+        line, out = x["snippet"]["categoryId"], F.to_json(x)
+        numeric = F.regexp_replace(out, '"likeCount":"([0-9]+)"', '"likeCount":$1')
+        out = F.when(x["snippet"]["description"] == "R", numeric).otherwise(out)
+        plain = F.regexp_replace(out, r'"tags":\[[^\]]*\]', '"tags":"plain"')
+        out = F.when(line == "2", plain).otherwise(out)
+        shared = F.regexp_replace(out, r'"favoriteCount":"([0-9]+)"', '"favoriteCount":"$1","shareCount":$1')
+        out = F.when(line == "3", shared).otherwise(out)
+        public = F.regexp_replace(out, r"\}$", ',"status":{"privacyStatus":"public"}}')
+        return F.when(line == "4", public).otherwise(out)
+
+    day = F.when(F.col("o_orderstatus") == "F", "2024-01-02").when(F.col("o_orderstatus") == "O", "2024-01-03")
+    path = f"{root}/youtube/api_raw/videos"
+    docs.select(
+        F.concat(
+            F.lit('{"kind":"youtube#videoListResponse","items":['), F.concat_ws(",", F.transform("items", text)), F.lit("]}")
+        ).alias("value"),
+        F.regexp_extract("_source_file", "region=([^/]+)", 1).alias("region"),
+        day.otherwise("2024-01-04").alias("date"),
+        F.lit("00").alias("hour"),
+    ).hint("rebalance", "region", "date").write.mode("overwrite").partitionBy("region", "date", "hour").text(
+        path, lineSep=RECORD_SEPARATOR, compression="lz4"
+    )
+    return path
+
+
+def write_category_drop(files: DataFrame, root: str, drop: str) -> None:
+    """Category files (region, file, value) as ``<drop>/region=<region>/<file>.json``.
+
+    Spark names the files it writes, so they are renamed one by one, some 50 items each.
+    """
+    spark = files.sparkSession
+    folder = f"{root}/{drop}"
+    files.write.partitionBy("region", "file").text(f"{folder}-parts", lineSep=RECORD_SEPARATOR)
+    path = spark._jvm.org.apache.hadoop.fs.Path  # noqa: SLF001
+    fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
+    for region in fs.listStatus(path(f"{folder}-parts")):
+        if not region.isDirectory():
+            continue
+        fs.mkdirs(path(f"{folder}/{region.getPath().getName()}"))
+        for file in fs.listStatus(region.getPath()):
+            name = file.getPath().getName().partition("=")[2]
+            for part in fs.listStatus(file.getPath()):
+                fs.rename(part.getPath(), path(f"{folder}/{region.getPath().getName()}/{name}.json"))
+    fs.delete(path(f"{folder}-parts"), True)

@@ -1,0 +1,56 @@
+"""The state-store form of the video stream against the batch dedup."""
+
+from __future__ import annotations
+
+from silverline.contracts import SILVER_VIDEO_COLUMNS
+from silverline.plans.videos import VideoJobConfig, run_videos
+from silverline.streaming.latest import changes_path, compact_changes, latest_videos, read_changes, stream_latest_videos
+from tests.fixtures import api_item, write_api_drop
+
+COLUMNS = [c for c in SILVER_VIDEO_COLUMNS if not c.startswith("silver_")]
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.select(*COLUMNS).collect()), key=str)
+
+
+def test_three_drops_equal_one_batch_and_touch_their_keys_only(spark, tmp_path):
+    bronze, out, ckpt = tmp_path / "bronze", tmp_path / "silver", str(tmp_path / "ckpt")
+    cfg = VideoJobConfig(str(bronze), str(out), source="youtube_api")
+    write_api_drop(bronze, "us", "2024-01-02", "09", "r1", [api_item(i, "us") for i in range(20)])
+    write_api_drop(bronze, "gb", "2024-01-02", "09", "r1", [api_item(i, "gb") for i in range(20)])
+    assert stream_latest_videos(spark, cfg, checkpoint=ckpt) == [{"batch_id": 0, "changed_keys": 40}]
+    # Older though it comes later: loses. A newer publish time: wins. Another day: a key of its own.
+    write_api_drop(bronze, "us", "2024-01-02", "03", "r2", [api_item(i, "us", title="late") for i in range(4)])
+    write_api_drop(bronze, "gb", "2024-01-02", "01", "r2", [api_item(7, "gb", title="sooner", published="2025-01-01T00:00:00Z")])
+    second = stream_latest_videos(spark, cfg, checkpoint=ckpt)
+    assert [r["changed_keys"] for r in second] == [5]
+    write_api_drop(bronze, "us", "2024-01-02", "15", "r3", [api_item(i, "us", title="update") for i in range(2, 6)])
+    write_api_drop(bronze, "us", "2024-01-03", "15", "r3", [api_item(0, "us"), api_item(0, "us"), {"id": None}])
+    third = stream_latest_videos(spark, cfg, checkpoint=ckpt)
+    assert [r["changed_keys"] for r in third] == [5]
+    assert stream_latest_videos(spark, cfg, checkpoint=ckpt) == []  # nothing new
+    batch = VideoJobConfig(str(bronze), str(tmp_path / "batch"), source="youtube_api", max_invalid_row_ratio=0.5)
+    run_videos(spark, batch)
+    expected = rows(spark.read.parquet(batch.silver_path))
+    assert rows(latest_videos(spark, cfg)) == expected
+    compact_changes(spark, cfg)
+    changes = read_changes(spark, changes_path(cfg))
+    assert changes.count() == len(expected) == 41
+    # After compaction the stream goes on, and folds again.
+    write_api_drop(bronze, "us", "2024-01-02", "20", "r4", [api_item(1, "us", title="last")])
+    stream_latest_videos(spark, cfg, checkpoint=ckpt)
+    compact_changes(spark, cfg)
+    titles = {r["video_id"]: r["title"] for r in latest_videos(spark, cfg).filter("trending_date = '2024-01-02'").collect()}
+    assert titles["usapi001"] == "last" and titles["gbapi007"] == "sooner" and titles["usapi002"] == "update"
+
+
+def test_a_new_checkpoint_reads_everything_again_to_the_same_rows(spark, tmp_path):
+    bronze, out = tmp_path / "bronze", tmp_path / "silver"
+    cfg = VideoJobConfig(str(bronze), str(out), source="youtube_api")
+    write_api_drop(bronze, "us", "2024-01-02", "09", "r1", [api_item(i, "us") for i in range(5)])
+    stream_latest_videos(spark, cfg, checkpoint=str(tmp_path / "one"))
+    first = rows(latest_videos(spark, cfg))
+    stream_latest_videos(spark, cfg, checkpoint=str(tmp_path / "two"))
+    assert read_changes(spark, changes_path(cfg)).select("stream_id").distinct().count() == 2
+    assert rows(latest_videos(spark, cfg)) == first
