@@ -6,16 +6,15 @@ tokens, two linked sets share a token among the first n - ceil(percent n / 100)
 of each (its prefix). Candidates must do so under every one of ``ORDERS`` orders:
 
 - All orders put rare tokens first, by one estimate of rarity, and differ in a hash within a
-  level. The estimate is the sum of its words' levels, from counts over all
-  documents of every word that makes up more than ``RARE`` of some task's words, so
-  at most 1 / RARE words per task; any estimate gives the same links, only at another cost.
+  level. The estimate counts over all documents the shingles that make up more than ``RARE``
+  of some chunk of sets, so at most 1 / RARE per chunk: passages that a share of the
+  corpus has come last, and documents that have no more in common meet nowhere. Any estimate
+  gives the same links, only at another cost.
 - Equal sets are one class from the start. The classes are joined on the tokens
   of the first order; tokens of a single class drop out in a count. Sizes and token
   positions bound the overlap that a pair can still have.
-- A histogram of 64 cells over each set's hashes bounds the overlap from above, as a
-  condition of the joins that make pairs; pairs that it rejects are never made. The sets of the other classes
-  are made again from one text of each.
-- The other orders' prefixes must overlap too; only then are sets intersected.
+- Of the classes in such pairs one text each is read again for the whole set and the other
+  orders' prefixes. Those must overlap too; only then are sets intersected.
 
 No group's pairs are all made. First every class meets only the most central
 class of each of its tokens; the links found give components. Then, per token,
@@ -34,95 +33,93 @@ as larger than any other, and a group of only such has a null component. Only ``
 
 from __future__ import annotations
 
-import math
-import uuid
-from collections import Counter
-
 import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from silverline.llm.common import read
+from silverline.llm.common import read, with_results
 from silverline.llm.components import components
-from silverline.session import checkpoint_root
+from silverline.session import scratch_path
 
 ORDERS = 3
-RARE = 2.0**-18
-TABLE_BITS = 22
-LEVELS = 16
-CELLS = 64
-PACKED = [f"h{i}" for i in range(CELLS // 8)]  # eight cells to a long
+RARE = 2.0**-20
+TABLE_BITS = 23
+LEVELS = 255
+CHUNK = 1 << 22  # shingles counted at a time
 # Odd multipliers of the orders' hashes.
-MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
+MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 
 
-def word_levels(docs: DataFrame) -> bytes:
-    """Level of each word by hash: 0 where no task found the word frequent.
+def token_levels(docs: DataFrame, words: int) -> bytes:
+    """Level of each shingle by hash: 0 where no task found it frequent, else by the number of sets that have it.
 
-    A table of 2^TABLE_BITS bytes, whatever the corpus. The driver gets the words
-    that hold more than RARE of the corpus by these counts: at most 1 / RARE.
+    A table of 2^TABLE_BITS bytes, whatever the corpus. The driver gets the shingles that
+    make up more than RARE of all members of sets: at most 1 / RARE.
     """
 
     def count(frames):
-        counts: Counter[bytes] = Counter()
-        total = 0
+        shingler = Shingler(None, words, 0)
+        held, size = [], 0
+
+        def counted():
+            tokens, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *held]), return_counts=True)
+            often = n > max(1, RARE * size)
+            return pd.DataFrame(
+                {
+                    "h": np.append(tokens[often].view(np.int64), 0),
+                    "c": np.append(n[often], size),
+                    "whole": np.append(np.zeros(often.sum(), bool), True),
+                }
+            )
+
         for pdf in frames:
             for text in pdf["text"]:
-                if isinstance(text, str):
-                    words = text.encode("utf-8", "replace").lower().split()
-                    total += len(words)
-                    counts.update(words)
-            if len(counts) > 4_000_000:  # of so many, those below the share are dropped
-                counts = Counter({w: c for w, c in counts.items() if c > RARE * total / 4})
-        kept = [(w, c) for w, c in counts.items() if c > RARE * total]
-        yield pd.DataFrame(
-            {
-                "h": np.array([xxhash.xxh3_64_intdigest(w) for w, _ in kept] + [0], dtype=np.uint64).view(np.int64),
-                "c": [c for _, c in kept] + [total],
-                "whole": [False] * len(kept) + [True],
-            }
-        )
+                held.append(shingler.shingles(text))
+                size += len(held[-1])
+                if size >= CHUNK:
+                    yield counted()
+                    held, size = [], 0
+        yield counted()
 
     rows = docs.select("text").mapInPandas(count, "h long, c long, whole boolean")
     sums = rows.groupBy("whole", "h").agg(F.sum("c").alias("c")).checkpoint(eager=True)
     total = max(1, sums.where("whole").agg(F.sum("c")).first()[0] or 1)
     table = np.zeros(1 << TABLE_BITS, dtype=np.uint8)
-    for r in sums.where(~F.col("whole") & (F.col("c") > RARE * total)).collect():
-        at = (r["h"] & ((1 << 64) - 1)) & ((1 << TABLE_BITS) - 1)
-        level = min(LEVELS, 1 + int(math.log2(r["c"] / (RARE * total))))
-        table[at] = max(table[at], level)
+    often = sums.where(~F.col("whole") & (F.col("c") > RARE * total)).toPandas()
+    at = often["h"].to_numpy(np.int64).view(np.uint64) & np.uint64((1 << TABLE_BITS) - 1)
+    level = 1 + 8 * np.log2(often["c"].to_numpy(np.float64) / (RARE * total))
+    np.maximum.at(table, at.astype(np.int64), np.clip(level, 1, LEVELS).astype(np.uint8))
     return table.tobytes()
 
 
 class Shingler:
     """Sets and prefixes of texts; one per task."""
 
-    def __init__(self, levels: bytes, words: int, percent: int):
-        self.levels, self.words, self.percent = np.frombuffer(levels, dtype=np.uint8), words, percent
+    def __init__(self, levels: bytes | None, words: int, percent: int):
+        self.levels = np.frombuffer(levels, dtype=np.uint8) if levels else None
+        self.words, self.percent = words, percent
 
-    def shingles(self, text) -> tuple[np.ndarray, np.ndarray]:
-        """Sorted distinct shingle hashes (uint64) and their levels."""
+    def shingles(self, text) -> np.ndarray:
+        """Sorted distinct shingle hashes (uint64)."""
         words = text.encode("utf-8", "replace").lower().split() if isinstance(text, str) else []
         n = len(words)
         if not n:
-            return np.zeros(0, np.uint64), np.zeros(0, np.uint16)
+            return np.zeros(0, np.uint64)
         h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=n)
-        level = self.levels[h & np.uint64((1 << TABLE_BITS) - 1)].astype(np.uint16)
         k = min(self.words, n)
         out = np.full(n - k + 1, k, dtype=np.uint64)
-        rarity = np.zeros(n - k + 1, dtype=np.uint16)
         for i in range(k):
             out = (out ^ h[i : n - k + 1 + i]) * np.uint64(MIX[0])
             out ^= out >> np.uint64(29)
-            rarity += level[i : n - k + 1 + i]
-        distinct, first = np.unique(out, return_index=True)
-        return distinct, rarity[first]
+        return np.unique(out)
 
-    def prefixes(self, tokens: np.ndarray, level: np.ndarray) -> list[np.ndarray]:
+    def prefixes(self, tokens: np.ndarray) -> list[np.ndarray]:
         """The prefix of the set under each order, in that order."""
         n = len(tokens)
+        level = self.levels[tokens & np.uint64((1 << TABLE_BITS) - 1)]
         size = n - -(-self.percent * n // 100) + 1 if n else 0
         out = []
         for mix in MIX[:ORDERS]:
@@ -133,12 +130,6 @@ class Shingler:
         return out
 
 
-def histogram(tokens: np.ndarray) -> list[int]:
-    """Tokens by hash cell, a byte each, eight to a long; 255 stands for that or more."""
-    cells = np.minimum(np.bincount(tokens >> np.uint64(58), minlength=CELLS), 255).astype(np.uint8)
-    return cells.view(np.int64).tolist()
-
-
 def set_key(tokens: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(tokens.tobytes()) - (1 << 63)
 
@@ -147,40 +138,31 @@ def _signed(a: np.ndarray) -> np.ndarray:
     return a.view(np.int64)
 
 
-def sketches(
-    docs: DataFrame, levels: bytes, words: int, percent: int, whole: bool, mark: str | None = None
-) -> DataFrame:
-    """Per row: doc_id, key, n, histogram, prefix; with ``whole`` also the set and the other prefixes.
-
-    ``mark``, a column of longs, goes along.
-    """
+def sketches(docs: DataFrame, keep: list[str], levels: bytes, words: int, percent: int, whole: bool) -> DataFrame:
+    """``keep`` columns, key, n and prefix per row; with ``whole`` also the set and the other prefixes."""
     table = docs.sparkSession.sparkContext.broadcast(levels)
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {id_type}, key long, n int, " + ", ".join(f"{h} long" for h in PACKED) + ", prefix array<long>"
+    longs = T.ArrayType(T.LongType())
+    fields = [T.StructField("key", T.LongType()), T.StructField("n", T.IntegerType()), T.StructField("prefix", longs)]
     if whole:
-        schema += ", tokens array<long>, others array<array<long>>"
-    if mark:
-        schema += f", {mark} long"
+        fields += [T.StructField("tokens", longs), T.StructField("others", T.ArrayType(longs))]
 
-    def run(frames):
+    def setup():
         shingler = Shingler(table.value, words, percent)
-        for pdf in frames:
-            for start in range(0, len(pdf), 512):
-                part = pdf.iloc[start : start + 512]
-                rows = []
-                for doc_id, text in zip(part["doc_id"], part["text"], strict=True):
-                    tokens, level = shingler.shingles(text)
-                    first, *others = shingler.prefixes(tokens, level)
-                    known = None if pd.isna(doc_id) else doc_id
-                    row = [known, set_key(tokens), len(tokens), *histogram(tokens), _signed(first)]
-                    rows.append([*row, _signed(tokens), [_signed(o) for o in others]] if whole else row)
-                names = ["doc_id", "key", "n", *PACKED, "prefix", "tokens", "others"]
-                out = pd.DataFrame(rows, columns=names[: len(rows[0])] if rows else None)
-                if mark:
-                    out[mark] = part[mark].to_numpy()
-                yield out
-
-    return docs.select("doc_id", "text", *[mark] * bool(mark)).mapInPandas(run, schema)
+
+        def step(pdf):
+            sets = [shingler.shingles(t) for t in pdf["text"]]
+            orders = [shingler.prefixes(s) for s in sets]
+            return {
+                "key": [set_key(s) for s in sets],
+                "n": [len(s) for s in sets],
+                "prefix": [_signed(o[0]) for o in orders],
+                "tokens": [_signed(s) for s in sets] if whole else None,
+                "others": [[_signed(x) for x in o[1:]] for o in orders] if whole else None,
+            }
+
+        return step
+
+    return with_results(docs.select(*keep, "text"), keep, "text", fields, setup)
 
 
 def _sizes_allow(n: Column, m: Column, percent: int) -> Column:
@@ -193,30 +175,15 @@ def _overlap_allows(n: Column, i: Column, m: Column, j: Column, percent: int) ->
     return ((100 + percent) * (n - i) >= need) & ((100 + percent) * (m - j) >= need)
 
 
-def _cells_allow(n: Column, m: Column, mine: str, other: str, percent: int) -> Column:
-    """Whether the histograms leave room for the overlap a link needs; a full cell bounds nothing."""
-
-    def cell(name: str, k: int) -> Column:
-        return F.shiftrightunsigned(F.col(name), 8 * k).bitwiseAND(F.lit(255))
-
-    most = F.lit(0).cast("bigint")
-    for h in PACKED:
-        for k in range(8):
-            low = F.least(cell(mine + h, k), cell(other + h, k))
-            most = most + F.when(low == 255, F.lit(1 << 40)).otherwise(low)
-    return (100 + percent) * most >= percent * (n + m)
-
-
 def _verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, levels: bytes, words: int, percent: int):
-    """The pairs (a, b) of classes that link, by their whole sets."""
+    """The pairs (a, b) of classes that link: by the other orders' prefixes, then by their whole sets.
+
+    ``docs`` has the column ``mark``; of each class the rows with the mark ``rep`` are read, equal rows as one.
+    """
     ends = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
-    # One text of each class; a class of null ids only has a null rep.
-    wanted = classes.join(ends, "key").select("rep", F.col("key").alias("wanted"))
-    texts = docs.select("doc_id", "text").join(
-        wanted.select("rep").distinct(), F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi"
-    )
-    sets = sketches(texts, levels, words, percent, whole=True)
-    sets = sets.join(wanted, (F.col("key") == F.col("wanted")) & F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi")
+    wanted = classes.join(ends, "key").select(F.col("rep").alias("mark"))
+    texts = docs.join(wanted.distinct(), "mark", "left_semi").groupBy("mark").agg(F.first("text").alias("text"))
+    sets = sketches(texts, [], levels, words, percent, whole=True)
 
     def side(name: str) -> DataFrame:
         return sets.select(
@@ -233,23 +200,24 @@ def _verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, levels: byt
 
 def join(docs: DataFrame, words: int = 3, percent: int = 90, mark: str | None = None) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id, class ``key``, the component's
-    least key ``root`` and, if there is one, the column ``mark``."""
+    least key ``root`` and, if there is one, the column ``mark``, equal on equal rows only."""
     spark = docs.sparkSession
-    folder = f"{checkpoint_root(spark)}/jaccard-{uuid.uuid4().hex}"
+    folder = scratch_path(spark, "jaccard")
 
     def stored(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(f"{folder}/{name}")
         return spark.read.parquet(f"{folder}/{name}")
 
-    levels = word_levels(docs)
-    rows = stored(sketches(docs, levels, words, percent, whole=False, mark=mark), "rows")
+    own = F.col(f"`{mark}`") if mark else F.xxhash64("doc_id", F.col("doc_id").isNull(), "text")
+    docs = docs.select("doc_id", "text", own.alias("mark"))
+    levels = token_levels(docs, words)
+    rows = stored(sketches(docs, ["doc_id", "mark"], levels, words, percent, whole=False), "rows")
     classes = stored(
         rows.where("n > 0").groupBy("key").agg(
-            F.min("doc_id").alias("rep"), F.first("n").alias("n"),
-            *[F.first(h).alias(h) for h in PACKED],
+            F.min("doc_id").alias("least_id"), F.min("mark").alias("rep"), F.first("n").alias("n")
         ),
         "classes",
-    )
+    )
     # One long for size and position keeps the widest shuffle narrow. Copies of a
     # class stay in until the few tokens are left that two classes share.
     index = rows.select("key", "n", F.posexplode("prefix").alias("pos", "token")).select(
@@ -270,20 +238,18 @@ def join(docs: DataFrame, words: int = 3, percent: int = 90, mark: str | None =
     # The most central class of a token is the one with the largest share of
     # tokens that others have too: of copies, the one with the fewest changes.
     shared = hits.groupBy("key").agg(F.count(F.lit(1)).alias("in_hits"))
-    profiles = classes.join(shared, "key").select("key", (F.col("in_hits") / F.col("n")).alias("common"), *PACKED)
-    profiled = stored(hits.join(profiles, "key"), "profiled")
-    central = (
-        profiled.groupBy("token")
-        .agg(F.max(F.struct("common", "key", "n", "pos", *PACKED)).alias("c"))
-        .select("token", *[F.col("c")[x].alias(f"hub_{x}") for x in ("key", "n", "pos", *PACKED)])
+    common = classes.join(shared, "key").select("key", (F.col("in_hits") / F.col("n")).alias("common"))
+    central = stored(
+        hits.join(common, "key")
+        .groupBy("token")
+        .agg(F.max(F.struct("common", "key", "n", "pos")).alias("c"))
+        .select("token", *[F.col("c")[x].alias(f"hub_{x}") for x in ("key", "n", "pos")]),
+        "central",
     )
-    central = stored(central, "central")
-
-    near = profiled.join(central, "token").where(
+    near = hits.join(central, "token").where(
         (F.col("key") != F.col("hub_key"))
         & _sizes_allow(F.col("n"), F.col("hub_n"), percent)
         & _overlap_allows(F.col("n"), F.col("pos"), F.col("hub_n"), F.col("hub_pos"), percent)
-        & _cells_allow(F.col("n"), F.col("hub_n"), "", "hub_", percent)
     )
     first = near.select(F.least("key", "hub_key").alias("a"), F.greatest("key", "hub_key").alias("b")).distinct()
     first = stored(first, "pairs-1")
@@ -291,8 +257,8 @@ def join(docs: DataFrame, words: int = 3, percent: int = 90, mark: str | None =
     roots = components(links)
 
     placed = stored(
-        profiled.join(roots, F.col("key") == F.col("node"), "left").select(
-            "token", "key", "n", "pos", *PACKED, F.coalesce("root", "key").alias("root")
+        hits.join(roots, F.col("key") == F.col("node"), "left").select(
+            "token", "key", "n", "pos", F.coalesce("root", "key").alias("root")
         ),
         "placed",
     )
@@ -300,25 +266,25 @@ def join(docs: DataFrame, words: int = 3, percent: int = 90, mark: str | None =
         "token", F.coalesce("root", "hub_key").alias("hub_root")
     )
     outside = placed.join(hubs, "token").where("root <> hub_root").select(
-        "token", "hub_root", *[F.col(c).alias(f"x_{c}") for c in ("key", "n", "pos", "root", *PACKED)]
+        "token", "hub_root", *[F.col(c).alias(f"x_{c}") for c in ("key", "n", "pos", "root")]
     )
     met = placed.join(outside, "token").where(
         (F.col("root") != F.col("x_root"))
         & ((F.col("key") < F.col("x_key")) | (F.col("root") == F.col("hub_root")))
         & _sizes_allow(F.col("n"), F.col("x_n"), percent)
         & _overlap_allows(F.col("n"), F.col("pos"), F.col("x_n"), F.col("x_pos"), percent)
-        & _cells_allow(F.col("n"), F.col("x_n"), "", "x_", percent)
     )
     second = met.select(F.least("key", "x_key").alias("a"), F.greatest("key", "x_key").alias("b")).distinct()
     second = second.join(first, ["a", "b"], "left_anti")
     second = stored(second, "pairs-2")
-    links = stored(links.unionByName(_verified(docs, second, classes, levels, words, percent)), "links")
-    roots = components(links)
+    if not second.isEmpty():
+        links = stored(links.unionByName(_verified(docs, second, classes, levels, words, percent)), "links")
+        roots = components(links)
 
     labelled = classes.join(roots, F.col("key") == F.col("node"), "left").select(
-        "key", "rep", F.coalesce("root", "key").alias("root")
+        "key", "least_id", F.coalesce("root", "key").alias("root")
     )
-    least = labelled.groupBy("root").agg(F.min("rep").alias("component_id"))
+    least = labelled.groupBy("root").agg(F.min("least_id").alias("component_id"))
     by_class = labelled.join(least, "root").select("key", "component_id", "root")
     return rows.join(by_class, "key", "left").select(
         "doc_id",
@@ -326,7 +292,7 @@ def join(docs: DataFrame, words: int = 3, percent: int = 90, mark: str | None =
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
         "key",
         "root",
-        *[mark] * bool(mark),
+        *([F.col("mark").alias(mark)] if mark else []),
     )
 
 
@@ -340,11 +306,13 @@ def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     The row that stays has the component's least doc_id, a null one only where no
     row has another; of several such rows one by hash of all columns, of equal rows one.
     """
-    mark = "_row_mark"
+    mark = "row_mark"
+    while mark in docs.columns:
+        mark += "_"
     # Hashes pass over nulls, so it is hashed too which columns are null.
     columns = [F.col(f"`{c}`") for c in docs.columns]
     marked = docs.withColumn(mark, F.xxhash64(*columns, *[c.isNull() for c in columns]))
-    path = f"{checkpoint_root(docs.sparkSession)}/keep-{uuid.uuid4().hex}"
+    path = scratch_path(docs.sparkSession, "keep")
     linked = join(marked, words, percent, mark).where("n_shingles > 0")
     linked.groupBy("root", "doc_id", mark).agg(F.count(F.lit(1)).alias("copies")).write.parquet(path)
     kinds = docs.sparkSession.read.parquet(path)
