@@ -32,6 +32,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from silverline.llm.common import read, with_results
+
 CACHE_WORDS = 500_000
 BATCH_CHARS = 1 << 22
 # Fixed value: the pre-tokenizer's pattern. \s is written out, as the library's
@@ -204,53 +206,49 @@ def batches(texts: Iterable[str], chars: int = BATCH_CHARS) -> Iterator[list[str
 
 def encode(docs: DataFrame, vocabulary_path: str, keep: list[str], text: str = "text") -> DataFrame:
     """``keep`` columns, ``ids`` (array of int) and ``decoded`` of every text."""
-    schema = T.StructType(
-        [docs.schema[c] for c in keep]
-        + [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())]
-    )
+    fields = [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())]
 
-    def rows(encoder: Encoder, pdf, encoded: list[bytes]):
-        return pdf[keep].assign(
-            ids=[list(memoryview(b).cast("I")) for b in encoded], decoded=[encoder.decode(b) for b in encoded]
-        )
+    def results(encoder: Encoder, encoded: list[bytes]):
+        return {
+            "ids": [list(memoryview(b).cast("I")) for b in encoded],
+            "decoded": [encoder.decode(b) for b in encoded],
+        }
 
-    return _encoded(docs, vocabulary_path, keep, text, schema, rows)
+    return _encoded(docs, vocabulary_path, keep, text, fields, results)
 
 
 def digests(docs: DataFrame, vocabulary_path: str, keep: list[str], text: str = "text") -> DataFrame:
     """``keep`` columns, n_tokens, ids_sha256 and decoded_sha256 of every text."""
-    schema = T.StructType(
-        [docs.schema[c] for c in keep]
-        + [
-            T.StructField("n_tokens", T.LongType()),
-            T.StructField("ids_sha256", T.StringType()),
-            T.StructField("decoded_sha256", T.StringType()),
-        ]
-    )
-
-    def rows(encoder: Encoder, pdf, encoded: list[bytes]):
-        return pdf[keep].assign(
-            n_tokens=[len(b) // 4 for b in encoded],
-            ids_sha256=[hashlib.sha256(b).hexdigest() for b in encoded],
-            decoded_sha256=[hashlib.sha256(encoder.decode(b).encode()).hexdigest() for b in encoded],
-        )
-
-    return _encoded(docs, vocabulary_path, keep, text, schema, rows)
-
-
-def _encoded(docs: DataFrame, vocabulary_path: str, keep: list[str], text: str, schema, rows) -> DataFrame:
+    fields = [T.StructField("n_tokens", T.LongType())]
+    fields += [T.StructField(c, T.StringType()) for c in ("ids_sha256", "decoded_sha256")]
+
+    def results(encoder: Encoder, encoded: list[bytes]):
+        return {
+            "n_tokens": [len(b) // 4 for b in encoded],
+            "ids_sha256": [hashlib.sha256(b).hexdigest() for b in encoded],
+            "decoded_sha256": [hashlib.sha256(encoder.decode(b).encode()).hexdigest() for b in encoded],
+        }
+
+    return _encoded(docs, vocabulary_path, keep, text, fields, results)
+
+
+def _encoded(docs: DataFrame, vocabulary_path: str, keep: list[str], text: str, fields, results) -> DataFrame:
     vocabulary = docs.sparkSession.sparkContext.broadcast(Vocabulary(vocabulary_path))
 
-    def run(frames):
+    def setup():
         encoder = Encoder(vocabulary.value)
-        for pdf in frames:
-            done = 0
-            for run_ in batches(t if isinstance(t, str) else "" for t in pdf[text]):
-                yield rows(encoder, pdf.iloc[done : done + len(run_)], encoder.encode(run_))
-                done += len(run_)
+
+        def step(pdf):
+            out = {f.name: [] for f in fields}
+            for run in batches(t if isinstance(t, str) else "" for t in pdf[text]):
+                for name, values in results(encoder, encoder.encode(run)).items():
+                    out[name] += values
+            return out
+
+        return step
 
     columns = [*keep, *([text] if text not in keep else [])]
-    return docs.select(*columns).mapInPandas(run, schema)
+    return with_results(docs.select(*columns), keep, text, fields, setup)
 
 
 def default_vocabulary() -> str:
@@ -260,6 +258,4 @@ def default_vocabulary() -> str:
 
 
 def op6_bpe(spark, sf_dir: str) -> DataFrame:
-    from silverline.llm.common import read
-
     return digests(read(spark, sf_dir, "documents"), default_vocabulary(), ["doc_id"])

@@ -10,6 +10,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 # A word: a run of characters other than space and the ASCII controls 9 to 13.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -46,6 +48,28 @@ def slices(batches: Iterable[pa.RecordBatch], text: int, rows: int = 1000, size:
             lo = hi
 
 
+def with_results(df: DataFrame, keep: list[str], text: str, fields: list[T.StructField], setup: Callable) -> DataFrame:
+    """``keep`` columns as they are, and ``fields`` computed in Python from the other columns.
+
+    ``setup()`` gives, once per task, a function from a pandas frame of the others to a
+    dict of lists. Kept columns stay in Arrow: pandas would turn whole numbers beside a
+    null into doubles. Batches are cut by ``slices`` on the column ``text``.
+    """
+    others = [c for c in df.columns if c not in keep or c == text]
+    names = [*keep, *[c for c in others if c not in keep]]
+    kinds = [(f.name, to_arrow_type(f.dataType)) for f in fields]
+
+    def run(batches):
+        step = setup()
+        for batch in slices(batches, names.index(text)):
+            table = pa.Table.from_batches([batch])
+            out = step(table.select(others).to_pandas())
+            arrays = [batch.column(i) for i in range(len(keep))] + [pa.array(out[n], t) for n, t in kinds]
+            yield pa.RecordBatch.from_arrays(arrays, [*keep, *(n for n, _ in kinds)])
+
+    return df.select(*names).mapInArrow(run, T.StructType([*(df.schema[c] for c in keep), *fields]))
+
+
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 

@@ -26,8 +26,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from silverline.llm.common import read
+from silverline.llm.common import read, with_results
 
 BUCKETS = 1 << 13
 DIMENSIONS = 32
@@ -203,8 +204,14 @@ def train(docs: DataFrame, labels: DataFrame, vectors: np.ndarray, max_fit: int
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(max_fit)
     )
-    # max_fit ids and labels: 16 bytes each.
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    # max_fit ids and labels: 16 bytes each. Of several texts of an id the one with the
+    # least hash, chosen before anything is gathered: at most max_fit rows in all.
+    texts = (
+        docs.select("doc_id", "text")
+        .join(F.broadcast(chosen), "doc_id")
+        .groupBy("doc_id", "y")
+        .agg(F.min(F.struct(F.xxhash64("text"), "text"))["text"].alias("text"))
+    )
     shared = docs.sparkSession.sparkContext.broadcast(vectors)
 
     def run(frames):
@@ -238,18 +245,20 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
     net = train(docs, labels, vectors)
     shared = docs.sparkSession.sparkContext.broadcast((vectors, net))
 
-    def run(frames):
+    def setup():
         buckets = Buckets()
         table, network = shared.value
-        for pdf in frames:
+
+        def step(pdf):
             x = np.array([pool(t, table, buckets) for t in pdf["text"]]).reshape(len(pdf), -1)
             score = network.scores(x) if network is not None and len(pdf) else np.full(len(pdf), 0.5)
-            yield pdf[["doc_id", "held_out"]].assign(score=score, predicted=(score >= threshold).astype(np.int32))
+            return {"score": score, "predicted": (score >= threshold).astype(np.int32)}
 
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", held_out().alias("held_out"), "text").mapInPandas(
-        run, f"doc_id {id_type}, held_out boolean, score double, predicted int"
-    )
+        return step
+
+    fields = [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]
+    rows = docs.select("doc_id", held_out().alias("held_out"), "text")
+    return with_results(rows, ["doc_id", "held_out"], "text", fields, setup)
 
 
 def op1_quality_classifier(spark, sf_dir: str) -> DataFrame:

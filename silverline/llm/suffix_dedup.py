@@ -40,8 +40,9 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from silverline.llm.common import read, text_or_empty
+from silverline.llm.common import read, text_or_empty, with_results
 from silverline.session import checkpoint_root
 
 LENGTH = 200
@@ -407,31 +408,26 @@ def cut(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """doc_id, text without its repeated bytes as ``kept`` (binary), n_bytes, n_removed, n_spans."""
     rows = identified(docs)
     spans = spans_by_row(rows, length)
-    id_type = docs.schema["doc_id"].dataType.simpleString()
 
-    def run(frames):
-        for pdf in frames:
-            out = []
-            for doc_id, text, found in zip(pdf["doc_id"], pdf["t"], pdf["spans"], strict=True):
-                data = text.encode("utf-8", "replace")
-                clipped = [(max(0, s["start"]), min(len(data), s["end"])) for s in found] if found is not None else []
-                merged = merge(clipped)
-                kept, at = [], 0
-                for a, b in merged:
-                    kept.append(data[at:a])
-                    at = b
-                kept.append(data[at:])
-                out.append(
-                    (
-                        None if pd.isna(doc_id) else doc_id, b"".join(kept), len(data),
-                        sum(b - a for a, b in merged), len(merged),
-                    )
-                )
-            yield pd.DataFrame(out, columns=["doc_id", "kept", "n_bytes", "n_removed", "n_spans"])
-
-    return rows.join(spans, "row", "left").select("doc_id", "t", "spans").mapInPandas(
-        run, f"doc_id {id_type}, kept binary, n_bytes long, n_removed long, n_spans long"
-    )
+    def step(pdf):
+        out = {"kept": [], "n_bytes": [], "n_removed": [], "n_spans": []}
+        for text, found in zip(pdf["t"], pdf["spans"], strict=True):
+            data = text.encode("utf-8", "replace")
+            clipped = [(max(0, s["start"]), min(len(data), s["end"])) for s in found] if found is not None else []
+            merged = merge(clipped)
+            kept, at = [], 0
+            for a, b in merged:
+                kept.append(data[at:a])
+                at = b
+            kept.append(data[at:])
+            for name, value in zip(out, (b"".join(kept), len(data), sum(b - a for a, b in merged), len(merged)), strict=True):
+                out[name].append(value)
+        return out
+
+    fields = [T.StructField("kept", T.BinaryType())]
+    fields += [T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")]
+    rows = rows.join(spans, "row", "left").select("doc_id", "t", "spans")
+    return with_results(rows, ["doc_id"], "t", fields, lambda: step)
 
 
 def op2_suffix_dedup(spark, sf_dir: str) -> DataFrame:
