@@ -13,8 +13,8 @@ of each (its prefix). Candidates must do so under every one of ``ORDERS`` orders
 - Equal sets are one class from the start. The classes are joined on the tokens
   of the first order; tokens of a single class drop out in a count. Sizes and token
   positions bound the overlap that a pair can still have.
-- Of the classes in such pairs one text each is read again for the whole set and the other
-  orders' prefixes. Those must overlap too; only then are sets intersected.
+- The other orders' prefixes, kept from the pass that made the first's, must overlap too. Only of
+  the classes in pairs that are left one text each is read again, for the whole sets.
 
 No group's pairs are all made. First every class meets only the most central
 class of each of its tokens; the links found give components. Then, per token,
@@ -49,6 +49,7 @@ RARE = 2.0**-20
 TABLE_BITS = 23
 LEVELS = 255
 CHUNK = 1 << 22  # shingles counted at a time
+FEW = 1 << 18  # longs that are broadcast
 # Odd multipliers of the orders' hashes.
 MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 
@@ -138,13 +139,12 @@ def _signed(a: np.ndarray) -> np.ndarray:
     return a.view(np.int64)
 
 
-def sketches(docs: DataFrame, keep: list[str], levels: bytes, words: int, percent: int, whole: bool) -> DataFrame:
-    """``keep`` columns, key, n and prefix per row; with ``whole`` also the set and the other prefixes."""
+def sketches(docs: DataFrame, keep: list[str], levels: bytes, words: int, percent: int) -> DataFrame:
+    """``keep`` columns, key, n, and the prefixes under the first and under the other orders, per row."""
     table = docs.sparkSession.sparkContext.broadcast(levels)
     longs = T.ArrayType(T.LongType())
-    fields = [T.StructField("key", T.LongType()), T.StructField("n", T.IntegerType()), T.StructField("prefix", longs)]
-    if whole:
-        fields += [T.StructField("tokens", longs), T.StructField("others", T.ArrayType(longs))]
+    fields = [T.StructField("key", T.LongType()), T.StructField("n", T.IntegerType())]
+    fields += [T.StructField("prefix", longs), T.StructField("others", T.ArrayType(longs))]
 
     def setup():
         shingler = Shingler(table.value, words, percent)
@@ -156,8 +156,7 @@ def sketches(docs: DataFrame, keep: list[str], levels: bytes, words: int, percen
                 "key": [set_key(s) for s in sets],
                 "n": [len(s) for s in sets],
                 "prefix": [_signed(o[0]) for o in orders],
-                "tokens": [_signed(s) for s in sets] if whole else None,
-                "others": [[_signed(x) for x in o[1:]] for o in orders] if whole else None,
+                "others": [[_signed(x) for x in o[1:]] for o in orders],
             }
 
         return step
@@ -165,6 +164,22 @@ def sketches(docs: DataFrame, keep: list[str], levels: bytes, words: int, percen
     return with_results(docs.select(*keep, "text"), keep, "text", fields, setup)
 
 
+def whole_sets(docs: DataFrame, words: int) -> DataFrame:
+    """key and tokens of every text."""
+    fields = [T.StructField("key", T.LongType()), T.StructField("tokens", T.ArrayType(T.LongType()))]
+
+    def setup():
+        shingler = Shingler(None, words, 0)
+
+        def step(pdf):
+            sets = [shingler.shingles(t) for t in pdf["text"]]
+            return {"key": [set_key(s) for s in sets], "tokens": [_signed(s) for s in sets]}
+
+        return step
+
+    return with_results(docs.select("text"), [], "text", fields, setup)
+
+
 def _sizes_allow(n: Column, m: Column, percent: int) -> Column:
     return 100 * F.least(n, m) >= percent * F.greatest(n, m)
 
@@ -175,24 +190,42 @@ def _overlap_allows(n: Column, i: Column, m: Column, j: Column, percent: int) ->
     return ((100 + percent) * (n - i) >= need) & ((100 + percent) * (m - j) >= need)
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, levels: bytes, words: int, percent: int):
-    """The pairs (a, b) of classes that link: by the other orders' prefixes, then by their whole sets.
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
 
-    ``docs`` has the column ``mark``; of each class the rows with the mark ``rep`` are read, equal rows as one.
-    """
-    ends = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
-    wanted = classes.join(ends, "key").select(F.col("rep").alias("mark"))
-    texts = docs.join(wanted.distinct(), "mark", "left_semi").groupBy("mark").agg(F.first("text").alias("text"))
-    sets = sketches(texts, [], levels, words, percent, whole=True)
+
+def _only(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """The rows whose ``key`` is in ``wanted``, a written table: without a shuffle of the rows if it is small."""
+    small = wanted.count() <= FEW
+    return rows.join(F.broadcast(wanted) if small else wanted, key, "left_semi")
+
+
+def _in_all_orders(pairs: DataFrame, rows: DataFrame, ends: DataFrame) -> DataFrame:
+    """The pairs whose prefixes overlap under every other order too."""
+    kept = _only(rows.select("key", "others"), ends, "key")
+    kept = kept.groupBy("key").agg(F.first("others").alias("others"))  # copies are one before the shuffle
 
     def side(name: str) -> DataFrame:
-        return sets.select(
-            F.col("key").alias(name), F.col("tokens").alias(f"t_{name}"), F.col("others").alias(f"o_{name}")
-        )
+        return kept.select(F.col("key").alias(name), F.col("others").alias(f"o_{name}"))
 
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     for k in range(ORDERS - 1):
         both = both.where(F.arrays_overlap(F.get("o_a", F.lit(k)), F.get("o_b", F.lit(k))))
+    return both.select("a", "b")
+
+
+def _verified(docs: DataFrame, pairs: DataFrame, marks: DataFrame, words: int, percent: int):
+    """The pairs (a, b) of classes that link, by their whole sets.
+
+    ``docs`` has the column ``mark``; the rows with one of ``marks`` are read, equal rows as one.
+    """
+    texts = _only(docs, marks, "mark").groupBy("mark").agg(F.first("text").alias("text"))
+    sets = whole_sets(texts, words)
+
+    def side(name: str) -> DataFrame:
+        return sets.select(F.col("key").alias(name), F.col("tokens").alias(f"t_{name}"))
+
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
     shared = F.size(F.array_intersect("t_a", "t_b"))
     union = F.size("t_a") + F.size("t_b") - shared
     return both.where(100 * shared >= percent * union).select("a", "b").distinct()
@@ -208,10 +241,15 @@ def join(docs: DataFrame, words: int = 3, percent: int = 90, mark: str | None =
         df.write.parquet(f"{folder}/{name}")
         return spark.read.parquet(f"{folder}/{name}")
 
+    def linked(pairs: DataFrame, name: str) -> DataFrame:
+        close = stored(_in_all_orders(pairs, rows, stored(_ends(pairs), f"ends-{name}")), f"close-{name}")
+        marks = classes.join(_ends(close), "key").select(F.col("rep").alias("mark")).distinct()
+        return _verified(docs, close, stored(marks, f"marks-{name}"), words, percent)
+
     own = F.col(f"`{mark}`") if mark else F.xxhash64("doc_id", F.col("doc_id").isNull(), "text")
     docs = docs.select("doc_id", "text", own.alias("mark"))
     levels = token_levels(docs, words)
-    rows = stored(sketches(docs, ["doc_id", "mark"], levels, words, percent, whole=False), "rows")
+    rows = stored(sketches(docs, ["doc_id", "mark"], levels, words, percent), "rows")
     classes = stored(
         rows.where("n > 0").groupBy("key").agg(
             F.min("doc_id").alias("least_id"), F.min("mark").alias("rep"), F.first("n").alias("n")
@@ -253,7 +291,7 @@ def join(docs: DataFrame, words: int = 3, percent: int = 90, mark: str | None =
     )
     first = near.select(F.least("key", "hub_key").alias("a"), F.greatest("key", "hub_key").alias("b")).distinct()
     first = stored(first, "pairs-1")
-    links = stored(_verified(docs, first, classes, levels, words, percent), "links-1")
+    links = stored(linked(first, "1"), "links-1")
     roots = components(links)
 
     placed = stored(
@@ -275,10 +313,9 @@ def join(docs: DataFrame, words: int = 3, percent: int = 90, mark: str | None =
         & _overlap_allows(F.col("n"), F.col("pos"), F.col("x_n"), F.col("x_pos"), percent)
     )
     second = met.select(F.least("key", "x_key").alias("a"), F.greatest("key", "x_key").alias("b")).distinct()
-    second = second.join(first, ["a", "b"], "left_anti")
-    second = stored(second, "pairs-2")
+    second = stored(second.join(first, ["a", "b"], "left_anti"), "pairs-2")
     if not second.isEmpty():
-        links = stored(links.unionByName(_verified(docs, second, classes, levels, words, percent)), "links")
+        links = stored(links.unionByName(linked(second, "2")), "links")
         roots = components(links)
 
     labelled = classes.join(roots, F.col("key") == F.col("node"), "left").select(
