@@ -56,6 +56,7 @@ def parser() -> argparse.ArgumentParser:
     )
     p.add_argument("--gold", dest="gold", type=_root, help="Gold root (gold job)")
     p.add_argument("--regions", dest="regions", default="", help="comma list for the gold job")
+    p.add_argument("--refresh", dest="refresh", action="store_true", help="gold: only what changed in Silver")
     p.add_argument("--strict-dates", action="store_true")
     p.add_argument("--normalize-tags", action="store_true")
     p.add_argument("--partition-by-day", action="store_true", help="Silver videos also by trending_date")
@@ -77,12 +78,15 @@ def main(argv: list[str] | None = None) -> int:
     from silverline.streaming.incremental import stream_api_videos, stream_categories
 
     if args.job == "gold":
-        from silverline.plans.gold import GoldJobConfig, run_gold
+        from silverline.plans.gold import GoldJobConfig, refresh_gold, run_gold
 
         if not args.gold:
             raise SystemExit("the gold job needs --gold")
         regions = [code.strip() for code in args.regions.split(",") if code.strip()] or None
-        result = run_gold(spark, GoldJobConfig(args.silver, args.gold, regions=regions))
+        if regions and args.refresh:
+            raise SystemExit("--refresh finds its regions by itself; leave --regions out")
+        job = refresh_gold if args.refresh else run_gold
+        result = job(spark, GoldJobConfig(args.silver, args.gold, regions=regions))
     elif args.job in ("videos", "stream-videos"):
         cfg = VideoJobConfig(
             args.bronze,

@@ -422,6 +422,20 @@ FROM a FULL OUTER JOIN b
   ON a.region = b.region AND a.video_id = b.video_id AND a.trending_date = b.trending_date
 """
 
+ORACLE["gold_refresh"] = f"""
+WITH s AS (SELECT * FROM ({SILVER_EVENTS}) WHERE region <> 'CLICK'),
+t AS (
+  SELECT 'trending' AS gold_table, region, strftime(trending_date, '%Y-%m-%d') AS key, count(*) AS videos,
+    CAST(sum(view_count) AS BIGINT) AS total_views
+  FROM s GROUP BY source, region, trending_date
+  UNION ALL
+  SELECT 'channel', region, channel_title, count(DISTINCT video_id), CAST(sum(view_count) AS BIGINT)
+  FROM s GROUP BY region, channel_title)
+SELECT *, (SELECT count(DISTINCT region) FROM ({SILVER_EVENTS})) AS first_regions,
+  CAST(2 AS BIGINT) AS second_regions, CAST(0 AS BIGINT) AS third_regions
+FROM t
+"""
+
 ORACLE["quality_by_partition"] = f"""
 WITH clean AS ({CLEANSED_EVENTS}),
 m AS (SELECT source, region, {METRIC_AGGS} FROM clean GROUP BY source, region)
@@ -493,7 +507,7 @@ ORACLE["api_bronze_videos"] = f"""
 WITH raw AS (
   SELECT 'youtube_api' AS source, upper(substr(o.o_orderpriority, 3, 2)) AS region,
     CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) AS video_id,
-    CAST(last_day(o.o_orderdate) AS DATE) AS trending_date,
+    CAST(o.o_orderdate AS DATE) AS trending_date,
     l.l_shipdate + to_milliseconds(l.l_partkey * 100000 + l.l_suppkey) AS published_at,
     CAST(l.l_suppkey AS VARCHAR) AS channel_id,
     'supplier ' || CAST(l.l_suppkey AS VARCHAR) AS channel_title,

@@ -71,6 +71,7 @@ from silverline.plans.standins import (
     write_orders_as_drifting_api_bronze,
 )
 from silverline.plans.categories import CategoryJobConfig, run_categories
+from silverline.plans.gold import GoldJobConfig, refresh_gold
 from silverline.plans.videos import VideoJobConfig, gate_source, run_videos, silver_rows
 from silverline.session import materialize, scratch_path
 from silverline.sinks.silver import manifest, write_partitioned
@@ -578,7 +579,8 @@ def api_bronze_videos(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "bronze-api")
     path = write_orders_as_api_bronze(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"), root)
     raw = read_api_videos(spark, path, multi_line=False)
-    clean = cleanse_videos(project_api_videos(explode_items_outer(raw)))
+    # Thousands of day folders: opened once, for the gate and the rows.
+    clean = materialize(cleanse_videos(project_api_videos(explode_items_outer(raw))))
     gate_source(clean, "youtube_api_videos", 0.05)
     out = silver_rows(clean)
     return out.select(
@@ -912,6 +914,39 @@ def stream_category_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def gold_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GLD1-GLD3 refreshed: Silver by day gains days and loses a region between two refreshes.
+
+    The first Silver has no purchases after 2024-01-15. They come, clicks go; the second refresh
+    reads those days for the daily table and the two regions for the others; the third finds nothing.
+    """
+    root, gold = scratch_path(spark, "refresh-silver"), scratch_path(spark, "refresh-gold")
+    cfg = GoldJobConfig(root, gold)
+    path = f"{root}/{cfg.silver_videos_prefix}"
+    silver = materialize(silver_event_videos(spark, sf_dir))
+    late = (F.col("region") == "PURCHASE") & (F.col("trending_date") > F.lit("2024-01-15").cast("date"))
+    layout = ("source", "region", "trending_date")
+    write_partitioned(silver.filter(~late), path, layout)
+    runs = [refresh_gold(spark, cfg)]
+    write_partitioned(silver.filter(late), path, layout)
+    clicks = spark.read.parquet(path).filter("region = 'CLICK'").select("source").distinct()
+    for row in clicks.collect():  # one row per source
+        hpath = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/source={row['source']}/region=CLICK")  # noqa: SLF001
+        hpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hpath, True)  # noqa: SLF001
+    runs += [refresh_gold(spark, cfg) for _ in range(2)]
+    daily = spark.read.parquet(cfg.gold_path("trending_analytics")).select(
+        F.lit("trending").alias("gold_table"), "region", _day("trending_date").alias("key"), "videos", "total_views"
+    )
+    channels = spark.read.parquet(cfg.gold_path("channel_analytics")).select(
+        F.lit("channel").alias("gold_table"), "region", F.col("channel_title").alias("key"), "videos", "total_views"
+    )
+    counted = {
+        name: F.lit(run["channel_analytics"]).cast("bigint")
+        for name, run in zip(("first_regions", "second_regions", "third_regions"), runs)
+    }
+    return daily.unionByName(channels).withColumns(counted)
+
+
 def compare_two_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """GLD4 (ours): Silver events against the raw-events source, full outer."""
     silver = silver_event_videos(spark, sf_dir)
@@ -960,6 +995,7 @@ QUERIES: dict[str, Query] = {
     "trending_analytics": trending_by_day,
     "channel_analytics": channel_ranking,
     "category_analytics": category_views,
+    "gold_refresh": gold_refresh,
     "compare_sources": compare_two_sources,
     "csv_bronze_videos": csv_bronze_videos,
     "api_bronze_videos": api_bronze_videos,

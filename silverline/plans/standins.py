@@ -288,15 +288,14 @@ def write_orders_as_api_bronze(
 ) -> str:
     """API responses as JSON Lines under ``region=/date=/hour=00/``.
 
-    The folder's date is that of the run that fetched the response; runs are at the
-    end of each order's month. Rows are dealt by folder first, so a folder is
-    one file where it is small.
+    The folder's date is the order's own day. Rows are dealt by folder first, so a
+    folder is one file where it is small.
     """
     docs = orders_as_api_payloads(orders, lineitem).select(
         F.lit("youtube#videoListResponse").alias("kind"),
         F.col("items"),
         F.regexp_extract("_source_file", "region=([^/]+)", 1).alias("region"),
-        F.last_day(F.to_date(F.regexp_extract("_source_file", "date=([0-9-]+)", 1))).cast("string").alias("date"),
+        F.regexp_extract("_source_file", "date=([0-9-]+)", 1).alias("date"),
         F.lit("00").alias("hour"),
     )
     path = f"{root}/youtube/api_raw/videos"
