@@ -4,15 +4,20 @@
    are wider than the base rules (other separators, spelled-out marks, longer
    numbers) and may overlap between kinds. The base rules' spans are found too.
 2. Each candidate gets small discrete features of its format (number of digits,
-   checksum, separators, marks, parts) and of its context (the characters next to
-   it, a cue word before it). Candidates are counted by kind, feature vector and weak
-   label, the label being that it overlaps a base span of its kind. The features'
-   values are few, so this table of counts over *all* candidates is bounded
-   (``FEATURE_BOUND``), whatever the input, and is all that the driver sees.
-3. Boosted regression trees (logistic loss) are fitted to one half of the
-   counts, split by the kind's feature vector hash over documents, and the least
-   score at which the other half is right ``PRECISION`` of the time becomes the
-   kind's threshold; a kind without such a score adds nothing.
+   validity once separators and marks are read as the plain ones, separators, marks, length)
+   and of its context (the characters next to it, a cue word before it).
+3. No labels are given, so they come from the base spans: each is written in its place in
+   forms that only the generators know (DISGUISES), which are positives, and in a
+   broken one (CORRUPTED), a negative. Candidates of the corpus that are not valid are
+   negatives too; valid ones beside base spans are what is to be judged and have no label. One of ten
+   numbers passes the card checksum by chance, so a ninth of the corpus's failing card candidates
+   counts as valid ones that are no cards, with their own format and context. Labelled spans are counted by
+   kind, feature vector and label; the features' values are few, so this table of counts over *all*
+   of them is bounded (``FEATURE_BOUND``), whatever the input, and is all that the driver sees.
+   Boosted regression trees (logistic loss) are fitted to the counts of one half of the texts, split by
+   the text's hash, and the least score at which the other half is right ``PRECISION`` of the time
+   becomes the kind's threshold; a kind without such a score, or with fewer than ``LEAST_SUPPORT``
+   labelled spans above it, adds nothing.
 4. The trees become CASE expressions. Candidates at or above their kind's
    threshold that do not overlap a base span of their kind are added; base spans
    always stay.
@@ -29,7 +34,7 @@ alike; an empty table gives an empty result and no model. Only ``text`` is read.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -58,8 +63,11 @@ GENERATORS = {
 # A text without this cannot hold the kind.
 NEEDS = {"email": r"@|[\[(][aA][tT][\])]", "ip": "[0-9]", "card": "[0-9]", "phone": "[0-9]"}
 CUES = r"(?i)(e-?mail|mail|contact|write|tel|phone|call|fax|mobile|card|visa|iban|account|ip|host|address)\W{0,3}$"
-FEATURES = ("length", "digits", "checksum", "separators", "marks", "before", "after", "cue")
-FEATURE_BOUND = len(KINDS) * 8 * 8 * 2 * 4 * 4 * 4 * 4 * 2 * 2
+FEATURES = ("length", "digits", "valid", "separators", "marks", "before", "after", "cue")
+FEATURE_BOUND = len(KINDS) * 8 * 8 * 2 * 4 * 4 * 4 * 4 * 2 * 2 * 3
+NATURAL, POSITIVE, BROKEN = 0, 1, 2
+# Valid numbers by chance for each one that fails the checksum.
+CHANCE = {"card": 1 / 9}
 TREES, LEARNING_RATE, PRECISION, LEAST_SUPPORT = 20, 0.3, 0.95, 20
 
 
@@ -122,6 +130,42 @@ def base_spans(text: Column, kind: str) -> Column:
     return spans(text, BASE[kind], VALID[kind], NEEDS[kind])
 
 
+# The kind's own test of a candidate whose separators and marks are read as the plain ones.
+PLAUSIBLE: dict[str, Callable[[Column], Column]] = {
+    "email": lambda m: m.rlike("[A-Za-z]{2,}$"),
+    "ip": lambda m: VALID["ip"](F.regexp_replace(m, "[^0-9.]", "")),
+    "card": lambda m: F.when(F.length(_digits(m)).between(13, 19), luhn(_digits(m))).otherwise(F.lit(False)),
+    "phone": lambda m: F.length(_digits(F.regexp_replace(m, "^00", ""))).between(8, 15),
+}
+
+
+def _groups(m: Column, separator: str) -> Column:
+    return F.regexp_replace(_digits(m), "([0-9]{4})(?=[0-9])", f"$1{separator}")
+
+
+def _spelled(m: Column, at: str, dot: str) -> Column:
+    name, host = F.substring_index(m, "@", 1), F.substring_index(m, "@", -1)
+    return F.concat(name, F.lit(at), F.replace(host, F.lit("."), F.lit(dot)))
+
+
+# A base span as it might be written elsewhere, and broken so that it is none.
+DISGUISES: dict[str, list[Callable[[Column], Column]]] = {
+    "email": [lambda m: _spelled(m, " [at] ", " [dot] "), lambda m: _spelled(m, "(at)", ".")],
+    "ip": [lambda m: F.replace(m, F.lit("."), F.lit("[.]")), lambda m: F.replace(m, F.lit("."), F.lit(" (.) "))],
+    "card": [lambda m: _groups(m, "."), lambda m: _groups(m, " / ")],
+    "phone": [lambda m: F.replace(m, F.lit("+"), F.lit("00")), lambda m: F.translate(m, "+ ", "+/")],
+}
+CORRUPTED: dict[str, Callable[[Column], Column]] = {
+    "email": lambda m: _spelled(F.regexp_replace(m, "[^.]+$", "0"), " [at] ", " [dot] "),
+    "ip": lambda m: F.replace(F.regexp_replace(m, "[0-9]+$", "999"), F.lit("."), F.lit("[.]")),
+    # Another last digit never passes the checksum.
+    "card": lambda m: F.concat(
+        F.regexp_replace(_groups(m, "."), "[0-9]$", ""), F.translate(F.right(m, F.lit(1)), "0123456789", "1234567890")
+    ),
+    "phone": lambda m: F.concat(F.replace(m, F.lit("+"), F.lit("00")), F.lit("00000000")),
+}
+
+
 def _bins(c: Column, edges: list[int]) -> Column:
     out = F.lit(len(edges))
     for i in reversed(range(len(edges))):
@@ -139,15 +183,15 @@ def _side(c: Column) -> Column:
     )
 
 
-def features(text: Column, span: Column) -> Column:
-    """Struct of the discrete features of one candidate in its text."""
+def features(text: Column, span: Column, kind: str) -> Column:
+    """Struct of the discrete features of one candidate of ``kind`` in its text."""
     m = span["m"]
     d = _digits(m)
     left = F.substr(text, F.greatest(span["s"] - 19, F.lit(1)), F.least(span["s"], F.lit(20)))
     return F.struct(
         _bins(F.length(m), [8, 11, 14, 17, 20, 24, 32]).alias("length"),
         _bins(F.length(d), [1, 4, 8, 10, 12, 16, 20]).alias("digits"),
-        F.when(F.length(d).between(12, 19), luhn(d)).otherwise(F.lit(False)).cast("int").alias("checksum"),
+        PLAUSIBLE[kind](m).cast("int").alias("valid"),
         _bins(F.size(F.split(m, r"[\x20._/-]", -1)) - 1, [1, 3, 5]).alias("separators"),
         _bins(F.length(F.regexp_replace(m, r"[^@+()\[\]]", "")), [1, 2, 3]).alias("marks"),
         _side(F.when(span["s"] == 0, F.lit("")).otherwise(F.substr(text, span["s"], F.lit(1)))).alias("before"),
@@ -170,7 +214,7 @@ def found(docs: DataFrame, keep: list[str]) -> DataFrame:
         def one(x: Column, text: Column, base: Column) -> Column:
             hit = F.exists(base, lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"]))
             return F.struct(
-                x["s"].alias("s"), x["e"].alias("e"), features(text, x).alias("f"), hit.alias("hit")
+                x["s"].alias("s"), x["e"].alias("e"), features(text, x, kind).alias("f"), hit.alias("hit")
             )
 
         return F.transform(f"g_{kind}", lambda x: one(x, F.col("t"), F.col(f"b_{kind}")))
@@ -266,23 +310,50 @@ def fit(counts: list[tuple], depth: int = 3) -> Model | None:
 
 
 def train(rows: DataFrame) -> Model | None:
-    """Fit on the counts of all candidates of ``rows`` from :func:`found`."""
-    kinds = F.array(*[_tagged(k, n) for n, k in enumerate(KINDS)])
+    """Fit on the counts of all labelled spans of ``rows`` from :func:`found`."""
+    labelled = F.flatten(F.array(*[_natural(k, n) for n, k in enumerate(KINDS)], *[_written(k, n) for n, k in enumerate(KINDS)]))
     half = F.pmod(F.xxhash64("t"), F.lit(2))
-    cands = rows.select(half.alias("half"), F.explode(F.flatten(kinds)).alias("c"))
     counts = (
-        cands.groupBy(F.col("c")["k"].alias("k"), F.col("c")["f"].alias("f"), "half")
-        .agg(F.sum(F.col("c")["hit"].cast("int")).alias("pos"), F.count(F.lit(1)).alias("n"))
+        rows.select(half.alias("half"), F.explode(labelled).alias("c"))
+        .groupBy(F.col("c")["k"].alias("k"), F.col("c")["f"].alias("f"), F.col("c")["label"].alias("label"), "half")
+        .agg(F.count(F.lit(1)).alias("n"))
         .collect()  # at most FEATURE_BOUND rows
     )
-    return fit([(r["k"], *[r["f"][f] for f in FEATURES], r["half"], r["pos"], r["n"]) for r in counts])
+    return fit(list(_weighted(counts)))
 
 
-def _tagged(kind: str, number: int) -> Column:
-    return F.transform(
-        f"c_{kind}",
-        lambda c: F.struct(F.lit(number).alias("k"), c["f"].alias("f"), c["hit"].alias("hit")),
-    )
+def _weighted(counts: list) -> Iterator[tuple]:
+    """Rows for :func:`fit`; failing candidates also stand for those that pass by chance."""
+    for r in counts:
+        f = [r["f"][name] for name in FEATURES]
+        yield (r["k"], *f, r["half"], r["n"] if r["label"] == POSITIVE else 0, r["n"])
+        chance = CHANCE.get(KINDS[r["k"]], 0.0)
+        if r["label"] == NATURAL and chance:
+            f[FEATURES.index("valid")] = 1
+            yield (r["k"], *f, r["half"], 0, r["n"] * chance)
+
+
+def _labelled(number: int, f: Column, label: Column) -> Column:
+    return F.struct(F.lit(number).alias("k"), f.alias("f"), label.alias("label"))
+
+
+def _natural(kind: str, number: int) -> Column:
+    """Candidates of the corpus that are none: not valid, and beside every base span."""
+    none = F.filter(f"c_{kind}", lambda c: ~c["hit"] & (c["f"]["valid"] == 0))
+    return F.transform(none, lambda c: _labelled(number, c["f"], F.lit(NATURAL)))
+
+
+def _written(kind: str, number: int) -> Column:
+    """Base spans in other forms and in a broken one, in the place where they stand."""
+
+    def forms(b: Column) -> Column:
+        made = [(how(b["m"]), POSITIVE) for how in DISGUISES[kind]] + [(CORRUPTED[kind](b["m"]), BROKEN)]
+        return F.array(
+            *[F.struct(b["s"].alias("s"), b["e"].alias("e"), m.alias("m"), F.lit(y).alias("y")) for m, y in made]
+        )
+
+    every = F.flatten(F.transform(f"b_{kind}", forms))
+    return F.transform(every, lambda x: _labelled(number, features(F.col("t"), x, kind), x["y"]))
 
 
 def selected(rows: DataFrame, model: Model | None) -> DataFrame:

@@ -60,21 +60,60 @@ def test_base_spans_equal_brute_force(spark, monkeypatch):
         assert set(spans) <= set(r["spans"].split(","))
 
 
-def test_model_adds_what_looks_like_base_spans_only(spark):
-    text = "mail jo.doe@host7.example.com or card 4111 1111 1111 1111 or +1 (555) 010-77{:02d} end"
+PLANTED = {
+    # Forms that no base rule takes; what the model must add.
+    200: ("card 4111.1111.1111.1111 end", {("card", "4111.1111.1111.1111")}),
+    201: ("mail jo.doe [at] host7 [dot] example [dot] com or", {("email", "jo.doe [at] host7 [dot] example [dot] com")}),
+    202: ("host 10[.]2[.]3[.]44 now", {("ip", "10[.]2[.]3[.]44")}),
+    203: ("or 001 (555) 010-7712 end", {("phone", "001 (555) 010-7712")}),
+    204: ("card 5500.0000.0000.0004 or host 10[.]9[.]8[.]7 end", {("card", "5500.0000.0000.0004"), ("ip", "10[.]9[.]8[.]7")}),
+    # The same formats, but not valid: a checksum, a part over 255, too many digits, no top-level name.
+    210: ("card 4111.1111.1111.1112 end", set()),
+    211: ("host 10[.]2[.]3[.]444 now", set()),
+    212: ("or 001 (555) 010-7712 0000 000 end", set()),
+    213: ("mail jo.doe [at] host7 [dot] 0 or", set()),
+    214: ("nothing of the kind 12 and (at) home", set()),
+}
+
+
+def test_model_adds_what_base_rules_miss_and_nothing_else(spark):
+    text = "mail jo.doe@host7.example.com or card 4111 1111 1111 1111 or +1 (555) 010-77{0:02d} host 10.2.3.{0} end"
     rows = [(i, text.format(i), None, None, None) for i in range(60)]
     rows += [(100 + i, f"order 1234 5678 9012 34{i:02d} of {i}.{i}.{i}", None, None, None) for i in range(60)]
-    # The same card format with other separators passes no base rule, but the checksum.
-    rows += [(200, "card 4111.1111.1111.1111 end", None, None, None)]
+    rows += [(i, t, None, None, None) for i, (t, _) in PLANTED.items()]
     docs = documents(spark, rows)
     out = P.detect(docs, ["doc_id"]).collect()
     for r in out:
-        if 100 <= r["_doc_id"] < 200:
-            assert [tuple(x) for x in r["all"]] == [tuple(x) for x in r["base"]]
+        base, all_ = [tuple(x) for x in r["base"]], [tuple(x) for x in r["all"]]
+        assert set(base) <= set(all_)
+        added = {(P.KINDS[k], r["t"][s:e]) for k, s, e in set(all_) - set(base)}
+        assert added == PLANTED.get(r["_doc_id"], ("", set()))[1], r["t"]
     again = P.detect(docs.repartition(7), ["doc_id"]).collect()
     assert sorted(map(str, out)) == sorted(map(str, again))
 
 
+def test_disguises_are_candidates_and_corruptions_are_not_valid(spark):
+    """Every form the trees learn from is one that the kind's generator proposes, whole."""
+    from pyspark.sql import functions as F
+
+    plain = {
+        "email": ["a.b@c.de", "jo+x@host-1.example.com"],
+        "ip": ["10.2.3.4", "255.0.0.255"],
+        "card": ["4111 1111 1111 1111", "4111111111111111", "4111-1111-1111-1111"],
+        "phone": ["+1 (555) 010-7712", "+49 30 1234567"],
+    }
+    for kind, texts in plain.items():
+        df = spark.createDataFrame([(t,) for t in texts], "m string")
+        forms = [how(F.col("m")) for how in P.DISGUISES[kind]]
+        for r in df.select(
+            F.array(*[P.PLAUSIBLE[kind](f) for f in forms]).alias("ok"),
+            F.array(*[F.regexp_extract(f, P.GENERATORS[kind], 0) == f for f in forms]).alias("whole"),
+            P.PLAUSIBLE[kind](P.CORRUPTED[kind](F.col("m"))).alias("broken_ok"),
+            "m",
+        ).collect():
+            assert all(r["ok"]) and all(r["whole"]) and not r["broken_ok"], (kind, r)
+
+
 def test_trees_as_columns_equal_numpy(spark):
     counts = [(k, a, b, 0, 0, 0, 1, 1, c, h, 5 * (a == b), 5 + c) for k in range(4) for a in range(4)
               for b in range(4) for c in range(2) for h in range(2)]
