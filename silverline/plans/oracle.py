@@ -551,6 +551,39 @@ SELECT region, 'video_categories', CAST(sum(n) AS BIGINT), '2024-01-02' FROM (
 GROUP BY region
 """
 
+ORACLE["ingestion_runs"] = """
+WITH r(st, run_id) AS (VALUES ('F', '20240102T030000Z_00000000'), ('O', '20240103T030000Z_00000000'),
+  ('P', '20240104T030000Z_00000000')),
+o AS (
+  SELECT st, run_id, upper(substr(o_orderpriority, 3, 2)) AS region, count(l_orderkey) AS n
+  FROM orders JOIN r ON o_orderstatus = st LEFT JOIN lineitem ON o_orderkey = l_orderkey
+  GROUP BY o_orderkey, st, run_id, region),
+v AS (
+  SELECT st, run_id, region, sum(greatest(1, ceil(n / 50))) AS p, sum(n) AS i FROM o
+  WHERE st <> 'P' OR region IN ('UR', 'ME') GROUP BY ALL),
+f AS (
+  SELECT p_partkey // 50 AS k, ['UR', 'HI', 'ME', 'NO', 'LO'][(p_partkey // 50) % 5 + 1] AS region, count(*) AS n
+  FROM part GROUP BY ALL),
+c AS (
+  SELECT st, run_id, region, count(*) AS p, sum(n) AS i FROM f, r
+  WHERE (st <> 'P' OR region IN ('UR', 'ME')) AND NOT (st = 'O' AND region = 'NO') GROUP BY ALL),
+a AS (
+  SELECT run_id, region, coalesce(v.p, 0) AS vp, coalesce(v.i, 0) AS vi, coalesce(c.p, 0) AS cp, coalesce(c.i, 0) AS ci,
+    v.p IS NOT NULL AND coalesce(v.st, c.st) = 'F' AND region = 'HI' AS vf,
+    c.p IS NOT NULL AND coalesce(v.st, c.st) = 'O' AND region = 'LO' AS cf
+  FROM v FULL JOIN c USING (run_id, region))
+SELECT run_id, region, CASE WHEN vp = 0 THEN 'not_attempted' WHEN vf THEN 'failed' ELSE 'ok' END AS videos_status,
+  CASE WHEN vf THEN 'skipped' WHEN cf THEN 'failed' WHEN cp > 0 THEN 'ok' ELSE 'not_fetched' END AS categories_status,
+  CAST(max(CASE WHEN vf OR cf THEN 207 ELSE 200 END) OVER (PARTITION BY run_id) AS INTEGER) AS status_code,
+  CAST(CASE WHEN vf THEN 0 ELSE vp END AS BIGINT) AS video_payloads,
+  CAST(CASE WHEN vf THEN 0 ELSE vi END AS BIGINT) AS video_items,
+  CAST(CASE WHEN vf OR cf THEN 0 ELSE cp END AS BIGINT) AS category_payloads,
+  CAST(CASE WHEN vf OR cf THEN 0 ELSE ci END AS BIGINT) AS category_items,
+  CAST(CASE WHEN vf THEN vp WHEN cf THEN cp ELSE 0 END AS BIGINT) AS failures,
+  CAST(CASE WHEN vf THEN 0 ELSE vp END + CASE WHEN vf OR cf THEN 0 ELSE cp END AS BIGINT) AS landed
+FROM a
+"""
+
 ORACLE["category_job"] = """
 WITH f AS (
   SELECT 'Brand_11_' || CAST(p_partkey // 50 AS VARCHAR) || '_category_id' AS file,

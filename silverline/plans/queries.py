@@ -72,6 +72,7 @@ from silverline.plans.standins import (
 )
 from silverline.plans.categories import CategoryJobConfig, run_categories
 from silverline.plans.gold import GoldJobConfig, refresh_gold
+from silverline.plans.ingestion import IngestionConfig, run_ingestion
 from silverline.plans.videos import VideoJobConfig, gate_source, run_videos, silver_rows
 from silverline.session import materialize, scratch_path
 from silverline.sinks.silver import manifest, write_partitioned
@@ -650,6 +651,83 @@ def landed_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return video_rows.unionByName(category_rows)
 
 
+INGESTION_REGIONS = ("ur", "hi", "me", "no", "lo")
+
+
+def ingestion_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ING1-ING6 as the job runs them: three runs, one per order status, with every outcome.
+
+    In the first run the videos of one region fail, and it is repeated under its run id after
+    it ended between data and manifest; in the second one region's categories fail and another's
+    are not asked for; the third has two regions only. What is landed is counted from the files.
+    """
+    orders, lineitem = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
+    files = parts_as_category_files(table(spark, sf_dir, "part").withColumn("p_brand", F.lit("Brand#11")))
+    number = F.regexp_extract("bronze_file", r"_(\d+)_category_id", 1).cast("int") % len(INGESTION_REGIONS)
+    categories = materialize(
+        files.select(
+            F.get(F.array(*[F.lit(r) for r in INGESTION_REGIONS]), number).alias("region"),
+            F.lit("video_categories").alias("dataset"),
+            F.col("value").alias("payload"),
+        )
+    )
+    bronze, reports = scratch_path(spark, "ingestion-bronze"), scratch_path(spark, "ingestion-reports")
+
+    def run(day: int, status: str, asked: DataFrame, fails: Column, regions: str | None = None, land=land_payloads):
+        videos = _video_payloads(orders.filter(F.col("o_orderstatus") == status), lineitem)
+        attempts = videos.unionByName(asked).withColumns(
+            {
+                "payload": F.when(~fails, F.col("payload")),
+                "error_type": F.when(fails, F.lit("TimeoutError")),
+                "message": F.when(fails, F.concat(F.lit("no answer for "), F.upper("region"))),
+            }
+        )
+        cfg = IngestionConfig(bronze, reports, regions, compression="lz4")
+        return run_ingestion(spark, attempts, cfg, _run_ts(day, 3), f"202401{day:02d}T030000Z_00000000", land)
+
+    class EndedEarly(RuntimeError):
+        pass
+
+    def ends_early(*args, **kwargs):
+        land_payloads(*args, **kwargs)
+        raise EndedEarly
+
+    is_video = F.col("dataset") == "trending_videos"
+    no_videos = is_video & (F.col("region") == "hi")
+    try:
+        run(2, "F", categories, no_videos, land=ends_early)
+    except EndedEarly:
+        run(2, "F", categories, no_videos)
+    run(3, "O", categories.filter(F.col("region") != "no"), ~is_video & (F.col("region") == "lo"))
+    run(4, "P", categories, F.lit(False), regions=" ur, Me ,,")
+
+    def report(name: str) -> DataFrame:
+        return spark.read.parquet(f"{reports}/_reports/{name}")
+
+    def of(dataset: str, column: Column) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("dataset") == dataset, column)), F.lit(0))
+
+    listed = report("payload_manifest").groupBy("run_id", "region").agg(
+        of("trending_videos", F.lit(1)).alias("video_payloads"),
+        of("trending_videos", F.col("item_count")).alias("video_items"),
+        of("video_categories", F.lit(1)).alias("category_payloads"),
+        of("video_categories", F.col("item_count")).alias("category_items"),
+    )
+    failures = report("ingestion_failures").groupBy("run_id", "region").agg(F.count(F.lit(1)).alias("failures"))
+    folders = (f"{bronze}/youtube/api_raw/videos", f"{bronze}/youtube/api_raw/categories")
+    found = [
+        spark.read.text(path, lineSep="\x1e").select("run_id", F.upper("region").alias("region")) for path in folders
+    ]
+    landed = found[0].unionByName(found[1]).groupBy("run_id", "region").agg(F.count(F.lit(1)).alias("landed"))
+    counts = ["video_payloads", "video_items", "category_payloads", "category_items", "failures", "landed"]
+    keys = ["run_id", "region"]
+    joined = report("ingestion_runs").join(listed, keys, "left").join(failures, keys, "left").join(landed, keys, "left")
+    return joined.select(
+        *keys, "videos_status", "categories_status", "status_code",
+        *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in counts],
+    )
+
+
 def category_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC3/SRC7/SNK3/SNK4/QG7-QG11: category files with every defect through the job.
 
@@ -1000,6 +1078,7 @@ QUERIES: dict[str, Query] = {
     "csv_bronze_videos": csv_bronze_videos,
     "api_bronze_videos": api_bronze_videos,
     "landed_payloads": landed_payloads,
+    "ingestion_runs": ingestion_runs,
     "category_job": category_job,
     "video_job_record": video_job_record,
     "stream_landed_videos": stream_landed_videos,
