@@ -148,9 +148,16 @@ def scan(
     catalogue: dict[str, str] = SENTENCES,
     rules: list[tuple] = RULES,
     max_gap: int = MAX_GAP,
-    hint: str | None = HINT,
+    hint: str | None = None,
 ) -> DataFrame:
-    """One row per match of a rule: doc_id, licence, rule, first, last, complete."""
+    """One row per match of a rule: doc_id, licence, rule, first, last, complete.
+
+    ``hint`` is a pattern without which a text can hold no sentence of ``catalogue``; the
+    built-in catalogue has its own, another is looked for in every text if none is given. An
+    empty one leaves no text out.
+    """
+    if hint is None and catalogue is SENTENCES:
+        hint = HINT
     rows = docs.select("doc_id", text_or_empty().alias("t"))
     if hint is not None:
         rows = rows.where(F.col("t").rlike(hint))

@@ -108,7 +108,7 @@ def test_license_rules(spark):
         (2, "MIT", "mit-mention", False),
         (7, "MIT", "mit-full", True),
     ]
-    without_hint = C.scan(docs, hint=None)
+    without_hint = C.scan(docs, hint="")
     assert without_hint.count() == len(got)
     assert C.scan(documents(spark, [])).count() == 0
 
@@ -161,3 +161,11 @@ def test_license_mentions_over_line_ends_and_other_sentences_between(spark):
         (5, "mit-mention", 1, 1),
         (6, "apache-mention", 0, 0),
     ]
+
+
+def test_own_catalogue_is_searched_in_every_text(spark):
+    docs = documents(spark, [(1, "First. You may share this freely. Last.", None, None, None)])
+    own = {"you may share this freely": "share"}
+    (row,) = C.scan(docs, own, [("own", "Own-1", False, ["share"])]).collect()
+    assert (row["doc_id"], row["licence"]) == (1, "Own-1")
+    assert C.scan(docs, own, [("own", "Own-1", False, ["share"])], hint="nowhere").count() == 0
