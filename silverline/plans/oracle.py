@@ -724,3 +724,65 @@ SELECT source, region, file, count(*) AS silver_rows, CAST(sum(id) AS BIGINT) AS
   any_value(files) AS reference_files_seen, any_value(failed) AS failed_then, CAST(0 AS BIGINT) AS idle_files
 FROM all_rows, seen GROUP BY source, region, file
 """
+
+ORACLE["source_differences"] = f"""
+WITH a AS (SELECT region, video_id, trending_date, max(view_count) AS views FROM ({SILVER_EVENTS}) GROUP BY ALL),
+b AS (SELECT upper(event_type) AS region, CAST(user_id AS VARCHAR) AS video_id, CAST(ts AS DATE) AS trending_date,
+    max(CAST(round(value * 100) AS BIGINT)) AS views
+  FROM events GROUP BY ALL)
+SELECT region, video_id, strftime(trending_date, '%Y-%m-%d') AS trending_date, views,
+  CAST(sum(l) AS BIGINT) AS left_rows, CAST(sum(1 - l) AS BIGINT) AS right_rows
+FROM (SELECT *, 1 AS l FROM a UNION ALL SELECT *, 0 FROM b)
+GROUP BY ALL HAVING sum(l) <> sum(1 - l)
+"""
+
+_RANKS = ", ".join(
+    f"vals[CAST(ceil({rank} * len(vals)) AS BIGINT)] AS {name}"
+    for name, rank in (("p25", "0.25"), ("p50", "0.5"), ("p75", "0.75"), ("p90", "0.9"), ("p99", "0.99"))
+)
+
+ORACLE["view_distribution"] = f"""
+WITH g AS (
+  SELECT source, region, trending_date, count(view_count) AS "values",
+    count(*) - count(view_count) AS nulls, min(view_count) AS lowest, max(view_count) AS highest,
+    list_sort(list(view_count) FILTER (WHERE view_count IS NOT NULL)) AS vals
+  FROM ({CLEANSED_EVENTS}) GROUP BY source, region, trending_date),
+q AS (SELECT *, list_transform(range(1, 17), lambda i: vals[CAST(ceil(i / 16.0 * len(vals)) AS BIGINT)]) AS grid FROM g),
+p AS (
+  SELECT *, lag(trending_date) OVER w AS before_day, lag(grid) OVER w AS before_grid
+  FROM q WINDOW w AS (PARTITION BY source, region ORDER BY trending_date))
+SELECT source, region, strftime(trending_date, '%Y-%m-%d') AS trending_date, "values", nulls, lowest, highest, {_RANKS},
+  strftime(before_day, '%Y-%m-%d') AS previous_day,
+  CASE WHEN before_grid IS NOT NULL THEN
+    CAST(list_sum(list_transform(range(1, 17), lambda i: abs(grid[i] - before_grid[i]))) AS DOUBLE) / 16 END AS shift
+FROM p
+"""
+
+ORACLE["category_history"] = f"""
+WITH n AS (SELECT n.*, r.r_name FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey),
+v AS (
+  SELECT n_nationkey AS id, n_name AS title, DATE '2024-01-05' AS valid_from FROM n
+  UNION ALL SELECT n_nationkey, CASE WHEN n_nationkey % 4 = 0 THEN n_name || ' ' || r_name ELSE r_name END,
+    DATE '2024-01-12' FROM n WHERE n_nationkey % 2 = 0
+  UNION ALL SELECT n_nationkey, n_name || ' new', DATE '2024-01-20' FROM n WHERE n_nationkey % 3 = 0),
+w AS (SELECT *, lead(valid_from) OVER (PARTITION BY id ORDER BY valid_from) AS valid_to FROM v)
+SELECT s.region, CAST(s.category_id AS BIGINT) AS category_id, w.title AS category_title,
+  strftime(w.valid_from, '%Y-%m-%d') AS valid_from, strftime(w.valid_to, '%Y-%m-%d') AS valid_to,
+  strftime(min(s.trending_date), '%Y-%m-%d') AS first_day, strftime(max(s.trending_date), '%Y-%m-%d') AS last_day,
+  count(*) AS videos, CAST(sum(s.view_count) AS BIGINT) AS total_views
+FROM ({SILVER_EVENTS}) s LEFT JOIN w ON s.category_id = w.id AND s.trending_date >= w.valid_from
+  AND (w.valid_to IS NULL OR s.trending_date < w.valid_to)
+GROUP BY s.region, s.category_id, w.title, w.valid_from, w.valid_to
+"""
+
+ORACLE["bucketed_sources"] = f"""
+WITH a AS (
+  SELECT region, video_id, count(DISTINCT trending_date) AS silver_days, CAST(sum(view_count) AS BIGINT) AS silver_views
+  FROM ({SILVER_EVENTS}) GROUP BY region, video_id),
+b AS (
+  SELECT upper(event_type) AS region, CAST(user_id AS VARCHAR) AS video_id,
+    count(DISTINCT CAST(ts AS DATE)) AS raw_days, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS raw_views
+  FROM events GROUP BY 1, 2)
+SELECT b.region, b.video_id, raw_days, raw_views, silver_days, silver_views
+FROM b LEFT JOIN a ON a.region = b.region AND a.video_id = b.video_id
+"""

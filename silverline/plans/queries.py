@@ -9,6 +9,7 @@ compare one-to-one with the DuckDB twins in :mod:`silverline.plans.oracle`.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,9 +31,12 @@ from silverline.functions.columns import (
     to_bool,
     ydm_to_date,
 )
+from silverline.operators.bucketed import save_bucketed
 from silverline.operators.categories import file_status, silver_categories
+from silverline.operators.checksums import checked_differences, write_checked
 from silverline.operators.cleanse import cleanse_videos
 from silverline.operators.dedup import dedup_videos, keep_last, video_order
+from silverline.operators.distribution import distribution_drift, metric_sketches
 from silverline.operators.gold import (
     category_analytics,
     channel_analytics,
@@ -43,6 +47,7 @@ from silverline.operators.gold import (
     quality_report,
     trending_analytics,
 )
+from silverline.operators.history import category_analytics_as_of, category_validity
 from silverline.operators.ingest import land_payloads, payload_manifest, run_report
 from silverline.operators.project import (
     explode_items_outer,
@@ -63,6 +68,7 @@ from silverline.operators.quality import (
 from silverline.plans.standins import (
     events_as_api_rows,
     events_as_videos,
+    nations_as_category_drops,
     orders_as_api_payloads,
     parts_as_category_files,
     write_category_drop,
@@ -1040,6 +1046,58 @@ def compare_two_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def source_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GLD4 by checksums: observations whose views differ between Silver and the raw source.
+
+    Both sides are laid out with checksums; rows are read from the cells whose checksums differ.
+    """
+    keys = ["region", "video_id", "trending_date"]
+    sides = (silver_event_videos(spark, sf_dir), events_as_api_rows(table(spark, sf_dir, "events")))
+    paths = [scratch_path(spark, f"checked-{side}") for side in ("silver", "raw")]
+    for rows, path in zip(sides, paths, strict=True):
+        write_checked(rows.groupBy(*keys).agg(F.max("view_count").alias("views")), path, keys)
+    return checked_differences(spark, *paths).select(
+        "region", "video_id", _day("trending_date").alias("trending_date"), "views", "left_rows", "right_rows"
+    )
+
+
+def view_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GLD6: quantiles of views per source, region and day from sketches, and how far they moved since the day before."""
+    out = distribution_drift(metric_sketches(cleansed_events(spark, sf_dir)))
+    return out.withColumns({c: _day(c) for c in ("trending_date", "previous_day")})
+
+
+def category_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D9/GLD3: views per category under the title of the trending day; ids are renamed by three drops."""
+    drops = nations_as_category_drops(table(spark, sf_dir, "nation"), table(spark, sf_dir, "region"))
+    out = category_analytics_as_of(
+        silver_event_videos(spark, sf_dir),
+        category_validity(drops, keys=["category_id"]),
+        group_keys=("region", "category_id"),
+        keys=["category_id"],
+    )
+    return out.withColumns({c: _day(c) for c in ("valid_from", "valid_to", "first_day", "last_day")})
+
+
+def bucketed_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GLD7: Silver and the raw source as bucketed tables with statistics, joined without a shuffle."""
+    name, keys = f"bucketed_{uuid.uuid4().hex[:12]}", ["region", "video_id"]
+    sides = (silver_event_videos(spark, sf_dir), events_as_api_rows(table(spark, sf_dir, "events")))
+    tables = [f"{name}_silver", f"{name}_raw"]
+    for rows, saved in zip(sides, tables, strict=True):
+        save_bucketed(rows.select(*keys, "trending_date", "view_count"), saved, scratch_path(spark, saved), keys, 16)
+    totals = [
+        spark.table(saved).groupBy(*keys).agg(
+            F.count_distinct("trending_date").alias(f"{side}_days"), F.sum("view_count").alias(f"{side}_views")
+        )
+        for side, saved in zip(("silver", "raw"), tables, strict=True)
+    ]
+    out = materialize(totals[1].join(totals[0], keys, "left"))
+    for saved in tables:
+        spark.sql(f"DROP TABLE {saved}")
+    return out
+
+
 def quality_by_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """GLD6 (ours): AGG1-4 per (source, region)."""
     return quality_report(cleansed_events(spark, sf_dir))
@@ -1090,4 +1148,8 @@ QUERIES: dict[str, Query] = {
     "category_rollup": category_rollup,
     "current_categories": current_category_rows,
     "quality_by_partition": quality_by_partition,
+    "source_differences": source_differences,
+    "view_distribution": view_distribution,
+    "category_history": category_history,
+    "bucketed_sources": bucketed_sources,
 }

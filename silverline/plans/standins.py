@@ -93,6 +93,32 @@ def events_as_api_rows(events: DataFrame) -> DataFrame:
     )
 
 
+def nations_as_category_drops(nation: DataFrame, region: DataFrame) -> DataFrame:
+    """Nations as categories of three drops: all of them, then renamed ones of two drop days.
+
+    The second day brings ids divisible by two under their region's name, and those divisible by
+    four once more in a later file; the third day brings ids divisible by three with a suffix.
+    """
+    rows = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
+        F.col("n_nationkey").cast("bigint").alias("category_id"), "n_name", "r_name"
+    )
+
+    def drop(day: str, hour: int, every: int, title) -> DataFrame:
+        return rows.where(F.col("category_id") % every == 0).select(
+            "category_id",
+            title.alias("category_title"),
+            F.lit(day).cast("date").alias("drop_date"),
+            F.lit(f"categories/date={day}/hour={hour:02d}").alias("bronze_file"),
+        )
+
+    return (
+        drop("2024-01-05", 3, 1, F.col("n_name"))
+        .unionByName(drop("2024-01-12", 3, 2, F.col("r_name")))
+        .unionByName(drop("2024-01-12", 9, 4, F.concat_ws(" ", "n_name", "r_name")))
+        .unionByName(drop("2024-01-20", 3, 3, F.concat(F.col("n_name"), F.lit(" new"))))
+    )
+
+
 # An API response carries at most MAX_RESULTS items, so nested stand-ins
 # (payloads, category files) are cut into pages of about that many items; no
 # single array grows with the data.
