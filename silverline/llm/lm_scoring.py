@@ -13,8 +13,9 @@ match: one vocabulary, one order, one smoothing.
   with r = L / (c(v) * (1 - L) * P(w)).
 - Tasks hold the counts of the ``WORDS`` most frequent words and of ``BIGRAMS`` frequent
   bigrams, so these tables have a size known beforehand. Which these are decides only the cost: every
-  other bigram goes as a row (document, bigram, n) to where its rows are counted,
-  every other word's counts are joined there, and gains are summed by document.
+  other bigram of two such words goes to where its bucket is counted, packed with the others of its
+  chunk and bucket (key, document, n; the more tokens, the more buckets), and every bigram with another
+  word goes as a row, to which that word's counts are joined. Gains are summed by document.
 
 Defined results: null and empty texts have no tokens, and losses and score 0; without
 trusted labels the target is empty and its model uniform; a document with several
@@ -24,11 +25,13 @@ they stand, and score alike.
 
 from __future__ import annotations
 
+import math
 import uuid
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -43,11 +46,14 @@ BIGRAMS = 1 << 20
 LAMBDA = 0.7
 ALPHA = 0.1
 CHUNK = 1 << 20
-BLOCK = 1 << 17
+BLOCK = 1 << 19
 SHIFT = 20  # numbers of WORDS words have so many bits
 START = 0  # stands for the word before a text's first
 MIX = np.uint64(0x9E3779B97F4A7C15)
-UNTRUSTED, TRUSTED, HEAD = 0, 1, 2  # kinds of the rows that scoring emits
+UNTRUSTED, TRUSTED, HEAD, PACKED = 0, 1, 2, 3  # kinds of the rows that scoring emits
+BUCKET_TOKENS = 1 << 21  # tokens of a bucket on average
+SPREAD = 0x9E3779B97F4A7C15 & ((1 << 2 * SHIFT) - 1) | 1  # odd, so products with it can be undone
+KEYS = (1 << 2 * SHIFT) - 1
 
 
 def words(text) -> list[bytes]:
@@ -195,6 +201,7 @@ class Tables:
         # Of a word that the tables lack, both factors are 1 and wait for the join.
         self.p1 = np.concatenate([(1 - LAMBDA) * (unigrams + ALPHA) / (total + ALPHA * slots), [[1, 1]]])
         histories = frequent[["hb", "ht"]].to_numpy(np.float64)
+        self.loss1 = -np.log(self.p1)
         self.share = np.concatenate([LAMBDA / np.maximum(histories, 1), [[1, 1]]])
         self.keys, self.bigrams = keys, bigrams
 
@@ -207,41 +214,78 @@ class Tables:
         return number[place]
 
 
-def _emitted(rows: DataFrame, shared) -> DataFrame:
-    """A HEAD row for each of ``rows``, with the losses less the gains that the tables hold; a row for each other bigram of it.
+def pack(key_place: np.ndarray, n: np.ndarray, rid: np.ndarray) -> bytes:
+    """Sorted (key << SHIFT | document's place), counts and numbers of documents, by planes of equal bytes.
 
-    The key of a bigram of two words in the tables is of their numbers, and of others a hash. Of
-    those others ``more`` has the known factors of r (b and t) and the words that the tables lack (v and w).
+    The high bytes of steps, numbers and counts hardly differ, so shuffle compression takes them away.
+    """
+    steps = np.diff(key_place >> SHIFT, prepend=0)
+    return b"".join(x.astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes() for x in (steps, n, rid))
+
+
+def unpack(packed: bytes) -> np.ndarray:
+    """(3, entries): keys, counts, numbers of documents."""
+    planes = np.frombuffer(packed, dtype=np.uint8).reshape(3, 8, -1)
+    out = np.ascontiguousarray(planes.transpose(0, 2, 1)).view("<i8")[:, :, 0]
+    return np.stack([np.cumsum(out[0]), out[1], out[2]])
+
+
+def _packed(keys: np.ndarray, place: np.ndarray, rid: np.ndarray, trusted: np.ndarray, buckets: int):
+    """(bucket, entries, packed) of a chunk's bigrams; a count's lowest bit tells whether its document is trusted."""
+    spread = (keys.astype(np.uint64) * np.uint64(SPREAD) & np.uint64(KEYS)).astype(np.int64)
+    entries, n = np.unique(spread << SHIFT | place, return_counts=True)
+    at = entries & ((1 << SHIFT) - 1)
+    width = 3 * SHIFT - (buckets.bit_length() - 1)
+    edges = np.flatnonzero(np.diff(entries >> width, prepend=-1))
+    for start, end in zip(edges, np.append(edges, len(entries))[1:], strict=True):
+        some = slice(start, end)
+        yield int(entries[start] >> width), end - start, pack(
+            entries[some], n[some] << 1 | trusted[at[some]], rid[at[some]]
+        )
+
+
+def _emitted(rows: DataFrame, shared, buckets: int) -> DataFrame:
+    """A HEAD row for each of ``rows``, with the losses less the gains that the tables hold, and its other bigrams.
+
+    Bigrams of two words in the tables are PACKED rows of a chunk and bucket, known by the words'
+    numbers. Others are rows known by a hash, and ``more`` has the known factors of r (b and t)
+    and the words that the tables lack (v and w).
     """
     id_field = rows.schema["doc_id"].dataType
     id_type = to_arrow_type(id_field)
     more_type = pa.struct(
         [("b", pa.float64()), ("t", pa.float64()), ("v", pa.int64()), ("w", pa.int64()), ("doc_id", id_type)]
     )
+    names = ["rid", "key", "n", "kind", "more", "packed"]
+    size = CHUNK
 
-    def batch(rid, key, n, kind, more) -> pa.RecordBatch:
+    def batch(rid, key, n, kind, more=None, packed=None) -> pa.RecordBatch:
         if more is None:
             more = pa.nulls(len(rid), more_type)
         else:
             more = [x if isinstance(x, pa.Array) else pa.array(x, f.type) for x, f in zip(more, more_type, strict=True)]
             more = pa.StructArray.from_arrays(more, fields=list(more_type))
-        arrays = [pa.array(rid), pa.array(key), pa.array(n, pa.int64()), pa.array(kind, pa.int32()), more]
-        return pa.RecordBatch.from_arrays(arrays, names=["rid", "key", "n", "kind", "more"])
+        packed = pa.nulls(len(rid), pa.binary()) if packed is None else pa.array(packed, pa.binary())
+        arrays = [pa.array(rid), pa.array(key), pa.array(n, pa.int64()), pa.array(kind, pa.int32()), more, packed]
+        return pa.RecordBatch.from_arrays(arrays, names=names)
 
     def run(batches):
         held = shared.value
         lacks = len(held.words)
+        start = held.word(np.array([START]))[0]
         frames = (x.to_pandas(integer_object_nulls=True) for x in batches)
-        for docs, place, first, second, trusted in _blocks(frames, BLOCK):
+        for docs, place, first, second, trusted in _blocks(frames, size):
             rid = np.array([r["rid"] for r in docs], dtype=np.int64)
-            v, w = held.word(first), held.word(second)
+            w = held.word(second)
+            v = before(w)
+            v[np.flatnonzero(np.diff(place, prepend=-1))] = start
             keys = bigram_keys(first, second)
             distinct, code = np.unique(keys, return_inverse=True)
             at, hit = _find(held.keys, distinct)
             known = (v < lacks) & (w < lacks)
             here = hit[code] & known
             # A word not held adds -log(1) here, and its loss where its counts are joined.
-            losses = -np.log(held.p1[w])
+            losses = held.loss1[w]
             found = here.nonzero()[0]
             if len(found):
                 r = held.share[v[found]] / held.p1[w[found]]
@@ -252,39 +296,93 @@ def _emitted(rows: DataFrame, shared) -> DataFrame:
             ids = pa.array([r_["doc_id"] for r_ in docs], id_type)
             # Rows of documents are dealt by a mix of their numbers; counts leave them out.
             yield batch(rid, bigram_keys(rid, rid), lengths, np.full(len(docs), HEAD), [*sums, none, none, ids])
-            for whole in (True, False):
-                rest = (~here & (known == whole)).nonzero()[0]
-                if not len(rest):
-                    continue
+            rest = (~here & known).nonzero()[0]
+            for bucket, n, packed in _packed(v[rest] << SHIFT | w[rest], place[rest], rid, trusted, buckets):
+                yield batch(np.array([-1]), np.array([bucket]), [n], [PACKED], packed=[packed])
+            rest = (~known).nonzero()[0]
+            if len(rest):
                 # One row for each document and bigram.
                 _, one, n = np.unique(
                     place[rest] * np.int64(len(distinct)) + code[rest], return_index=True, return_counts=True
                 )
                 one = rest[one]
-                more = None
-                if not whole:
-                    r = held.share[v[one]] / held.p1[w[one]]
-                    lack = [pa.array(x[one], mask=i[one] < lacks) for x, i in ((first, v), (second, w))]
-                    more = [r[:, 0], r[:, 1], *lack, pa.nulls(len(one), id_type)]
-                key = v[one] << SHIFT | w[one] if whole else keys[one]
-                yield batch(rid[place[one]], key, n, trusted[place[one]].astype(np.int32), more)
+                r = held.share[v[one]] / held.p1[w[one]]
+                lack = [pa.array(x[one], mask=i[one] < lacks) for x, i in ((first, v), (second, w))]
+                more = [r[:, 0], r[:, 1], *lack, pa.nulls(len(one), id_type)]
+                yield batch(rid[place[one]], keys[one], n, trusted[place[one]].astype(np.int32), more)
 
     more = f"struct<b:double,t:double,v:bigint,w:bigint,doc_id:{id_field.simpleString()}>"
-    return rows.mapInArrow(run, f"rid long, key long, n long, kind int, more {more}")
+    return rows.mapInArrow(run, f"rid long, key long, n long, kind int, more {more}, packed binary")
+
 
+def _complete(dealt: DataFrame, shared) -> DataFrame:
+    """(rid, doc_id, n, b, t): the HEAD rows, and what the bigrams of each bucket take off their documents' losses.
 
-def _gains(counted: DataFrame, shared) -> DataFrame:
-    """(rid, b, t): what rows of bigrams of two words in the tables take off their documents' losses."""
+    ``dealt`` comes bucket by bucket; one bucket at a time is held.
+    """
+    id_field = dealt.schema["more"].dataType["doc_id"].dataType
+    id_type = to_arrow_type(id_field)
+    undo = np.uint64(pow(SPREAD, -1, KEYS + 1))
+    names = ["rid", "doc_id", "n", "b", "t"]
+
+    def gains(held, parts) -> pa.RecordBatch:
+        spread, n, rid = np.concatenate(parts, axis=1)
+        order = np.argsort(spread, kind="stable")
+        spread, n, rid = spread[order], n[order], rid[order]
+        good, n = n & 1, n >> 1
+        starts = np.flatnonzero(np.diff(spread, prepend=-1))
+        lengths = np.diff(starts, append=len(spread))
+        key = (spread[starts].astype(np.uint64) * undo & np.uint64(KEYS)).astype(np.int64)
+        r = held.share[key >> SHIFT] / held.p1[key & ((1 << SHIFT) - 1)]
+        counts = np.stack([np.add.reduceat(n, starts), np.add.reduceat(n * good, starts)], axis=1)
+        each = np.repeat(np.log1p(counts * r), lengths, axis=0) * n[:, None]
+        docs, place = np.unique(rid, return_inverse=True)
+        sums = [pa.array(-np.bincount(place, weights=each[:, k], minlength=len(docs))) for k in (0, 1)]
+        nothing = pa.nulls(len(docs), id_type), pa.array(np.zeros(len(docs), np.int64))
+        return pa.RecordBatch.from_arrays([pa.array(docs), *nothing, *sums], names=names)
 
     def run(batches):
         held = shared.value
+        bucket, parts = None, []
         for x in batches:
-            rid, key, n, cb, ct = (x.column(c).to_numpy() for c in ("rid", "key", "n", "cb", "ct"))
-            r = held.share[key >> SHIFT] / held.p1[key & ((1 << SHIFT) - 1)]
-            gains = [-n * np.log1p(c * r[:, k]) for k, c in enumerate((cb, ct))]
-            yield pa.RecordBatch.from_arrays([pa.array(rid), *map(pa.array, gains)], names=["rid", "b", "t"])
+            heads = x.filter(pc.equal(x.column("kind"), HEAD))
+            if heads.num_rows:
+                more = heads.column("more")
+                arrays = [heads.column("rid"), pc.struct_field(more, "doc_id"), heads.column("n")]
+                arrays += [pc.struct_field(more, c) for c in ("b", "t")]
+                yield pa.RecordBatch.from_arrays(arrays, names=names)
+            some = x.filter(pc.equal(x.column("kind"), PACKED))
+            for key, packed in zip(some.column("key").to_pylist(), some.column("packed"), strict=True):
+                if parts and key != bucket:
+                    yield gains(held, parts)
+                    parts = []
+                bucket = key
+                parts.append(unpack(packed.as_buffer()))
+        if parts:
+            yield gains(held, parts)
+
+    return dealt.mapInArrow(run, f"rid long, doc_id {id_field.simpleString()}, n long, b double, t double")
+
+
+def _lacking(dealt: DataFrame) -> DataFrame:
+    """Rows of bigrams with a word that the tables lack, with their bigram's counts cb and ct.
+
+    They are picked in a task, not by a filter, which would go below the shuffle and run all before it again.
+    """
 
-    return counted.select("rid", "key", "n", "cb", "ct").mapInArrow(run, "rid long, b double, t double")
+    def run(batches):
+        for x in batches:
+            some = x.filter(pc.less(x.column("kind"), HEAD))
+            if some.num_rows:
+                yield some.drop_columns("packed")
+
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in dealt.schema if f.name != "packed")
+    by_key = Window.partitionBy("key")
+    return dealt.mapInArrow(run, columns).select(
+        "rid", "key", "n", "more.b", "more.t", "more.v", "more.w",
+        F.sum("n").over(by_key).alias("cb"),
+        F.sum(F.when(F.col("kind") == TRUSTED, F.col("n")).otherwise(F.lit(0))).over(by_key).alias("ct"),
+    )
 
 
 def _joined(rows: DataFrame, counts: DataFrame, side: str, values: dict[str, Column]) -> DataFrame:
@@ -313,19 +411,10 @@ def score(docs: DataFrame, labels: DataFrame, frequent: int = WORDS, bigrams: in
     tables = Tables(top, keys, frequent_counts(rows, keys), np.array(total), slots)
 
     shared = spark.sparkContext.broadcast(tables)
-    by_key = Window.partitionBy("key")
-    gathered = _emitted(rows, shared).select(
-        "*",
-        F.sum(F.when(F.col("kind") != HEAD, F.col("n"))).over(by_key).alias("cb"),
-        F.sum(F.when(F.col("kind") == TRUSTED, F.col("n")).otherwise(F.lit(0))).over(by_key).alias("ct"),
-    )
-
-    # The three parts read one shuffle, so all ask for the same columns.
-    heads = gathered.where((F.col("kind") == HEAD) & F.col("more").isNotNull())
-    whole = gathered.where((F.col("kind") != HEAD) & F.col("more").isNull())
-    # Few rows have a word that the tables lack.
-    lacking = gathered.where((F.col("kind") != HEAD) & F.col("more").isNotNull())
-    lacking = lacking.select("rid", "key", "n", "cb", "ct", "more.b", "more.t", "more.v", "more.w")
+    buckets = 1 << min(2 * SHIFT, max(6, math.ceil(math.log2(max(1.0, total[0] / BUCKET_TOKENS)))))
+    # Both parts read one shuffle.
+    dealt = _emitted(rows, shared, buckets).repartition("key").sortWithinPartitions("kind", "key")
+    lacking = _lacking(dealt)
     one = F.lit(1.0)
     share = [F.lit(LAMBDA) / F.greatest(F.col(h), F.lit(1)) for h in ("hb", "ht")]
     p1 = [(1 - LAMBDA) * (F.col(u) + ALPHA) / F.lit(n + ALPHA * slots) for u, n in zip(("ub", "ut"), total, strict=True)]
@@ -339,9 +428,8 @@ def score(docs: DataFrame, labels: DataFrame, frequent: int = WORDS, bigrams: in
 
     no_id, no_tokens = F.lit(None).cast(docs.schema["doc_id"].dataType).alias("doc_id"), F.lit(0).cast("long").alias("n")
     losses = (
-        heads.select("rid", "more.doc_id", "n", "more.b", "more.t")
+        _complete(dealt, shared)
         .unionByName(lacking.select("rid", no_id, no_tokens, loss("b"), loss("t")))
-        .unionByName(_gains(whole, shared).select("rid", no_id, no_tokens, "b", "t"))
         .groupBy("rid")
         .agg(F.max("doc_id").alias("doc_id"), F.sum("n").alias("n_tokens"), F.sum("b").alias("b"), F.sum("t").alias("t"))
     )

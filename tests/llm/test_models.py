@@ -133,6 +133,28 @@ def test_losses_do_not_depend_on_what_tasks_hold(spark):
     assert losses(0, 0) == losses(20, 10) == losses(1000, 0) == everything
 
 
+def test_chunks_of_few_tokens_and_many_buckets(spark, monkeypatch):
+    """Texts that end chunks, bigrams of one bucket from many chunks."""
+    docs = documents(spark).repartition(3)
+
+    def losses():
+        got = L.score(docs, labels(spark), 1000, 0).collect()
+        return sorted((str(r["doc_id"]), r["n_tokens"], round(r["background_loss"], 9), round(r["score"], 9)) for r in got)
+
+    whole = losses()
+    monkeypatch.setattr(L, "CHUNK", 7)
+    monkeypatch.setattr(L, "BUCKET_TOKENS", 1)
+    assert losses() == whole
+
+
+def test_packed_rows_come_back_whole():
+    keys = np.array([3, 3, 9, (1 << 40) - 1], dtype=np.int64)
+    places = np.array([0, 1, 1, (1 << 20) - 1], dtype=np.int64)
+    n = np.array([2, 3, 1 << 33, 4], dtype=np.int64)
+    rid = np.array([5, (1 << 63) - 1, 0, 1 << 33], dtype=np.int64)
+    assert (L.unpack(L.pack(keys << L.SHIFT | places, n, rid)) == np.stack([keys, n, rid])).all()
+
+
 def test_license_mentions_over_line_ends_and_other_sentences_between(spark):
     wrapped = "Notes. This work is licensed under the GNU General\nPublic License version 3. More."
     grant = next(k for k, v in C.SENTENCES.items() if v == "gpl3-grant")
