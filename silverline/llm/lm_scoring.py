@@ -27,13 +27,14 @@ from __future__ import annotations
 
 import math
 import uuid
+import zlib
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -189,22 +190,45 @@ def _find(known: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return at, known[at] == values
 
 
+def planes(values: np.ndarray) -> bytes:
+    flat = np.ascontiguousarray(values, dtype="<i8").reshape(-1)
+    return zlib.compress(flat.view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
+
+
+def unplaned(packed: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(zlib.decompress(packed), np.uint8).reshape(8, -1).T).view("<i8")[:, 0]
+
+
 class Tables:
-    """What every task holds: counts of frequent words and bigrams, and the corpus totals."""
+    """What every task holds: counts of frequent words and bigrams, and the corpus totals.
+
+    Words are numbered by frequency, which keeps the keys of their bigrams small.
+    Only counts are sent, as compressed planes of equal bytes; each worker makes the factors from them.
+    """
 
     def __init__(self, frequent: pd.DataFrame, keys: np.ndarray, bigrams: np.ndarray, total: np.ndarray, slots: int):
-        # Words are numbered by frequency, which keeps the keys of their bigrams small.
-        hashes = frequent["h"].to_numpy(np.int64)
+        counts = frequent[["ub", "ut", "hb", "ht"]].to_numpy(np.int64)
+        self._set(frequent["h"].to_numpy(np.int64), counts, keys, bigrams, total, slots)
+
+    def _set(self, hashes, counts, keys, bigrams, total, slots) -> None:
+        self.sent = hashes, counts, keys, bigrams, total, slots
         self.number = np.argsort(hashes)
         self.words = hashes[self.number]
-        unigrams = frequent[["ub", "ut"]].to_numpy(np.float64)
         # Of a word that the tables lack, both factors are 1 and wait for the join.
-        self.p1 = np.concatenate([(1 - LAMBDA) * (unigrams + ALPHA) / (total + ALPHA * slots), [[1, 1]]])
-        histories = frequent[["hb", "ht"]].to_numpy(np.float64)
+        self.p1 = np.concatenate([(1 - LAMBDA) * (counts[:, :2] + ALPHA) / (total + ALPHA * slots), [[1, 1]]])
         self.loss1 = -np.log(self.p1)
-        self.share = np.concatenate([LAMBDA / np.maximum(histories, 1), [[1, 1]]])
+        self.share = np.concatenate([LAMBDA / np.maximum(counts[:, 2:], 1), [[1, 1]]])
         self.keys, self.bigrams = keys, bigrams
 
+    def __getstate__(self):
+        hashes, counts, keys, bigrams, total, slots = self.sent
+        return hashes, planes(counts), planes(np.diff(keys, prepend=0)), planes(bigrams), total, slots
+
+    def __setstate__(self, state) -> None:
+        hashes, counts, keys, bigrams, total, slots = state
+        counts, bigrams = (unplaned(x).reshape(-1, n) for x, n in ((counts, 4), (bigrams, 2)))
+        self._set(hashes, counts, np.cumsum(unplaned(keys)), bigrams, total, slots)
+
     def word(self, hashes: np.ndarray) -> np.ndarray:
         """Numbers of words; of those not held, the one after the last."""
         distinct, place = np.unique(hashes, return_inverse=True)
@@ -367,22 +391,38 @@ def _complete(dealt: DataFrame, shared) -> DataFrame:
 def _lacking(dealt: DataFrame) -> DataFrame:
     """Rows of bigrams with a word that the tables lack, with their bigram's counts cb and ct.
 
+    They come bigram by bigram, before all other rows, and one bigram's rows at a time are held.
     They are picked in a task, not by a filter, which would go below the shuffle and run all before it again.
     """
+    names = ["rid", "key", "n", "b", "t", "v", "w", "cb", "ct"]
+
+    def counted(rows: pa.Table) -> pa.RecordBatch:
+        key, n, kind = (rows.column(c).to_numpy() for c in ("key", "n", "kind"))
+        starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        lengths = np.diff(starts, append=len(key))
+        sums = [np.repeat(np.add.reduceat(x, starts), lengths) for x in (n, n * (kind == TRUSTED))]
+        columns = [*(rows.column(c) for c in names[:3]), *(pc.struct_field(rows.column("more"), c) for c in names[3:7])]
+        columns = [c.combine_chunks() for c in columns]
+        columns = [c.chunk(0) if isinstance(c, pa.ChunkedArray) else c for c in columns]
+        return pa.RecordBatch.from_arrays([*columns, *map(pa.array, sums)], names=names)
 
     def run(batches):
+        held = None
         for x in batches:
-            some = x.filter(pc.less(x.column("kind"), HEAD))
-            if some.num_rows:
-                yield some.drop_columns("packed")
-
-    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in dealt.schema if f.name != "packed")
-    by_key = Window.partitionBy("key")
-    return dealt.mapInArrow(run, columns).select(
-        "rid", "key", "n", "more.b", "more.t", "more.v", "more.w",
-        F.sum("n").over(by_key).alias("cb"),
-        F.sum(F.when(F.col("kind") == TRUSTED, F.col("n")).otherwise(F.lit(0))).over(by_key).alias("ct"),
-    )
+            some = pa.Table.from_batches([x.filter(pc.less(x.column("kind"), HEAD)).drop_columns("packed")])
+            if not some.num_rows:
+                continue
+            held = some if held is None else pa.concat_tables([held, some])
+            key = held.column("key").to_numpy()
+            end = int(np.argmax(key == key[-1]))
+            if end:
+                yield counted(held.slice(0, end))
+                held = held.slice(end)
+        if held is not None:
+            yield counted(held)
+
+    types = "rid long, key long, n long, b double, t double, v long, w long, cb long, ct long"
+    return dealt.mapInArrow(run, types)
 
 
 def _joined(rows: DataFrame, counts: DataFrame, side: str, values: dict[str, Column]) -> DataFrame:
@@ -393,6 +433,26 @@ def _joined(rows: DataFrame, counts: DataFrame, side: str, values: dict[str, Col
     return rows.join(counts, (F.col("_k") == F.col("_h")) & F.col(side).isNotNull(), "left").drop("_k", "_h")
 
 
+def _level(count: Column) -> Column:
+    """A count, above 1024 its logarithm: rises with the count, some 4,500 values at most."""
+    return F.when(count < 1024, count).otherwise(F.floor(F.log2(count) * 64 + 384)).cast("long")
+
+
+def _most_frequent(rows: DataFrame, count: Column, limit: int) -> Column:
+    """True for at most some ``limit`` rows (h, ...) of the highest levels; of the last level, those of low hashes.
+
+    Hashes are spread evenly, so a share of their range is a share of the rows: nothing is sorted or shuffled.
+    """
+    sizes = sorted(rows.groupBy(_level(count).alias("level")).agg(F.count(F.lit(1)).alias("n")).collect(), reverse=True)
+    left = limit
+    for level, n in sizes:
+        if n > left:
+            below = -(1 << 63) + (left << 64) // n
+            return (_level(count) > level) | ((_level(count) == level) & (F.col("h") < F.lit(below)))
+        left -= n
+    return F.lit(True)
+
+
 def score(docs: DataFrame, labels: DataFrame, frequent: int = WORDS, bigrams: int = BIGRAMS) -> DataFrame:
     """doc_id, n_tokens, background_loss, target_loss and score of every document."""
     spark = docs.sparkSession
@@ -405,21 +465,24 @@ def score(docs: DataFrame, labels: DataFrame, frequent: int = WORDS, bigrams: in
     total = [float(x or 0) for x in sums[1:]]
     slots = max(VOCABULARY, sums[0]) + 2
 
-    top = counts.orderBy(F.desc(F.greatest("ub", "hb")), "h").limit(frequent).drop("bigram").toArrow().to_pandas()
-    often = counted.where("bigram").orderBy(F.desc("ub"), "h").limit(bigrams).select("h").toArrow().to_pandas()
+    held = _most_frequent(counts, F.greatest("ub", "hb"), frequent)
+    top = counts.where(held).drop("bigram").toArrow().to_pandas()
+    top = top.iloc[np.lexsort((top["h"], -np.maximum(top["ub"], top["hb"])))]
+    pairs = counted.where("bigram")
+    often = pairs.where(_most_frequent(pairs, F.col("ub"), bigrams)).select("h").toArrow().to_pandas()
     keys = np.sort(often["h"].to_numpy(np.int64))
     tables = Tables(top, keys, frequent_counts(rows, keys), np.array(total), slots)
 
     shared = spark.sparkContext.broadcast(tables)
     buckets = 1 << min(2 * SHIFT, max(6, math.ceil(math.log2(max(1.0, total[0] / BUCKET_TOKENS)))))
     # Both parts read one shuffle.
-    dealt = _emitted(rows, shared, buckets).repartition("key").sortWithinPartitions("kind", "key")
+    dealt = _emitted(rows, shared, buckets).repartition("key").sortWithinPartitions(F.col("kind") >= HEAD, "key")
     lacking = _lacking(dealt)
     one = F.lit(1.0)
     share = [F.lit(LAMBDA) / F.greatest(F.col(h), F.lit(1)) for h in ("hb", "ht")]
     p1 = [(1 - LAMBDA) * (F.col(u) + ALPHA) / F.lit(n + ALPHA * slots) for u, n in zip(("ub", "ut"), total, strict=True)]
-    lacking = _joined(lacking, counts, "v", {"share_b": share[0], "share_t": share[1]})
-    lacking = _joined(lacking, counts, "w", {"p1_b": p1[0], "p1_t": p1[1]})
+    lacking = _joined(lacking, counts.where(~held), "v", {"share_b": share[0], "share_t": share[1]})
+    lacking = _joined(lacking, counts.where(~held), "w", {"p1_b": p1[0], "p1_t": p1[1]})
 
     def loss(side: str) -> Column:
         p = F.coalesce(f"p1_{side}", one)

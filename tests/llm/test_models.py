@@ -1,6 +1,7 @@
 """Operators 1, 4 and 7."""
 
 import math
+import pickle
 import zlib
 from collections import Counter
 
@@ -147,6 +148,17 @@ def test_chunks_of_few_tokens_and_many_buckets(spark, monkeypatch):
     assert losses() == whole
 
 
+def test_tables_come_back_whole():
+    frequent = pd.DataFrame({"h": [7, -3, 1 << 62], "ub": [5, 1 << 40, 1], "ut": [0, 1, 1], "hb": [2, 2, 0], "ht": [0, 1, 0]})
+    keys = np.array([-(1 << 63), -5, 4, (1 << 63) - 1], dtype=np.int64)
+    sent = L.Tables(frequent, keys, np.arange(8).reshape(4, 2) << 33, np.array([9.0, 4.0]), 20)
+    got = pickle.loads(pickle.dumps(sent))
+    for name in ("number", "words", "p1", "loss1", "share", "keys", "bigrams"):
+        assert (getattr(got, name) == getattr(sent, name)).all(), name
+    empty = L.Tables(frequent[:0], keys[:0], np.zeros((0, 2), np.int64), np.array([0.0, 0.0]), 20)
+    assert len(pickle.loads(pickle.dumps(empty)).words) == 0
+
+
 def test_packed_rows_come_back_whole():
     keys = np.array([3, 3, 9, (1 << 40) - 1], dtype=np.int64)
     places = np.array([0, 1, 1, (1 << 20) - 1], dtype=np.int64)
