@@ -52,6 +52,7 @@ SHIFT = 20  # numbers of WORDS words have so many bits
 START = 0  # stands for the word before a text's first
 MIX = np.uint64(0x9E3779B97F4A7C15)
 UNTRUSTED, TRUSTED, HEAD, PACKED = 0, 1, 2, 3  # kinds of the rows that scoring emits
+TRUSTED_IDS = 1 << 20  # ids that are broadcast, some 32 MB; more are joined by shuffle
 BUCKET_TOKENS = 1 << 21  # tokens of a bucket on average
 SPREAD = 0x9E3779B97F4A7C15 & ((1 << 2 * SHIFT) - 1) | 1  # odd, so products with it can be undone
 KEYS = (1 << 2 * SHIFT) - 1
@@ -121,8 +122,12 @@ def _sums(values: np.ndarray, trusted: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return distinct, n, np.bincount(place, weights=trusted, minlength=len(distinct)).astype(np.int64)
 
 
-def marked(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(rid, doc_id, text, trusted): the rows of ``docs``, each with a number of its own."""
+def marked(docs: DataFrame, labels: DataFrame, path: str, small: int = TRUSTED_IDS) -> DataFrame:
+    """(rid, doc_id, text, trusted): the rows of ``docs``, each with a number of its own.
+
+    Up to ``small`` trusted ids are sent to all tasks; with more the texts are shuffled to them, once, and
+    kept at ``path`` for the passes over them.
+    """
     trusted = (
         labels.where(F.col("doc_id").isNotNull())
         .groupBy("doc_id")
@@ -131,7 +136,12 @@ def marked(docs: DataFrame, labels: DataFrame) -> DataFrame:
         .select("doc_id", F.lit(True).alias("trusted"))
     )
     rows = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "text")
-    return rows.join(trusted, "doc_id", "left").select("rid", "doc_id", "text", "trusted")
+    columns = ["rid", "doc_id", "text", "trusted"]
+    if trusted.count() <= small:
+        return rows.join(F.broadcast(trusted), "doc_id", "left").select(*columns)
+    joined = rows.join(trusted, "doc_id", "left").select(*columns)
+    joined.write.parquet(path)
+    return docs.sparkSession.read.schema(joined.schema).parquet(path)
 
 
 def word_counts(rows: DataFrame) -> DataFrame:
@@ -146,11 +156,19 @@ def word_counts(rows: DataFrame) -> DataFrame:
             if not len(second):
                 continue
             by_token = trusted[place]
-            u, ub, ut = _sums(second, by_token)
-            h, hb, ht = _sums(first, by_token)
+            u, code = np.unique(second, return_inverse=True)
+            # A token begins a bigram unless it is its text's last; as many begin after START.
+            last = np.flatnonzero(np.diff(place, append=-1))
+            count = [
+                np.bincount(code[i], weights=x, minlength=len(u)).astype(np.int64)
+                for i in (slice(None), last)
+                for x in (None, by_token[i])
+            ]
+            ub, ut, hb, ht = count[0], count[1], count[0] - count[2], count[1] - count[3]
+            starts = ([START], 0, 0, [len(last)], [int(by_token[last].sum())])
             keys, n = np.unique(bigram_keys(first, second), return_counts=True)
             keys, n = keys[n > 1], n[n > 1]
-            for bigram, part in ((False, (u, ub, ut, 0, 0)), (False, (h, 0, 0, hb, ht)), (True, (keys, n, 0, 0, 0))):
+            for bigram, part in ((False, (u, ub, ut, hb, ht)), (False, starts), (True, (keys, n, 0, 0, 0))):
                 if len(part[0]):
                     yield pd.DataFrame({"bigram": bigram, **dict(zip(["h", "ub", "ut", "hb", "ht"], part, strict=True))})
 
@@ -425,12 +443,12 @@ def _lacking(dealt: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, types)
 
 
-def _joined(rows: DataFrame, counts: DataFrame, side: str, values: dict[str, Column]) -> DataFrame:
-    """``rows`` with ``values``, computed from the counts of the word in ``side``; null where it is null."""
-    counts = counts.select(F.col("h").alias("_h"), *[c.alias(name) for name, c in values.items()])
-    # Rows without such a word are dealt by their numbers, not all to the place of nulls.
-    rows = rows.withColumn("_k", F.coalesce(F.col(side), F.xxhash64("rid", "key")))
-    return rows.join(counts, (F.col("_k") == F.col("_h")) & F.col(side).isNotNull(), "left").drop("_k", "_h")
+def _with_counts(lacking: DataFrame, counts: DataFrame, sides: dict[str, str]) -> DataFrame:
+    """``lacking`` with the counts of the words in its columns ``sides``, named with the prefix given for each."""
+    for side, prefix in sides.items():
+        of = counts.select(*[F.col(c).alias(f"{prefix}{c}") for c in ("h", "ub", "ut", "hb", "ht")])
+        lacking = lacking.join(of, F.col(side) == F.col(f"{prefix}h"), "left").drop(f"{prefix}h")
+    return lacking
 
 
 def _level(count: Column) -> Column:
@@ -457,7 +475,7 @@ def score(docs: DataFrame, labels: DataFrame, frequent: int = WORDS, bigrams: in
     """doc_id, n_tokens, background_loss, target_loss and score of every document."""
     spark = docs.sparkSession
     path = f"{checkpoint_root(spark)}/lm-{uuid.uuid4().hex}"
-    rows = marked(docs, labels)
+    rows = marked(docs, labels, f"{path}-marked")
     word_counts(rows).write.partitionBy("bigram").parquet(path)
     counted = spark.read.schema("h long, ub long, ut long, hb long, ht long, bigram boolean").parquet(path)
     counts = counted.where(~F.col("bigram"))
@@ -478,21 +496,31 @@ def score(docs: DataFrame, labels: DataFrame, frequent: int = WORDS, bigrams: in
     # Both parts read one shuffle.
     dealt = _emitted(rows, shared, buckets).repartition("key").sortWithinPartitions(F.col("kind") >= HEAD, "key")
     lacking = _lacking(dealt)
-    one = F.lit(1.0)
-    share = [F.lit(LAMBDA) / F.greatest(F.col(h), F.lit(1)) for h in ("hb", "ht")]
-    p1 = [(1 - LAMBDA) * (F.col(u) + ALPHA) / F.lit(n + ALPHA * slots) for u, n in zip(("ub", "ut"), total, strict=True)]
-    lacking = _joined(lacking, counts.where(~held), "v", {"share_b": share[0], "share_t": share[1]})
-    lacking = _joined(lacking, counts.where(~held), "w", {"p1_b": p1[0], "p1_t": p1[1]})
-
-    def loss(side: str) -> Column:
-        p = F.coalesce(f"p1_{side}", one)
-        r = F.col(side) * F.coalesce(f"share_{side}", one) / p
-        return (-F.col("n") * (F.log(p) + F.log1p(F.col(f"c{side}") * r))).alias(side)
+    rare = counts.where(~held)
 
     no_id, no_tokens = F.lit(None).cast(docs.schema["doc_id"].dataType).alias("doc_id"), F.lit(0).cast("long").alias("n")
+
+    def losses_of(rows: DataFrame, first: str, second: str) -> DataFrame:
+        """Losses of rows; the counts of a first or second word that the tables lack are in columns with these prefixes."""
+        sums = []
+        for side, of_all in zip(("b", "t"), total, strict=True):
+            unigram = (1 - LAMBDA) * (F.col(f"{second}u{side}") + ALPHA) / F.lit(of_all + ALPHA * slots)
+            history = F.lit(LAMBDA) / F.greatest(F.col(f"{first}h{side}"), F.lit(1))
+            p = F.when(F.col("w").isNotNull(), unigram).otherwise(F.lit(1.0))
+            share = F.when(F.col("v").isNotNull(), history).otherwise(F.lit(1.0))
+            gain = F.log1p(F.col(f"c{side}") * F.col(side) * share / p)
+            sums.append((-F.col("n") * (F.log(p) + gain)).alias(side))
+        return rows.select("rid", no_id, no_tokens, *sums)
+
+    # Most of these rows have one such word, and are shuffled once.
+    one = lacking.where("v IS NULL OR w IS NULL").withColumn("word", F.coalesce("v", "w"))
+    two = lacking.where("v IS NOT NULL AND w IS NOT NULL")
+    lacked = losses_of(_with_counts(one, rare, {"word": ""}), "", "").unionByName(
+        losses_of(_with_counts(two, rare, {"w": "w_", "v": "v_"}), "v_", "w_")
+    )
     losses = (
         _complete(dealt, shared)
-        .unionByName(lacking.select("rid", no_id, no_tokens, loss("b"), loss("t")))
+        .unionByName(lacked)
         .groupBy("rid")
         .agg(F.max("doc_id").alias("doc_id"), F.sum("n").alias("n_tokens"), F.sum("b").alias("b"), F.sum("t").alias("t"))
     )

@@ -146,6 +146,10 @@ def test_chunks_of_few_tokens_and_many_buckets(spark, monkeypatch):
     monkeypatch.setattr(L, "CHUNK", 7)
     monkeypatch.setattr(L, "BUCKET_TOKENS", 1)
     assert losses() == whole
+    # More trusted ids than are sent to tasks.
+    marked = L.marked
+    monkeypatch.setattr(L, "marked", lambda docs, labels, path: marked(docs, labels, path, small=0))
+    assert losses() == whole
 
 
 def test_tables_come_back_whole():
