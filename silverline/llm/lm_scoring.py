@@ -47,7 +47,7 @@ BIGRAMS = 1 << 20
 LAMBDA = 0.7
 ALPHA = 0.1
 CHUNK = 1 << 20
-BLOCK = 1 << 19
+BLOCK = 1 << 18
 SHIFT = 20  # numbers of WORDS words have so many bits
 START = 0  # stands for the word before a text's first
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -226,10 +226,10 @@ class Tables:
 
     def __init__(self, frequent: pd.DataFrame, keys: np.ndarray, bigrams: np.ndarray, total: np.ndarray, slots: int):
         counts = frequent[["ub", "ut", "hb", "ht"]].to_numpy(np.int64)
-        self._set(frequent["h"].to_numpy(np.int64), counts, keys, bigrams, total, slots)
+        self.sent = frequent["h"].to_numpy(np.int64), counts, keys, bigrams, total, slots
+        self._set(*self.sent)
 
     def _set(self, hashes, counts, keys, bigrams, total, slots) -> None:
-        self.sent = hashes, counts, keys, bigrams, total, slots
         self.number = np.argsort(hashes)
         self.words = hashes[self.number]
         # Of a word that the tables lack, both factors are 1 and wait for the join.
@@ -299,7 +299,7 @@ def _emitted(rows: DataFrame, shared, buckets: int) -> DataFrame:
         [("b", pa.float64()), ("t", pa.float64()), ("v", pa.int64()), ("w", pa.int64()), ("doc_id", id_type)]
     )
     names = ["rid", "key", "n", "kind", "more", "packed"]
-    size = CHUNK
+    size = min(CHUNK, BLOCK)  # beside the tables, which are some 80 MB
 
     def batch(rid, key, n, kind, more=None, packed=None) -> pa.RecordBatch:
         if more is None:
