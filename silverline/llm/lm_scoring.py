@@ -53,7 +53,7 @@ START = 0  # stands for the word before a text's first
 MIX = np.uint64(0x9E3779B97F4A7C15)
 UNTRUSTED, TRUSTED, HEAD, PACKED = 0, 1, 2, 3  # kinds of the rows that scoring emits
 TRUSTED_IDS = 1 << 20  # ids that are broadcast, some 32 MB; more are joined by shuffle
-BUCKET_TOKENS = 1 << 21  # tokens of a bucket on average
+BUCKET_TOKENS = 1 << 19  # tokens of a bucket on average
 SPREAD = 0x9E3779B97F4A7C15 & ((1 << 2 * SHIFT) - 1) | 1  # odd, so products with it can be undone
 KEYS = (1 << 2 * SHIFT) - 1
 
