@@ -13,8 +13,11 @@ of each (its prefix). Candidates must do so under every one of ``ORDERS`` orders
 - Equal sets are one class from the start. The classes are joined on the tokens
   of the first order; tokens of a single class drop out in a count. Sizes and token
   positions bound the overlap that a pair can still have.
-- The other orders' prefixes, kept from the pass that made the first's, must overlap too. Only of
-  the classes in pairs that are left one text each is read again, for the whole sets.
+- Each class has a bitmap: per bit, whether an odd number of its tokens falls there. Two bitmaps differ in
+  at most as many bits as the sets differ in tokens, so pairs whose bitmaps differ in more than a link
+  allows are dropped, in the second meeting before they are made.
+- Only of the classes in pairs that are left one text each is read again, for the whole sets and the
+  prefixes under the other orders, which must overlap too.
 
 No group's pairs are all made. First every class meets only the most central
 class of each of its tokens; the links found give components. Then, per token,
@@ -33,6 +36,8 @@ as larger than any other, and a group of only such has a null component. Only ``
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pandas as pd
 import xxhash
@@ -40,59 +45,51 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from silverline.llm.common import read, with_results
+from silverline.llm.common import read, remove_folder, with_results
 from silverline.llm.components import components
 from silverline.session import scratch_path
 
 ORDERS = 3
-RARE = 2.0**-20
 TABLE_BITS = 23
-LEVELS = 255
-CHUNK = 1 << 22  # shingles counted at a time
+PART = 1 << 16  # cells that are summed up together
+COUNTERS = 256
+LEVELS, STEPS = 255, 8  # levels, and how many to a doubling
 FEW = 1 << 18  # longs that are broadcast
+BITS = 9  # a bitmap has 2^BITS bits
 # Odd multipliers of the orders' hashes.
 MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 
 
 def token_levels(docs: DataFrame, words: int) -> bytes:
-    """Level of each shingle by hash: 0 where no task found it frequent, else by the number of sets that have it.
+    """Level of each cell of shingle hashes: a logarithm of how many members of all sets fall there.
 
-    A table of 2^TABLE_BITS bytes, whatever the corpus. The driver gets the shingles that
-    make up more than RARE of all members of sets: at most 1 / RARE.
+    No shingle is in more sets than its cell has members, so those of the lowest levels are rare. Tables have
+    2^TABLE_BITS cells whatever the corpus, at most ``COUNTERS`` tasks make one each, and the driver
+    gets one byte a cell.
     """
 
     def count(frames):
         shingler = Shingler(None, words, 0)
-        held, size = [], 0
-
-        def counted():
-            tokens, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *held]), return_counts=True)
-            often = n > max(1, RARE * size)
-            return pd.DataFrame(
-                {
-                    "h": np.append(tokens[often].view(np.int64), 0),
-                    "c": np.append(n[often], size),
-                    "whole": np.append(np.zeros(often.sum(), bool), True),
-                }
-            )
-
+        cells = np.zeros(1 << TABLE_BITS, np.uint32)
         for pdf in frames:
             for text in pdf["text"]:
-                held.append(shingler.shingles(text))
-                size += len(held[-1])
-                if size >= CHUNK:
-                    yield counted()
-                    held, size = [], 0
-        yield counted()
-
-    rows = docs.select("text").mapInPandas(count, "h long, c long, whole boolean")
-    sums = rows.groupBy("whole", "h").agg(F.sum("c").alias("c")).checkpoint(eager=True)
-    total = max(1, sums.where("whole").agg(F.sum("c")).first()[0] or 1)
-    table = np.zeros(1 << TABLE_BITS, dtype=np.uint8)
-    often = sums.where(~F.col("whole") & (F.col("c") > RARE * total)).toPandas()
-    at = often["h"].to_numpy(np.int64).view(np.uint64) & np.uint64((1 << TABLE_BITS) - 1)
-    level = 1 + 8 * np.log2(often["c"].to_numpy(np.float64) / (RARE * total))
-    np.maximum.at(table, at.astype(np.int64), np.clip(level, 1, LEVELS).astype(np.uint8))
+                np.add.at(cells, shingler.shingles(text) & np.uint64((1 << TABLE_BITS) - 1), 1)
+        for i, part in enumerate(cells.reshape(-1, PART)):
+            if part.any():
+                packed = zlib.compress(part.view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+                yield pd.DataFrame({"part": [i], "cells": [packed]})
+
+    def sums(key, pdf):
+        n = np.zeros(PART, np.int64)
+        for packed in pdf["cells"]:
+            n += np.frombuffer(zlib.decompress(packed), np.uint8).reshape(4, -1).T.copy().view("<u4")[:, 0]
+        level = np.clip(STEPS * np.log2(np.maximum(n, 1)), 0, LEVELS).astype(np.uint8)
+        return pd.DataFrame({"part": [key[0]], "levels": [zlib.compress(level.tobytes(), 1)]})
+
+    counted = docs.select("text").coalesce(COUNTERS).mapInPandas(count, "part int, cells binary")
+    table = np.zeros((1 << TABLE_BITS) // PART * PART, dtype=np.uint8).reshape(-1, PART)
+    for r in counted.groupBy("part").applyInPandas(sums, "part int, levels binary").collect():  # PART cells each
+        table[r["part"]] = np.frombuffer(zlib.decompress(r["levels"]), np.uint8)
     return table.tobytes()
 
 
@@ -117,13 +114,13 @@ class Shingler:
             out ^= out >> np.uint64(29)
         return np.unique(out)
 
-    def prefixes(self, tokens: np.ndarray) -> list[np.ndarray]:
-        """The prefix of the set under each order, in that order."""
+    def prefixes(self, tokens: np.ndarray, orders: int = ORDERS) -> list[np.ndarray]:
+        """The prefix of the set under each of the first ``orders`` orders, in that order."""
         n = len(tokens)
         level = self.levels[tokens & np.uint64((1 << TABLE_BITS) - 1)]
         size = n - -(-self.percent * n // 100) + 1 if n else 0
         out = []
-        for mix in MIX[:ORDERS]:
+        for mix in MIX[:orders]:
             key = (tokens * np.uint64(mix)) >> np.uint64(8)
             key |= level.astype(np.uint64) << np.uint64(56)
             best = np.argpartition(key, size - 1)[:size] if size < n else np.arange(n)
@@ -135,28 +132,33 @@ def set_key(tokens: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(tokens.tobytes()) - (1 << 63)
 
 
+def parities(tokens: np.ndarray) -> np.ndarray:
+    """The bitmap of a set, as longs."""
+    at = ((tokens * np.uint64(MIX[2])) >> np.uint64(64 - BITS)).astype(np.int64)
+    odd = (np.bincount(at, minlength=1 << BITS) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64)
+
+
 def _signed(a: np.ndarray) -> np.ndarray:
     return a.view(np.int64)
 
 
-def sketches(docs: DataFrame, keep: list[str], levels: bytes, words: int, percent: int) -> DataFrame:
-    """``keep`` columns, key, n, and the prefixes under the first and under the other orders, per row."""
-    table = docs.sparkSession.sparkContext.broadcast(levels)
+def sketches(docs: DataFrame, keep: list[str], levels, words: int, percent: int) -> DataFrame:
+    """``keep`` columns, key, n, the prefix under the first order and the bitmap, per row."""
     longs = T.ArrayType(T.LongType())
     fields = [T.StructField("key", T.LongType()), T.StructField("n", T.IntegerType())]
-    fields += [T.StructField("prefix", longs), T.StructField("others", T.ArrayType(longs))]
+    fields += [T.StructField("prefix", longs), T.StructField("bits", longs)]
 
     def setup():
-        shingler = Shingler(table.value, words, percent)
+        shingler = Shingler(levels.value, words, percent)
 
         def step(pdf):
             sets = [shingler.shingles(t) for t in pdf["text"]]
-            orders = [shingler.prefixes(s) for s in sets]
             return {
                 "key": [set_key(s) for s in sets],
                 "n": [len(s) for s in sets],
-                "prefix": [_signed(o[0]) for o in orders],
-                "others": [[_signed(x) for x in o[1:]] for o in orders],
+                "prefix": [_signed(shingler.prefixes(s, 1)[0]) for s in sets],
+                "bits": [parities(s) for s in sets],
             }
 
         return step
@@ -164,16 +166,22 @@ def sketches(docs: DataFrame, keep: list[str], levels: bytes, words: int, percen
     return with_results(docs.select(*keep, "text"), keep, "text", fields, setup)
 
 
-def whole_sets(docs: DataFrame, words: int) -> DataFrame:
-    """key and tokens of every text."""
-    fields = [T.StructField("key", T.LongType()), T.StructField("tokens", T.ArrayType(T.LongType()))]
+def whole_sets(docs: DataFrame, levels, words: int, percent: int) -> DataFrame:
+    """key, tokens and the prefixes under the orders after the first, of every text."""
+    longs = T.ArrayType(T.LongType())
+    fields = [T.StructField("key", T.LongType()), T.StructField("tokens", longs)]
+    fields += [T.StructField("others", T.ArrayType(longs))]
 
     def setup():
-        shingler = Shingler(None, words, 0)
+        shingler = Shingler(levels.value, words, percent)
 
         def step(pdf):
             sets = [shingler.shingles(t) for t in pdf["text"]]
-            return {"key": [set_key(s) for s in sets], "tokens": [_signed(s) for s in sets]}
+            return {
+                "key": [set_key(s) for s in sets],
+                "tokens": [_signed(s) for s in sets],
+                "others": [[_signed(x) for x in shingler.prefixes(s)[1:]] for s in sets],
+            }
 
         return step
 
@@ -190,6 +198,12 @@ def _overlap_allows(n: Column, i: Column, m: Column, j: Column, percent: int) ->
     return ((100 + percent) * (n - i) >= need) & ((100 + percent) * (m - j) >= need)
 
 
+def _bitmaps_allow(x: Column, y: Column, n: Column, m: Column, percent: int) -> Column:
+    """Whether sets of n and m tokens with these bitmaps may link: they then differ in few enough tokens."""
+    differ = sum((F.bit_count(F.get(x, F.lit(k)).bitwiseXOR(F.get(y, F.lit(k)))) for k in range((1 << BITS) // 64)), F.lit(0))
+    return (100 + percent) * differ <= (100 - percent) * (n + m)
+
+
 def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
 
@@ -200,59 +214,64 @@ def _only(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
     return rows.join(F.broadcast(wanted) if small else wanted, key, "left_semi")
 
 
-def _in_all_orders(pairs: DataFrame, rows: DataFrame, ends: DataFrame) -> DataFrame:
-    """The pairs whose prefixes overlap under every other order too."""
-    kept = _only(rows.select("key", "others"), ends, "key")
-    kept = kept.groupBy("key").agg(F.first("others").alias("others"))  # copies are one before the shuffle
+def _close(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes whose bitmaps allow a link."""
 
     def side(name: str) -> DataFrame:
-        return kept.select(F.col("key").alias(name), F.col("others").alias(f"o_{name}"))
+        return classes.select(F.col("key").alias(name), F.col("n").alias(f"n_{name}"), F.col("bits").alias(f"bits_{name}"))
 
     both = pairs.join(side("a"), "a").join(side("b"), "b")
-    for k in range(ORDERS - 1):
-        both = both.where(F.arrays_overlap(F.get("o_a", F.lit(k)), F.get("o_b", F.lit(k))))
-    return both.select("a", "b")
+    return both.where(_bitmaps_allow(F.col("bits_a"), F.col("bits_b"), F.col("n_a"), F.col("n_b"), percent)).select("a", "b")
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, marks: DataFrame, words: int, percent: int):
-    """The pairs (a, b) of classes that link, by their whole sets.
+def _verified(docs: DataFrame, pairs: DataFrame, marks: DataFrame, levels, words: int, percent: int):
+    """The pairs (a, b) of classes that link: prefixes overlap under every order, and whole sets decide.
 
     ``docs`` has the column ``mark``; the rows with one of ``marks`` are read, equal rows as one.
     """
     texts = _only(docs, marks, "mark").groupBy("mark").agg(F.first("text").alias("text"))
-    sets = whole_sets(texts, words)
+    sets = whole_sets(texts, levels, words, percent)
 
     def side(name: str) -> DataFrame:
-        return sets.select(F.col("key").alias(name), F.col("tokens").alias(f"t_{name}"))
+        return sets.select(F.col("key").alias(name), F.col("tokens").alias(f"t_{name}"), F.col("others").alias(f"o_{name}"))
 
     both = pairs.join(side("a"), "a").join(side("b"), "b")
+    for k in range(ORDERS - 1):
+        both = both.where(F.arrays_overlap(F.get("o_a", F.lit(k)), F.get("o_b", F.lit(k))))
     shared = F.size(F.array_intersect("t_a", "t_b"))
     union = F.size("t_a") + F.size("t_b") - shared
     return both.where(100 * shared >= percent * union).select("a", "b").distinct()
 
 
-def join(docs: DataFrame, words: int = 3, percent: int = 90, mark: str | None = None) -> DataFrame:
+def join(
+    docs: DataFrame, words: int = 3, percent: int = 90, mark: str | None = None, folder: str | None = None
+) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id, class ``key``, the component's
-    least key ``root`` and, if there is one, the column ``mark``, equal on equal rows only."""
+    least key ``root`` and, if there is one, the column ``mark``, equal on equal rows only.
+
+    What the rows are read from lies in ``folder``."""
     spark = docs.sparkSession
-    folder = scratch_path(spark, "jaccard")
+    folder = folder or scratch_path(spark, "jaccard")
 
     def stored(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(f"{folder}/{name}")
         return spark.read.parquet(f"{folder}/{name}")
 
-    def linked(pairs: DataFrame, name: str) -> DataFrame:
-        close = stored(_in_all_orders(pairs, rows, stored(_ends(pairs), f"ends-{name}")), f"close-{name}")
+    def done(*names: str) -> None:
+        for name in names:
+            remove_folder(spark, f"{folder}/{name}")
+
+    def linked(close: DataFrame, name: str) -> DataFrame:
         marks = classes.join(_ends(close), "key").select(F.col("rep").alias("mark")).distinct()
-        return _verified(docs, close, stored(marks, f"marks-{name}"), words, percent)
+        return _verified(docs, close, stored(marks, f"marks-{name}"), levels, words, percent)
 
     own = F.col(f"`{mark}`") if mark else F.xxhash64("doc_id", F.col("doc_id").isNull(), "text")
     docs = docs.select("doc_id", "text", own.alias("mark"))
-    levels = token_levels(docs, words)
+    levels = spark.sparkContext.broadcast(token_levels(docs, words))
     rows = stored(sketches(docs, ["doc_id", "mark"], levels, words, percent), "rows")
     classes = stored(
         rows.where("n > 0").groupBy("key").agg(
-            F.min("doc_id").alias("least_id"), F.min("mark").alias("rep"), F.first("n").alias("n")
+            F.min("doc_id").alias("least_id"), F.min("mark").alias("rep"), F.first("n").alias("n"), F.first("bits").alias("bits")
         ),
         "classes",
     )
@@ -290,7 +309,7 @@ def join(docs: DataFrame, words: int = 3, percent: int = 90, mark: str | None =
         & _overlap_allows(F.col("n"), F.col("pos"), F.col("hub_n"), F.col("hub_pos"), percent)
     )
     first = near.select(F.least("key", "hub_key").alias("a"), F.greatest("key", "hub_key").alias("b")).distinct()
-    first = stored(first, "pairs-1")
+    first = stored(_close(first, classes, percent), "pairs-1")
     links = stored(linked(first, "1"), "links-1")
     roots = components(links)
 
@@ -300,20 +319,29 @@ def join(docs: DataFrame, words: int = 3, percent: int = 90, mark: str | None =
         ),
         "placed",
     )
+    done("hits")
     hubs = central.join(roots, F.col("hub_key") == F.col("node"), "left").select(
         "token", F.coalesce("root", "hub_key").alias("hub_root")
     )
-    outside = placed.join(hubs, "token").where("root <> hub_root").select(
-        "token", "hub_root", *[F.col(c).alias(f"x_{c}") for c in ("key", "n", "pos", "root")]
+    outside = placed.join(hubs, "token").where("root <> hub_root").select("token", "hub_root", "key", "n", "pos", "root")
+    outside = stored(outside, "outside")
+    done("central")
+    bitmaps = classes.select("key", "bits")
+    open_ = outside.select("token").distinct()
+    members = placed.join(open_, "token", "left_semi").join(bitmaps, "key")
+    others = outside.join(bitmaps, "key").select(
+        "token", "hub_root", *[F.col(c).alias(f"x_{c}") for c in ("key", "n", "pos", "root", "bits")]
     )
-    met = placed.join(outside, "token").where(
+    met = members.join(others, "token").where(
         (F.col("root") != F.col("x_root"))
         & ((F.col("key") < F.col("x_key")) | (F.col("root") == F.col("hub_root")))
         & _sizes_allow(F.col("n"), F.col("x_n"), percent)
         & _overlap_allows(F.col("n"), F.col("pos"), F.col("x_n"), F.col("x_pos"), percent)
+        & _bitmaps_allow(F.col("bits"), F.col("x_bits"), F.col("n"), F.col("x_n"), percent)
     )
     second = met.select(F.least("key", "x_key").alias("a"), F.greatest("key", "x_key").alias("b")).distinct()
     second = stored(second.join(first, ["a", "b"], "left_anti"), "pairs-2")
+    done("placed", "outside")
     if not second.isEmpty():
         links = stored(links.unionByName(linked(second, "2")), "links")
         roots = components(links)
@@ -350,8 +378,10 @@ def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     columns = [F.col(f"`{c}`") for c in docs.columns]
     marked = docs.withColumn(mark, F.xxhash64(*columns, *[c.isNull() for c in columns]))
     path = scratch_path(docs.sparkSession, "keep")
-    linked = join(marked, words, percent, mark).where("n_shingles > 0")
+    folder = scratch_path(docs.sparkSession, "jaccard")
+    linked = join(marked, words, percent, mark, folder).where("n_shingles > 0")
     linked.groupBy("root", "doc_id", mark).agg(F.count(F.lit(1)).alias("copies")).write.parquet(path)
+    remove_folder(docs.sparkSession, folder)
     kinds = docs.sparkSession.read.parquet(path)
     best = kinds.groupBy("root").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", mark)).alias("best")

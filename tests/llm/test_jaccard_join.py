@@ -1,6 +1,7 @@
 from collections import defaultdict
 from itertools import combinations
 
+import numpy as np
 import pytest
 
 from silverline.llm import jaccard_join as J
@@ -58,6 +59,43 @@ def test_components_equal_brute_force(spark, k, percent):
     assert sorted(map(tuple, got), key=str) == brute(rows, k, percent)
 
 
+def test_texts_of_common_passages_do_not_meet(spark, monkeypatch):
+    """Every passage is in many texts, so most tokens are shared, but no two texts link but the copies."""
+    import random
+
+    rng = random.Random(3)
+    passages = [" ".join(f"p{i}w{j}" for j in range(60)) for i in range(30)]
+    texts = [" ".join(rng.sample(passages, 4)) for _ in range(60)]
+    rows = [(i, t, None, None, None) for i, t in enumerate([*texts, texts[0] + " end", texts[1]])]
+    folder = J.scratch_path(spark, "passages")
+    monkeypatch.setattr(J, "scratch_path", lambda *_: folder)
+    got = J.join(documents(spark, rows)).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, got), key=str) == brute(rows, 3, 90)
+    met = [spark.read.parquet(f"{folder}/pairs-{n}").count() for n in (1, 2)]
+    assert 1 <= sum(met) < len(rows) / 2
+
+
+def test_bitmaps_never_differ_in_more_than_the_sets():
+    import random
+
+    rng = random.Random(4)
+    for _ in range(200):
+        both = [rng.getrandbits(64) for _ in range(rng.randint(0, 300))]
+        sets = [np.unique(np.array([*both, *(rng.getrandbits(64) for _ in range(rng.randint(0, 60)))], np.uint64)) for _ in "ab"]
+        x, y = (J.parities(s) for s in sets)
+        assert sum(int(v).bit_count() for v in (x ^ y).view(np.uint64)) <= len(np.setxor1d(*sets))
+
+
+def test_rare_cells_come_before_cells_of_many_sets(spark):
+    rows = [(i, f"all share this passage {i} a{i} b{i} c{i} d{i}", None, None, None) for i in range(300)]
+    levels = np.frombuffer(J.token_levels(documents(spark, rows), 3), np.uint8)
+    shingler = J.Shingler(levels.tobytes(), 3, 90)
+    common = shingler.shingles("all share this passage") & np.uint64((1 << J.TABLE_BITS) - 1)
+    assert (levels[common] >= int(J.STEPS * np.log2(300))).all()
+    first = shingler.prefixes(shingler.shingles(rows[0][1]))
+    assert not any(np.isin(p & np.uint64((1 << J.TABLE_BITS) - 1), common).any() for p in first)
+
+
 def test_one_of_each_group_stays(spark):
     docs = documents(spark)
     kept = J.keep_one(docs)
