@@ -37,12 +37,14 @@ further columns are not read.
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import unicodedata
 import zlib
 from bisect import bisect_left, insort
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -58,7 +60,7 @@ from silverline.session import scratch_path
 
 CAPACITY = 4096
 END = 1
-REMEMBERED = 1 << 18  # chunks that a worker remembers before it starts anew
+REMEMBERED = 1 << 19  # chunks that a worker remembers before it starts anew
 REMEMBERED_PARTS = 1 << 19  # and parts of them
 TOGETHER = 500  # words encoded at a time
 RUNS = re.compile("[a-z]+|[^a-z]+")
@@ -104,13 +106,16 @@ class Chunks:
 
     def _clear(self) -> None:
         self.known: dict[str, int] = {}
-        self.pool, self.starts, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        # Slot 0 is the end id.
+        self.pool, self.starts, self.sizes = np.array([END], np.uint32), np.zeros(1, np.int64), np.ones(1, np.int64)
 
     def _parts(self, chunk: str) -> list[str]:
         """The chunk in pieces that the tokenizer never joins."""
         if not self.cut or "'" in chunk or "<" in chunk:
             return [chunk]
         if chunk.isascii():
+            if chunk.isalpha():
+                return [chunk.lower()]
             return RUNS.findall(chunk.lower())
         word = chunk.rstrip(".,;:!?")
         # A letter whose folded form ends in a mark would go with the sign.
@@ -144,32 +149,38 @@ class Chunks:
             self.parts = {}
         slots = list(map(self.known.get, chunks))
         new = [c for c, slot in zip(chunks, slots, strict=True) if slot is None]
-        cut = [self._parts(c) for c in new]
-        self._learn_parts({p for parts in cut for p in parts if p not in self.parts})
-        ids = [b"".join([self.parts[p] for p in parts]) for parts in cut]
-        sizes = np.array([len(i) // 4 for i in ids], np.int64)
+        cut = list(map(self._parts, new))
+        self._learn_parts(set(chain.from_iterable(cut)).difference(self.parts))
+        known = self.parts
+        ids = [known[parts[0]] if len(parts) == 1 else b"".join([known[p] for p in parts]) for parts in cut]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         starts = len(self.pool) + np.cumsum(sizes) - sizes
         self.pool = np.concatenate([self.pool, np.frombuffer(b"".join(ids), "<u4")])
         self.starts, self.sizes = np.concatenate([self.starts, starts]), np.concatenate([self.sizes, sizes])
-        following = iter(range(len(self.known), len(self.known) + len(new)))
-        slots = [next(following) if slot is None else slot for slot in slots]
-        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
-        return np.array(slots, np.int64)
+        following = range(len(self.known) + 1, len(self.known) + len(new) + 1)
+        self.known.update(zip(new, following, strict=True))
+        out = np.fromiter((slot or 0 for slot in slots), np.int64, len(slots))
+        out[out == 0] = following
+        return out
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of all texts, the end id after each, and the length of each."""
         lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         coded = lists.flatten().dictionary_encode()
-        slot = self._learn(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+        collects = gc.isenabled()
+        gc.disable()  # learning makes no cycles, and each collection would walk the parts of all new chunks
+        try:
+            slot = self._learn(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+        finally:
+            if collects:
+                gc.enable()
+        ends = np.cumsum(pc.list_value_length(lists).to_numpy())
+        slot = np.insert(slot, ends, 0)
         sizes = self.sizes[slot]
-        before = np.cumsum(sizes) - sizes
-        total = int(sizes.sum())
-        flat = self.pool[np.repeat(self.starts[slot] - before, sizes) + np.arange(total)]
-        ends = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())])
-        lengths = np.diff(np.concatenate([[0], np.cumsum(sizes)])[ends]) + 1
-        out = np.full(total + len(lengths), END, np.uint32)
-        out[np.arange(total) + np.repeat(np.arange(len(lengths)), lengths - 1)] = flat
-        return out, lengths
+        after = np.cumsum(sizes)
+        steps = (self.starts[slot] - after + sizes).astype(np.int32)
+        out = self.pool[np.repeat(steps, sizes) + np.arange(int(sizes.sum()), dtype=np.int32)]
+        return out, np.diff(after[ends + np.arange(len(ends))], prepend=0)
 
 
 @lru_cache(1)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import random
 import zlib
 from collections import defaultdict
@@ -47,6 +48,23 @@ def test_forgetting_chunks_changes_nothing(whole, monkeypatch):
         assert chunks.encode(pa.array([t]))[0].tolist() == whole(t)
 
 
+def test_new_chunks_are_learnt_without_collections(whole):
+    chunks, begun = packing.Chunks(PATH), []
+    texts = [" ".join(f"word{i}.x{j}" for j in range(100)) for i in range(300)]
+
+    def note(phase, _):
+        begun.append(phase)
+
+    gc.collect()
+    gc.callbacks.append(note)
+    try:
+        ids, lengths = chunks.encode(pa.array(texts))
+    finally:
+        gc.callbacks.remove(note)
+    assert len(begun) <= 2 and gc.isenabled()
+    assert ids[-lengths[-1] :].tolist() == whole(texts[-1])
+
+
 def check(rows, docs, whole, capacity):
     """Every token once and in order, sequences without gaps and within the capacity."""
     per_doc, bins = defaultdict(list), defaultdict(list)
