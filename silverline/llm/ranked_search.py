@@ -211,13 +211,13 @@ class Block:
         distinct, at = np.unique(tf.astype(np.int64), return_inverse=True)
         self.impact = ((SCALE * distinct) // (TF_WEIGHT * distinct + M_WEIGHT * m))[at]  # once per tf
         self.columns, self.column = np.unique(term, return_inverse=True)
-        self.table = table[self.columns]
+        self.table = table  # the task's: its blocks are held together, so none copies its part
         last = np.flatnonzero(np.concatenate([term[1:] != term[:-1], [True]]))  # the greatest tf of each term
-        self.bounds = self.impact[last].astype(table.dtype) @ self.table
+        self.bounds = self.impact[last].astype(table.dtype) @ table[self.columns]
 
     def scores(self, items: np.ndarray) -> np.ndarray:
         """Documents by ``items``."""
-        table = self.table[:, items]
+        table = self.table[np.ix_(self.columns, items)]
         out = np.empty((len(self.doc_ids), len(items)), table.dtype)
         step = max(1, CELLS // max(1, len(self.columns)))
         column, impact = np.repeat(self.column, self.size), np.repeat(self.impact, self.size)

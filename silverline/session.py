@@ -13,11 +13,16 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Rows sent to Python at a time. A batch of whole texts is held by the task's JVM thread and by
+# its worker, beside the operators' own tables; Spark's 10,000 rows are tens of MB in each.
+ARROW_ROWS = "1000"
+
 # Settings the library expects. ANSI stays on: every cast that may see bad text
 # is a try_* form, so a bad value gives NULL for that row instead of failing
 # the job.
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": ARROW_ROWS,
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -53,8 +58,9 @@ def build_session(
 
 
 def apply_defaults(spark: SparkSession) -> None:
-    """Pin the time zone on a session we did not build (e.g. the driver's)."""
+    """Pin the time zone and the batches to Python on a session we did not build (e.g. the driver's)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
 
 
 def checkpoint_root(spark: SparkSession) -> str:

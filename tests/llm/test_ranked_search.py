@@ -143,3 +143,16 @@ def test_blocks_below_the_floor_are_skipped(spark):
         skipped += len(asked) - len(alive)
         spy(best, block, ranked_search.np.array(alive, int))
     assert all(seen) and skipped > 0
+
+
+def test_blocks_of_a_task_share_one_table(spark):
+    docs, _ = tables(spark, ROWS, asked_of(ROWS, 3))
+    vocabulary = {w: i for i, w in enumerate({w.encode() for r in ROWS for w in terms(r[1])})}
+    query = ranked_search.Query([0], [(0, i, 1) for i in vocabulary.values()], vocabulary, None, len(ROWS), 5000)
+    query.weights = [7] * len(vocabulary)
+    counted = ranked_search.count_terms(docs, vocabulary).selectExpr("*", "monotonically_increasing_id() AS rid")
+    table = query.table()
+    for batch in ranked_search.stratum_blocks(counted, query).toArrow().to_batches():
+        for row in range(len(batch)):
+            held = vars(ranked_search.Block(batch, row, table))
+            assert not any(isinstance(v, ranked_search.np.ndarray) and v.ndim > 1 for v in held.values() if v is not table)
