@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from silverline.llm.common import read
+from silverline.llm.common import read, slices
 from silverline.session import checkpoint_root
 
 VOCABULARY = 1 << 14
@@ -234,10 +234,13 @@ class Tables:
         self.words = hashes[self.number]
         # Of a word that the tables lack, both factors are 1 and wait for the join.
         self.p1 = np.concatenate([(1 - LAMBDA) * (counts[:, :2] + ALPHA) / (total + ALPHA * slots), [[1, 1]]])
-        self.loss1 = -np.log(self.p1)
         self.share = np.concatenate([LAMBDA / np.maximum(counts[:, 2:], 1), [[1, 1]]])
         self.keys, self.bigrams = keys, bigrams
 
+    @property
+    def loss1(self) -> np.ndarray:
+        return -np.log(self.p1)
+
     def __getstate__(self):
         hashes, counts, keys, bigrams, total, slots = self.sent
         return hashes, planes(counts), planes(np.diff(keys, prepend=0)), planes(bigrams), total, slots
@@ -300,6 +303,7 @@ def _emitted(rows: DataFrame, shared, buckets: int) -> DataFrame:
     )
     names = ["rid", "key", "n", "kind", "more", "packed"]
     size = min(CHUNK, BLOCK)  # beside the tables, which are some 80 MB
+    text = rows.columns.index("text")
 
     def batch(rid, key, n, kind, more=None, packed=None) -> pa.RecordBatch:
         if more is None:
@@ -315,7 +319,7 @@ def _emitted(rows: DataFrame, shared, buckets: int) -> DataFrame:
         held = shared.value
         lacks = len(held.words)
         start = held.word(np.array([START]))[0]
-        frames = (x.to_pandas(integer_object_nulls=True) for x in batches)
+        frames = (x.to_pandas(integer_object_nulls=True) for x in slices(batches, text))
         for docs, place, first, second, trusted in _blocks(frames, size):
             rid = np.array([r["rid"] for r in docs], dtype=np.int64)
             w = held.word(second)
@@ -327,7 +331,7 @@ def _emitted(rows: DataFrame, shared, buckets: int) -> DataFrame:
             known = (v < lacks) & (w < lacks)
             here = hit[code] & known
             # A word not held adds -log(1) here, and its loss where its counts are joined.
-            losses = held.loss1[w]
+            losses = -np.log(held.p1[w])
             found = here.nonzero()[0]
             if len(found):
                 r = held.share[v[found]] / held.p1[w[found]]

@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from silverline.llm import license_scan as C
@@ -207,3 +208,24 @@ def test_own_catalogue_is_searched_in_every_text(spark):
     (row,) = C.scan(docs, own, [("own", "Own-1", False, ["share"])]).collect()
     assert (row["doc_id"], row["licence"]) == (1, "Own-1")
     assert C.scan(docs, own, [("own", "Own-1", False, ["share"])], hint="nowhere").count() == 0
+
+
+def test_queries_send_texts_to_python_in_small_batches(spark):
+    from silverline.session import apply_defaults
+
+    session = spark.newSession()
+    session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    apply_defaults(session)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([len(batch)], pa.int64())})
+
+    got = session.range(0, 5000, 1, 1).mapInArrow(sizes, "n long").collect()
+    assert max(r["n"] for r in got) <= 1000 and sum(r["n"] for r in got) == 5000
+
+
+def test_word_tables_hold_no_losses_beside_the_probabilities():
+    frame = pd.DataFrame({c: np.arange(1, 9) for c in ("h", "ub", "ut", "hb", "ht")})
+    held = L.Tables(frame, np.zeros(0, np.int64), np.zeros((0, 2), np.int64), np.array([36.0, 36.0]), 10)
+    assert "loss1" not in vars(held) and (held.loss1 == -np.log(held.p1)).all()
