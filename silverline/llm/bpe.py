@@ -7,7 +7,7 @@ Active ranks are taken in ascending order from a heap: all occurrences of that
 pair are merged from left to right, and each merge adds the pairs it makes to
 their lists, while positions it destroys are told by their symbols. The heap is
 empty when no pair has a rank. Encoded words, and the runs between spaces that they
-form, are kept in bounded caches for the rest of the partition.
+form, are kept in one bounded cache, which a worker keeps for its later partitions.
 
 Encoding equals that of the vocabulary's library with no special tokens added;
 a special token's own string in a text gives its id. Decoding joins the tokens'
@@ -22,19 +22,21 @@ of nothing. Repeated rows are encoded alike. Only the columns named are read.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import heapq
 import json
 import struct
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from silverline.llm.common import read, with_results
 
-CACHE_WORDS = 500_000
+CACHE_WORDS = 1_000_000
 BATCH_CHARS = 1 << 22
 # Fixed value: the pre-tokenizer's pattern. \s is written out, as the library's
 # engine does not count the separators U+001C to U+001F as white space.
@@ -80,15 +82,22 @@ class Vocabulary:
             self.left.append(vocab[a])
             self.right.append(vocab[b])
             self.made.append(vocab[a + b])
+        # Ranks of pairs of bytes, -1 for none, and the bytes' ids. The byte 0xFF, which UTF-8 never
+        # holds, is the end of a word.
+        self.byte_rank = np.full((256, 256), -1, dtype=np.int32)
+        byte_of = {i: b for b, i in enumerate(self.byte_ids) if b != 0xFF}
+        for rank, (a, b) in enumerate(zip(self.left, self.right, strict=True)):
+            if a in byte_of and b in byte_of and self.rank[a << 20 | b] == rank:
+                self.byte_rank[byte_of[a], byte_of[b]] = rank
+        self.byte_symbol = np.array([*self.byte_ids[:0xFF], -2], dtype=np.int32)
 
 
 class Encoder:
-    """Encodes and decodes with one vocabulary; keeps bounded caches of words and runs."""
+    """Encodes and decodes with one vocabulary; keeps a bounded cache of words and runs."""
 
     def __init__(self, vocabulary: Vocabulary, cache_words: int = CACHE_WORDS):
         self.v, self.cache_words = vocabulary, cache_words
-        self.cache: dict[str, bytes] = {}
-        self.runs: dict[str, bytes] = {}
+        self.cache: dict[str, bytes] = {}  # a run that is a word has that word's ids
         self.words = regex.compile(PATTERN).findall
         self.space_before = regex.compile(f"[{SPACE}] ").search
         names = sorted(vocabulary.special, key=len, reverse=True)
@@ -119,21 +128,24 @@ class Encoder:
     def learn(self, words: Iterable[str]) -> None:
         """Encode the words and put them into the cache."""
         words = list(words)
-        byte_ids, rank_of, at = self.v.byte_ids, self.v.rank.get, self.positions
-        symbol: list[int] = []  # -1: merged into its left neighbour; -2: end of a word
-        for w in words:
-            symbol += [byte_ids[b] for b in w.encode("utf-8", "replace")]
-            symbol.append(-2)
+        if not words:
+            return
+        rank_of, at = self.v.rank.get, self.positions
+        data = np.frombuffer(b"\xff".join([w.encode("utf-8", "replace") for w in words]) + b"\xff", dtype=np.uint8)
+        # -1: merged into its left neighbour; -2: end of a word
+        symbol: list[int] = self.v.byte_symbol[data].tolist()
         n = len(symbol)
         right, left = list(range(1, n + 1)), list(range(-1, n - 1))
-        active: list[int] = []
-        push, pop = heapq.heappush, heapq.heappop
-        for i, (a, b) in enumerate(zip(symbol, symbol[1:], strict=False)):
-            if (r := rank_of(a << 20 | b)) is not None and b >= 0:
-                if not at[r]:
-                    active.append(r)
-                at[r].append(i)
-        heapq.heapify(active)
+        ranks = self.v.byte_rank[data[:-1], data[1:]]
+        places = np.flatnonzero(ranks >= 0)
+        ranks = ranks[places]
+        order = np.argsort(ranks, kind="stable")
+        places = places[order].tolist()
+        found, starts = np.unique(ranks[order], return_index=True)
+        active, starts = found.tolist(), [*starts.tolist(), len(places)]
+        for r, start, end in zip(active, starts, starts[1:], strict=False):
+            at[r] = places[start:end]
+        push, pop = heapq.heappush, heapq.heappop  # ranks in order are a heap already
         while active:
             rank = pop(active)
             a, b, new = self.v.left[rank], self.v.right[rank], self.v.made[rank]
@@ -156,34 +168,42 @@ class Encoder:
                     if not at[r]:
                         push(active, r)
                     at[r].append(h)
-        ids: list[int] = []
-        rest = iter(words)
-        for s in symbol:
-            if s >= 0:
-                ids.append(s)
-            elif s == -2:
-                self.cache[next(rest)] = struct.pack(f"<{len(ids)}I", *ids)
-                ids.clear()
+        left_over = np.array(symbol, dtype=np.int32)
+        left_over = left_over[left_over != -1]
+        ends = np.flatnonzero(left_over == -2)
+        ids = left_over.astype("<u4").tobytes()
+        cache, start = self.cache, 0
+        for w, end in zip(words, (4 * ends).tolist(), strict=True):
+            cache[w] = ids[start:end]
+            start = end + 4
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        if len(self.runs) > self.cache_words:
-            self.runs.clear()
-        if len(self.cache) > self.cache_words:
-            self.cache.clear()
-        runs, cache = self.runs, self.cache
-        pieces = [self.pieces(t) for t in texts]
-        fresh = {p: self.words(p) for p in {p for ps in pieces for p in ps if p not in runs}}
-        for name, i in self.v.special.items():
-            if name in fresh:
-                runs[name] = struct.pack("<I", i)
-                del fresh[name]
-        self.learn({w for words in fresh.values() for w in words if w not in cache})
-        word = cache.__getitem__
-        for p, words in fresh.items():
-            runs[p] = b"".join(map(word, words))
-        run = runs.__getitem__
-        return [b"".join(map(run, ps)) for ps in pieces]
+        cache = self.cache
+        if len(cache) > self.cache_words:
+            cache.clear()
+        collects = gc.isenabled()
+        gc.disable()  # this makes no cycles, and each collection would walk the lists of all pieces and places
+        try:
+            pieces = [self.pieces(t) for t in texts]
+            fresh = set().union(*pieces).difference(cache)
+            for name, i in self.v.special.items():
+                if name in fresh:
+                    cache[name] = struct.pack("<I", i)
+                    fresh.remove(name)
+            # ASCII letters, with one space before them or without, are one word.
+            mixed = {p: self.words(p) for p in fresh if not (p.isascii() and p.removeprefix(" ").isalpha())}
+            new = fresh.difference(mixed)
+            new.update(*mixed.values())
+            self.learn(new.difference(cache))
+            known = cache.__getitem__
+            for p, words in mixed.items():
+                if len(words) > 1:
+                    cache[p] = b"".join(map(known, words))
+            return [b"".join(map(known, ps)) for ps in pieces]
+        finally:
+            if collects:
+                gc.enable()
 
     def decode(self, ids: bytes) -> str:
         token = self.v.token_bytes.__getitem__

@@ -53,3 +53,15 @@ def test_query_rows(spark, library):
     whole = bpe.encode(documents(spark, rows), bpe.default_vocabulary(), ["doc_id"]).collect()
     assert all(len(r["ids"]) in {w[1] for w in want if w[0] == r["doc_id"]} for r in whole)
     assert bpe.digests(documents(spark, []), bpe.default_vocabulary(), ["doc_id"]).count() == 0
+
+
+def test_runs_of_ascii_letters_are_words_without_the_pattern(library):
+    encoder = bpe.Encoder(bpe.Vocabulary(bpe.default_vocabulary()))
+    split, seen = encoder.words, []
+    encoder.words = lambda run: (seen.append(run), split(run))[1]
+    text = "One two two, thr\u00e9e four\nfive 6x it's"
+    for again in range(2):
+        (ids,) = encoder.encode([text])
+        assert list(struct.unpack(f"<{len(ids) // 4}I", ids)) == library.encode(text, add_special_tokens=False).ids
+    assert not {"One", " two"} & set(seen) and len(seen) == len(set(seen))
+    assert {"One", " two", " two,", ","} <= set(encoder.cache)
