@@ -54,30 +54,29 @@ MIX = np.uint64(0x9E3779B97F4A7C15)
 UNTRUSTED, TRUSTED, HEAD, PACKED = 0, 1, 2, 3  # kinds of the rows that scoring emits
 TRUSTED_IDS = 1 << 20  # ids that are broadcast, some 32 MB; more are joined by shuffle
 BUCKET_TOKENS = 1 << 19  # tokens of a bucket on average
+BUCKETS = 1 << 9  # at least; with fewer, packed rows are larger, and the rows of a document's losses rise with the corpus
 SPREAD = 0x9E3779B97F4A7C15 & ((1 << 2 * SHIFT) - 1) | 1  # odd, so products with it can be undone
 KEYS = (1 << 2 * SHIFT) - 1
 
 
-def words(text) -> list[bytes]:
-    return text.encode("utf-8", "replace").split() if isinstance(text, str) else []
-
-
 def word_hash(w: bytes) -> int:
     return xxhash.xxh3_64_intdigest(w) - (1 << 63)
 
 
-class Hashes(dict):
-    """Hash of each word, remembered up to a bound."""
-
-    def __missing__(self, w: bytes) -> int:
-        if len(self) > 300_000:
-            self.clear()
-        h = self[w] = word_hash(w)
-        return h
-
-    def of(self, text) -> np.ndarray:
-        ws = words(text)
-        return np.fromiter(map(self.__getitem__, ws), dtype=np.int64, count=len(ws))
+def word_hashes(texts) -> list[np.ndarray]:
+    """The hashes of each text's words; each distinct word of the texts is hashed once."""
+    array = pa.array([t if isinstance(t, str) else "" for t in texts], pa.large_string())
+    lists = pc.ascii_split_whitespace(array)
+    coded = lists.flatten().dictionary_encode()
+    distinct = coded.dictionary.to_pylist()
+    hashes = np.fromiter((word_hash(w.encode()) for w in distinct), dtype=np.int64, count=len(distinct))
+    code = coded.indices.to_numpy()
+    ends = np.cumsum(pc.list_value_length(lists).to_numpy())
+    if "" in distinct:  # what stands before white space at a text's start, and after it at its end
+        is_word = code != distinct.index("")
+        ends = np.concatenate([[0], np.cumsum(is_word)])[ends]
+        code = code[is_word]
+    return np.split(hashes[code], ends[:-1])
 
 
 def before(ids: np.ndarray) -> np.ndarray:
@@ -92,7 +91,6 @@ def bigram_keys(first: np.ndarray, second: np.ndarray) -> np.ndarray:
 
 def _blocks(frames, size: int):
     """Runs of rows as (rows, documents' numbers, first words, second words, trusted by token)."""
-    hashes = Hashes()
     held, tokens = [], 0
 
     def out():
@@ -104,8 +102,7 @@ def _blocks(frames, size: int):
         return [r for r, _ in held], place, first, np.concatenate(ids), trusted
 
     for pdf in frames:
-        for r in pdf.to_dict("records"):
-            ids = hashes.of(r.pop("text"))
+        for r, ids in zip(pdf.drop(columns="text").to_dict("records"), word_hashes(pdf["text"]), strict=True):
             held.append((r, ids))
             tokens += len(ids)
             if tokens > size or len(held) >= size:
@@ -275,6 +272,10 @@ def unpack(packed: bytes) -> np.ndarray:
     return np.stack([np.cumsum(out[0]), out[1], out[2]])
 
 
+def bucket_count(tokens: float) -> int:
+    return 1 << min(2 * SHIFT, max(BUCKETS.bit_length() - 1, math.ceil(math.log2(max(1.0, tokens / BUCKET_TOKENS)))))
+
+
 def _packed(keys: np.ndarray, place: np.ndarray, rid: np.ndarray, trusted: np.ndarray, buckets: int):
     """(bucket, entries, packed) of a chunk's bigrams; a count's lowest bit tells whether its document is trusted."""
     spread = (keys.astype(np.uint64) * np.uint64(SPREAD) & np.uint64(KEYS)).astype(np.int64)
@@ -312,7 +313,7 @@ def _emitted(rows: DataFrame, shared, buckets: int) -> DataFrame:
             more = [x if isinstance(x, pa.Array) else pa.array(x, f.type) for x, f in zip(more, more_type, strict=True)]
             more = pa.StructArray.from_arrays(more, fields=list(more_type))
         packed = pa.nulls(len(rid), pa.binary()) if packed is None else pa.array(packed, pa.binary())
-        arrays = [pa.array(rid), pa.array(key), pa.array(n, pa.int64()), pa.array(kind, pa.int32()), more, packed]
+        arrays = [pa.array(rid, pa.int64()), pa.array(key, pa.int64()), pa.array(n, pa.int64()), pa.array(kind, pa.int32()), more, packed]
         return pa.RecordBatch.from_arrays(arrays, names=names)
 
     def run(batches):
@@ -343,8 +344,10 @@ def _emitted(rows: DataFrame, shared, buckets: int) -> DataFrame:
             # Rows of documents are dealt by a mix of their numbers; counts leave them out.
             yield batch(rid, bigram_keys(rid, rid), lengths, np.full(len(docs), HEAD), [*sums, none, none, ids])
             rest = (~here & known).nonzero()[0]
-            for bucket, n, packed in _packed(v[rest] << SHIFT | w[rest], place[rest], rid, trusted, buckets):
-                yield batch(np.array([-1]), np.array([bucket]), [n], [PACKED], packed=[packed])
+            parts = list(_packed(v[rest] << SHIFT | w[rest], place[rest], rid, trusted, buckets))
+            if parts:
+                bucket, n, packed = zip(*parts, strict=True)
+                yield batch([-1] * len(parts), bucket, n, [PACKED] * len(parts), packed=packed)
             rest = (~known).nonzero()[0]
             if len(rest):
                 # One row for each document and bigram.
@@ -496,9 +499,8 @@ def score(docs: DataFrame, labels: DataFrame, frequent: int = WORDS, bigrams: in
     tables = Tables(top, keys, frequent_counts(rows, keys), np.array(total), slots)
 
     shared = spark.sparkContext.broadcast(tables)
-    buckets = 1 << min(2 * SHIFT, max(6, math.ceil(math.log2(max(1.0, total[0] / BUCKET_TOKENS)))))
     # Both parts read one shuffle.
-    dealt = _emitted(rows, shared, buckets).repartition("key").sortWithinPartitions(F.col("kind") >= HEAD, "key")
+    dealt = _emitted(rows, shared, bucket_count(total[0])).repartition("key").sortWithinPartitions(F.col("kind") >= HEAD, "key")
     lacking = _lacking(dealt)
     rare = counts.where(~held)
 

@@ -4,6 +4,7 @@ import math
 import pickle
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pandas as pd
@@ -229,3 +230,30 @@ def test_word_tables_hold_no_losses_beside_the_probabilities():
     frame = pd.DataFrame({c: np.arange(1, 9) for c in ("h", "ub", "ut", "hb", "ht")})
     held = L.Tables(frame, np.zeros(0, np.int64), np.zeros((0, 2), np.int64), np.array([36.0, 36.0]), 10)
     assert "loss1" not in vars(held) and (held.loss1 == -np.log(held.p1)).all()
+
+
+def test_words_are_those_between_ascii_white_space():
+    texts = [" a  b\x0b\x1c\n\tc ", "", None, "  ", "a a", "é\x85x y z", "a\x00b\x0c\x1f"]
+    want = [[L.word_hash(w) for w in (t or "").encode().split()] for t in texts]
+    assert [x.tolist() for x in L.word_hashes(texts)] == want
+    assert L.word_hashes(["x", ""])[1].dtype == np.int64
+
+
+def test_rows_of_losses_rise_with_the_documents_alone():
+    """As long as a bucket has room, five times the tokens are dealt to as many buckets."""
+    assert L.bucket_count(28e6) == L.bucket_count(5 * 28e6) == L.BUCKETS
+    assert L.bucket_count(8.4e9) * L.BUCKET_TOKENS >= 8.4e9
+
+
+def test_packed_rows_of_a_block_go_out_together(spark, monkeypatch):
+    monkeypatch.setattr(L, "BUCKETS", 1 << 4)
+    frequent = pd.DataFrame({"h": np.sort([L.START, *(L.word_hash(w) for w in (b"a", b"b", b"c", b"d"))]),
+                             "ub": 9, "ut": 1, "hb": 9, "ht": 1})
+    tables = L.Tables(frequent, np.zeros(0, np.int64), np.zeros((0, 2), np.int64), np.array([36.0, 4.0]), 20)
+    rows = spark.createDataFrame([(1, 1, "a b c d a c b d", False)], "rid long, doc_id long, text string, trusted boolean")
+    seen = []
+    rows_of = SimpleNamespace(
+        schema=rows.schema, columns=rows.columns, mapInArrow=lambda run, _: seen.extend(run(rows.toArrow().to_batches()))
+    )
+    L._emitted(rows_of, SimpleNamespace(value=tables), L.bucket_count(1.0))
+    assert len(seen) == 2 and seen[1].column("packed").null_count == 0 and seen[1].num_rows > 1
