@@ -8,7 +8,7 @@ each bucket a weight log(p_target / p_raw); the mean weight of a document's
 n-grams is its score and the fixed ``threshold`` decides on every document.
 
 The raw counts cover all documents, and the target's all trusted ones. Trusted ids are
-joined by shuffle at every size. The weights, ``buckets``
+joined by shuffle at every size, hashed by partition, so texts are not sorted. The weights, ``buckets``
 doubles, go into the plan as one array literal.
 
 Base rules, per text: word_chars, n_symbols, n_dup_lines, n_repeat_words;
@@ -39,10 +39,14 @@ REPEAT_PERCENT = 20
 SYMBOLS = r"[#*$%&|<>]"
 
 
+def _tokens(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
+
+
 def _token_pairs(text: Column) -> Column:
     """Array of (token, next token or null) of ``text``."""
     return let(
-        F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0)),
+        _tokens(text),
         # Fields of arrays_zip are named 0 and 1 where the arrays are expressions.
         lambda t: F.arrays_zip(F.slice(t, 1, F.size(t)), F.slice(t, 2, F.size(t))),
     )
@@ -63,7 +67,7 @@ def bucket_weights(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS) -
         .where((F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0))
         .select("doc_id", F.lit(1).alias("trusted"))
     )
-    texts = docs.select("doc_id", "text").join(trusted.hint("merge"), "doc_id", "left")
+    texts = docs.select("doc_id", "text").join(trusted.hint("shuffle_hash"), "doc_id", "left")
     pairs = texts.select("trusted", F.explode(_token_pairs(text_or_empty())).alias("pair"))
     one, two = _buckets(F.col("pair"), buckets)
     counts = (
@@ -86,19 +90,23 @@ def score(text: Column, weights: list[float]) -> Column:
     """Mean weight of the n-grams of ``text``."""
     # One string that the optimizer folds to an array literal.
     table = F.split(F.lit(",".join(repr(w) for w in weights)), ",").cast("array<double>")
+
     def weight(bucket: Column) -> Column:
-        return F.get(table, bucket.cast("int"))
+        return F.get(table, bucket)
 
     def add(total: Column, pair: Column) -> Column:
         one, two = _buckets(pair, len(weights))
-        return total + weight(one) + F.when(pair["1"].isNotNull(), weight(two)).otherwise(F.lit(0.0))
+        return total + weight(one) + weight(two)
 
-    return let(
-        _token_pairs(text),
-        lambda p: F.when(
-            F.size(p) > 0, F.aggregate(p, F.lit(0.0), add) / (2 * F.size(p) - 1)
-        ).otherwise(F.lit(0.0)),
-    )
+    def mean(tokens: Column) -> Column:
+        # The last token begins no two-token gram.
+        pairs = F.arrays_zip(F.slice(tokens, 1, F.size(tokens) - 1), F.slice(tokens, 2, F.size(tokens) - 1))
+        last = weight(F.xxhash64(F.element_at(tokens, -1)).bitwiseAND(F.lit(len(weights) - 1)))
+        return F.when(
+            F.size(tokens) > 0, (F.aggregate(pairs, F.lit(0.0), add) + last) / (2 * F.size(tokens) - 1)
+        ).otherwise(F.lit(0.0))
+
+    return let(_tokens(text), mean)
 
 
 def repeat_words(words: Column, window: int = WINDOW) -> Column:

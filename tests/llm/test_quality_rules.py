@@ -3,6 +3,7 @@ import re
 from collections import Counter, defaultdict
 
 import xxhash
+from pyspark.sql import functions as F
 
 from silverline.llm import quality_rules as Q
 from tests.llm.fixtures import documents, edge_rows, labels
@@ -76,3 +77,27 @@ def test_every_trusted_document_counts(spark):
     few = spark.createDataFrame([(i, 1, 0) for i in range(40)], "doc_id long, quality int, toxic int")
     many = few.unionByName(spark.range(1000, 61_000).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic"))
     assert Q.bucket_weights(docs, many) == Q.bucket_weights(docs, few)
+
+
+def test_pairs_are_summed_without_a_test_for_the_last(spark):
+    """The last token is added apart, so no pair's second token is tested; texts of few tokens score as before."""
+    weights = [math.sin(i) for i in range(64)]
+    column = Q.score(F.col("text"), weights)
+    assert "isnotnull" not in str(column._jc.toString()).lower()
+    texts = ["", " ", "a", "a b", "a, b", "中文 x_y 1"]
+    got = spark.createDataFrame([(t,) for t in texts], "text string").select("text", column.alias("s")).collect()
+
+    def bucket(*tokens):
+        seed = 42
+        for t in tokens:
+            seed = xxhash.xxh64_intdigest(t.encode(), seed)
+        return seed & 63
+
+    for t, s in got:
+        tokens = TOKEN.findall(t)
+        total = 0.0
+        for i, x in enumerate(tokens):
+            total += weights[bucket(x)]
+            if i + 1 < len(tokens):
+                total += weights[bucket(x, tokens[i + 1])]
+        assert s == (total / (2 * len(tokens) - 1) if tokens else 0.0), t
