@@ -87,3 +87,56 @@ def test_spans_of_repeated_rows_are_gathered_once(spark):
         return sorted(map(tuple, got["spans"]))
 
     assert gathered(2) == gathered(30)
+
+
+def test_sparse_array_finds_what_the_whole_one_finds():
+    """Groups of contexts that share a gram, at their texts' ends too, with zero bytes; one context is not open."""
+    rng = random.Random(8)
+    gram = bytes(rng.choices(b"ab\0", k=S.GRAM))
+    before, after = bytes(rng.choices(b"ab\0", k=150)), bytes(rng.choices(b"ab\0", k=150))
+    keys, data, at = [], [], []
+    for key in range(30):
+        for _ in range(rng.randint(1, 12)):
+            l, r = rng.choice([0, 7, 60, 90, 149, 150]), rng.choice([0, 30, 60, 110, 150])
+            own = [bytes(rng.choices(b"xy\0", k=n)) for n in (rng.choice([0, 150 - l]), rng.choice([0, 150 - r]))]
+            keys.append(key)
+            data.append(own[0] + before[150 - l :] + gram + after[:r] + own[1])
+            at.append(len(own[0]) + l)
+    is_open = np.array([i != 5 for i in range(len(data))])
+    got = S.covered_at(np.array(keys), data, np.array(at), is_open, S.LENGTH, S.GRAM)
+    whole = S.covered(keys, data, [-x for x in at], S.LENGTH)
+    want = [S.merge([(int(a) - p, int(b) - p) for a, b in spans]) for spans, p in zip(whole, at, strict=True)]
+    got = [[(-int(l), int(r))] if r else [] for l, r in got]
+    assert [x for x, o in zip(got, is_open, strict=True) if o] == [x for x, o in zip(want, is_open, strict=True) if o]
+    assert sum(map(bool, got)) > 40
+
+
+def test_contexts_are_counted_without_a_sort(spark):
+    """Aggregates that hold structs or texts sort all rows; so did the contexts' and the texts' before."""
+    from pyspark.sql import functions as F
+
+    rows = spark.range(10).select(
+        *[F.col("id").alias(c) for c in ("row", "pos", "lo", "hi", "first", "last", "key", "ctx")], F.lit(False).alias("done")
+    )
+    plan = S._nodes(rows)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+    docs = S.identified(documents(spark, hard_rows()[:2]))
+    plan = S.contexts_at(docs, rows.select("row", "pos"), S.LENGTH, S.GRAM)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
+
+
+def test_places_are_told_apart_across_batches(spark):
+    """Single grams give nothing; equal places all come, and one place of each context where a gram has several."""
+    grams = {1: [5], 2: [5] * 7, 3: [5, 6], 4: [5, 5, 5, 6, 7, 7, 7, 7]}
+    rows = [(g * 100 + i, i, g, c) for g, contexts in grams.items() for i, c in enumerate(contexts)]
+    index = spark.createDataFrame(rows, "row long, pos int, gram long, ctx long")
+    for size in ("1", "3", "1000"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        try:
+            got = S.grouped(index).collect()
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        equal = sorted(r["row"] for r in got if r["kind"] == S.EQUAL)
+        assert equal == [*range(200, 207), 400, 401, 402, 404, 405, 406, 407]
+        nodes = sorted((r["key"], r["ctx"], r["kind"]) for r in got if r["kind"] != S.EQUAL)
+        assert nodes == [(3, 5, S.OPEN), (3, 6, S.OPEN), (4, 5, S.SEVERAL), (4, 6, S.OPEN), (4, 7, S.SEVERAL)]
