@@ -33,7 +33,6 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -59,24 +58,40 @@ SPREAD = 0x9E3779B97F4A7C15 & ((1 << 2 * SHIFT) - 1) | 1  # odd, so products wit
 KEYS = (1 << 2 * SHIFT) - 1
 
 
+def _hashes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the words of ``data``, all words' next eight bytes at a time; eight bytes follow the last word."""
+    eights = np.ndarray(len(data) - 7, dtype="<u8", buffer=data, strides=(1,))
+    h = lengths.astype(np.uint64) * MIX
+    some, at, left = np.arange(len(starts)), starts, lengths
+    while len(some):
+        piece = eights[at]
+        short = left < 8
+        piece[short] &= (np.uint64(1) << (left[short].astype(np.uint64) << np.uint64(3))) - np.uint64(1)
+        x = (h[some] ^ piece) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ x >> np.uint64(32)) * np.uint64(0x94D049BB133111EB)
+        h[some] = x ^ x >> np.uint64(29)
+        more = left > 8
+        some, at, left = some[more], at[more] + 8, left[more] - 8
+    return h.view(np.int64)
+
+
 def word_hash(w: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(w) - (1 << 63)
+    return int(_hashes(np.frombuffer(w + bytes(8), np.uint8), np.array([0]), np.array([len(w)]))[0])
 
 
 def word_hashes(texts) -> list[np.ndarray]:
-    """The hashes of each text's words; each distinct word of the texts is hashed once."""
+    """The hashes of each text's words, made from the texts' bytes."""
     array = pa.array([t if isinstance(t, str) else "" for t in texts], pa.large_string())
-    lists = pc.ascii_split_whitespace(array)
-    coded = lists.flatten().dictionary_encode()
-    distinct = coded.dictionary.to_pylist()
-    hashes = np.fromiter((word_hash(w.encode()) for w in distinct), dtype=np.int64, count=len(distinct))
-    code = coded.indices.to_numpy()
-    ends = np.cumsum(pc.list_value_length(lists).to_numpy())
-    if "" in distinct:  # what stands before white space at a text's start, and after it at its end
-        is_word = code != distinct.index("")
-        ends = np.concatenate([[0], np.cumsum(is_word)])[ends]
-        code = code[is_word]
-    return np.split(hashes[code], ends[:-1])
+    _, ends, data = array.buffers()
+    ends = np.frombuffer(ends, np.int64)[: len(array) + 1]
+    data = np.concatenate([np.frombuffer(data or b"", np.uint8)[: ends[-1]], np.zeros(8, np.uint8)])
+    text = data[: ends[-1]]
+    is_word = (text - np.uint8(0x09) > 4) & (text != 0x20)  # white space is 9 to 13 and 32
+    breaks = np.zeros(len(is_word) + 1, dtype=bool)
+    breaks[ends] = True
+    starts = np.flatnonzero(is_word & (breaks[:-1] | ~np.concatenate([[False], is_word])[:-1]))
+    stops = np.flatnonzero(is_word & (breaks[1:] | ~np.concatenate([is_word, [False]])[1:])) + 1
+    return np.split(_hashes(data, starts, stops - starts), np.searchsorted(starts, ends[1:-1]))
 
 
 def before(ids: np.ndarray) -> np.ndarray:
@@ -112,13 +127,6 @@ def _blocks(frames, size: int):
         yield out()
 
 
-def _sums(values: np.ndarray, trusted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct values, how often each stands, and how often in trusted documents."""
-    distinct, place = np.unique(values, return_inverse=True)
-    n = np.bincount(place, minlength=len(distinct))
-    return distinct, n, np.bincount(place, weights=trusted, minlength=len(distinct)).astype(np.int64)
-
-
 def marked(docs: DataFrame, labels: DataFrame, path: str, small: int = TRUSTED_IDS) -> DataFrame:
     """(rid, doc_id, text, trusted): the rows of ``docs``, each with a number of its own.
 
@@ -153,7 +161,7 @@ def word_counts(rows: DataFrame) -> DataFrame:
             if not len(second):
                 continue
             by_token = trusted[place]
-            u, code = np.unique(second, return_inverse=True)
+            code, u = pd.factorize(second)
             # A token begins a bigram unless it is its text's last; as many begin after START.
             last = np.flatnonzero(np.diff(place, append=-1))
             count = [
@@ -180,12 +188,13 @@ def frequent_counts(rows: DataFrame, keys: np.ndarray) -> np.ndarray:
     shared = rows.sparkSession.sparkContext.broadcast(keys)
 
     def run(frames):
-        known = shared.value
+        known = pd.Index(shared.value)
         sums = np.zeros((len(known), 2), dtype=np.int64)
         for _, place, first, second, trusted in _blocks(frames, BLOCK):
-            found, n, good = _sums(bigram_keys(first, second), trusted[place])
-            at, hit = _find(known, found)
-            sums[at[hit]] += np.stack([n[hit], good[hit]], axis=1)
+            at = known.get_indexer(bigram_keys(first, second))
+            hit = at >= 0
+            np.add.at(sums[:, 0], at[hit], 1)
+            np.add.at(sums[:, 1], at[hit & trusted[place]], 1)
         seen = np.flatnonzero(sums[:, 0])
         yield pd.DataFrame({"i": seen, "b": sums[seen, 0], "t": sums[seen, 1]})
 
@@ -197,14 +206,6 @@ def frequent_counts(rows: DataFrame, keys: np.ndarray) -> np.ndarray:
     return out
 
 
-def _find(known: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of ``values`` in sorted ``known``, and which are there."""
-    if not len(known):
-        return np.zeros(len(values), np.int64), np.zeros(len(values), bool)
-    at = np.minimum(np.searchsorted(known, values), len(known) - 1)
-    return at, known[at] == values
-
-
 def planes(values: np.ndarray) -> bytes:
     flat = np.ascontiguousarray(values, dtype="<i8").reshape(-1)
     return zlib.compress(flat.view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
@@ -233,6 +234,13 @@ class Tables:
         self.p1 = np.concatenate([(1 - LAMBDA) * (counts[:, :2] + ALPHA) / (total + ALPHA * slots), [[1, 1]]])
         self.share = np.concatenate([LAMBDA / np.maximum(counts[:, 2:], 1), [[1, 1]]])
         self.keys, self.bigrams = keys, bigrams
+        self._of_word = self._of_bigram = None
+
+    def bigram(self, keys: np.ndarray) -> np.ndarray:
+        """Places of bigrams among those held, or -1."""
+        if self._of_bigram is None:
+            self._of_bigram = pd.Index(self.keys)
+        return self._of_bigram.get_indexer(keys)
 
     @property
     def loss1(self) -> np.ndarray:
@@ -249,25 +257,26 @@ class Tables:
 
     def word(self, hashes: np.ndarray) -> np.ndarray:
         """Numbers of words; of those not held, the one after the last."""
-        distinct, place = np.unique(hashes, return_inverse=True)
-        at, hit = _find(self.words, distinct)
-        number = np.full(len(distinct), len(self.words))
-        number[hit] = self.number[at[hit]]
-        return number[place]
+        if self._of_word is None:
+            self._of_word = pd.Index(self.words)
+        return np.append(self.number, len(self.words))[self._of_word.get_indexer(hashes)]
 
 
 def pack(key_place: np.ndarray, n: np.ndarray, rid: np.ndarray) -> bytes:
     """Sorted (key << SHIFT | document's place), counts and numbers of documents, by planes of equal bytes.
 
-    The high bytes of steps, numbers and counts hardly differ, so shuffle compression takes them away.
+    The high bytes of steps, numbers and counts hardly differ, and few values stand in the low ones of the latter two.
     """
     steps = np.diff(key_place >> SHIFT, prepend=0)
-    return b"".join(x.astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes() for x in (steps, n, rid))
+    flat = b"".join(x.astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes() for x in (steps, n, rid))
+    return len(flat).to_bytes(8, "little") + pa.compress(flat, "zstd", asbytes=True)
 
 
 def unpack(packed: bytes) -> np.ndarray:
     """(3, entries): keys, counts, numbers of documents."""
-    planes = np.frombuffer(packed, dtype=np.uint8).reshape(3, 8, -1)
+    packed = memoryview(packed)
+    flat = pa.decompress(pa.py_buffer(packed[8:]), int.from_bytes(packed[:8], "little"), "zstd")
+    planes = np.frombuffer(flat, dtype=np.uint8).reshape(3, 8, -1)
     out = np.ascontiguousarray(planes.transpose(0, 2, 1)).view("<i8")[:, :, 0]
     return np.stack([np.cumsum(out[0]), out[1], out[2]])
 
@@ -294,13 +303,13 @@ def _emitted(rows: DataFrame, shared, buckets: int) -> DataFrame:
     """A HEAD row for each of ``rows``, with the losses less the gains that the tables hold, and its other bigrams.
 
     Bigrams of two words in the tables are PACKED rows of a chunk and bucket, known by the words'
-    numbers. Others are rows known by a hash, and ``more`` has the known factors of r (b and t)
-    and the words that the tables lack (v and w).
+    numbers. Others are rows known by a hash, and ``more`` has the words that the tables lack
+    (v and w) and the number of the word that they hold, if one.
     """
     id_field = rows.schema["doc_id"].dataType
     id_type = to_arrow_type(id_field)
     more_type = pa.struct(
-        [("b", pa.float64()), ("t", pa.float64()), ("v", pa.int64()), ("w", pa.int64()), ("doc_id", id_type)]
+        [("b", pa.float64()), ("t", pa.float64()), ("v", pa.int64()), ("w", pa.int64()), ("doc_id", id_type), ("known", pa.int32())]
     )
     names = ["rid", "key", "n", "kind", "more", "packed"]
     size = min(CHUNK, BLOCK)  # beside the tables, which are some 80 MB
@@ -327,22 +336,21 @@ def _emitted(rows: DataFrame, shared, buckets: int) -> DataFrame:
             v = before(w)
             v[np.flatnonzero(np.diff(place, prepend=-1))] = start
             keys = bigram_keys(first, second)
-            distinct, code = np.unique(keys, return_inverse=True)
-            at, hit = _find(held.keys, distinct)
+            at = held.bigram(keys)
             known = (v < lacks) & (w < lacks)
-            here = hit[code] & known
+            here = (at >= 0) & known
             # A word not held adds -log(1) here, and its loss where its counts are joined.
             losses = -np.log(held.p1[w])
             found = here.nonzero()[0]
             if len(found):
                 r = held.share[v[found]] / held.p1[w[found]]
-                losses[found] -= np.log1p(held.bigrams[at[code[found]]] * r)
+                losses[found] -= np.log1p(held.bigrams[at[found]] * r)
             sums = [np.bincount(place, weights=losses[:, k], minlength=len(docs)) for k in (0, 1)]
             lengths = np.bincount(place, minlength=len(docs))
             none = pa.nulls(len(docs), pa.int64())
             ids = pa.array([r_["doc_id"] for r_ in docs], id_type)
             # Rows of documents are dealt by a mix of their numbers; counts leave them out.
-            yield batch(rid, bigram_keys(rid, rid), lengths, np.full(len(docs), HEAD), [*sums, none, none, ids])
+            yield batch(rid, bigram_keys(rid, rid), lengths, np.full(len(docs), HEAD), [*sums, none, none, ids, none.cast(pa.int32())])
             rest = (~here & known).nonzero()[0]
             parts = list(_packed(v[rest] << SHIFT | w[rest], place[rest], rid, trusted, buckets))
             if parts:
@@ -351,16 +359,17 @@ def _emitted(rows: DataFrame, shared, buckets: int) -> DataFrame:
             rest = (~known).nonzero()[0]
             if len(rest):
                 # One row for each document and bigram.
-                _, one, n = np.unique(
-                    place[rest] * np.int64(len(distinct)) + code[rest], return_index=True, return_counts=True
-                )
+                code = pd.factorize(keys[rest])[0]
+                _, one, n = np.unique(place[rest] * np.int64(len(rest)) + code, return_index=True, return_counts=True)
                 one = rest[one]
-                r = held.share[v[one]] / held.p1[w[one]]
                 lack = [pa.array(x[one], mask=i[one] < lacks) for x, i in ((first, v), (second, w))]
-                more = [r[:, 0], r[:, 1], *lack, pa.nulls(len(one), id_type)]
+                number = np.minimum(v[one], w[one])
+                blank = pa.nulls(len(one), pa.float64())
+                number = pa.array(number.astype(np.int32), mask=number == lacks)
+                more = [blank, blank, *lack, pa.nulls(len(one), id_type), number]
                 yield batch(rid[place[one]], keys[one], n, trusted[place[one]].astype(np.int32), more)
 
-    more = f"struct<b:double,t:double,v:bigint,w:bigint,doc_id:{id_field.simpleString()}>"
+    more = f"struct<b:double,t:double,v:bigint,w:bigint,doc_id:{id_field.simpleString()},known:int>"
     return rows.mapInArrow(run, f"rid long, key long, n long, kind int, more {more}, packed binary")
 
 
@@ -413,8 +422,8 @@ def _complete(dealt: DataFrame, shared) -> DataFrame:
     return dealt.mapInArrow(run, f"rid long, doc_id {id_field.simpleString()}, n long, b double, t double")
 
 
-def _lacking(dealt: DataFrame) -> DataFrame:
-    """Rows of bigrams with a word that the tables lack, with their bigram's counts cb and ct.
+def _lacking(dealt: DataFrame, shared) -> DataFrame:
+    """Rows of bigrams with a word that the tables lack, with the known factors of r (b and t) and their bigram's counts cb and ct.
 
     They come bigram by bigram, before all other rows, and one bigram's rows at a time are held.
     They are picked in a task, not by a filter, which would go below the shuffle and run all before it again.
@@ -426,8 +435,12 @@ def _lacking(dealt: DataFrame) -> DataFrame:
         starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         lengths = np.diff(starts, append=len(key))
         sums = [np.repeat(np.add.reduceat(x, starts), lengths) for x in (n, n * (kind == TRUSTED))]
-        columns = [*(rows.column(c) for c in names[:3]), *(pc.struct_field(rows.column("more"), c) for c in names[3:7])]
-        columns = [c.combine_chunks() for c in columns]
+        v, w, known = (pc.struct_field(rows.column("more"), c).combine_chunks() for c in ("v", "w", "known"))
+        tables = shared.value
+        lacks = len(tables.words)
+        at = [np.where(x.is_null(), pc.fill_null(known, lacks), lacks) for x in (v, w)]
+        r = tables.share[at[0]] / tables.p1[at[1]]
+        columns = [*(rows.column(c).combine_chunks() for c in names[:3]), pa.array(r[:, 0]), pa.array(r[:, 1]), v, w]
         columns = [c.chunk(0) if isinstance(c, pa.ChunkedArray) else c for c in columns]
         return pa.RecordBatch.from_arrays([*columns, *map(pa.array, sums)], names=names)
 
@@ -501,7 +514,7 @@ def score(docs: DataFrame, labels: DataFrame, frequent: int = WORDS, bigrams: in
     shared = spark.sparkContext.broadcast(tables)
     # Both parts read one shuffle.
     dealt = _emitted(rows, shared, bucket_count(total[0])).repartition("key").sortWithinPartitions(F.col("kind") >= HEAD, "key")
-    lacking = _lacking(dealt)
+    lacking = _lacking(dealt, shared)
     rare = counts.where(~held)
 
     no_id, no_tokens = F.lit(None).cast(docs.schema["doc_id"].dataType).alias("doc_id"), F.lit(0).cast("long").alias("n")

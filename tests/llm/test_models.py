@@ -257,3 +257,31 @@ def test_packed_rows_of_a_block_go_out_together(spark, monkeypatch):
     )
     L._emitted(rows_of, SimpleNamespace(value=tables), L.bucket_count(1.0))
     assert len(seen) == 2 and seen[1].column("packed").null_count == 0 and seen[1].num_rows > 1
+
+
+def test_long_words_of_any_bytes_are_told_apart():
+    """Words of one to forty bytes, also alike but for a zero byte at their end or for their last byte."""
+    words = [b"a" * n + last for n in range(40) for last in (b"a", b"b", b"\0", b"\xc3\xa9")]
+    assert len({L.word_hash(w) for w in words}) == len(set(words))
+    text = b" ".join(words).decode()
+    assert [x.tolist() for x in L.word_hashes([text, text[1:], None])] == [
+        [L.word_hash(w) for w in t.encode().split(b" ") if w] for t in (text, text[1:], "")
+    ]
+
+
+def test_packed_numbers_of_documents_take_few_bytes():
+    """Of 4,096 bigrams in 64 documents: some three and a half bytes for a step, and less than one for count and document."""
+    rng = np.random.default_rng(4)
+    keys = np.sort(rng.integers(0, 1 << 36, 4096))
+    packed = L.pack(keys << L.SHIFT, np.full(4096, 2), (7 << 33) + rng.integers(0, 64, 4096))
+    assert len(packed) < 4096 * 4.5
+
+
+def test_rows_of_other_words_carry_no_factors(spark):
+    """The factors of the word that the tables hold are looked up where the row arrives."""
+    frequent = pd.DataFrame({"h": np.sort([L.START, L.word_hash(b"a")]), "ub": 9, "ut": 1, "hb": 9, "ht": 1})
+    tables = L.Tables(frequent, np.zeros(0, np.int64), np.zeros((0, 2), np.int64), np.array([36.0, 4.0]), 20)
+    rows = spark.createDataFrame([(1, 1, "a x y a", False)], "rid long, doc_id long, text string, trusted boolean")
+    got = L._emitted(rows, spark.sparkContext.broadcast(tables), L.bucket_count(1.0)).where(f"kind < {L.HEAD}").collect()
+    assert len(got) == 3 and all(r["more"]["b"] is None and r["more"]["t"] is None for r in got)
+    assert [r["more"]["known"] is None for r in got].count(True) == 1
