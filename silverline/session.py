@@ -150,8 +150,10 @@ def release_files(spark: SparkSession) -> None:
     """Let go of the shuffle files and checkpoints of frames that nobody holds any more.
 
     Spark removes them when the driver has collected those frames, which nothing brings about in a
-    job of many steps, so the files of all steps would lie on disk together.
+    job of many steps, so the files of all steps would lie on disk together. Spark's listeners hold the query that
+    ended last, so a small one ends first.
     """
+    spark.range(1).collect()
     gc.collect()
     spark._jvm.System.gc()  # noqa: SLF001
 

@@ -1,8 +1,8 @@
 """Latest row per key in a state store (STR2, DED1).
 
 The other form of the video stream: instead of rewriting the Silver partitions that a
-drop touches, a stateful aggregation keeps the winner of every dedup key (``max_by``
-over the batch order, in update mode), so a micro-batch reads, holds and writes
+drop touches, a stateful aggregation keeps the winner of every dedup key (the
+greatest in batch order, in update mode), so a micro-batch reads, holds and writes
 the keys of its own rows and nothing else. Each batch's changed keys are one
 folder of a change table; the current rows are the winners over all changes, which is what
 the batch job keeps over all files.
@@ -25,11 +25,10 @@ from silverline.operators.cleanse import cleanse_videos
 from silverline.operators.project import explode_items_outer, project_api_videos
 from silverline.operators.quality import keep_valid
 from silverline.plans.videos import VideoJobConfig
-from silverline.sinks.silver import write_partitioned
+from silverline.session import remove_folder, settings
 from silverline.sources.bronze import SOURCE_FILE, join_path
 from silverline.streaming.incremental import (
     BRONZE_KEY,
-    _exists,
     _mkdirs,
     _run_available_now,
     api_video_stream,
@@ -39,23 +38,37 @@ from silverline.streaming.incremental import (
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-# State is most of the stream's disk, in the local copy and in the checkpoint: packed tighter than by default.
+# State is most of the stream's disk, in the local copy and in the checkpoint: packed tighter than by default,
+# in blocks that hold enough rows to have something in common.
 COMPRESSION = "spark.sql.streaming.stateStore.rocksdb.compression"
+BLOCK_KB = "spark.sql.streaming.stateStore.rocksdb.blockSizeKB"
+# The local copy of a run that has ended goes at the next maintenance.
+MAINTENANCE = "spark.sql.streaming.stateStore.maintenanceInterval"
+STATE = {PROVIDER: ROCKSDB, COMPRESSION: "zstd", BLOCK_KB: "64", MAINTENANCE: "15s"}
 COMPACTED = "compacted"
 
 
-def rank_in_key(df: DataFrame) -> Column:
-    """The batch order (``merge_order``) as one comparable value, the winner the greatest."""
+def ranked(df: DataFrame) -> Column:
+    """A row without its dedup key as one value, ordered as in a batch (``merge_order``), the winner the greatest.
+
+    Publish time, the Bronze key from ``region=`` on and a hash of the content come first; what follows is
+    equal where those are. What ranks the row is also a part of it, so nothing is kept twice: the
+    Bronze key is cut in two where its rank begins.
+    """
     hashed = [c for c in df.columns if not c.startswith("silver_") and c != BRONZE_KEY]
-    key = F.regexp_extract(F.col(BRONZE_KEY), r"(region=.*)$", 1)
-    return F.struct("published_at", key.alias("key"), F.xxhash64(*hashed).alias("content"))
+    whole = F.col(BRONZE_KEY)
+    key = F.regexp_extract(whole, r"(region=.*)$", 1)
+    root = F.substring(whole, F.lit(1), F.length(whole) - F.length(key))
+    rest = [c for c in df.columns if c not in (*DEDUP_KEYS, "published_at", BRONZE_KEY)]
+    return F.struct("published_at", key.alias("_key"), F.xxhash64(*hashed).alias("_content"), root.alias("_root"), *rest)
 
 
 def winners(df: DataFrame) -> DataFrame:
     """The winning row per dedup key; stateful on a stream, two-phase aggregation on a table."""
-    rest = [c for c in df.columns if c not in DEDUP_KEYS]
-    best = F.max_by(F.struct(*rest), rank_in_key(df)).alias("best")
-    return df.groupBy(*DEDUP_KEYS).agg(best).select(*DEDUP_KEYS, *[F.col(f"best.{c}").alias(c) for c in rest])
+    rest = [c for c in df.columns if c not in (*DEDUP_KEYS, BRONZE_KEY)]
+    best = df.groupBy(*DEDUP_KEYS).agg(F.max(ranked(df)).alias("best"))
+    bronze_key = F.concat("best._root", "best._key").alias(BRONZE_KEY)
+    return best.select(*DEDUP_KEYS, *[F.col(f"best.{c}").alias(c) for c in rest], bronze_key)
 
 
 def changes_path(cfg: VideoJobConfig) -> str:
@@ -82,29 +95,22 @@ def stream_latest_videos(
     def handle(batch: DataFrame, batch_id: int) -> None:
         stream = stream_id(spark, checkpoint)
         # A replay replaces its own folder; the state gives it the same rows.
-        changed = batch.withColumns({"stream_id": F.lit(stream), "batch_id": F.lit(batch_id)})
-        write_partitioned(changed, path, ("stream_id", "batch_id"))
-        n = _batch(spark, path, stream, batch_id).count()
+        folder = change_folder(path, stream, batch_id)
+        batch.write.mode("overwrite").option("compression", "zstd").parquet(folder)
+        n = spark.read.schema(batch.schema).parquet(folder).count()
         if n:
             records.append({"batch_id": batch_id, "changed_keys": n})
+        else:
+            remove_folder(spark, folder)
 
-    wanted = {PROVIDER: ROCKSDB, COMPRESSION: "zstd"}
-    before = {name: spark.conf.get(name, None) for name in wanted}
-    for name, setting in wanted.items():
-        spark.conf.set(name, setting)
-    try:
+    with settings(spark, STATE):
         _run_available_now(winners(rows), handle, checkpoint, mode="update")
-    finally:
-        for name, setting in before.items():
-            spark.conf.set(name, setting) if setting else spark.conf.unset(name)
     return records
 
 
-def _batch(spark: SparkSession, path: str, stream: str, batch_id: int) -> DataFrame:
-    if not _exists(spark, path):
-        return spark.createDataFrame([], "x int")
-    found = read_changes(spark, path)
-    return found.filter((F.col("stream_id") == stream) & (F.col("batch_id") == batch_id))
+def change_folder(path: str, stream: str, batch_id: int) -> str:
+    """The partition of one batch. Its rows are written straight to it: they need no sort or shuffle by a folder."""
+    return f"{path}/stream_id={stream}/batch_id={batch_id}"
 
 
 def read_changes(spark: SparkSession, path: str) -> DataFrame:
@@ -131,9 +137,7 @@ def compact_changes(spark: SparkSession, cfg: VideoJobConfig) -> None:
     fs = jvm_path(path).getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
     old = [f.getPath() for s in fs.listStatus(jvm_path(path)) if s.isDirectory() for f in fs.listStatus(s.getPath())]
     numbers = [int(p.getName().partition("=")[2]) for p in old if p.getParent().getName() == f"stream_id={COMPACTED}"]
-    new = latest_videos(spark, cfg).withColumns(
-        {"stream_id": F.lit(COMPACTED), "batch_id": F.lit(max(numbers, default=-1) + 1)}
-    )
-    write_partitioned(new, path, ("stream_id", "batch_id"))
+    folder = change_folder(path, COMPACTED, max(numbers, default=-1) + 1)
+    latest_videos(spark, cfg).write.option("compression", "zstd").parquet(folder)
     for p in old:
         fs.delete(p, True)

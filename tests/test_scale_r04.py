@@ -9,6 +9,7 @@ from silverline.plans import ingestion
 from silverline.plans.ingestion import IngestionConfig, run_ingestion
 from silverline.session import scratch_path, settings, staged
 from silverline.sinks.folders import replace_partitions
+from silverline.streaming import latest
 
 RUN_TS = dt.datetime(2024, 1, 2, 3, tzinfo=dt.UTC)
 PAYLOADS = "region string, dataset string, payload string"
@@ -70,3 +71,39 @@ def test_staged_rows_and_settings_go_after_their_block(spark, tmp_path):
     fs = spark._jvm.org.apache.hadoop.fs.Path(files[0])
     assert files and not fs.getFileSystem(spark._jsc.hadoopConfiguration()).exists(fs)
     assert scratch_path(spark, "test") != scratch_path(spark, "test")
+
+
+def test_a_winner_keeps_its_rank_once_and_its_whole_bronze_key(spark):
+    """State used to hold publish time and Bronze key in the row and again in its rank."""
+    columns = "source string, region string, video_id string, trending_date string, published_at timestamp, title string, bronze_key string"
+    key = ("youtube_api", "us", "v", "2024-01-02")
+    t1, t2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
+    rows = [
+        (*key, t2, "early", "file:/b/region=us/date=2024-01-02/hour=03/a"),
+        (*key, t2, "late", "file:/a/region=us/date=2024-01-02/hour=09/a"),
+        (*key, t1, "older", "file:/b/region=us/date=2024-01-02/hour=20/a"),
+        ("youtube_api", "us", "w", None, None, None, "elsewhere/a"),
+        ("youtube_api", "us", "x", None, None, "no file", None),
+    ]
+    best = latest.winners(spark.createDataFrame(rows, columns))
+    assert "max_by" not in best._jdf.queryExecution().optimizedPlan().toString()
+    found = {r["video_id"]: (r["title"], r["bronze_key"]) for r in best.collect()}
+    assert found == {"v": ("late", rows[1][-1]), "w": (None, "elsewhere/a"), "x": ("no file", None)}
+    assert sorted(best.columns) == sorted(columns.split(" ")[::2])
+
+
+def test_a_batch_of_changes_goes_straight_to_its_folder(spark, tmp_path, monkeypatch):
+    """It used to be shuffled and sorted by two columns that are the same in every row."""
+    from silverline.plans.videos import VideoJobConfig
+    from tests.fixtures import api_item, write_api_drop
+
+    cfg = VideoJobConfig(str(tmp_path / "bronze"), str(tmp_path / "silver"), source="youtube_api")
+    write_api_drop(tmp_path / "bronze", "us", "2024-01-02", "09", "r1", [api_item(i, "us") for i in range(5)])
+    partitioned = []
+    used = type(spark.range(1).write).partitionBy
+    monkeypatch.setattr(type(spark.range(1).write), "partitionBy", lambda *a: partitioned.append(a) or used(*a))
+    assert latest.stream_latest_videos(spark, cfg, checkpoint=str(tmp_path / "c")) == [{"batch_id": 0, "changed_keys": 5}]
+    latest.compact_changes(spark, cfg)
+    assert not partitioned
+    folders = [str(p.relative_to(latest.changes_path(cfg))) for p in (tmp_path / "silver").glob("_changes/videos/*/*")]
+    assert folders == ["stream_id=compacted/batch_id=0"]
