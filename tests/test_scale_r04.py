@@ -1,15 +1,19 @@
 """What round 4 changed for time, disk and memory: nothing large is kept between steps, folders move in branches."""
 
 import datetime as dt
+from pathlib import Path
 
 from pyspark.sql import DataFrame
 
 from silverline.operators.ingest import land_payloads
 from silverline.plans import ingestion
 from silverline.plans.ingestion import IngestionConfig, run_ingestion
-from silverline.session import scratch_path, settings, staged
+from silverline.plans.videos import VideoJobConfig
+from silverline.session import checkpoint_root, scratch_path, settings, staged
 from silverline.sinks.folders import replace_partitions
 from silverline.streaming import latest
+from silverline.streaming.incremental import stream_api_videos
+from tests.fixtures import api_item, write_api_drop
 
 RUN_TS = dt.datetime(2024, 1, 2, 3, tzinfo=dt.UTC)
 PAYLOADS = "region string, dataset string, payload string"
@@ -94,9 +98,6 @@ def test_a_winner_keeps_its_rank_once_and_its_whole_bronze_key(spark):
 
 def test_a_batch_of_changes_goes_straight_to_its_folder(spark, tmp_path, monkeypatch):
     """It used to be shuffled and sorted by two columns that are the same in every row."""
-    from silverline.plans.videos import VideoJobConfig
-    from tests.fixtures import api_item, write_api_drop
-
     cfg = VideoJobConfig(str(tmp_path / "bronze"), str(tmp_path / "silver"), source="youtube_api")
     write_api_drop(tmp_path / "bronze", "us", "2024-01-02", "09", "r1", [api_item(i, "us") for i in range(5)])
     partitioned = []
@@ -107,3 +108,15 @@ def test_a_batch_of_changes_goes_straight_to_its_folder(spark, tmp_path, monkeyp
     assert not partitioned
     folders = [str(p.relative_to(latest.changes_path(cfg))) for p in (tmp_path / "silver").glob("_changes/videos/*/*")]
     assert folders == ["stream_id=compacted/batch_id=0"]
+
+
+def test_a_stream_batch_is_not_cached_and_leaves_no_stage(spark, tmp_path, monkeypatch):
+    """A batch's parsed rows used to be cached by the executors, in memory and as plain rows on their disks."""
+    cfg = VideoJobConfig(str(tmp_path / "bronze"), str(tmp_path / "silver"), source="youtube_api")
+    write_api_drop(tmp_path / "bronze", "us", "2024-01-02", "09", "r1", [api_item(i, "us") for i in range(5)])
+    root = checkpoint_root(spark)
+    monkeypatch.setattr(DataFrame, "persist", lambda *a, **k: (_ for _ in ()).throw(AssertionError("cached")))
+    records = stream_api_videos(spark, cfg, checkpoint=str(tmp_path / "c"))
+    assert [(r["input_rows"], r["output_rows"]) for r in records] == [(5, 5)]
+    assert spark.read.parquet(cfg.silver_path).count() == 5
+    assert not list(Path(root).glob("stream-batch-*"))
