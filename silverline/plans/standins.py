@@ -8,7 +8,7 @@ a twin in :mod:`silverline.plans.oracle` written in plain SQL.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from silverline.contracts import (
@@ -19,6 +19,9 @@ from silverline.contracts import (
     VIDEO_TYPES,
 )
 from silverline.functions.columns import json_text_field, safe_int, safe_long
+from silverline.session import OPEN_FILES, settings
+from silverline.sinks.folders import COMMIT_IN_TASKS, rename_all
+from silverline.sinks.silver import spread
 from silverline.sources.bronze import RECORD_SEPARATOR
 
 SOURCE_FILE = "_source_file"
@@ -139,40 +142,50 @@ def orders_as_api_payloads(orders: DataFrame, lineitem: DataFrame, title: str =
     Publish times are the ship date plus a millisecond offset from the part
     and supplier keys, which makes the dedup order total.
     """
-    l = lineitem
+    return _pages(orders, lineitem, _api_item(F.col, title))
+
+
+def _api_item(c, title: str) -> Column:
+    """The API item of a line; ``c`` gives the line's columns by name."""
     thumbnails_type = API_ITEM_SCHEMA["snippet"].dataType["thumbnails"].dataType
-    item = F.struct(
-        F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias(
-            "id"
-        ),
+    return F.struct(
+        F.concat_ws("-", c("l_orderkey").cast("string"), c("l_linenumber").cast("string")).alias("id"),
         F.struct(
             F.date_format(
-                F.timestamp_add(
-                    "MILLISECOND", F.col("l_partkey") * 100000 + F.col("l_suppkey"), F.col("l_shipdate")
-                ),
+                F.timestamp_add("MILLISECOND", c("l_partkey") * 100000 + c("l_suppkey"), c("l_shipdate")),
                 "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'",
             ).alias("publishedAt"),
-            F.col("l_suppkey").cast("string").alias("channelId"),
-            F.concat(F.lit("supplier "), F.col("l_suppkey").cast("string")).alias("channelTitle"),
-            F.concat(F.lit(title), F.col("l_partkey").cast("string")).alias("title"),
-            F.col("l_returnflag").alias("description"),
-            F.col("l_linenumber").cast("string").alias("categoryId"),
-            F.array(F.col("l_returnflag"), F.col("l_linestatus")).alias("tags"),
+            c("l_suppkey").cast("string").alias("channelId"),
+            F.concat(F.lit("supplier "), c("l_suppkey").cast("string")).alias("channelTitle"),
+            F.concat(F.lit(title), c("l_partkey").cast("string")).alias("title"),
+            c("l_returnflag").alias("description"),
+            c("l_linenumber").cast("string").alias("categoryId"),
+            F.array(c("l_returnflag"), c("l_linestatus")).alias("tags"),
             F.lit(None).cast(thumbnails_type).alias("thumbnails"),
         ).alias("snippet"),
         F.struct(
-            F.format_string("%.2f", F.col("l_quantity")).alias("viewCount"),
-            F.col("l_partkey").cast("string").alias("likeCount"),
-            F.col("l_suppkey").cast("string").alias("favoriteCount"),
-            F.col("l_linenumber").cast("string").alias("commentCount"),
+            F.format_string("%.2f", c("l_quantity")).alias("viewCount"),
+            c("l_partkey").cast("string").alias("likeCount"),
+            c("l_suppkey").cast("string").alias("favoriteCount"),
+            c("l_linenumber").cast("string").alias("commentCount"),
         ).alias("statistics"),
         F.struct(
-            F.concat(F.lit("PT"), F.col("l_linenumber").cast("string"), F.lit("M")).alias("duration"),
-            F.when(F.col("l_linestatus") == "O", F.lit("hd")).otherwise(F.lit("sd")).alias("definition"),
-            F.when(F.col("l_returnflag") == "R", F.lit("true")).otherwise(F.lit("false")).alias("caption"),
+            F.concat(F.lit("PT"), c("l_linenumber").cast("string"), F.lit("M")).alias("duration"),
+            F.when(c("l_linestatus") == "O", F.lit("hd")).otherwise(F.lit("sd")).alias("definition"),
+            F.when(c("l_returnflag") == "R", F.lit("true")).otherwise(F.lit("false")).alias("caption"),
             F.lit("true").alias("licensedContent"),
         ).alias("contentDetails"),
     )
+
+
+# What an API item is made of: a tenth of its text.
+LINE_COLUMNS = (
+    "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_returnflag", "l_linestatus", "l_quantity",
+)
+
+
+def _pages(orders: DataFrame, l: DataFrame, item: Column) -> DataFrame:
+    """Order pages with ``item`` of their lines as ``items``."""
     # Only orders over one page need their count; that list is short, and its
     # join keeps lineitem on the left, so a hot order can be split.
     large = (
@@ -315,19 +328,22 @@ def write_orders_as_api_bronze(
     """API responses as JSON Lines under ``region=/date=/hour=00/``.
 
     The folder's date is the order's own day. Rows are dealt by folder first, so a
-    folder is one file where it is small.
+    folder is one file where it is small. What is dealt are the lines; they become items where they are written.
     """
-    docs = orders_as_api_payloads(orders, lineitem).select(
-        F.lit("youtube#videoListResponse").alias("kind"),
+    pages = _pages(orders, lineitem, F.struct(*LINE_COLUMNS)).select(
         F.col("items"),
         F.regexp_extract("_source_file", "region=([^/]+)", 1).alias("region"),
         F.regexp_extract("_source_file", "date=([0-9-]+)", 1).alias("date"),
+    )
+    docs = pages.hint("rebalance", "region", "date").select(
+        F.lit("youtube#videoListResponse").alias("kind"),
+        F.transform("items", lambda line: _api_item(line.getField, "part ")).alias("items"),
+        "region",
+        "date",
         F.lit("00").alias("hour"),
     )
     path = f"{root}/youtube/api_raw/videos"
-    docs.hint("rebalance", "region", "date").write.mode("overwrite").partitionBy("region", "date", "hour").option(
-        "compression", compression
-    ).json(path)
+    docs.write.mode("overwrite").partitionBy("region", "date", "hour").option("compression", compression).json(path)
     return path
 
 
@@ -352,35 +368,42 @@ def write_orders_as_drifting_api_bronze(orders: DataFrame, lineitem: DataFrame,
 
     day = F.when(F.col("o_orderstatus") == "F", "2024-01-02").when(F.col("o_orderstatus") == "O", "2024-01-03")
     path = f"{root}/youtube/api_raw/videos"
-    docs.select(
+    texts = docs.select(
         F.concat(
             F.lit('{"kind":"youtube#videoListResponse","items":['), F.concat_ws(",", F.transform("items", text)), F.lit("]}")
         ).alias("value"),
         F.regexp_extract("_source_file", "region=([^/]+)", 1).alias("region"),
         day.otherwise("2024-01-04").alias("date"),
         F.lit("00").alias("hour"),
-    ).hint("rebalance", "region", "date").write.mode("overwrite").partitionBy("region", "date", "hour").text(
-        path, lineSep=RECORD_SEPARATOR, compression="lz4"
     )
+    # A handful of folders: every task writes to each of them, and no text is shuffled or sorted for that.
+    with settings(orders.sparkSession, OPEN_FILES):
+        texts.write.mode("overwrite").partitionBy("region", "date", "hour").text(
+            path, lineSep=RECORD_SEPARATOR, compression="lz4"
+        )
     return path
 
 
 def write_category_drop(files: DataFrame, root: str, drop: str) -> None:
     """Category files (region, file, value) as ``<drop>/region=<region>/<file>.json``.
 
-    Spark names the files it writes, so they are renamed one by one, some 50 items each.
+    Spark names the files it writes, so they are renamed, some 50 items each. A file costs a task more than
+    its text, so files are dealt over all of them.
     """
     spark = files.sparkSession
     folder = f"{root}/{drop}"
-    files.write.partitionBy("region", "file").text(f"{folder}-parts", lineSep=RECORD_SEPARATOR)
+    spread(files, "region", "file").write.options(**COMMIT_IN_TASKS).partitionBy("region", "file").text(
+        f"{folder}-parts", lineSep=RECORD_SEPARATOR
+    )
     path = spark._jvm.org.apache.hadoop.fs.Path  # noqa: SLF001
     fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
-    made = set()
+    made, pairs = set(), []
     # Spark lists the folders, so a file costs the driver its rename and no listing.
     for row in spark.read.format("binaryFile").load(f"{folder}-parts").select("path").collect():
         region, name = row["path"].split("/")[-3:-1]
         if region not in made:
             fs.mkdirs(path(f"{folder}/{region}"))
             made.add(region)
-        fs.rename(path(row["path"]), path(f"{folder}/{region}/{name.partition('=')[2]}.json"))
+        pairs.append((row["path"], f"{folder}/{region}/{name.partition('=')[2]}.json"))
+    rename_all(spark, pairs)
     fs.delete(path(f"{folder}-parts"), True)

@@ -20,12 +20,18 @@ from pyspark.sql import DataFrame, SparkSession
 # its worker, beside the operators' own tables; Spark's 10,000 rows are tens of MB in each.
 ARROW_ROWS = "1000"
 
+# Tasks that list folders together. Spark's 10,000 are a task for each of thousands of folders, which takes
+# far longer than the listing.
+LISTING_TASKS = "200"
+LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
 # Settings the library expects. ANSI stays on: every cast that may see bad text
 # is a try_* form, so a bad value gives NULL for that row instead of failing
 # the job.
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.maxRecordsPerBatch": ARROW_ROWS,
+    LISTING: LISTING_TASKS,
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -66,9 +72,10 @@ def build_session(
 
 
 def apply_defaults(spark: SparkSession) -> None:
-    """Pin the time zone and the batches to Python on a session we did not build (e.g. the driver's)."""
+    """Pin the time zone, the batches to Python and the listing tasks on a session we did not build (e.g. the driver's)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+    spark.conf.set(LISTING, LISTING_TASKS)
 
 
 def checkpoint_root(spark: SparkSession) -> str:

@@ -1,16 +1,20 @@
 """What round 4 changed for time, disk and memory: nothing large is kept between steps, folders move in branches."""
 
 import datetime as dt
+import json
 from pathlib import Path
 
 from pyspark.sql import DataFrame
 
+from silverline.operators.drift import variant_items, with_drift
 from silverline.operators.ingest import land_payloads
-from silverline.plans import ingestion
+from silverline.plans import ingestion, queries, standins
 from silverline.plans.ingestion import IngestionConfig, run_ingestion
-from silverline.plans.videos import VideoJobConfig
-from silverline.session import checkpoint_root, scratch_path, settings, staged
-from silverline.sinks.folders import replace_partitions
+from silverline.plans.videos import VideoJobConfig, run_videos
+from silverline.session import LISTING, apply_defaults, checkpoint_root, scratch_path, settings, staged
+from silverline.sinks import folders
+from silverline.sinks.folders import rename_all, replace_partitions
+from silverline.sinks.silver import write_silver_categories
 from silverline.streaming import latest
 from silverline.streaming.incremental import stream_api_videos
 from tests.fixtures import api_item, write_api_drop
@@ -120,3 +124,88 @@ def test_a_stream_batch_is_not_cached_and_leaves_no_stage(spark, tmp_path, monke
     assert [(r["input_rows"], r["output_rows"]) for r in records] == [(5, 5)]
     assert spark.read.parquet(cfg.silver_path).count() == 5
     assert not list(Path(root).glob("stream-batch-*"))
+
+
+def drift_of(spark, item):
+    doc = json.dumps({"items": [item]})
+    raw = spark.createDataFrame([(doc,)], "value string").selectExpr("value", "named_struct('file_path', 'f') as _metadata")
+    rows = with_drift(variant_items(raw)).selectExpr("transform(drift, x -> concat(x.path, ' ', x.status)) as d").collect()
+    return sorted(rows[0]["d"])
+
+
+def test_kinds_are_told_apart_without_patterns(spark):
+    """Every field used to be held against a regular expression, objects by a text of all that is in them."""
+    assert drift_of(spark, {"id": "a", "snippet": {}, "statistics": None, "contentDetails": {"caption": None}}) == []
+    assert drift_of(spark, {"id": 1, "snippet": [], "statistics": "x"}) == [
+        "id retyped", "snippet retyped", "statistics retyped",
+    ]
+    assert drift_of(spark, {"snippet": {"tags": []}, "odd": None, "etag": 1}) == ["odd unknown"]
+    assert drift_of(spark, {"snippet": {"tags": [None]}}) == []
+    assert drift_of(spark, {"snippet": {"tags": ["a", 1], "more": {"b": 1}}}) == ["snippet.more unknown", "snippet.tags retyped"]
+    raw = spark.createDataFrame([("{}",)], "value string").selectExpr("value", "named_struct('file_path', 'f') as _metadata")
+    plan = with_drift(variant_items(raw))._jdf.queryExecution().optimizedPlan().toString()
+    assert "RLIKE" not in plan and "regexp" not in plan
+
+
+def test_drift_is_not_cached(spark, tmp_path, monkeypatch):
+    """Keys, paths and values of every item used to be cached for the report and the rescued values."""
+    cfg = VideoJobConfig(str(tmp_path / "bronze"), str(tmp_path / "silver"), source="youtube_api", write_drift=True)
+    write_api_drop(tmp_path / "bronze", "us", "2024-01-02", "09", "r1", [{**api_item(i, "us"), "extra": i} for i in range(5)])
+    monkeypatch.setattr(DataFrame, "persist", lambda *a, **k: (_ for _ in ()).throw(AssertionError("cached")))
+    run_videos(spark, cfg)
+    assert spark.read.parquet(cfg.drift_path).first()["items"] == 5
+    assert spark.read.parquet(cfg.rescued_path).count() == 5
+
+
+def test_bronze_rows_are_no_plain_checkpoint(spark, monkeypatch):
+    kept = DataFrame.checkpoint
+
+    def checkpoint(df, *a, **k):
+        assert "video_id" not in df.columns
+        return kept(df, *a, **k)
+
+    monkeypatch.setattr(DataFrame, "checkpoint", checkpoint)
+    orders = spark.createDataFrame([(1, "F", "1-URGENT", dt.datetime(2024, 1, 2))], "o_orderkey long, o_orderstatus string, o_orderpriority string, o_orderdate timestamp_ntz")
+    lines = spark.createDataFrame(
+        [(1, n, 10, 20, dt.datetime(2024, 1, 3), "R", "O", 2.0) for n in range(3)],
+        "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_shipdate timestamp_ntz, l_returnflag string, l_linestatus string, l_quantity double",
+    )
+    monkeypatch.setattr(queries, "table", lambda _, __, name: {"orders": orders, "lineitem": lines}[name])
+    rows = queries.api_bronze_videos(spark, "").collect()
+    assert sorted(r["video_id"] for r in rows) == ["1-0", "1-1", "1-2"]
+    assert {(r["region"], r["trending_date"], r["view_count"], r["tags"]) for r in rows} == {("UR", "2024-01-02", 2, "R|O")}
+
+
+def test_dropped_files_are_dealt_over_the_tasks(spark, tmp_path, monkeypatch):
+    """A frame of one partition used to write all its files, some 50 items each, in one task."""
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    files = spark.createDataFrame([("us", f"f{i}", str(i)) for i in range(10 * n)], "region string, file string, value string").coalesce(1)
+    parts = []
+    monkeypatch.setattr(standins, "rename_all", lambda s, pairs: parts.extend(pairs) or rename_all(s, pairs))
+    standins.write_category_drop(files, str(tmp_path), "d1")
+    assert len({old.rsplit("/", 1)[1].split("-")[1] for old, _ in parts}) > 1
+    assert {f.name: f.read_text().rstrip("\x1e") for f in tmp_path.glob("d1/region=us/*.json")} == {
+        f"f{i}.json": str(i) for i in range(10 * n)
+    }
+
+
+def test_folders_are_listed_by_few_tasks(spark):
+    """A listing used to run a task for every folder."""
+    apply_defaults(spark)
+    assert int(spark.conf.get(LISTING)) <= 200
+
+
+def test_category_folders_move_and_others_stay(spark, tmp_path, monkeypatch):
+    """One folder a file: the driver used to move every file and every folder by itself."""
+    path, moved = str(tmp_path / "c"), []
+    monkeypatch.setattr(folders, "_rename", lambda fs, hpath, *pair: moved.append(pair) or fs.rename(*map(hpath, pair)))
+
+    def put(names, v):
+        rows = [("kaggle", "us", name, v) for name in names]
+        write_silver_categories(spark.createDataFrame(rows, "source string, region string, bronze_file string, v int"), path)
+
+    put([f"f{i}" for i in range(20)], 1)
+    assert len(moved) == 1  # the whole branch
+    put(["f3", "new"], 2)
+    found = {r["bronze_file"]: r["v"] for r in spark.read.parquet(path).collect()}
+    assert found == {f"f{i}": 2 if i == 3 else 1 for i in range(20)} | {"new": 2}
