@@ -6,12 +6,13 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame
 
+from silverline import session
 from silverline.operators.drift import variant_items, with_drift
 from silverline.operators.ingest import land_payloads
 from silverline.plans import ingestion, queries, standins
 from silverline.plans.ingestion import IngestionConfig, run_ingestion
 from silverline.plans.videos import VideoJobConfig, run_videos
-from silverline.session import LISTING, apply_defaults, checkpoint_root, scratch_path, settings, staged
+from silverline.session import LISTING, apply_defaults, scratch_path, settings, staged
 from silverline.sinks import folders
 from silverline.sinks.folders import rename_all, replace_partitions
 from silverline.sinks.silver import write_silver_categories
@@ -118,12 +119,13 @@ def test_a_stream_batch_is_not_cached_and_leaves_no_stage(spark, tmp_path, monke
     """A batch's parsed rows used to be cached by the executors, in memory and as plain rows on their disks."""
     cfg = VideoJobConfig(str(tmp_path / "bronze"), str(tmp_path / "silver"), source="youtube_api")
     write_api_drop(tmp_path / "bronze", "us", "2024-01-02", "09", "r1", [api_item(i, "us") for i in range(5)])
-    root = checkpoint_root(spark)
+    made, kept = [], session.scratch_path
+    monkeypatch.setattr(session, "scratch_path", lambda *a: made.append(kept(*a)) or made[-1])
     monkeypatch.setattr(DataFrame, "persist", lambda *a, **k: (_ for _ in ()).throw(AssertionError("cached")))
     records = stream_api_videos(spark, cfg, checkpoint=str(tmp_path / "c"))
     assert [(r["input_rows"], r["output_rows"]) for r in records] == [(5, 5)]
     assert spark.read.parquet(cfg.silver_path).count() == 5
-    assert not list(Path(root).glob("stream-batch-*"))
+    assert len(made) == 1 and not Path(made[0].removeprefix("file:")).exists()
 
 
 def drift_of(spark, item):
